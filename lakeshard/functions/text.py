@@ -24,8 +24,13 @@ def tokens(text, split_on: str = DEFAULT_SPLIT) -> Column:
 
 
 def file_name(path) -> Column:
-    """Last path segment of a file URI, URL-decoded (Spark encodes blanks etc.)."""
-    return F.url_decode(F.element_at(F.split(_c(path), "/"), -1))
+    """Last path segment of a file URI, URL-decoded (Spark encodes blanks etc.).
+
+    A literal ``+`` is kept: the URI form leaves it unencoded, while the
+    form decoder would read it as a blank.
+    """
+    last = F.element_at(F.split(_c(path), "/"), -1)
+    return F.url_decode(F.replace(last, F.lit("+"), F.lit("%2B")))
 
 
 def doc_stem(path) -> Column:
