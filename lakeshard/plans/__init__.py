@@ -6,4 +6,7 @@ Importing this package registers every query in ``registry``.
 from lakeshard.plans import (  # noqa: F401
     core,
     maintenance,
+    relational,
+    joins,
+    aggregates,
 )
