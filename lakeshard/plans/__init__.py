@@ -9,4 +9,7 @@ from lakeshard.plans import (  # noqa: F401
     relational,
     joins,
     aggregates,
+    windows,
+    ordering,
+    setops,
 )
