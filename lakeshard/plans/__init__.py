@@ -12,4 +12,5 @@ from lakeshard.plans import (  # noqa: F401
     windows,
     ordering,
     setops,
+    scalars,
 )
