@@ -13,4 +13,5 @@ from lakeshard.plans import (  # noqa: F401
     ordering,
     setops,
     scalars,
+    generators,
 )
