@@ -14,4 +14,5 @@ from lakeshard.plans import (  # noqa: F401
     setops,
     scalars,
     generators,
+    storage,
 )
