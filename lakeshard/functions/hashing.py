@@ -11,12 +11,17 @@ def row_hash(df: DataFrame, cols=None) -> Column:
     return F.xxhash64(*[F.col(c) for c in (cols or df.columns)])
 
 
-def salt(df: DataFrame, buckets: int, cols=None) -> Column:
-    """Deterministic salt in ``[0, buckets)``.
+def salt(df: DataFrame, buckets, cols=None) -> Column:
+    """Repeatable salt in ``[0, buckets)`` (``buckets`` may be a Column).
 
-    Unlike ``rand()``, a retried task puts every row in the same bucket again.
+    The hash covers the row and its position in the input partition, so
+    identical rows are spread too.  Unlike ``rand()``, a retried task over
+    the same input split puts every row in the same bucket again.
     """
-    return F.pmod(row_hash(df, cols), F.lit(buckets)).cast("int")
+    cols = cols or df.columns
+    h = F.xxhash64(*[F.col(c) for c in cols], F.monotonically_increasing_id())
+    n = buckets if isinstance(buckets, Column) else F.lit(buckets)
+    return F.pmod(h, n).cast("int")
 
 
 def fingerprint(df: DataFrame, cols=None) -> DataFrame:

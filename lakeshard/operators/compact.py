@@ -8,7 +8,7 @@ Flow of ``compact_table``:
    ``ceil(bytes / target_bytes)``;
 3. staged write of the selected rows into a new directory next to the old
    data, partition ``p`` getting exactly ``n_p`` write tasks through
-   ``repartitionById(offset_p + pmod(xxhash64(row), n_p))`` (one shuffle);
+   ``repartitionById(offset_p + salt(row, n_p))`` (one shuffle);
 4. verification: row count and an order-insensitive digest of the staged
    data must equal the source selection;
 5. publish by moving the location pointer (``ALTER TABLE ... SET LOCATION``,
@@ -31,7 +31,7 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from lakeshard.functions.hashing import fingerprint, row_hash
+from lakeshard.functions.hashing import fingerprint, salt
 from lakeshard.sources.files import local_path
 
 DEFAULT_TARGET_BYTES = 128 * 1024 * 1024
@@ -265,7 +265,7 @@ def compact_table(spark: SparkSession, table: str, partition: dict | None = None
     cond = [sel[c].eqNullSafe(plan_df[c]) for c in pcols]
     tagged = sel.join(plan_df, cond, "inner").select(
         *[sel[c] for c in src.columns],
-        (plan_df["_off"] + F.pmod(row_hash(sel, info.data_cols), plan_df["_n"])).cast("int").alias("_pid"))
+        (plan_df["_off"] + salt(sel, plan_df["_n"], info.data_cols)).cast("int").alias("_pid"))
     staged_root = f"{info.location.rstrip('/')}/_compact-{stamp}"
     (_writer(tagged.repartitionById(acc, "_pid").drop("_pid"), info.provider, info.options)
      .partitionBy(*pcols).save(staged_root))

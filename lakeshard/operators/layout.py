@@ -44,6 +44,10 @@ def _save(df: DataFrame, path: str, fmt: str, mode: str, partition_by=None, opti
     return path
 
 
+def _num_partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def write_coalesced(df: DataFrame, path: str, n: int, fmt: str = "parquet",
                     mode: str = "errorifexists", partition_by=None) -> str:
     """At most ``n`` files without a shuffle; the write runs with ``n`` tasks."""
@@ -72,7 +76,7 @@ def write_salted(df: DataFrame, path: str, partition_by: list[str], n: int,
                  fmt: str = "parquet", mode: str = "errorifexists") -> str:
     """``DISTRIBUTE BY cols, salt``: up to ``n`` files per partition directory."""
     s = salt(df, n)
-    return _save(df.repartition(*partition_by, s), path, fmt, mode, partition_by)
+    return _save(df.repartition(_num_partitions(df), *partition_by, s), path, fmt, mode, partition_by)
 
 
 def hot_keys(df: DataFrame, key: str, share: float = 0.1) -> DataFrame:
@@ -105,7 +109,9 @@ def write_skew_split(df: DataFrame, path: str, key: str, n: int = 8, hot: list |
     """
     if hot is None:
         hot = [r[0] for r in hot_keys(df, key, share).select(key).collect()]
-    routed = df.repartition(F.col(key), skew_split_key(df, key, hot, n))
+    # An explicit partition count: AQE must not merge the salted hot-key
+    # partitions back into one.
+    routed = df.repartition(_num_partitions(df), F.col(key), skew_split_key(df, key, hot, n))
     return _save(routed, path, fmt, mode, partition_by)
 
 
