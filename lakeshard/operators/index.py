@@ -22,16 +22,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeshard.functions.text import DEFAULT_SPLIT, posting_key, tokens
+from lakeshard.functions.text import DEFAULT_SPLIT, posting_key
+from lakeshard.sources.tables import ensure_parallelism
 
 DEFAULT_BLOCK = 4096
 
 
 def token_stream(docs: DataFrame, doc: str = "doc", text: str = "text",
                  split_on: str = DEFAULT_SPLIT) -> DataFrame:
-    """One row per token occurrence: ``(doc, word)``."""
-    return docs.select(F.col(doc).alias("doc"),
-                       F.explode(tokens(text, split_on)).alias("word"))
+    """One row per token occurrence: ``(doc, word)``.
+
+    Empty tokens (leading, trailing or doubled blanks) are dropped after the
+    explode, where the filter is part of the generated code.
+    """
+    docs = ensure_parallelism(docs.select(F.col(doc).alias("doc"), F.col(text).alias("text")))
+    return (docs.select("doc", F.explode(F.split(F.coalesce(F.col("text"), F.lit("")), split_on))
+                        .alias("word"))
+            .where(F.col("word") != ""))
 
 
 def term_frequency(docs: DataFrame, doc: str = "doc", text: str = "text",

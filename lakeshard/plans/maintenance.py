@@ -311,3 +311,22 @@ def q_copy_manifest(spark, sf_dir):
 @query("provenance")
 def q_provenance(spark, sf_dir):
     return with_provenance(read_table(spark, sf_dir, "region"))
+
+
+# -- streaming ----------------------------------------------------------------------
+
+@query("streaming_compaction", oracle="SELECT * FROM events")
+def q_streaming_compaction(spark, sf_dir):
+    """``events`` split into 12 files, streamed 3 files per micro-batch into a
+    catalog table through the compacting ``foreachBatch`` sink."""
+    from lakeshard.streaming.compaction_sink import run_to_completion
+
+    ev = read_table(spark, sf_dir, "events")
+    base = scratch_dir(spark, "ls_stream")
+    ev.repartition(12).write.parquet(f"{base}/in")
+    t = f"ls_stream_{uuid.uuid4().hex[:10]}"
+    ev.limit(0).write.format("parquet").option("path", f"{base}/table").saveAsTable(t)
+    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 3).parquet(f"{base}/in")
+    run_to_completion(stream, t, f"{base}/checkpoint", f"{base}/markers", every=2,
+                      min_small_files=2, small_bytes=1 << 30)
+    return spark.table(t)

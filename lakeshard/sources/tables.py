@@ -43,3 +43,15 @@ class Tables:
         if name.startswith("_"):
             raise AttributeError(name)
         return read_table(self._spark, self._dir, name)
+
+
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over at least ``min_partitions`` tasks if its scan has fewer.
+
+    A file with one row group is read by one task; CPU-heavy per-row work
+    (tokenising) after it would then run on one core.  Large inputs already
+    have many splits and pass through unchanged (no shuffle).  Planning the
+    scan lists files but runs no job.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
