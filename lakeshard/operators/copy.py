@@ -13,7 +13,6 @@ folder), so later actions read the manifest instead of copying again.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterator
 
 import pandas as pd
@@ -92,16 +91,23 @@ def copy_manifest(spark: SparkSession, source: str, target: str) -> DataFrame:
                         "length")
 
 
-def _empty_dirs(source: str, target: str) -> None:
-    """Re-create the source's directory tree (empty directories too)."""
+def _replicate_tree(source: str, target: str) -> None:
+    """Re-create the source's directories (empty ones too) and its zero-length
+    files, which Spark's file sources never return as rows.  Metadata only:
+    no file body passes through the driver."""
     from pyarrow import fs as pafs
 
     sfs, sp = _fs_and_path(qualify(source))
     dfs, dp = _fs_and_path(qualify(target))
     sel = pafs.FileSelector(sp, recursive=True, allow_not_found=True)
     for info in sfs.get_file_info(sel):
+        rel = info.path[len(sp):]
+        hidden = any(part.startswith((".", "_")) for part in rel.split("/") if part)
         if info.type == pafs.FileType.Directory:
-            dfs.create_dir(dp + info.path[len(sp):], recursive=True)
+            dfs.create_dir(dp + rel, recursive=True)
+        elif info.type == pafs.FileType.File and info.size == 0 and not hidden:
+            with dfs.open_output_stream(dp + rel):
+                pass
 
 
 def dist_copy(spark: SparkSession, source: str, target: str, ignore_failures: bool = False,
@@ -118,7 +124,7 @@ def dist_copy(spark: SparkSession, source: str, target: str, ignore_failures: bo
     if max_concurrency < 1:
         raise ValueError("max_concurrency must be >= 1")
     if copy_dirs:
-        _empty_dirs(source, target)
+        _replicate_tree(source, target)
     man = copy_manifest(spark, source, target)
     if extra_files is not None:
         man = man.unionByName(extra_files.select("src", "dst", "length"))
@@ -138,7 +144,3 @@ def tree_equal(spark: SparkSession, a: str, b: str) -> DataFrame:
     lb = list_files(spark, b).select("rel", F.col("length").alias("length_b"))
     return (la.join(lb, "rel", "full")
             .where(~F.col("length_a").eqNullSafe(F.col("length_b"))))
-
-
-def local_exists(path: str) -> bool:
-    return os.path.exists(path)

@@ -111,3 +111,14 @@ def q_window_analytic(spark, sf_dir):
                     F.round(F.cume_dist().over(w), 6).alias("cd"),
                     F.round(F.percent_rank().over(w), 6).alias("pr"),
                     F.nth_value("o_orderkey", 2).over(whole).alias("second"))
+
+
+sql_query("window_distribute_sort", """
+SELECT o_orderkey, o_custkey,
+       row_number() OVER (DISTRIBUTE BY o_custkey SORT BY o_orderdate, o_orderkey) AS rn,
+       count(*) OVER (CLUSTER BY o_orderpriority) AS per_priority
+FROM orders""", oracle="""
+SELECT o_orderkey, o_custkey,
+       row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn,
+       count(*) OVER (PARTITION BY o_orderpriority) AS per_priority
+FROM orders""", group="windows")

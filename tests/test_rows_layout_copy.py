@@ -89,7 +89,8 @@ def test_copy_tree(spark, tmpdir_path):
     src = f"{tmpdir_path}/src"
     os.makedirs(f"{src}/a b/c(1)/d+e", exist_ok=True)
     os.makedirs(f"{src}/empty", exist_ok=True)
-    for rel, body in {"0": "it is what it is", "a b/1": "what is it", "a b/c(1)/d+e/2": "it is a banana"}.items():
+    files = {"0": "it is what it is", "a b/1": "what is it", "a b/c(1)/d+e/2": "it is a banana", "empty.txt": ""}
+    for rel, body in files.items():
         with open(f"{src}/{rel}", "w") as f:
             f.write(body)
     dst = f"{tmpdir_path}/dst"
@@ -98,6 +99,7 @@ def test_copy_tree(spark, tmpdir_path):
     assert tree_equal(spark, src, dst).count() == 0
     assert os.path.isdir(f"{dst}/empty")
     assert open(f"{dst}/a b/c(1)/d+e/2").read() == "it is a banana"
+    assert os.path.getsize(f"{dst}/empty.txt") == 0
 
 
 def test_copy_failure_policy(spark, tmpdir_path):
