@@ -274,7 +274,7 @@ def q_sample_bucket(spark, sf_dir):
 
 
 @query("transform_map", oracle="""
-SELECT c_custkey, upper(c_name) AS name_upper, length(c_name) AS name_len FROM customer""")
+SELECT c_custkey, upper(c_name) AS name_upper, CAST(length(c_name) AS INTEGER) AS name_len FROM customer""")
 def q_transform_map(spark, sf_dir):
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"c_custkey": pdf["c_custkey"],

@@ -39,7 +39,7 @@ SELECT c_custkey, SUBSTRING(c_name FROM 3 FOR 5) AS sub, TRIM(BOTH 'C' FROM c_na
 FROM customer""", oracle="""
 SELECT c_custkey, substring(c_name, 3, 5) AS sub, trim(c_name, 'C') AS tb,
        ltrim(c_name, 'Cus') AS tl, rtrim(c_name, '0123456789') AS tt,
-       substring(c_name, 1, 1) || 'XX' || substring(c_name, 5) AS ov, position('#' IN c_name) AS pos,
+       substring(c_name, 1, 1) || 'XX' || substring(c_name, 5) AS ov, CAST(position('#' IN c_name) AS INTEGER) AS pos,
        upper(c_mktsegment) AS up, lpad(CAST(c_nationkey AS VARCHAR), 3, '0') AS padded
 FROM customer""", group="scalars")
 
@@ -83,7 +83,7 @@ sql_query("array_map_subscript", """
 SELECT c_custkey, split(c_name, '#')[1] AS num, map('nation', c_nationkey, 'key', c_custkey)['nation'] AS nat,
        element_at(split(c_name, '#'), 1) AS prefix, size(split(c_name, '#')) AS parts
 FROM customer""", oracle="""
-SELECT c_custkey, string_split(c_name, '#')[2] AS num, c_nationkey AS nat,
+SELECT c_custkey, string_split(c_name, '#')[2] AS num, CAST(c_nationkey AS BIGINT) AS nat,
        string_split(c_name, '#')[1] AS prefix, CAST(len(string_split(c_name, '#')) AS INTEGER) AS parts
 FROM customer""", group="scalars")
 

@@ -16,9 +16,9 @@ from lakeshard.sources.tables import Tables
 
 @query("window_rank", oracle="""
 SELECT o_orderkey, o_custkey,
-       row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rn,
-       rank() OVER (PARTITION BY o_custkey ORDER BY o_orderpriority) AS rk,
-       dense_rank() OVER (PARTITION BY o_custkey ORDER BY o_orderpriority) AS drk
+       CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS INTEGER) AS rn,
+       CAST(rank() OVER (PARTITION BY o_custkey ORDER BY o_orderpriority) AS INTEGER) AS rk,
+       CAST(dense_rank() OVER (PARTITION BY o_custkey ORDER BY o_orderpriority) AS INTEGER) AS drk
 FROM orders""")
 def q_window_rank(spark, sf_dir):
     o = Tables(spark, sf_dir).orders
@@ -94,7 +94,7 @@ FROM (SELECT c.c_custkey, c.c_nationkey, max(o.o_orderkey) AS p_orderkey
 SELECT o_orderkey, o_custkey,
        lag(o_totalprice, 1) OVER w AS prev_price,
        lead(o_orderkey, 2, -1) OVER w AS next2,
-       ntile(4) OVER w AS quartile,
+       CAST(ntile(4) OVER w AS INTEGER) AS quartile,
        round(cume_dist() OVER w, 6) AS cd,
        round(percent_rank() OVER w, 6) AS pr,
        nth_value(o_orderkey, 2) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey
@@ -119,6 +119,6 @@ SELECT o_orderkey, o_custkey,
        count(*) OVER (CLUSTER BY o_orderpriority) AS per_priority
 FROM orders""", oracle="""
 SELECT o_orderkey, o_custkey,
-       row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn,
+       CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS INTEGER) AS rn,
        count(*) OVER (PARTITION BY o_orderpriority) AS per_priority
 FROM orders""", group="windows")
