@@ -73,7 +73,8 @@ FROM orders GROUP BY o_custkey""")
 def q_udaf_pandas(spark, sf_dir):
     """Grouped-aggregate pandas UDF over (customer, salt) parts, merged by ``sum``."""
     o = Tables(spark, sf_dir).orders
-    parts = (o.withColumn("_salt", salt(o, 8, ["o_orderkey"]))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = (o.withColumn("_salt", salt(o, n, ["o_orderkey"]))
              .groupBy("o_custkey", "_salt")
              .agg(sum_squares("o_totalprice").alias("_sq"), n_rows("o_totalprice").alias("_n")))
     return parts.groupBy("o_custkey").agg(F.round(F.sum("_sq") / 1e6, 2).alias("sq_millions"),

@@ -11,28 +11,28 @@ epochs it already wrote.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame
 
+from lakeshard.operators.compact import _fs
 from lakeshard.operators.layout import auto_compact
-from lakeshard.sources.files import local_path
 
 
 def compacting_sink(table: str, marker_dir: str, every: int = 1, min_small_files: int = 8,
                     small_bytes: int = 32 << 20, major: bool = False):
     """``foreachBatch`` callback: append, then compact when the trigger fires."""
-    marker_root = local_path(marker_dir)
-    os.makedirs(marker_root, exist_ok=True)
+    from pyarrow import fs as pafs
+
+    fs, root = _fs(marker_dir)
+    fs.create_dir(root, recursive=True)
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        done = os.path.join(marker_root, f"epoch-{epoch_id}")
-        if os.path.exists(done):  # replayed batch, already appended
+        done = f"{root}/epoch-{epoch_id}"
+        if fs.get_file_info(done).type != pafs.FileType.NotFound:  # replayed, already appended
             return
         spark = batch.sparkSession
         batch.write.insertInto(table)
-        with open(done, "w") as f:
-            f.write("ok")
+        with fs.open_output_stream(done) as f:
+            f.write(b"ok")
         if (epoch_id + 1) % every == 0:
             auto_compact(spark, table, min_small_files=min_small_files,
                          small_bytes=small_bytes, major=major)

@@ -130,3 +130,30 @@ def test_reduce_groups_streams(spark):
     out = reduce_groups(df, ["k"], init=lambda: 0.0, step=lambda s, c: s + c["v"].sum(),
                         finish=lambda k, s: {"k": k[0], "total": s}, schema="k long, total double")
     assert {r.k: r.total for r in out.collect()} == {0: 1000.0, 1: 1000.0, 2: 1000.0}
+
+
+def test_streaming_sink_appends_once_and_compacts(spark, tmpdir_path):
+    from lakeshard.operators.compact import file_stats
+    from lakeshard.streaming.compaction_sink import compacting_sink, run_to_completion
+
+    ev = spark.read.parquet(f"{SF}/events.parquet")
+    ev.repartition(6).write.parquet(f"{tmpdir_path}/in")
+    spark.sql("DROP TABLE IF EXISTS ev_stream")
+    ev.limit(0).write.format("parquet").option("path", f"{tmpdir_path}/t").saveAsTable("ev_stream")
+    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 2).parquet(f"{tmpdir_path}/in")
+    run_to_completion(stream, "ev_stream", f"{tmpdir_path}/ck", f"{tmpdir_path}/mk", every=1,
+                      min_small_files=1, small_bytes=1 << 30)
+    assert spark.table("ev_stream").count() == ev.count()
+    assert file_stats(spark.table("ev_stream")).first()["files"] == 1
+    # a replayed epoch is skipped
+    sink = compacting_sink("ev_stream", f"{tmpdir_path}/mk")
+    sink(ev, 0)
+    assert spark.table("ev_stream").count() == ev.count()
+
+
+def test_provenance_columns(spark):
+    from lakeshard.functions.provenance import session_info, with_provenance
+
+    r = with_provenance(spark.read.parquet(f"{SF}/region.parquet")).first()
+    assert r.spark_version.startswith(spark.version.split(".")[0]) and r.run_user
+    assert session_info(spark.read.parquet(f"{SF}/region.parquet")).first().rows == 5
