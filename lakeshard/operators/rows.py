@@ -19,11 +19,13 @@ from __future__ import annotations
 
 import time
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeshard.operators.compact import _read_staged, delete_tree, table_info
+from lakeshard.operators.compact import (_read_staged, delete_tree, partition_location,
+                                         partition_spec_sql, table_info)
 
 
 class MergeError(RuntimeError):
@@ -169,31 +171,89 @@ def merge_rows(target: DataFrame, source: DataFrame, on: list[str], clauses: lis
     return kept.unionByName(inserted)
 
 
-def publish(spark: SparkSession, table: str, new_rows: DataFrame) -> DataFrame:
-    """Replace the rows of unpartitioned ``table`` with ``new_rows``.
+def publish(spark: SparkSession, table: str, new_rows: DataFrame,
+            partitions: Column | None = None) -> DataFrame:
+    """Replace rows of catalog ``table`` with ``new_rows``; returns ``(rows)``.
 
-    Writes a staged copy next to the table, checks its row count, swaps the
-    table location and deletes the old files.  Returns ``(rows)``.
+    Unpartitioned: stage a full copy next to the table, check its row count,
+    swap the table location, delete the old files.
+
+    Partitioned: ``partitions`` (a predicate on partition columns, default
+    all) names the partitions being replaced, and ``new_rows`` must only hold
+    rows of those partitions.  The new rows are staged under the table root
+    with ``partitionBy``; then each staged partition is pointed to with
+    ``SET LOCATION`` (or ``ADD PARTITION`` if new) and replaced partitions
+    left without rows are dropped.  Any error restores the previous catalog
+    state; old directories are deleted only at the end.
     """
     info = table_info(spark, table)
-    if info.partition_cols:
-        raise NotImplementedError("publish: partitioned tables are rewritten per partition "
-                                  "with compact_table-style swaps; not supported yet")
     src_schema = spark.table(table).schema
-    staged = f"{info.location.rstrip('/')}.rewrite-{int(time.time() * 1000)}"
-    new_rows = new_rows.select(*[F.col(c).cast(f.dataType) for c, f in
+    new_rows = new_rows.select(*[F.col(c).cast(f.dataType).alias(c) for c, f in
                                  zip(src_schema.names, src_schema.fields)])
-    new_rows.write.format(info.provider).options(**info.options).save(staged)
-    # Count once from the new rows' plan (still reading the old files) and
-    # once from the staged files: they must agree before the swap.
+    stamp = int(time.time() * 1000)
+    if not info.partition_cols:
+        staged = f"{info.location.rstrip('/')}.rewrite-{stamp}"
+        new_rows.write.format(info.provider).options(**info.options).save(staged)
+        # Count once from the new rows' plan (still reading the old files) and
+        # once from the staged files: they must agree before the swap.
+        expect = new_rows.count()
+        got = _read_staged(spark, info, src_schema, staged).count()
+        if expect != got:
+            delete_tree(staged)
+            raise MergeError(f"staged rows {got} != expected {expect}")
+        old = info.location
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{staged}'")
+        spark.catalog.refreshTable(table)
+        delete_tree(old)
+        return spark.createDataFrame([(got,)], "rows bigint")
+
+    pcols = info.partition_cols
+    scope = F.lit(True) if partitions is None else F.coalesce(partitions, F.lit(False))
+    if new_rows.where(~scope).limit(1).count():
+        raise MergeError("new_rows holds rows outside the partitions being replaced")
+    root = info.location.rstrip("/")
+    staged_root = f"{root}/_rewrite-{stamp}"
+    new_rows.write.format(info.provider).options(**info.options).partitionBy(*pcols).save(staged_root)
     expect = new_rows.count()
-    got = _read_staged(spark, info, src_schema, staged).count()
+    staged_df = _read_staged(spark, info, src_schema, staged_root)
+    got = staged_df.count()
     if expect != got:
-        delete_tree(staged)
+        delete_tree(staged_root)
         raise MergeError(f"staged rows {got} != expected {expect}")
-    old = info.location
-    spark.sql(f"ALTER TABLE {table} SET LOCATION '{staged}'")
+    # One row per partition on both sides: catalog-sized, not data-sized.
+    new_dirs = {tuple(r[c] for c in pcols): unquote(r["_f"].rsplit("/", 1)[0])
+                for r in staged_df.groupBy(*pcols)
+                .agg(F.min(F.col("_metadata.file_path")).alias("_f")).collect()}
+    old_parts = {tuple(r[c] for c in pcols) for r in
+                 spark.table(table).where(scope).select(*pcols).distinct().collect()}
+    undo: list[str] = []
+    to_delete: list[str] = []
+    try:
+        for vals, new in new_dirs.items():
+            spec_sql = partition_spec_sql(dict(zip(pcols, vals)))
+            if vals in old_parts:
+                old = partition_location(spark, table, spec_sql)
+                spark.sql(f"ALTER TABLE {table} PARTITION ({spec_sql}) SET LOCATION '{new}'")
+                undo.append(f"ALTER TABLE {table} PARTITION ({spec_sql}) SET LOCATION '{old}'")
+                to_delete.append(old)
+            else:
+                spark.sql(f"ALTER TABLE {table} ADD PARTITION ({spec_sql}) LOCATION '{new}'")
+                undo.append(f"ALTER TABLE {table} DROP PARTITION ({spec_sql})")
+        for vals in old_parts - set(new_dirs):
+            spec_sql = partition_spec_sql(dict(zip(pcols, vals)))
+            old = partition_location(spark, table, spec_sql)
+            spark.sql(f"ALTER TABLE {table} DROP PARTITION ({spec_sql})")
+            undo.append(f"ALTER TABLE {table} ADD PARTITION ({spec_sql}) LOCATION '{old}'")
+            to_delete.append(old)
+    except Exception:
+        for stmt in reversed(undo):
+            spark.sql(stmt)
+        spark.catalog.refreshTable(table)
+        delete_tree(staged_root)
+        raise
     spark.catalog.refreshTable(table)
-    delete_tree(old)
+    for old in to_delete:
+        o = old.rstrip("/")
+        if o != root and o.startswith(root + "/") and not staged_root.startswith(o + "/"):
+            delete_tree(o)
     return spark.createDataFrame([(got,)], "rows bigint")
-

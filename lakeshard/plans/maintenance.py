@@ -330,3 +330,15 @@ def q_streaming_compaction(spark, sf_dir):
     run_to_completion(stream, t, f"{base}/checkpoint", f"{base}/markers", every=2,
                       min_small_files=2, small_bytes=1 << 30)
     return spark.table(t)
+
+
+@query("publish_partitioned", oracle="""
+SELECT * FROM orders WHERE NOT (o_orderstatus = 'F' AND coalesce(o_orderpriority = '5-LOW', false))""")
+def q_publish_partitioned(spark, sf_dir):
+    """DELETE inside one partition of a partitioned catalog table; the other
+    partitions keep their files."""
+    t = _catalog_copy(spark, read_table(spark, sf_dir, "orders"), "ls_pdel", ["o_orderstatus"], pieces=4)
+    scope = F.col("o_orderstatus") == "F"
+    rows = rw.delete_rows(spark.table(t).where(scope), F.col("o_orderpriority") == "5-LOW")
+    rw.publish(spark, t, rows, partitions=scope)
+    return spark.table(t)

@@ -157,3 +157,22 @@ def test_provenance_columns(spark):
     r = with_provenance(spark.read.parquet(f"{SF}/region.parquet")).first()
     assert r.spark_version.startswith(spark.version.split(".")[0]) and r.run_user
     assert session_info(spark.read.parquet(f"{SF}/region.parquet")).first().rows == 5
+
+
+def test_publish_partitioned(spark, tmpdir_path):
+    from lakeshard.operators.compact import file_stats
+
+    spark.sql("DROP TABLE IF EXISTS pub_p")
+    spark.sql(f"CREATE TABLE pub_p (id int, k string) USING parquet PARTITIONED BY (k) LOCATION '{tmpdir_path}/p'")
+    spark.sql("INSERT INTO pub_p VALUES (1, 'a'), (2, 'a'), (3, 'b'), (4, 'c')")
+    before_c = file_stats(spark.table("pub_p").where("k = 'c'")).first()
+    t = spark.table("pub_p")
+    scope = F.col("k").isin("a", "b")
+    new = rw.update_rows(rw.delete_rows(t.where(scope), F.col("k") == "b"), {"id": F.col("id") * 10})
+    new = new.unionByName(spark.createDataFrame([(7, "d")], "id int, k string"))
+    with pytest.raises(rw.MergeError):  # 'd' is outside the scope
+        rw.publish(spark, "pub_p", new, partitions=scope)
+    rw.publish(spark, "pub_p", new.where("k <> 'd'"), partitions=scope)
+    assert sorted((r.id, r.k) for r in spark.table("pub_p").collect()) == [(4, "c"), (10, "a"), (20, "a")]
+    assert sorted(r[0] for r in spark.sql("SHOW PARTITIONS pub_p").collect()) == ["k=a", "k=c"]
+    assert file_stats(spark.table("pub_p").where("k = 'c'")).first() == before_c
