@@ -30,12 +30,20 @@ def map_rows(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema)
 
 def reduce_groups(df: DataFrame, keys: list[str], init: Callable[[], object],
                   step: Callable[[object, pd.DataFrame], object],
-                  finish: Callable[[tuple, object], dict], schema) -> DataFrame:
+                  finish: Callable[[tuple, object], dict], schema,
+                  combine: Callable[[pd.DataFrame], pd.DataFrame] | None = None) -> DataFrame:
     """Streaming per-key reduction over key-clustered, sorted partitions.
 
     ``step(state, chunk)`` folds a chunk of one key's rows into the state;
     ``finish(key, state)`` returns the output row as a dict.
+
+    ``combine`` is an optional map-side combiner: it maps an Arrow batch to a
+    smaller batch with the same columns (partial results per key), applied
+    before the shuffle.  With it, a key holding a third of all rows reaches
+    its reducer as at most one row per input batch.
     """
+    if combine is not None:
+        df = map_rows(df, combine, df.schema)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cur_key, state, out = None, None, []

@@ -135,3 +135,13 @@ SELECT l_returnflag, count(*) FILTER (WHERE l_linestatus = 'O') AS open_n,
        count(*) FILTER (WHERE l_linestatus = 'F') AS fin_n,
        round(sum(l_quantity) FILTER (WHERE l_linestatus = 'F'), 2) AS fin_q
 FROM lineitem GROUP BY l_returnflag""", group="aggregates")
+
+
+sql_query("pivot_multi_column", """
+SELECT * FROM (SELECT o_orderpriority, o_orderstatus, year(o_orderdate) AS yr, o_orderkey FROM orders)
+PIVOT (count(o_orderkey) AS n FOR (o_orderstatus, yr) IN (('F', 1995) AS f95, ('O', 2000) AS o00))""",
+          oracle="""
+SELECT o_orderpriority,
+       count(o_orderkey) FILTER (WHERE o_orderstatus = 'F' AND year(o_orderdate) = 1995) AS f95,
+       count(o_orderkey) FILTER (WHERE o_orderstatus = 'O' AND year(o_orderdate) = 2000) AS o00
+FROM orders GROUP BY o_orderpriority""", group="aggregates")

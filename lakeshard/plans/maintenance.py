@@ -289,13 +289,19 @@ def q_transform_map(spark, sf_dir):
 SELECT o_custkey, count(*) AS n_orders, round(sum(o_totalprice), 2) AS total
 FROM orders GROUP BY o_custkey""")
 def q_transform_reduce(spark, sf_dir):
-    o = read_table(spark, sf_dir, "orders").select("o_custkey", "o_totalprice")
+    """REDUCE with a map-side combiner: partial (count, sum) per key and batch."""
+    o = (read_table(spark, sf_dir, "orders")
+         .select("o_custkey", F.lit(1).cast("long").alias("n"), "o_totalprice"))
+
+    def combine(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pdf.groupby("o_custkey", as_index=False).agg({"n": "sum", "o_totalprice": "sum"})
+
     return reduce_groups(
         o, ["o_custkey"],
         init=lambda: [0, 0.0],
-        step=lambda st, chunk: [st[0] + len(chunk), st[1] + float(chunk["o_totalprice"].sum())],
+        step=lambda st, chunk: [st[0] + int(chunk["n"].sum()), st[1] + float(chunk["o_totalprice"].sum())],
         finish=lambda k, st: {"o_custkey": k[0], "n_orders": st[0], "total": round(st[1], 2)},
-        schema="o_custkey long, n_orders long, total double")
+        schema="o_custkey long, n_orders long, total double", combine=combine)
 
 
 # -- copy, provenance ---------------------------------------------------------------

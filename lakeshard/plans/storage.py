@@ -221,3 +221,48 @@ SELECT /*+ REPARTITION_BY_RANGE(3, o_orderdate) */ o_orderkey, o_orderdate FROM
 
 sql_query("sample_percent", "SELECT * FROM orders TABLESAMPLE (10 PERCENT)", oracle=None, group="storage")
 sql_query("sample_rows", "SELECT * FROM orders TABLESAMPLE (50 ROWS)", oracle=None, group="storage")
+
+
+sql_query("sample_bucket_sql", "SELECT * FROM orders TABLESAMPLE (BUCKET 3 OUT OF 10)", oracle=None,
+          group="storage")
+
+sql_query("limit_all", """
+SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderstatus = 'P' LIMIT ALL""", oracle="""
+SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderstatus = 'P'""", group="storage")
+
+
+@query("cache_table_sql", oracle="""
+SELECT o_orderpriority, count(*) AS n FROM orders WHERE o_totalprice > 100000 GROUP BY o_orderpriority""")
+def q_cache_table_sql(spark, sf_dir):
+    """``CACHE LAZY TABLE ... OPTIONS ('storageLevel' ...) AS SELECT`` then a query on it."""
+    register_views(spark, sf_dir, ["orders"])
+    v = _name("cached_big")
+    spark.sql(f"CACHE LAZY TABLE {v} OPTIONS ('storageLevel' 'MEMORY_AND_DISK') AS "
+              f"SELECT o_orderpriority FROM orders WHERE o_totalprice > 100000")
+    return spark.sql(f"SELECT o_orderpriority, count(*) AS n FROM {v} GROUP BY o_orderpriority")
+
+
+@query("analyze_stats")
+def q_analyze_stats(spark, sf_dir):
+    """``ANALYZE TABLE ... COMPUTE STATISTICS FOR COLUMNS``; the column
+    statistics read back from the catalog (distinct counts are HLL estimates)."""
+    t = _name("an")
+    (Tables(spark, sf_dir).customer.write.format("parquet")
+     .option("path", scratch_dir(spark, t)).saveAsTable(t))
+    spark.sql(f"ANALYZE TABLE {t} COMPUTE STATISTICS FOR COLUMNS c_custkey, c_nationkey, c_acctbal")
+    rows = []
+    for c in ("c_custkey", "c_nationkey", "c_acctbal"):
+        d = {r[0]: r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {t} {c}").collect()}
+        rows.append((c, d.get("min"), d.get("max"), d.get("num_nulls"), d.get("distinct_count")))
+    return spark.createDataFrame(rows, "col_name string, min string, max string, num_nulls string, "
+                                       "distinct_count string")
+
+
+@query("view_global_temp", oracle="""
+SELECT c_mktsegment, round(max(c_acctbal), 2) AS top_bal FROM customer GROUP BY c_mktsegment""")
+def q_view_global_temp(spark, sf_dir):
+    register_views(spark, sf_dir, ["customer"])
+    v = _name("gv")
+    spark.sql(f"CREATE GLOBAL TEMPORARY VIEW {v} AS "
+              f"SELECT c_mktsegment, round(max(c_acctbal), 2) AS top_bal FROM customer GROUP BY c_mktsegment")
+    return spark.sql(f"SELECT * FROM global_temp.{v}")
