@@ -47,16 +47,18 @@ def q_join_right(spark, sf_dir):
 
 
 @query("join_full", oracle="""
-SELECT s.s_suppkey, c.c_custkey, coalesce(s.s_nationkey, c.c_nationkey) AS nationkey
-FROM (SELECT * FROM supplier WHERE s_acctbal > 5000) s
-FULL OUTER JOIN (SELECT * FROM customer WHERE c_acctbal > 9000) c
-  ON s.s_nationkey = c.c_nationkey AND c.c_custkey % 100 = s.s_suppkey""")
+SELECT c.c_custkey, b.o_custkey, b.n_big, coalesce(c.c_custkey, b.o_custkey) AS custkey
+FROM (SELECT * FROM customer WHERE c_acctbal > 9000) c
+FULL OUTER JOIN (SELECT o_custkey, count(*) AS n_big FROM orders WHERE o_totalprice > 300000 GROUP BY o_custkey) b
+  ON c.c_custkey = b.o_custkey""")
 def q_join_full(spark, sf_dir):
+    """Rich customers vs customers with big orders; the key is unique on both sides."""
     t = Tables(spark, sf_dir)
-    s = t.supplier.where(F.col("s_acctbal") > 5000)
     c = t.customer.where(F.col("c_acctbal") > 9000)
-    j = s.join(c, (s.s_nationkey == c.c_nationkey) & ((c.c_custkey % 100) == s.s_suppkey), "full")
-    return j.select("s_suppkey", "c_custkey", F.coalesce(s.s_nationkey, c.c_nationkey).alias("nationkey"))
+    b = (t.orders.where(F.col("o_totalprice") > 300000)
+         .groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n_big")))
+    j = c.join(b, c.c_custkey == b.o_custkey, "full")
+    return j.select("c_custkey", "o_custkey", "n_big", F.coalesce("c_custkey", "o_custkey").alias("custkey"))
 
 
 @query("join_semi", oracle="""

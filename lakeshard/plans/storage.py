@@ -266,3 +266,29 @@ def q_view_global_temp(spark, sf_dir):
     spark.sql(f"CREATE GLOBAL TEMPORARY VIEW {v} AS "
               f"SELECT c_mktsegment, round(max(c_acctbal), 2) AS top_bal FROM customer GROUP BY c_mktsegment")
     return spark.sql(f"SELECT * FROM global_temp.{v}")
+
+
+@query("scan_using_temp_table", oracle="SELECT s_suppkey, s_name FROM supplier WHERE s_acctbal < 0")
+def q_scan_using_temp_table(spark, sf_dir):
+    """The deprecated ``CREATE TEMPORARY TABLE ... USING`` form of a data-source view."""
+    v = _name("supplier_src")
+    spark.sql(f"CREATE TEMPORARY TABLE {v} USING parquet OPTIONS (path '{table_path(sf_dir, 'supplier')}')")
+    return spark.sql(f"SELECT s_suppkey, s_name FROM {v} WHERE s_acctbal < 0")
+
+
+@query("insert_overwrite_if_not_exists", oracle="""
+SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'F'
+UNION ALL SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'O'""")
+def q_insert_overwrite_if_not_exists(spark, sf_dir):
+    """``INSERT OVERWRITE ... PARTITION (k=v) IF NOT EXISTS`` leaves an existing
+    partition alone and fills a missing one."""
+    register_views(spark, sf_dir, ["orders"])
+    t = _name("ione")
+    spark.sql(f"CREATE TABLE {t} (o_orderkey BIGINT, o_orderstatus STRING) USING parquet "
+              f"PARTITIONED BY (o_orderstatus) LOCATION '{scratch_dir(spark, t)}'")
+    spark.sql(f"INSERT INTO {t} SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'F'")
+    for status in ("F", "O"):
+        spark.sql(f"INSERT OVERWRITE TABLE {t} PARTITION (o_orderstatus = '{status}') IF NOT EXISTS "
+                  f"SELECT o_orderkey FROM orders WHERE o_orderstatus = '{status}' AND o_totalprice > 0")
+    return spark.table(t)
+
