@@ -64,10 +64,13 @@ def ranked_postings(tf: DataFrame, num_ranges: int | None = None) -> DataFrame:
     Postings are ordered by the rendered string ``(doc,tf)`` as in the
     reference, so doc ``10`` sorts before doc ``2``.
     """
-    spark = tf.sparkSession
-    n = num_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    s = (tf.withColumn("posting", posting_key("doc", "tf"))
-         .repartitionByRange(n, "word", "posting")
+    p = tf.withColumn("posting", posting_key("doc", "tf"))
+    # Without an explicit count AQE may merge adjacent small ranges (order is
+    # kept: a merged task reads a contiguous run of ranges); it never merges
+    # large ones, so a hot word still spans several partitions.
+    ranged = (p.repartitionByRange(num_ranges, "word", "posting") if num_ranges
+              else p.repartitionByRange("word", "posting"))
+    s = (ranged
          .sortWithinPartitions("word", "posting")
          .withColumn("_pid", F.spark_partition_id())
          .withColumn("_pos", F.monotonically_increasing_id()))
