@@ -58,12 +58,9 @@ def document_frequency(tf: DataFrame) -> DataFrame:
                                   F.sum("tf").alias("cf"))
 
 
-def ranked_postings(tf: DataFrame, num_ranges: int | None = None) -> DataFrame:
-    """``(word, doc, tf, posting, rank)``; rank is 0-based in posting-string order.
-
-    Postings are ordered by the rendered string ``(doc,tf)`` as in the
-    reference, so doc ``10`` sorts before doc ``2``.
-    """
+def _tagged_postings(tf: DataFrame, num_ranges: int | None) -> DataFrame:
+    """Postings range-partitioned and sorted by ``(word, posting)``, each
+    tagged with its partition ``_pid`` and its position ``_pos`` there."""
     p = tf.withColumn("posting", posting_key("doc", "tf"))
     # Without an explicit count AQE may merge adjacent small ranges (order is
     # kept: a merged task reads a contiguous run of ranges); it never merges
@@ -76,22 +73,55 @@ def ranked_postings(tf: DataFrame, num_ranges: int | None = None) -> DataFrame:
          .withColumn("_pos", F.monotonically_increasing_id()))
     # The range split comes from a sampling job, and the row positions from
     # the order inside each partition: pin both by writing the tagged rows
-    # once to the checkpoint folder, so the two uses below see the same rows
+    # once to the checkpoint folder, so every use below sees the same rows
     # (two separately planned exchanges could sample different bounds).
-    s = s.checkpoint(eager=True)
-    # One row per (range partition, word): where the word starts inside the
-    # partition, and how many of its postings precede this partition.  A word
-    # has at most one row per partition, so the window below is bounded.
+    return s.checkpoint(eager=True)
+
+
+def _segments(s: DataFrame) -> DataFrame:
+    """One row per (range partition, word): ``_start`` (first position of the
+    word there), ``_off`` (its postings in earlier partitions) and ``_df``
+    (its postings overall).  A word has at most one row per partition, so the
+    windows over ``word`` are bounded by the partition count."""
     seg = s.groupBy("_pid", "word").agg(F.min("_pos").alias("_start"),
                                         F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy("word").orderBy("_pid").rowsBetween(
-        Window.unboundedPreceding, -1)
-    seg = seg.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    by_word = Window.partitionBy("word")
+    before = by_word.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    return (seg.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+            .withColumn("_df", F.sum("_n").over(by_word)).drop("_n"))
+
+
+def ranked_postings(tf: DataFrame, num_ranges: int | None = None) -> DataFrame:
+    """``(word, doc, tf, posting, rank)``; rank is 0-based in posting-string order.
+
+    Postings are ordered by the rendered string ``(doc,tf)`` as in the
+    reference, so doc ``10`` sorts before doc ``2``.
+    """
+    s = _tagged_postings(tf, num_ranges)
+    seg = _segments(s).drop("_df")
     return (s.join(seg, ["_pid", "word"])
             .select("word", "doc", "tf", "posting",
                     (F.col("_off") + F.col("_pos") - F.col("_start")).alias("rank")))
 
 
+def posting_blocks(tf: DataFrame, block_size: int = DEFAULT_BLOCK,
+                   num_ranges: int | None = None) -> DataFrame:
+    """``(word, doc, tf, posting, block)`` with ``block = rank // block_size``.
+
+    Only words with more than ``block_size`` postings need a rank; every
+    other word is block 0.  The segment table is therefore joined for those
+    words only: at most ``postings / block_size`` words, each with one row per
+    partition it spans.  AQE measures it and broadcasts it when it is small,
+    so the postings themselves are not shuffled for the join.
+    """
+    s = _tagged_postings(tf, num_ranges)
+    hot = _segments(s).where(F.col("_df") > block_size).drop("_df")
+    j = s.join(hot, ["_pid", "word"], "left")
+    rank = F.col("_off") + F.col("_pos") - F.col("_start")
+    block = F.when(F.col("_start").isNull(), F.lit(0)).otherwise(F.floor(rank / block_size))
+    return j.select("word", "doc", "tf", "posting", block.cast("long").alias("block"))
+
+
 def inverted_index(docs: DataFrame, doc: str = "doc", text: str = "text",
                    block_size: int = DEFAULT_BLOCK, split_on: str = DEFAULT_SPLIT,
                    num_ranges: int | None = None) -> DataFrame:
@@ -104,9 +134,8 @@ def inverted_index(docs: DataFrame, doc: str = "doc", text: str = "text",
     """
     if block_size < 1:
         raise ValueError("block_size must be >= 1")
-    ranked = ranked_postings(term_frequency(docs, doc, text, split_on), num_ranges)
-    return (ranked
-            .groupBy("word", F.floor(F.col("rank") / block_size).alias("block"))
+    blocks = posting_blocks(term_frequency(docs, doc, text, split_on), block_size, num_ranges)
+    return (blocks.groupBy("word", "block")
             .agg(F.count(F.lit(1)).alias("n"),
                  F.array_sort(F.collect_list(F.struct("posting", "doc", "tf"))).alias("postings")))
 
