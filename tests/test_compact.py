@@ -121,3 +121,13 @@ def test_staged_write_plan_is_one_shuffle(spark, tmpdir_path):
     from lakeshard.functions.hashing import salt
     plan = df.repartitionById(6, salt(df, 6))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1
+
+
+def test_count_verification_mode(spark, tmpdir_path):
+    _make(spark, tmpdir_path, "student_v", True)
+    before = fingerprint(spark.table("student_v")).first()
+    compact_table(spark, "student_v", num_files=3, verify="count")
+    assert sum(_files(spark, "student_v", ["age"]).values()) == 3
+    assert fingerprint(spark.table("student_v")).first() == before
+    with pytest.raises(ValueError):
+        compact_table(spark, "student_v", verify="nope")
