@@ -91,23 +91,66 @@ def copy_manifest(spark: SparkSession, source: str, target: str) -> DataFrame:
                         "length")
 
 
-def _replicate_tree(source: str, target: str) -> None:
+def _hidden(rel: str) -> bool:
+    return any(part.startswith((".", "_")) for part in rel.split("/") if part)
+
+
+def _replicate_subtrees(source_root: str, target_root: str):
+    """mapInPandas body: walk each listed subtree, create its directories and
+    zero-length files below the target."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs as pafs
+
+        sfs, sp = _fs_and_path(source_root)
+        dfs, dp = _fs_and_path(target_root)
+        for pdf in batches:
+            made = []
+            for rel in pdf["rel"]:
+                n = 0
+                dfs.create_dir(dp + rel, recursive=True)
+                sel = pafs.FileSelector(sp + rel, recursive=True, allow_not_found=True)
+                for info in sfs.get_file_info(sel):
+                    sub = info.path[len(sp):]
+                    if info.type == pafs.FileType.Directory:
+                        dfs.create_dir(dp + sub, recursive=True)
+                        n += 1
+                    elif info.type == pafs.FileType.File and info.size == 0 and not _hidden(sub):
+                        with dfs.open_output_stream(dp + sub):
+                            pass
+                        n += 1
+                made.append(n)
+            yield pd.DataFrame({"rel": pdf["rel"], "made": made})
+
+    return run
+
+
+def _replicate_tree(spark: SparkSession, source: str, target: str) -> None:
     """Re-create the source's directories (empty ones too) and its zero-length
-    files, which Spark's file sources never return as rows.  Metadata only:
-    no file body passes through the driver."""
+    files, which Spark's file sources never return as rows.
+
+    Only the root's own entries are listed on the driver; each top-level
+    subtree is walked by a Spark task.  Metadata only: no file body moves.
+    """
     from pyarrow import fs as pafs
 
-    sfs, sp = _fs_and_path(qualify(source))
-    dfs, dp = _fs_and_path(qualify(target))
-    sel = pafs.FileSelector(sp, recursive=True, allow_not_found=True)
-    for info in sfs.get_file_info(sel):
+    src, tgt = qualify(source), qualify(target)
+    sfs, sp = _fs_and_path(src)
+    dfs, dp = _fs_and_path(tgt)
+    dfs.create_dir(dp, recursive=True)
+    subdirs = []
+    for info in sfs.get_file_info(pafs.FileSelector(sp, recursive=False, allow_not_found=True)):
         rel = info.path[len(sp):]
-        hidden = any(part.startswith((".", "_")) for part in rel.split("/") if part)
         if info.type == pafs.FileType.Directory:
-            dfs.create_dir(dp + rel, recursive=True)
-        elif info.type == pafs.FileType.File and info.size == 0 and not hidden:
+            subdirs.append(rel)
+        elif info.type == pafs.FileType.File and info.size == 0 and not _hidden(rel):
             with dfs.open_output_stream(dp + rel):
                 pass
+    if subdirs:
+        n = min(len(subdirs), spark.sparkContext.defaultParallelism)
+        (spark.createDataFrame([(r,) for r in subdirs], "rel string").repartition(n)
+         .mapInPandas(_replicate_subtrees(src, tgt), "rel string, made long")
+         .write.format("noop").mode("overwrite").save())
 
 
 def dist_copy(spark: SparkSession, source: str, target: str, ignore_failures: bool = False,
@@ -124,7 +167,7 @@ def dist_copy(spark: SparkSession, source: str, target: str, ignore_failures: bo
     if max_concurrency < 1:
         raise ValueError("max_concurrency must be >= 1")
     if copy_dirs:
-        _replicate_tree(source, target)
+        _replicate_tree(spark, source, target)
     man = copy_manifest(spark, source, target)
     if extra_files is not None:
         man = man.unionByName(extra_files.select("src", "dst", "length"))
