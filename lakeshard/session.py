@@ -71,3 +71,24 @@ def scratch_dir(spark: SparkSession, name: str = "work") -> str:
     if "://" not in local:
         os.makedirs(local, exist_ok=True)
     return path
+
+
+def scale_conf(input_bytes: int, total_cores: int,
+               partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings sized for an input of ``input_bytes`` on ``total_cores`` cores.
+
+    Shuffle partitions: enough that each holds about ``partition_bytes``
+    (at least two waves of tasks), so sorts and hash aggregates fit in
+    executor memory.  AQE then merges the ones that turn out small, and splits
+    skewed join partitions above five times the median.
+    """
+    import math
+
+    parts = max(2 * total_cores, math.ceil(input_bytes / partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(min(partition_bytes, 1 << 30)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+    }

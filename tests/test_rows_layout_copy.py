@@ -176,3 +176,15 @@ def test_publish_partitioned(spark, tmpdir_path):
     assert sorted((r.id, r.k) for r in spark.table("pub_p").collect()) == [(4, "c"), (10, "a"), (20, "a")]
     assert sorted(r[0] for r in spark.sql("SHOW PARTITIONS pub_p").collect()) == ["k=a", "k=c"]
     assert file_stats(spark.table("pub_p").where("k = 'c'")).first() == before_c
+
+
+def test_scale_conf_and_parallelism(spark):
+    from lakeshard.session import scale_conf
+    from lakeshard.sources.tables import ensure_parallelism
+
+    c = scale_conf(100 * 10**12, 8000)
+    assert int(c["spark.sql.shuffle.partitions"]) >= 100 * 10**12 // (256 << 20)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    assert ensure_parallelism(docs, 6).rdd.getNumPartitions() >= 6
+    many = spark.range(0, 100, numPartitions=12).toDF("id")
+    assert ensure_parallelism(many, 6).rdd.getNumPartitions() == 12
