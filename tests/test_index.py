@@ -2,6 +2,7 @@
 
 import collections
 import os
+import re
 
 from pyspark.sql import functions as F
 
@@ -92,3 +93,20 @@ def test_plan_has_no_python_and_partial_agg(spark):
     plan = ix.term_frequency(df)._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     assert "partial_count" in plan
+
+
+def test_hot_word_spreads_over_ranges(spark):
+    """A word in every document (a third of all postings) is split over
+    several range partitions, and its blocks still come out in order."""
+    n = 600
+    rows = [(i, f"hot w{i} v{i % 7}") for i in range(n)]
+    df = spark.createDataFrame(rows, "doc long, text string")
+    tf = ix.term_frequency(df)
+    tagged = ix._tagged_postings(tf, 6)
+    parts = tagged.where("word = 'hot'").select("_pid").distinct().count()
+    assert parts > 1
+    got = _index(df, block_size=50, num_ranges=6)
+    hot = [got[("hot", b)] for b in range(n // 50)]
+    flat = [p for h in hot for p in re.findall(r"\(\d+,\d+\)", h)]
+    assert flat == sorted((f"({i},1)" for i in range(n)), key=lambda s: s.encode())
+    assert ("hot", n // 50) not in got
