@@ -110,3 +110,29 @@ def test_hot_word_spreads_over_ranges(spark):
     flat = [p for h in hot for p in re.findall(r"\(\d+,\d+\)", h)]
     assert flat == sorted((f"({i},1)" for i in range(n)), key=lambda s: s.encode())
     assert ("hot", n // 50) not in got
+
+
+def test_property_random_texts(spark):
+    """Seeded random corpora: blocked index == brute force, for several block sizes."""
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    words = st.sampled_from(["a", "b", "c", "dd", "é", "x.y", ""])
+    texts = st.lists(st.lists(words, max_size=12).map(" ".join), min_size=1, max_size=15)
+
+    @settings(max_examples=6, deadline=None, derandomize=True)
+    @given(texts, st.sampled_from([1, 2, 5, 4096]))
+    def check(corpus, block):
+        df = spark.createDataFrame(list(enumerate(corpus)), "doc long, text string")
+        tf = collections.Counter((w, d) for d, t in enumerate(corpus) for w in t.split(" ") if w)
+        post = collections.defaultdict(list)
+        for (w, d), n in tf.items():
+            post[w].append(f"({d},{n})")
+        want = {}
+        for w, ps in post.items():
+            ps.sort(key=lambda s: s.encode())
+            for i in range(0, len(ps), block):
+                want[(w, i // block)] = "{" + ",".join(ps[i:i + block]) + "}"
+        assert _index(df, block_size=block, num_ranges=3) == want
+
+    check()
