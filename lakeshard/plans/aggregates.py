@@ -145,3 +145,16 @@ SELECT o_orderpriority,
        count(o_orderkey) FILTER (WHERE o_orderstatus = 'F' AND year(o_orderdate) = 1995) AS f95,
        count(o_orderkey) FILTER (WHERE o_orderstatus = 'O' AND year(o_orderdate) = 2000) AS o00
 FROM orders GROUP BY o_orderpriority""", group="aggregates")
+
+
+sql_query("rollup_with", """
+SELECT o_orderstatus, o_orderpriority, count(*) AS n FROM orders
+GROUP BY o_orderstatus, o_orderpriority WITH ROLLUP""", oracle="""
+SELECT o_orderstatus, o_orderpriority, count(*) AS n FROM orders
+GROUP BY ROLLUP (o_orderstatus, o_orderpriority)""", group="aggregates")
+
+sql_query("cube_with", """
+SELECT c_mktsegment, c_nationkey, count(*) AS n FROM customer
+GROUP BY c_mktsegment, c_nationkey WITH CUBE""", oracle="""
+SELECT c_mktsegment, c_nationkey, count(*) AS n FROM customer
+GROUP BY CUBE (c_mktsegment, c_nationkey)""", group="aggregates")

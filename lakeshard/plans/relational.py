@@ -179,3 +179,17 @@ FROM customer""", oracle="""
 SELECT c_custkey, TRY_CAST(substring(c_name, 10) AS INT) AS name_num,
        TRY_CAST(c_mktsegment AS INT) AS seg_num, CAST(CASE WHEN c_acctbal < 0 THEN ceil(c_acctbal) ELSE floor(c_acctbal) END AS BIGINT) AS bal_int
 FROM customer""", group="relational")
+
+
+sql_query("multi_alias", """
+SELECT c_custkey, stack(2, 'balance', c_acctbal, 'nation', CAST(c_nationkey AS DOUBLE)) AS (metric, value)
+FROM customer""", oracle="""
+SELECT c_custkey, 'balance' AS metric, c_acctbal AS value FROM customer
+UNION ALL SELECT c_custkey, 'nation' AS metric, CAST(c_nationkey AS DOUBLE) AS value FROM customer""",
+          group="relational")
+
+sql_query("select_all_distinct_agg", """
+SELECT ALL c_mktsegment, count(DISTINCT c_nationkey) AS nations, count(ALL c_custkey) AS customers
+FROM customer GROUP BY c_mktsegment""", oracle="""
+SELECT c_mktsegment, count(DISTINCT c_nationkey) AS nations, count(c_custkey) AS customers
+FROM customer GROUP BY c_mktsegment""", group="relational")
