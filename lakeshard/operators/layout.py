@@ -179,3 +179,15 @@ def compact_history(spark: SparkSession, table: str, before: dict,
 def file_count(spark: SparkSession, path: str, fmt: str = "parquet", partition_by=()) -> DataFrame:
     """Files and rows per partition directory of a written path."""
     return file_stats(spark.read.format(fmt).load(path), partition_by)
+
+
+def append_and_compact(df: DataFrame, table: str, min_small_files: int = 16,
+                       small_bytes: int = 32 << 20, major: bool = False) -> list[DataFrame]:
+    """Append ``df`` to ``table``, then run the small-file trigger on it.
+
+    Checking right after the write catches small files where they appear,
+    instead of in one large offline merge.
+    """
+    df.write.insertInto(table)
+    return auto_compact(df.sparkSession, table, min_small_files=min_small_files,
+                        small_bytes=small_bytes, major=major)

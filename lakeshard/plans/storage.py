@@ -292,3 +292,15 @@ def q_insert_overwrite_if_not_exists(spark, sf_dir):
                   f"SELECT o_orderkey FROM orders WHERE o_orderstatus = '{status}' AND o_totalprice > 0")
     return spark.table(t)
 
+
+
+@query("insert_with_hint", oracle="SELECT l_orderkey, l_linenumber, l_returnflag FROM lineitem")
+def q_insert_with_hint(spark, sf_dir):
+    """``INSERT ... SELECT /*+ REPARTITION(3) */``: the hint sets the write's file count."""
+    register_views(spark, sf_dir, ["lineitem"])
+    t = _name("hinted")
+    spark.sql(f"CREATE TABLE {t} (l_orderkey BIGINT, l_linenumber INT, l_returnflag STRING) USING parquet "
+              f"LOCATION '{scratch_dir(spark, t)}'")
+    spark.sql(f"INSERT INTO {t} SELECT /*+ REPARTITION(3) */ l_orderkey, l_linenumber, l_returnflag "
+              f"FROM lineitem")
+    return spark.table(t)

@@ -43,3 +43,21 @@ def test_pack_files_and_listing(spark, tmpdir_path):
     assert len([f for f in os.listdir(f"{tmpdir_path}/packed") if f.endswith(".parquet")]) == 2
     rels = [r.rel for r in list_directory(spark, src).collect()]
     assert rels == sorted(rels) and "sub/f1.txt" in rels
+
+
+def test_insert_hints_set_file_count(spark, tmpdir_path):
+    from lakeshard.operators.compact import file_stats
+    from lakeshard.operators.layout import append_and_compact
+
+    li = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    li.createOrReplaceTempView("li_hint")
+    spark.sql("DROP TABLE IF EXISTS hinted")
+    spark.sql(f"CREATE TABLE hinted (l_orderkey BIGINT, l_linenumber INT) USING parquet LOCATION '{tmpdir_path}/h'")
+    spark.sql("INSERT INTO hinted SELECT /*+ REPARTITION(3) */ l_orderkey, l_linenumber FROM li_hint")
+    assert file_stats(spark.table("hinted")).first()["files"] == 3
+    spark.sql("INSERT INTO hinted SELECT /*+ COALESCE(1) */ l_orderkey, l_linenumber FROM li_hint")
+    assert file_stats(spark.table("hinted")).first()["files"] == 4
+    append_and_compact(li.select("l_orderkey", "l_linenumber").repartition(4), "hinted",
+                       min_small_files=2, small_bytes=1 << 30)
+    st = file_stats(spark.table("hinted")).first()
+    assert st["files"] == 1 and st["rows"] == 3 * li.count()
