@@ -168,3 +168,23 @@ def index_lookup(tf: DataFrame, terms: list[str]) -> DataFrame:
             .groupBy("doc")
             .agg(F.count(F.lit(1)).alias("matched"), F.sum("tf").alias("score"))
             .where(F.col("matched") == len(wanted)))
+
+
+def search_documents(docs: DataFrame, terms: list[str], doc: str = "doc", text: str = "text",
+                     split_on: str = DEFAULT_SPLIT) -> DataFrame:
+    """Like ``index_lookup`` but straight from the documents, without an index.
+
+    A document can only hold every term as a token if its text holds every
+    term as a substring, so a ``contains`` filter runs first, before any text
+    is split.  Only the surviving documents are tokenised, and only tokens
+    equal to a term are counted.
+    """
+    wanted = sorted(set(terms))
+    if not wanted:
+        raise ValueError("terms must not be empty")
+    cond = F.lit(True)
+    for t in wanted:
+        cond = cond & F.col(text).contains(t)
+    cand = docs.where(cond)
+    tf = term_frequency(cand, doc, text, split_on).where(F.col("word").isin(wanted))
+    return index_lookup(tf, wanted)

@@ -80,6 +80,13 @@ def q_index_lookup(spark, sf_dir):
     return ix.index_lookup(ix.term_frequency(_docs(spark, sf_dir)), LOOKUP_TERMS)
 
 
+@query("search_documents", oracle=f"""WITH {_TOK}
+SELECT doc, count(*) AS matched, CAST(sum(tf) AS BIGINT) AS score FROM tf
+WHERE word IN ('of', 'the') GROUP BY doc HAVING count(*) = 2""")
+def q_search_documents(spark, sf_dir):
+    return ix.search_documents(_docs(spark, sf_dir), LOOKUP_TERMS)
+
+
 @query("doc_stem", oracle="""
 SELECT page_id, split_part(url_decode(string_split(url, '/')[-1]), '.', 1) AS stem FROM pages""")
 def q_doc_stem(spark, sf_dir):
