@@ -136,3 +136,11 @@ def test_property_random_texts(spark):
         assert _index(df, block_size=block, num_ranges=3) == want
 
     check()
+
+
+def test_search_equals_lookup(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select(F.col("doc_id").alias("doc"), "text")
+    for terms in (["the", "of"], ["and"], ["zzz-not-there"]):
+        a = {tuple(r) for r in ix.index_lookup(ix.term_frequency(docs), terms).collect()}
+        b = {tuple(r) for r in ix.search_documents(docs, terms).collect()}
+        assert a == b
