@@ -95,9 +95,14 @@ def _hidden(rel: str) -> bool:
     return any(part.startswith((".", "_")) for part in rel.split("/") if part)
 
 
-def _replicate_subtrees(source_root: str, target_root: str):
+_HIDDEN_SCHEMA = "src string, dst string, length bigint"
+
+
+def _replicate_subtrees(source_root: str, target_root: str, include_hidden: bool):
     """mapInPandas body: walk each listed subtree, create its directories and
-    zero-length files below the target."""
+    zero-length files below the target, and return the hidden files (names
+    starting with ``.`` or ``_``, which Spark's listing skips) as manifest rows
+    when ``include_hidden``."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs as pafs
@@ -105,32 +110,40 @@ def _replicate_subtrees(source_root: str, target_root: str):
         sfs, sp = _fs_and_path(source_root)
         dfs, dp = _fs_and_path(target_root)
         for pdf in batches:
-            made = []
+            hidden = {"src": [], "dst": [], "length": []}
             for rel in pdf["rel"]:
-                n = 0
                 dfs.create_dir(dp + rel, recursive=True)
                 sel = pafs.FileSelector(sp + rel, recursive=True, allow_not_found=True)
                 for info in sfs.get_file_info(sel):
                     sub = info.path[len(sp):]
                     if info.type == pafs.FileType.Directory:
                         dfs.create_dir(dp + sub, recursive=True)
-                        n += 1
-                    elif info.type == pafs.FileType.File and info.size == 0 and not _hidden(sub):
+                    elif info.type != pafs.FileType.File:
+                        continue
+                    elif _hidden(sub):
+                        if include_hidden:
+                            hidden["src"].append(f"{source_root}{sub}")
+                            hidden["dst"].append(f"{target_root}{sub}")
+                            hidden["length"].append(info.size)
+                    elif info.size == 0:
                         with dfs.open_output_stream(dp + sub):
                             pass
-                        n += 1
-                made.append(n)
-            yield pd.DataFrame({"rel": pdf["rel"], "made": made})
+            if hidden["src"]:
+                yield pd.DataFrame({"src": hidden["src"], "dst": hidden["dst"],
+                                    "length": pd.Series(hidden["length"], dtype="int64")})
 
     return run
 
 
-def _replicate_tree(spark: SparkSession, source: str, target: str) -> None:
+def _replicate_tree(spark: SparkSession, source: str, target: str,
+                    include_hidden: bool = False) -> DataFrame | None:
     """Re-create the source's directories (empty ones too) and its zero-length
     files, which Spark's file sources never return as rows.
 
     Only the root's own entries are listed on the driver; each top-level
     subtree is walked by a Spark task.  Metadata only: no file body moves.
+    With ``include_hidden`` the hidden files found are returned as extra
+    manifest rows ``(src, dst, length)``, written once to the scratch folder.
     """
     from pyarrow import fs as pafs
 
@@ -138,37 +151,56 @@ def _replicate_tree(spark: SparkSession, source: str, target: str) -> None:
     sfs, sp = _fs_and_path(src)
     dfs, dp = _fs_and_path(tgt)
     dfs.create_dir(dp, recursive=True)
-    subdirs = []
+    subdirs, root_hidden = [], []
     for info in sfs.get_file_info(pafs.FileSelector(sp, recursive=False, allow_not_found=True)):
         rel = info.path[len(sp):]
         if info.type == pafs.FileType.Directory:
             subdirs.append(rel)
-        elif info.type == pafs.FileType.File and info.size == 0 and not _hidden(rel):
+        elif info.type != pafs.FileType.File:
+            continue
+        elif _hidden(rel):
+            root_hidden.append((f"{src}{rel}", f"{tgt}{rel}", info.size))
+        elif info.size == 0:
             with dfs.open_output_stream(dp + rel):
                 pass
+    found = None
     if subdirs:
         n = min(len(subdirs), spark.sparkContext.defaultParallelism)
-        (spark.createDataFrame([(r,) for r in subdirs], "rel string").repartition(n)
-         .mapInPandas(_replicate_subtrees(src, tgt), "rel string, made long")
-         .write.format("noop").mode("overwrite").save())
+        found = (spark.createDataFrame([(r,) for r in subdirs], "rel string").repartition(n)
+                 .mapInPandas(_replicate_subtrees(src, tgt, include_hidden), _HIDDEN_SCHEMA))
+    if not include_hidden:
+        if found is not None:
+            found.write.format("noop").mode("overwrite").save()
+        return None
+    rows = spark.createDataFrame(root_hidden, _HIDDEN_SCHEMA)
+    if found is not None:
+        rows = rows.unionByName(found)
+    path = scratch_dir(spark, "copy-hidden")
+    rows.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def dist_copy(spark: SparkSession, source: str, target: str, ignore_failures: bool = False,
               max_concurrency: int = 1, overwrite: bool = True, copy_dirs: bool = True,
-              manifest_path: str | None = None, extra_files: DataFrame | None = None) -> DataFrame:
+              manifest_path: str | None = None, extra_files: DataFrame | None = None,
+              include_hidden: bool = False) -> DataFrame:
     """Copy every file below ``source`` to the same relative path below ``target``.
 
     Returns the manifest ``(src, dst, length, status, error, run_user,
     spark_version)`` read back from where it was written.  With
     ``ignore_failures=False`` a failed file fails the job; otherwise it is a
     ``failed`` row.  ``extra_files`` adds ``(src, dst, length)`` rows (for
-    files Spark's listing skips).
+    files Spark's listing skips).  ``include_hidden`` also copies names
+    starting with ``.`` or ``_`` (found by the tree walk).
     """
     if max_concurrency < 1:
         raise ValueError("max_concurrency must be >= 1")
-    if copy_dirs:
-        _replicate_tree(spark, source, target)
+    hidden = None
+    if copy_dirs or include_hidden:
+        hidden = _replicate_tree(spark, source, target, include_hidden)
     man = copy_manifest(spark, source, target)
+    if hidden is not None:
+        man = man.unionByName(hidden)
     if extra_files is not None:
         man = man.unionByName(extra_files.select("src", "dst", "length"))
     done = (man.repartition(max_concurrency)

@@ -188,3 +188,19 @@ def test_scale_conf_and_parallelism(spark):
     assert ensure_parallelism(docs, 6).rdd.getNumPartitions() >= 6
     many = spark.range(0, 100, numPartitions=12).toDF("id")
     assert ensure_parallelism(many, 6).rdd.getNumPartitions() == 12
+
+
+def test_copy_include_hidden(spark, tmpdir_path):
+    src = f"{tmpdir_path}/hs"
+    os.makedirs(f"{src}/d/.git")
+    for rel, body in {".top": "t", "d/x": "xx", "d/.git/HEAD": "ref", "d/_SUCCESS": ""}.items():
+        with open(f"{src}/{rel}", "w") as f:
+            f.write(body)
+    plain = f"{tmpdir_path}/plain"
+    dist_copy(spark, src, plain)
+    assert os.path.exists(f"{plain}/d/x") and not os.path.exists(f"{plain}/.top")
+    full = f"{tmpdir_path}/full"
+    man = dist_copy(spark, src, full, include_hidden=True, max_concurrency=2)
+    assert {r.status for r in man.collect()} == {"ok"}
+    for rel in (".top", "d/x", "d/.git/HEAD", "d/_SUCCESS"):
+        assert open(f"{full}/{rel}").read() == open(f"{src}/{rel}").read()
