@@ -70,3 +70,21 @@ def reduce_groups(df: DataFrame, keys: list[str], init: Callable[[], object],
             yield pd.DataFrame(out)
 
     return df.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(run, schema)
+
+
+def two_level_agg(df: DataFrame, keys: list[str], partial: list, final: list,
+                  buckets: int | None = None) -> DataFrame:
+    """Aggregate in two steps so no group is handled whole by one task.
+
+    ``partial`` aggregates (built-in or grouped-aggregate pandas UDFs) run per
+    ``(keys, salt)``; ``final`` merges the partial columns per key with
+    built-ins (``sum`` of sums, ``max`` of maxima, ...).  A key holding a third
+    of all rows is thereby split over ``buckets`` tasks (default: the shuffle
+    partition count).  The aggregate must be decomposable this way.
+    """
+    from lakeshard.functions.hashing import salt
+
+    n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (df.withColumn("_salt", salt(df, n))
+            .groupBy(*keys, "_salt").agg(*partial)
+            .groupBy(*keys).agg(*final))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf, udtf
 
-from lakeshard.functions.hashing import salt
+from lakeshard.operators.script import two_level_agg
 from lakeshard.plans.registry import query, sql_query
 from lakeshard.sources.tables import Tables, register_views
 
@@ -72,13 +72,11 @@ SELECT o_custkey, round(sum(o_totalprice * o_totalprice) / 1e6, 2) AS sq_million
 FROM orders GROUP BY o_custkey""")
 def q_udaf_pandas(spark, sf_dir):
     """Grouped-aggregate pandas UDF over (customer, salt) parts, merged by ``sum``."""
-    o = Tables(spark, sf_dir).orders
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parts = (o.withColumn("_salt", salt(o, n, ["o_orderkey"]))
-             .groupBy("o_custkey", "_salt")
-             .agg(sum_squares("o_totalprice").alias("_sq"), n_rows("o_totalprice").alias("_n")))
-    return parts.groupBy("o_custkey").agg(F.round(F.sum("_sq") / 1e6, 2).alias("sq_millions"),
-                                          F.sum("_n").alias("n"))
+    o = Tables(spark, sf_dir).orders.select("o_custkey", "o_orderkey", "o_totalprice")
+    return two_level_agg(
+        o, ["o_custkey"],
+        partial=[sum_squares("o_totalprice").alias("_sq"), n_rows("o_totalprice").alias("_n")],
+        final=[F.round(F.sum("_sq") / 1e6, 2).alias("sq_millions"), F.sum("_n").alias("n")])
 
 
 @udtf(returnType=T.StructType([T.StructField("pos", T.IntegerType()),
