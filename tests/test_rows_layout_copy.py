@@ -204,3 +204,17 @@ def test_copy_include_hidden(spark, tmpdir_path):
     assert {r.status for r in man.collect()} == {"ok"}
     for rel in (".top", "d/x", "d/.git/HEAD", "d/_SUCCESS"):
         assert open(f"{full}/{rel}").read() == open(f"{src}/{rel}").read()
+
+
+def test_two_level_agg_splits_hot_key(spark):
+    from lakeshard.operators.script import two_level_agg
+
+    rows = [("hot", float(i)) for i in range(300)] + [(f"k{i}", 1.0) for i in range(100)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    out = two_level_agg(df, ["k"], partial=[F.sum("v").alias("_s"), F.count(F.lit(1)).alias("_n")],
+                        final=[F.sum("_s").alias("total"), F.sum("_n").alias("n")], buckets=8)
+    got = {r.k: (r.total, r.n) for r in out.collect()}
+    assert got["hot"] == (sum(range(300)), 300) and got["k5"] == (1.0, 1)
+    from lakeshard.functions.hashing import salt
+    parts = df.where("k = 'hot'").withColumn("_salt", salt(df, 8)).select("_salt").distinct().count()
+    assert parts > 1
