@@ -28,7 +28,7 @@ import time
 from dataclasses import dataclass, field
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeshard.functions.hashing import fingerprint, salt
@@ -203,13 +203,19 @@ def partition_location(spark: SparkSession, table: str, spec_sql: str) -> str:
 
 def compact_table(spark: SparkSession, table: str, partition: dict | None = None,
                   num_files: int | None = None, target_bytes: int = DEFAULT_TARGET_BYTES,
-                  fail_before_publish: bool = False, verify: str = "digest") -> DataFrame:
-    """Rewrite ``table`` (or the partitions matching ``partition``) into fewer files.
+                  fail_before_publish: bool = False, verify: str = "digest",
+                  where: Column | None = None) -> DataFrame:
+    """Rewrite ``table`` (or the partitions matching ``partition`` and
+    ``where``) into fewer files.
+
+    ``partition`` is a ``PARTITION (k=v, ...)`` spec; ``where`` is any
+    predicate on partition columns (both prune partitions at the scan).  All
+    selected partitions are compacted by one staged write.
 
     ``num_files`` is the file count of an unpartitioned table, of each
-    selected partition when ``partition`` is given, or the total spread over
-    the partitions by size for a whole partitioned table.  Without it each
-    partition gets ``ceil(bytes / target_bytes)`` files.
+    selected partition when ``partition`` or ``where`` is given, or the total
+    spread over the partitions by size for a whole partitioned table.
+    Without it each partition gets ``ceil(bytes / target_bytes)`` files.
 
     ``verify`` is ``digest`` (default) or ``count``; see ``_verify``.
 
@@ -222,10 +228,13 @@ def compact_table(spark: SparkSession, table: str, partition: dict | None = None
     unknown = set(partition) - set(info.partition_cols)
     if unknown:
         raise CompactionError(f"{table}: not partition columns: {sorted(unknown)}")
-    if partition and not info.partition_cols:
+    if (partition or where is not None) and not info.partition_cols:
         raise CompactionError(f"{table} is not partitioned")
     src = spark.table(table)
     sel = src.where(partition_predicate(partition)) if partition else src
+    if where is not None:
+        sel = sel.where(where)
+    selected = bool(partition) or where is not None
     stamp = str(int(time.time() * 1000))
     spec_text = partition_spec_sql(partition) if partition else None
 
@@ -258,7 +267,7 @@ def compact_table(spark: SparkSession, table: str, partition: dict | None = None
     stats = file_stats(sel, pcols).orderBy(*pcols).collect()
     if not stats:
         return _report(spark, table, spec_text, 0, 0, 0, 0, 0, "nothing to compact")
-    if num_files is not None and not partition:
+    if num_files is not None and not selected:
         counts = spread(int(num_files), [r["bytes"] for r in stats])
     else:
         counts = [files_for(r["bytes"], num_files, target_bytes) for r in stats]
@@ -315,6 +324,8 @@ def compact_table(spark: SparkSession, table: str, partition: dict | None = None
     after_sel = spark.table(table)
     if partition:
         after_sel = after_sel.where(partition_predicate(partition))
+    if where is not None:
+        after_sel = after_sel.where(where)
     after = file_stats(after_sel).first()
     fb, bb = sum(r["files"] for r in stats), sum(r["bytes"] for r in stats)
     return _report(spark, table, spec_text, fb, after["files"], bb, after["bytes"], after["rows"],

@@ -148,15 +148,28 @@ def auto_compact(spark: SparkSession, table: str, min_small_files: int = 16,
     pcols = info.partition_cols
     rep = small_file_report(spark.table(table), pcols, small_bytes)
     trig = F.col("files") > 1 if major else F.col("small_files") > min_small_files
+    # One row per partition that crossed the trigger: catalog-sized.
     due = rep.where(trig).select(*pcols).collect() if pcols else rep.where(trig).collect()
-    out = []
+    if not due:
+        return []
     if not pcols:
-        if due:
-            out.append(compact_table(spark, table, target_bytes=target_bytes))
-        return out
-    for r in due:
-        out.append(compact_table(spark, table, {c: r[c] for c in pcols}, target_bytes=target_bytes))
-    return out
+        return [compact_table(spark, table, target_bytes=target_bytes)]
+    return [compact_table(spark, table, target_bytes=target_bytes,
+                          where=partitions_in(spark.table(table), pcols, due))]
+
+
+def partitions_in(df: DataFrame, pcols: list[str], values: list) -> Column:
+    """Predicate ``struct(pcols) IN (...)`` for a list of partition rows.
+
+    It references partition columns only, so it prunes partitions at the
+    scan; with more than a few values Catalyst turns it into a hash-set test.
+    """
+    types = dict(df.dtypes)
+
+    def lit_struct(r):
+        return F.struct(*[F.lit(r[c]).cast(types[c]).alias(c) for c in pcols])
+
+    return F.struct(*[F.col(c) for c in pcols]).isin([lit_struct(r) for r in values])
 
 
 def compact_history(spark: SparkSession, table: str, before: dict,
@@ -171,9 +184,7 @@ def compact_history(spark: SparkSession, table: str, before: dict,
         if k not in pcols:
             raise ValueError(f"{k} is not a partition column of {table}")
         cond = cond & (F.col(k) < F.lit(v))
-    parts = spark.table(table).where(cond).select(*pcols).distinct().collect()
-    return [compact_table(spark, table, {c: r[c] for c in pcols}, num_files=num_files,
-                          target_bytes=target_bytes) for r in parts]
+    return [compact_table(spark, table, num_files=num_files, target_bytes=target_bytes, where=cond)]
 
 
 def file_count(spark: SparkSession, path: str, fmt: str = "parquet", partition_by=()) -> DataFrame:
