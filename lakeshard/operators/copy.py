@@ -58,7 +58,11 @@ def _copy_partitions(ignore_failures: bool, overwrite: bool):
                     dfs, dp = _fs_and_path(dst)
                     info = dfs.get_file_info(dp)
                     if info.type != pafs.FileType.NotFound and not overwrite:
-                        raise FileExistsError(dst)
+                        # Kept as it is; a retried task also lands here for
+                        # files its earlier attempt already placed.
+                        status.append("skipped")
+                        error.append("target exists")
+                        continue
                     parent = dp.rsplit("/", 1)[0]
                     if parent:
                         dfs.create_dir(parent, recursive=True)
@@ -189,7 +193,8 @@ def dist_copy(spark: SparkSession, source: str, target: str, ignore_failures: bo
     Returns the manifest ``(src, dst, length, status, error, run_user,
     spark_version)`` read back from where it was written.  With
     ``ignore_failures=False`` a failed file fails the job; otherwise it is a
-    ``failed`` row.  ``extra_files`` adds ``(src, dst, length)`` rows (for
+    ``failed`` row.  With ``overwrite=False`` existing targets are left alone
+    (status ``skipped``).  ``extra_files`` adds ``(src, dst, length)`` rows (for
     files Spark's listing skips).  ``include_hidden`` also copies names
     starting with ``.`` or ``_`` (found by the tree walk).
     """

@@ -218,3 +218,17 @@ def test_two_level_agg_splits_hot_key(spark):
     from lakeshard.functions.hashing import salt
     parts = df.where("k = 'hot'").withColumn("_salt", salt(df, 8)).select("_salt").distinct().count()
     assert parts > 1
+
+
+def test_copy_no_overwrite_skips_existing(spark, tmpdir_path):
+    src, dst = f"{tmpdir_path}/s3", f"{tmpdir_path}/d3"
+    os.makedirs(src)
+    os.makedirs(dst)
+    for name, body in {"a": "new", "b": "bbb"}.items():
+        with open(f"{src}/{name}", "w") as f:
+            f.write(body)
+    with open(f"{dst}/a", "w") as f:
+        f.write("old")
+    man = {r.dst.rsplit("/", 1)[-1]: r.status for r in dist_copy(spark, src, dst, overwrite=False).collect()}
+    assert man == {"a": "skipped", "b": "ok"}
+    assert open(f"{dst}/a").read() == "old" and open(f"{dst}/b").read() == "bbb"
