@@ -88,7 +88,7 @@ def _copy_partitions(ignore_failures: bool, overwrite: bool):
 
 def copy_manifest(spark: SparkSession, source: str, target: str) -> DataFrame:
     """``(src, dst, length)`` for every file below ``source``; relative paths kept."""
-    tgt = qualify(target)
+    tgt = qualify(target, spark)
     files = list_files(spark, source)
     return files.select(F.col("path").alias("src"),
                         F.concat(F.lit(tgt + "/"), F.col("rel")).alias("dst"),
@@ -151,7 +151,7 @@ def _replicate_tree(spark: SparkSession, source: str, target: str,
     """
     from pyarrow import fs as pafs
 
-    src, tgt = qualify(source), qualify(target)
+    src, tgt = qualify(source, spark), qualify(target, spark)
     sfs, sp = _fs_and_path(src)
     dfs, dp = _fs_and_path(tgt)
     dfs.create_dir(dp, recursive=True)

@@ -17,13 +17,28 @@ from lakeshard.functions.text import doc_stem
 _GLOB_CHARS = "[]{}*?"
 
 
-def qualify(path: str) -> str:
-    """``/a/b`` -> ``file:/a/b``; URIs with a scheme are kept (trailing ``/`` removed)."""
+def qualify(path: str, spark: SparkSession | None = None) -> str:
+    """Fully qualified form of ``path`` (trailing ``/`` removed).
+
+    URIs with a scheme are kept.  A bare path is resolved against the
+    cluster's default filesystem (``fs.defaultFS``, e.g. ``hdfs://nn:8020``)
+    when a session is given and that is not the local filesystem; otherwise
+    it becomes ``file:/abs/path``.
+    """
     if "://" in path or path.startswith("file:"):
         return path.rstrip("/")
+    if spark is not None:
+        default_fs = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS") or "file:///"
+        if not default_fs.startswith("file:"):
+            return default_fs.rstrip("/") + "/" + path.strip("/")
     return "file:" + os.path.abspath(path).rstrip("/")
 
 
+def _path_part(col):
+    """The path of a file URI without scheme and authority: ``/a/b``."""
+    return F.regexp_replace(col, r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?", "")
+
+
 def local_path(uri: str) -> str:
     """Path usable by ``pyarrow.fs`` for a Spark file URI (decoded)."""
     p = unquote(uri)
@@ -57,16 +72,24 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
     URL-encoded, so ``rel`` is the literal name).  Spark's file sources skip names
     starting with ``_`` or ``.``.
     """
-    base = qualify(root)
+    base = _root_path_len(spark, root)
     df = (spark.read.format("binaryFile")
           .option("recursiveFileLookup", True)
           .load(escape_glob(root))
           .select("path", "length", F.col("modificationTime").alias("modified")))
     return df.select("path",
-                     F.substring(F.col("path"), len(base) + 2, 1 << 30).alias("rel"),
+                     F.substring(_path_part(F.col("path")), base + 2, 1 << 30).alias("rel"),
                      "length", "modified")
 
 
+def _root_path_len(spark: SparkSession, root: str) -> int:
+    """Length of the root's path part, as it prefixes the listed file paths."""
+    import re
+
+    q = qualify(root, spark)
+    return len(re.sub(r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?", "", q))
+
+
 def list_directory(spark: SparkSession, root: str) -> DataFrame:
     """Files below ``root`` in path order (the sorted flat listing)."""
     return list_files(spark, root).orderBy("path")
@@ -79,11 +102,11 @@ def pack_files(spark: SparkSession, root: str, out: str, num_files: int = 1,
     Rows are ``(path, rel, length, modified, content)``; returns the packed
     table read back.
     """
-    base = qualify(root)
+    base = _root_path_len(spark, root)
     df = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
           .load(escape_glob(root))
           .select("path",
-                  F.substring(F.col("path"), len(base) + 2, 1 << 30).alias("rel"),
+                  F.substring(_path_part(F.col("path")), base + 2, 1 << 30).alias("rel"),
                   "length", F.col("modificationTime").alias("modified"), "content"))
     df.repartition(num_files).write.mode(mode).parquet(out)
     return spark.read.parquet(out)

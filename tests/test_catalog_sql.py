@@ -61,3 +61,11 @@ def test_insert_hints_set_file_count(spark, tmpdir_path):
                        min_small_files=2, small_bytes=1 << 30)
     st = file_stats(spark.table("hinted")).first()
     assert st["files"] == 1 and st["rows"] == 3 * li.count()
+
+
+def test_listing_rel_for_root_spellings(spark, tmpdir_path):
+    os.makedirs(f"{tmpdir_path}/r/s")
+    with open(f"{tmpdir_path}/r/s/f.txt", "w") as f:
+        f.write("x")
+    for root in (f"{tmpdir_path}/r", f"file:{tmpdir_path}/r", f"file://{tmpdir_path}/r", f"{tmpdir_path}/r/"):
+        assert [r.rel for r in list_directory(spark, root).collect()] == ["s/f.txt"], root
