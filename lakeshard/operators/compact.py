@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeshard.functions.hashing import fingerprint, salt
-from lakeshard.sources.files import local_path
+from lakeshard.sources.files import local_path, qualify
 
 DEFAULT_TARGET_BYTES = 128 * 1024 * 1024
 _BROADCAST_PARTITION_LIMIT = 20000
@@ -347,6 +347,7 @@ def compact_path(spark: SparkSession, path: str, fmt: str = "parquet",
     rename moves the old directory back.
     """
     options = options or {}
+    path = qualify(path, spark)
     src = spark.read.format(fmt).options(**options).load(path)
     st = file_stats(src).first()
     if not st or not st["files"]:
