@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeshard.functions.provenance import with_provenance
-from lakeshard.session import scratch_dir
+from lakeshard.session import scratch_dir, ship_package
 from lakeshard.sources.files import list_files, qualify
 
 MANIFEST_SCHEMA = "src string, dst string, length bigint, status string, error string"
@@ -200,6 +200,7 @@ def dist_copy(spark: SparkSession, source: str, target: str, ignore_failures: bo
     """
     if max_concurrency < 1:
         raise ValueError("max_concurrency must be >= 1")
+    ship_package(spark)
     hidden = None
     if copy_dirs or include_hidden:
         hidden = _replicate_tree(spark, source, target, include_hidden)

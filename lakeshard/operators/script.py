@@ -17,6 +17,8 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from lakeshard.session import ship_package
+
 
 def map_rows(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema) -> DataFrame:
     """Apply ``fn`` to every Arrow batch of ``df`` (no shuffle)."""
@@ -25,6 +27,7 @@ def map_rows(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema)
         for pdf in batches:
             yield fn(pdf)
 
+    ship_package(df.sparkSession)
     return df.mapInPandas(run, schema)
 
 
@@ -42,6 +45,7 @@ def reduce_groups(df: DataFrame, keys: list[str], init: Callable[[], object],
     before the shuffle.  With it, a key holding a third of all rows reaches
     its reducer as at most one row per input batch.
     """
+    ship_package(df.sparkSession)
     if combine is not None:
         df = map_rows(df, combine, df.schema)
 

@@ -42,9 +42,35 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``lakeshard`` importable in the Python workers (once per application).
+
+    Functions run by ``mapInPandas`` and pandas UDFs refer to this package;
+    the workers only see the driver's ``sys.path`` when they happen to start
+    in the same folder.  The package is zipped and added with ``addPyFile``,
+    which ships it to every executor.
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import shutil
+
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out = tempfile.mkdtemp(prefix="lakeshard-pkg-")
+    archive = shutil.make_archive(os.path.join(out, "lakeshard"), "zip",
+                                  root_dir=os.path.dirname(pkg_dir), base_dir="lakeshard")
+    sc.addPyFile(archive)
+    _SHIPPED.add(app)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder, creating a local one only if unset."""
     sc = spark.sparkContext
