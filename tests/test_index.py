@@ -144,3 +144,15 @@ def test_search_equals_lookup(spark):
         a = {tuple(r) for r in ix.index_lookup(ix.term_frequency(docs), terms).collect()}
         b = {tuple(r) for r in ix.search_documents(docs, terms).collect()}
         assert a == b
+
+
+def test_ranked_postings_match_sorted_order(spark):
+    rows = [(i, "hot " + ("x " * (i % 3)) + f"w{i % 4}") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc long, text string")
+    got = {(r.word, r.posting): r.rank for r in ix.ranked_postings(ix.term_frequency(df), 4).collect()}
+    tf = collections.Counter((w, d) for d, t in rows for w in t.split(" ") if w)
+    post = collections.defaultdict(list)
+    for (w, d), n in tf.items():
+        post[w].append(f"({d},{n})")
+    want = {(w, p): i for w, ps in post.items() for i, p in enumerate(sorted(ps, key=lambda s: s.encode()))}
+    assert got == want
