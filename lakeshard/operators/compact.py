@@ -201,6 +201,38 @@ def partition_location(spark: SparkSession, table: str, spec_sql: str) -> str:
     raise CompactionError(f"no location for partition ({spec_sql}) of {table}")
 
 
+def _staged_partitioned_write(spark: SparkSession, sel: DataFrame, pcols: list[str],
+                              data_cols: list[str], stats: list, counts: list[int],
+                              fmt: str, options: dict, staged_root: str) -> None:
+    """Write ``sel`` partitioned by ``pcols`` with exactly ``counts[i]`` write
+    tasks for the partition of ``stats[i]``: one shuffle through
+    ``repartitionById(offset_p + salt(row, n_p))``.  The (partition -> offset,
+    count) table has one row per partition and is broadcast below a limit."""
+    offsets, acc = [], 0
+    for c in counts:
+        offsets.append(acc)
+        acc += c
+    plan_rows = [tuple(r[c] for c in pcols) + (o, c) for r, o, c in zip(stats, offsets, counts)]
+    plan_df = spark.createDataFrame(
+        plan_rows, sel.select(*pcols).schema.add("_off", "long").add("_n", "long"))
+    if len(plan_rows) <= _BROADCAST_PARTITION_LIMIT:
+        plan_df = F.broadcast(plan_df)
+    # eqNullSafe keeps rows of the null partition.
+    cond = [sel[c].eqNullSafe(plan_df[c]) for c in pcols]
+    tagged = sel.join(plan_df, cond, "inner").select(
+        *[sel[c] for c in sel.columns],
+        (plan_df["_off"] + salt(sel, plan_df["_n"], data_cols)).cast("int").alias("_pid"))
+    (_writer(tagged.repartitionById(acc, "_pid").drop("_pid"), fmt, options)
+     .partitionBy(*pcols).save(staged_root))
+
+
+def _leaf_dirs(df: DataFrame, pcols: list[str]) -> dict:
+    """Partition values -> directory holding that partition's files (one row
+    per partition comes back to the driver)."""
+    return {tuple(r[c] for c in pcols): unquote(r["_f"].rsplit("/", 1)[0])
+            for r in df.groupBy(*pcols).agg(F.min(F.col("_metadata.file_path")).alias("_f")).collect()}
+
+
 def compact_table(spark: SparkSession, table: str, partition: dict | None = None,
                   num_files: int | None = None, target_bytes: int = DEFAULT_TARGET_BYTES,
                   fail_before_publish: bool = False, verify: str = "digest",
@@ -271,32 +303,16 @@ def compact_table(spark: SparkSession, table: str, partition: dict | None = None
         counts = spread(int(num_files), [r["bytes"] for r in stats])
     else:
         counts = [files_for(r["bytes"], num_files, target_bytes) for r in stats]
-    offsets, acc = [], 0
-    for c in counts:
-        offsets.append(acc)
-        acc += c
-    plan_rows = [tuple(r[c] for c in pcols) + (o, c) for r, o, c in zip(stats, offsets, counts)]
-    plan_df = spark.createDataFrame(
-        plan_rows, src.select(*pcols).schema.add("_off", "long").add("_n", "long"))
-    if len(plan_rows) <= _BROADCAST_PARTITION_LIMIT:
-        plan_df = F.broadcast(plan_df)
-    # eqNullSafe keeps rows of the null partition.
-    cond = [sel[c].eqNullSafe(plan_df[c]) for c in pcols]
-    tagged = sel.join(plan_df, cond, "inner").select(
-        *[sel[c] for c in src.columns],
-        (plan_df["_off"] + salt(sel, plan_df["_n"], info.data_cols)).cast("int").alias("_pid"))
     staged_root = f"{info.location.rstrip('/')}/_compact-{stamp}"
-    (_writer(tagged.repartitionById(acc, "_pid").drop("_pid"), info.provider, info.options)
-     .partitionBy(*pcols).save(staged_root))
+    _staged_partitioned_write(spark, sel, pcols, info.data_cols, stats, counts,
+                              info.provider, info.options, staged_root)
     staged_df = _read_staged(spark, info, src.schema, staged_root)
     _verify(sel, staged_df, src.columns, verify)
     if fail_before_publish:
         delete_tree(staged_root)
         raise CompactionError("injected failure before publish")
     # Directory of each staged partition, as Spark named it (one row per partition).
-    new_dirs = {tuple(r[c] for c in pcols): unquote(r["_f"].rsplit("/", 1)[0])
-                for r in staged_df.groupBy(*pcols)
-                .agg(F.min(F.col("_metadata.file_path")).alias("_f")).collect()}
+    new_dirs = _leaf_dirs(staged_df, pcols)
 
     moved: list[tuple[str, str]] = []
     try:
@@ -339,15 +355,27 @@ def _report(spark, table, part, fb, fa, bb, ba, rows, msg) -> DataFrame:
 
 def compact_path(spark: SparkSession, path: str, fmt: str = "parquet",
                  num_files: int | None = None, target_bytes: int = DEFAULT_TARGET_BYTES,
-                 options: dict | None = None, fail_before_publish: bool = False) -> DataFrame:
-    """Compact an unpartitioned path-only table by a verified directory swap.
-
-    staged -> verify -> rename ``path`` to ``path.old-<ts>`` -> rename staged
-    to ``path`` -> delete the old directory.  A failure before the second
-    rename moves the old directory back.
+                 options: dict | None = None, fail_before_publish: bool = False,
+                 partition_by: list[str] | None = None, where: Column | None = None) -> DataFrame:
+    """Compact a path-only table by verified directory swaps.
+
+    Unpartitioned: staged -> verify -> rename ``path`` to ``path.old-<ts>`` ->
+    rename staged to ``path`` -> delete the old directory.  A failure before
+    the second rename moves the old directory back.
+
+    Partitioned (``partition_by`` names the ``k=v`` directory levels; ``where``
+    may select partitions): one staged write of all selected partitions under
+    ``path/_compact-<ts>``, verification, then per partition directory: move
+    it under ``path/_old-<ts>`` and move the staged one into its place.  Names
+    starting with ``_`` are hidden from partition discovery, so readers never
+    see the staged or old copies as partitions.  An error puts back every
+    directory already moved.
     """
     options = options or {}
     path = qualify(path, spark)
+    if partition_by:
+        return _compact_path_partitioned(spark, path, fmt, num_files, target_bytes, options,
+                                         fail_before_publish, list(partition_by), where)
     src = spark.read.format(fmt).options(**options).load(path)
     st = file_stats(src).first()
     if not st or not st["files"]:
@@ -374,3 +402,57 @@ def compact_path(spark: SparkSession, path: str, fmt: str = "parquet",
     return _report(spark, path, None, st["files"], after["files"], st["bytes"], after["bytes"],
                    after["rows"], f"Compact path {path} of {after['bytes']} byte size "
                    f"successfully with {after['files']} files")
+
+
+def _compact_path_partitioned(spark, path, fmt, num_files, target_bytes, options,
+                              fail_before_publish, pcols, where) -> DataFrame:
+    root = path.rstrip("/")
+    src = spark.read.format(fmt).options(**options).option("basePath", root).load(root)
+    missing = set(pcols) - set(src.columns)
+    if missing:
+        raise CompactionError(f"{path}: no partition columns {sorted(missing)}")
+    sel = src.where(where) if where is not None else src
+    stats = file_stats(sel, pcols).orderBy(*pcols).collect()
+    if not stats:
+        return _report(spark, path, None, 0, 0, 0, 0, 0, "nothing to compact")
+    counts = [files_for(r["bytes"], num_files, target_bytes) for r in stats]
+    old_dirs = _leaf_dirs(sel, pcols)
+    stamp = str(int(time.time() * 1000))
+    staged_root = f"{root}/_compact-{stamp}"
+    data_cols = [c for c in src.columns if c not in pcols]
+    _staged_partitioned_write(spark, sel, pcols, data_cols, stats, counts, fmt, options, staged_root)
+    staged_df = (spark.read.format(fmt).options(**options).schema(src.schema)
+                 .option("basePath", staged_root).load(staged_root))
+    _verify(sel, staged_df, src.columns)
+    if fail_before_publish:
+        delete_tree(staged_root)
+        raise CompactionError("injected failure before publish")
+    new_dirs = _leaf_dirs(staged_df, pcols)
+    fs, _ = _fs(root)
+    root_p = _fs(root)[1]
+    backup = f"{root_p}/_old-{stamp}"
+    done: list[tuple[str, str, str]] = []
+    try:
+        for key, old_uri in old_dirs.items():
+            old_p, new_p = _fs(old_uri)[1], _fs(new_dirs[key])[1]
+            bak = backup + old_p[len(root_p):]
+            fs.create_dir(bak.rsplit("/", 1)[0], recursive=True)
+            fs.move(old_p, bak)
+            fs.move(new_p, old_p)
+            done.append((old_p, new_p, bak))
+    except Exception:
+        for old_p, new_p, bak in reversed(done):
+            fs.move(old_p, new_p)
+            fs.move(bak, old_p)
+        raise
+    from pyarrow import fs as pafs
+
+    if fs.get_file_info(backup).type != pafs.FileType.NotFound:
+        fs.delete_dir(backup)
+    delete_tree(staged_root)
+    after = file_stats(spark.read.format(fmt).options(**options).option("basePath", root).load(root)
+                       .where(where if where is not None else F.lit(True))).first()
+    fb, bb = sum(r["files"] for r in stats), sum(r["bytes"] for r in stats)
+    return _report(spark, path, None, fb, after["files"], bb, after["bytes"], after["rows"],
+                   f"Compact path {path} of {after['bytes']} byte size successfully "
+                   f"with {after['files']} files in {len(stats)} partitions")

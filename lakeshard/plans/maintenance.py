@@ -348,3 +348,14 @@ def q_publish_partitioned(spark, sf_dir):
     rows = rw.delete_rows(spark.table(t).where(scope), F.col("o_orderpriority") == "5-LOW")
     rw.publish(spark, t, rows, partitions=scope)
     return spark.table(t)
+
+
+@query("compact_path_partitioned", oracle=_ORDERS_ALL)
+def q_compact_path_partitioned(spark, sf_dir):
+    """A path-only table in ``status=/priority=`` folders: one staged write,
+    then per-folder swaps."""
+    path = scratch_dir(spark, "ls_ppath") + "/orders"
+    (read_table(spark, sf_dir, "orders").repartition(16)
+     .write.partitionBy("o_orderstatus", "o_orderpriority").parquet(path))
+    cp.compact_path(spark, path, num_files=1, partition_by=["o_orderstatus", "o_orderpriority"])
+    return spark.read.option("basePath", path).parquet(path)

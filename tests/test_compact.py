@@ -151,3 +151,22 @@ def test_property_compaction_preserves_content(spark, tmpdir_path):
         assert fingerprint(spark.table(name)).first() == before
         total = sum(_files(spark, name, ["k"]).values())
         assert total <= max(want, len(_files(spark, name, ["k"])))
+
+
+def test_partitioned_path_compaction(spark, tmpdir_path):
+    import os
+
+    p = f"{tmpdir_path}/orders_p"
+    o = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    o.repartition(9).write.partitionBy("o_orderstatus", "o_orderpriority").parquet(p)
+    read = lambda: spark.read.option("basePath", p).parquet(p)
+    before = fingerprint(read()).first()
+    rep = compact_path(spark, p, num_files=1, partition_by=["o_orderstatus", "o_orderpriority"],
+                       where=F.col("o_orderstatus") != "P").first()
+    assert rep.rows == o.where("o_orderstatus <> 'P'").count()
+    files = {tuple(r[:2]): r["files"] for r in
+             file_stats(read(), ["o_orderstatus", "o_orderpriority"]).collect()}
+    assert all(n == 1 for (st, _), n in files.items() if st != "P")
+    assert any(n > 1 for (st, _), n in files.items() if st == "P")
+    assert fingerprint(read()).first() == before
+    assert not [d for d in os.listdir(p) if d.startswith("_old") or d.startswith("_compact")]
