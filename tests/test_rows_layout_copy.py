@@ -232,3 +232,22 @@ def test_copy_no_overwrite_skips_existing(spark, tmpdir_path):
     man = {r.dst.rsplit("/", 1)[-1]: r.status for r in dist_copy(spark, src, dst, overwrite=False).collect()}
     assert man == {"a": "skipped", "b": "ok"}
     assert open(f"{dst}/a").read() == "old" and open(f"{dst}/b").read() == "bbb"
+
+
+def test_band_join_equals_brute_force(spark):
+    import random
+
+    from lakeshard.operators.joins import band_join
+
+    rnd = random.Random(3)
+    L = [(i, rnd.randint(0, 3), rnd.uniform(-50, 50)) for i in range(120)]
+    R = [(j, rnd.randint(0, 3), rnd.uniform(-50, 50)) for j in range(80)]
+    ldf = spark.createDataFrame(L, "lid long, lk int, lv double")
+    rdf = spark.createDataFrame(R, "rid long, rk int, rv double")
+    for low, high, w in ((-5, 5, None), (-3, 7, 2.5), (0, 0, 1.0)):
+        got = {(r.lid, r.rid) for r in band_join(ldf, rdf, "lv", "rv", low, high, on=[("lk", "rk")],
+                                                   bin_width=w).collect()}
+        want = {(a, b) for a, ak, av in L for b, bk, bv in R if ak == bk and bv + low <= av <= bv + high}
+        assert got == want
+    left = band_join(ldf, rdf, "lv", "rv", -1, 1, how="left")
+    assert left.select("lid").distinct().count() == 120
