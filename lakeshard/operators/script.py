@@ -16,6 +16,7 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from lakeshard.session import ship_package
 
@@ -76,19 +77,38 @@ def reduce_groups(df: DataFrame, keys: list[str], init: Callable[[], object],
     return df.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(run, schema)
 
 
+_BIG_KEYS_BROADCAST_LIMIT = 200_000
+
+
 def two_level_agg(df: DataFrame, keys: list[str], partial: list, final: list,
-                  buckets: int | None = None) -> DataFrame:
-    """Aggregate in two steps so no group is handled whole by one task.
-
-    ``partial`` aggregates (built-in or grouped-aggregate pandas UDFs) run per
-    ``(keys, salt)``; ``final`` merges the partial columns per key with
-    built-ins (``sum`` of sums, ``max`` of maxima, ...).  A key holding a third
-    of all rows is thereby split over ``buckets`` tasks (default: the shuffle
-    partition count).  The aggregate must be decomposable this way.
+                  max_group_rows: int = 1_000_000) -> DataFrame:
+    """Aggregate in two steps so no group handed to one task exceeds
+    ``max_group_rows`` (on average).
+
+    ``partial`` aggregates (built-in or grouped-aggregate pandas UDFs, which
+    hold a whole group in memory) run per ``(keys, _salt)``; ``final`` merges
+    the partial columns per key with built-ins (``sum`` of sums, ``max`` of
+    maxima, ...).  The aggregate must be decomposable this way.
+
+    Keys with more than ``max_group_rows`` rows get ``ceil(rows /
+    max_group_rows)`` salt values, from a per-key count (partial aggregation).
+    There are at most ``rows / max_group_rows`` such keys, so the small
+    ``(key, salts)`` table is broadcast up to a fixed limit and shuffle-joined
+    beyond it; all other keys keep one group.
     """
     from lakeshard.functions.hashing import salt
 
-    n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (df.withColumn("_salt", salt(df, n))
-            .groupBy(*keys, "_salt").agg(*partial)
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    big = (counts.where(F.col("_rows") > max_group_rows)
+           .select(*keys, F.ceil(F.col("_rows") / max_group_rows).cast("int").alias("_salts")))
+    n_big = big.count()
+    if n_big == 0:
+        salted = df.withColumn("_salt", F.lit(0))
+    else:
+        side = F.broadcast(big) if n_big <= _BIG_KEYS_BROADCAST_LIMIT else big
+        joined = df.join(side, keys, "left")
+        salted = joined.withColumn(
+            "_salt", F.when(F.col("_salts").isNull(), F.lit(0))
+            .otherwise(salt(joined, F.col("_salts"), df.columns))).drop("_salts")
+    return (salted.groupBy(*keys, "_salt").agg(*partial)
             .groupBy(*keys).agg(*final))

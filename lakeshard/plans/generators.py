@@ -1,8 +1,10 @@
 """Generators and user-defined functions (survey 2.J1-J4).
 
-UDFs are Arrow-batched pandas UDFs.  The aggregate UDF is applied to
-salted sub-groups and merged with a built-in ``sum``, so a customer
-holding a large share of the orders is still split over many tasks.
+UDFs are Arrow-batched pandas UDFs.  The aggregate UDF runs through
+``two_level_agg``: a key with more rows than a group may hold is split into
+salted sub-groups, and the partial results are merged with a built-in
+``sum``.  A customer holding a large share of the orders is therefore still
+split over many tasks.
 """
 
 from __future__ import annotations

@@ -211,13 +211,16 @@ def test_two_level_agg_splits_hot_key(spark):
 
     rows = [("hot", float(i)) for i in range(300)] + [(f"k{i}", 1.0) for i in range(100)]
     df = spark.createDataFrame(rows, "k string, v double")
-    out = two_level_agg(df, ["k"], partial=[F.sum("v").alias("_s"), F.count(F.lit(1)).alias("_n")],
-                        final=[F.sum("_s").alias("total"), F.sum("_n").alias("n")], buckets=8)
-    got = {r.k: (r.total, r.n) for r in out.collect()}
-    assert got["hot"] == (sum(range(300)), 300) and got["k5"] == (1.0, 1)
-    from lakeshard.functions.hashing import salt
-    parts = df.where("k = 'hot'").withColumn("_salt", salt(df, 8)).select("_salt").distinct().count()
-    assert parts > 1
+    partial = [F.sum("v").alias("_s"), F.count(F.lit(1)).alias("_n")]
+    out = two_level_agg(df, ["k"], partial=partial,
+                        final=[F.sum("_s").alias("total"), F.sum("_n").alias("n"),
+                               F.count(F.lit(1)).alias("parts"), F.max("_n").alias("biggest")],
+                        max_group_rows=50)
+    got = {r.k: (r.total, r.n, r.parts, r.biggest) for r in out.collect()}
+    total, n, parts, biggest = got["hot"]
+    assert (total, n) == (sum(range(300)), 300)
+    assert parts > 3 and biggest < 300       # 300 rows -> 6 salt values
+    assert got["k5"] == (1.0, 1, 1, 1)
 
 
 def test_copy_no_overwrite_skips_existing(spark, tmpdir_path):
