@@ -93,25 +93,38 @@ def hot_keys(df: DataFrame, key: str, share: float = 0.1) -> DataFrame:
             .withColumn("share", F.col("rows") / F.lit(max(total, 1))))
 
 
-def skew_split_key(df: DataFrame, key: str, hot: list, n: int) -> Column:
-    """Routing column: ``(key, salt)`` for hot keys, ``(key, 0)`` for the rest."""
-    hot_cond = F.col(key).isin(hot) if hot else F.lit(False)
-    return F.when(hot_cond, salt(df, n)).otherwise(F.lit(0))
+def skew_split_key(df: DataFrame, key: str, hot, n: int = 8) -> Column:
+    """Routing column: a salt for hot keys, 0 for the rest.
+
+    ``hot`` is a list of keys (each split ``n`` ways) or a dict
+    ``key -> salt count``.
+    """
+    if not hot:
+        return F.lit(0)
+    if isinstance(hot, dict):
+        counts = F.create_map(*[x for k, v in hot.items() for x in (F.lit(k), F.lit(int(v)))])
+        salts = F.element_at(counts, F.col(key))
+        return F.when(salts.isNull(), F.lit(0)).otherwise(salt(df, salts))
+    return F.when(F.col(key).isin(list(hot)), salt(df, n)).otherwise(F.lit(0))
 
 
-def write_skew_split(df: DataFrame, path: str, key: str, n: int = 8, hot: list | None = None,
-                     share: float = 0.1, partition_by=None, fmt: str = "parquet",
-                     mode: str = "errorifexists") -> str:
-    """Hot keys spread over ``n`` tasks each, other keys one task per key.
+def write_skew_split(df: DataFrame, path: str, key: str, n: int | None = None, hot=None,
+                     share: float = 0.1, max_rows_per_task: int = 10_000_000,
+                     partition_by=None, fmt: str = "parquet", mode: str = "errorifexists") -> str:
+    """Hot keys spread over several tasks each, other keys one task per key.
 
     ``hot`` defaults to ``hot_keys(df, key, share)`` - at most ``1/share``
-    values, so collecting them is bounded.
+    values, so collecting them is bounded.  Each hot key gets ``n`` salts,
+    or, when ``n`` is None, ``ceil(rows / max_rows_per_task)`` salts from its
+    own row count, so its files stay the same size at any scale.
     """
     if hot is None:
-        hot = [r[0] for r in hot_keys(df, key, share).select(key).collect()]
+        found = hot_keys(df, key, share).collect()
+        hot = ({r[key]: n for r in found} if n else
+               {r[key]: max(1, -(-r["rows"] // max_rows_per_task)) for r in found})
     # An explicit partition count: AQE must not merge the salted hot-key
     # partitions back into one.
-    routed = df.repartition(_num_partitions(df), F.col(key), skew_split_key(df, key, hot, n))
+    routed = df.repartition(_num_partitions(df), F.col(key), skew_split_key(df, key, hot, n or 8))
     return _save(routed, path, fmt, mode, partition_by)
 
 
