@@ -266,3 +266,15 @@ def test_skew_split_salts_scale_with_key_size(spark, tmpdir_path):
     assert len(per_file) >= 2 and max(r[1] for r in per_file) < 400
     assert sum(r[1] for r in per_file) == 400
     assert spark.read.parquet(p).count() == 500
+
+
+def test_rebalanced_and_partitioned_writes_keep_rows(spark, tmpdir_path):
+    li = spark.read.parquet(f"{SF}/lineitem.parquet")
+    p = lo.write_rebalanced(li, f"{tmpdir_path}/rb", ["l_returnflag"])
+    back = spark.read.parquet(p)
+    assert back.count() == li.count()
+    assert sorted(r[0] for r in back.select("l_returnflag").distinct().collect()) == \
+        sorted(r[0] for r in li.select("l_returnflag").distinct().collect())
+    rep = {r.l_returnflag: r for r in lo.small_file_report(back, ["l_returnflag"], 1 << 30).collect()}
+    assert all(r.small_files == r.files for r in rep.values())
+    assert sum(r.rows for r in rep.values()) == li.count()
