@@ -2,10 +2,13 @@
 
 Plan shape (all JVM-side):
 
-    scan(doc, text) -> Generate(explode tokens) -> HashAggregate(partial)
+    scan(doc, text) -> [round robin if the scan has fewer splits than cores]
+      -> Generate(explode tokens) -> Filter(word <> '') -> HashAggregate(partial)
       -> Exchange hash(word, doc) -> HashAggregate(final)          = term_frequency
-      -> Exchange rangepartitioning(word, posting) -> Sort          = ordered postings
-      -> rank inside the word -> HashAggregate by (word, block)     = posting blocks
+      -> Exchange rangepartitioning(word, posting) -> Sort
+      -> checkpoint (partition id and position pinned)              = tagged postings
+      -> segments of words longer than one block (small, broadcast by AQE)
+      -> block = rank // block_size -> HashAggregate by (word, block) = posting blocks
 
 A posting list is never collected whole.  Postings are cut into blocks of at
 most ``block_size`` entries by their rank inside the word, so a stop word
@@ -14,7 +17,8 @@ unbounded row.  The rank is computed without putting a word into one task:
 the range exchange on ``(word, posting)`` splits a hot word over several
 partitions, the row position inside each sorted partition is read off
 ``monotonically_increasing_id``, and the count of the same word in earlier
-partitions is added from a small per-(partition, word) table.
+partitions comes from a per-(partition, word) segment table.  Words with at
+most ``block_size`` postings are block 0 and need no rank at all.
 """
 
 from __future__ import annotations
