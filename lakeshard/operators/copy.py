@@ -67,12 +67,16 @@ def _copy_partitions(ignore_failures: bool, overwrite: bool):
                     if parent:
                         dfs.create_dir(parent, recursive=True)
                     tmp = f"{dp}.tmp-{tag}"
-                    with sfs.open_input_stream(sp) as fin, dfs.open_output_stream(tmp) as fout:
-                        while True:
-                            buf = fin.read(_CHUNK)
-                            if not buf:
-                                break
-                            fout.write(buf)
+                    if sfs.equals(dfs):
+                        # same filesystem: its own copy (server-side on object stores)
+                        sfs.copy_file(sp, tmp)
+                    else:
+                        with sfs.open_input_stream(sp) as fin, dfs.open_output_stream(tmp) as fout:
+                            while True:
+                                buf = fin.read(_CHUNK)
+                                if not buf:
+                                    break
+                                fout.write(buf)
                     dfs.move(tmp, dp)
                     status.append("ok")
                     error.append(None)
