@@ -53,3 +53,20 @@ def test_bucketed_join_needs_no_exchange(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert "SortMergeJoin" in plan
     assert "Exchange" not in plan
+
+
+def test_index_plan_shape(spark):
+    from pyspark.sql import functions as F
+
+    from lakeshard.operators import index as ix
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select(F.col("doc_id").alias("doc"), "text")
+    tf = ix.term_frequency(docs)
+    tf_plan = _plan(tf)
+    assert "partial_count" in tf_plan and "Generate explode" in tf_plan
+    p = tf.withColumn("posting", F.lit("x")).repartitionByRange("word", "posting")
+    assert "rangepartitioning(word" in _plan(p)
+    idx_plan = _plan(ix.inverted_index(docs))
+    assert not PY_NODES.search(idx_plan)
+    assert "CartesianProduct" not in idx_plan and "BroadcastNestedLoopJoin" not in idx_plan
+    assert "collect_list" in idx_plan
