@@ -9,7 +9,8 @@ from lakeshard.plans.registry import entries
 from conftest import SF
 
 PURE = {"relational", "joins", "aggregates", "windows", "ordering", "setops", "scalars", "core"}
-PY_NODES = re.compile(r"ArrowEvalPython|BatchEvalPython|MapInPandas|FlatMapGroupsInPandas|AggregateInPandas")
+PY_NODES = re.compile(r"ArrowEvalPython|BatchEvalPython|MapInPandas|FlatMapGroupsInPandas|AggregateInPandas|"
+                      r"ArrowAggregatePython|PythonUDTF")
 
 
 def _plan(df):
