@@ -156,3 +156,13 @@ def test_ranked_postings_match_sorted_order(spark):
         post[w].append(f"({d},{n})")
     want = {(w, p): i for w, ps in post.items() for i, p in enumerate(sorted(ps, key=lambda s: s.encode()))}
     assert got == want
+
+
+def test_tokens_and_stem_expressions(spark):
+    from lakeshard.functions.text import doc_stem, tokens
+
+    df = spark.createDataFrame([("  it is\r\nwhat  ", "file:/x/a%20b.c.txt"), (None, "file:/x/k+1")],
+                               "text string, path string")
+    got = df.select(tokens("text").alias("t"), doc_stem("path").alias("s")).collect()
+    assert got[0].t == ["it", "is", "what"] and got[0].s == "a b"
+    assert got[1].t == [] and got[1].s == "k+1"
