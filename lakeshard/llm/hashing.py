@@ -32,6 +32,9 @@ _FOLDED = _RANDOM.copy()
 _FOLDED[65:91] = _RANDOM[97:123]
 _SEP = np.zeros(256, dtype=bool)
 _SEP[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+_WORD = (~_SEP).astype(np.int8)
+_CLASS = _WORD.copy()
+_CLASS[[c for c in range(128) if not chr(c).isalnum() and not _SEP[c]]] = 2
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -70,21 +73,23 @@ def _slices(buf: np.ndarray):
         at = end
 
 
-def word_hashes(texts, fold: bool = False) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts, fold: bool = False, punct: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of ``texts`` in order, and the number of words of each text.
 
-    ``fold`` lower-cases A-Z first.  Null texts have no words.
+    ``fold`` lower-cases A-Z first; ``punct`` makes runs of ASCII punctuation
+    words of their own.  Null texts have no words.
     """
     raw = [b"" if t is None else t.encode("utf-8", "surrogatepass") for t in texts]
     lengths = np.fromiter((len(b) + 1 for b in raw), dtype=np.int64, count=len(raw))
     buf = np.frombuffer(b"\n".join(raw) + b"\n" if raw else b"", dtype=np.uint8)
-    table = _FOLDED if fold else _RANDOM
+    table, kinds = _FOLDED if fold else _RANDOM, _CLASS if punct else _WORD
     out, begins = [], []
     with np.errstate(over="ignore"):
         for at, piece in _slices(buf):
-            sep = _SEP[piece]
-            edge = np.diff(np.concatenate(([True], sep, [True])).astype(np.int8))
-            start, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+            kind = np.zeros(len(piece) + 2, dtype=np.int8)
+            kind[1:-1] = kinds[piece]
+            edge = np.flatnonzero(kind[1:] != kind[:-1])
+            start, end = edge[kind[edge + 1] != 0], edge[kind[edge] != 0]
             up, down = _power_tables(len(piece))
             total = np.zeros(len(piece) + 1, dtype=np.uint64)
             np.cumsum(table[piece] * up[: len(piece)], out=total[1:])

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeshard.llm import exact_dedup
+from lakeshard.llm import exact_dedup, quality
 from lakeshard.llm.common import prepare
 from lakeshard.sources.tables import read_table
 
@@ -34,3 +34,8 @@ def query(name: str, oracle: str | None = None):
     FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))""")
 def op5(spark, sf_dir):
     return exact_dedup.decide(read_table(spark, sf_dir, "documents")).drop("id_rows")
+
+
+@query("op10_quality")
+def op10(spark, sf_dir):
+    return quality.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
