@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeshard.llm import exact_dedup, quality
+from lakeshard.llm import exact_dedup, quality, toxicity
 from lakeshard.llm.common import prepare
 from lakeshard.sources.tables import read_table
 
@@ -39,3 +39,8 @@ def op5(spark, sf_dir):
 @query("op10_quality")
 def op10(spark, sf_dir):
     return quality.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@query("op2_toxicity")
+def op2(spark, sf_dir):
+    return toxicity.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
