@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeshard.llm import exact_dedup, quality, toxicity
+from lakeshard.llm import exact_dedup, mixing, quality, toxicity
 from lakeshard.llm.common import prepare
 from lakeshard.sources.tables import read_table
 
@@ -44,3 +44,33 @@ def op10(spark, sf_dir):
 @query("op2_toxicity")
 def op2(spark, sf_dir):
     return toxicity.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@query("op1_mixing", r"""
+    WITH d AS (
+        SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+               md5(coalesce(doc_id::VARCHAR, text, '')) AS key FROM documents),
+    s AS (SELECT source, sum(size)::BIGINT AS source_size, (row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 AS turn
+          FROM d GROUP BY source),
+    w AS (SELECT *, [5.0, 2.0, 1.0][turn + 1]::DOUBLE AS weight, source_size * 2 AS cap, sum(source_size) OVER () * 1.5::DOUBLE AS budget FROM s),
+    f AS (SELECT *, (budget - coalesce(sum(cap) OVER o1, 0)::DOUBLE) / sum(weight) OVER o2 AS level FROM w
+          WINDOW o1 AS (ORDER BY cap / weight, source ASC NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+                 o2 AS (ORDER BY cap / weight, source ASC NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+    m AS (SELECT min_by(level, cap / weight) AS fill FROM f WHERE cap / weight > level),
+    t AS (SELECT source, source_size, turn, coalesce(least(cap::DOUBLE, fill * weight), cap::DOUBLE) AS target FROM f, m),
+    o AS (SELECT doc_id, size, source_size, turn, target, floor(target)::BIGINT AS goal,
+                 coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY key, size, doc_id
+                                          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS off
+          FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+    c AS (SELECT *, greatest(least(size, goal - off), 0)::BIGINT AS one,
+                 greatest(least(size, goal - source_size - off), 0)::BIGINT AS two FROM o),
+    a AS (SELECT *, (off + one::DOUBLE / 2) / goal * [5.0, 2.0, 1.0][turn + 1]::DOUBLE AS area FROM c)
+    SELECT doc_id, size, source_size, target, one + two AS taken,
+           CASE WHEN one = 0 THEN NULL
+                WHEN turn = 0 THEN 2.0::DOUBLE * area / (8.0::DOUBLE + sqrt(greatest(64.0::DOUBLE - 12.0::DOUBLE * area, 0)))
+                WHEN turn = 1 THEN 2.0::DOUBLE * area / 4.0::DOUBLE
+                WHEN area < 0.25 THEN 2.0::DOUBLE * area / 1.0::DOUBLE
+                ELSE 0.5::DOUBLE + 2.0::DOUBLE * (area - 0.25::DOUBLE) / (0.5::DOUBLE + sqrt(0.25::DOUBLE + 8.0::DOUBLE * (area - 0.25::DOUBLE))) END AS position
+    FROM a""")
+def op1(spark, sf_dir):
+    return mixing.plan_mix(read_table(spark, sf_dir, "documents"))
