@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeshard.llm import exact_dedup, mixing, quality, toxicity
+from lakeshard.llm import bpe, exact_dedup, mixing, quality, toxicity
 from lakeshard.llm.common import prepare
 from lakeshard.sources.tables import read_table
 
+#: folder of the public vocabulary files, the same on every machine
+TOKENIZERS = "/opt/tokenizers"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -74,3 +77,8 @@ def op2(spark, sf_dir):
     FROM a""")
 def op1(spark, sf_dir):
     return mixing.plan_mix(read_table(spark, sf_dir, "documents"))
+
+
+@query("op9_bpe")
+def op9(spark, sf_dir):
+    return bpe.digests(read_table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")
