@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,11 +19,11 @@ def prepare(spark: SparkSession) -> None:
     ship_package(spark)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, **options) -> DataFrame:
     """Write ``df`` below the shared checkpoint folder and read it back: a lineage cut that survives executors."""
     spark = df.sparkSession
     path = scratch_dir(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path, **options)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -44,3 +49,17 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, remainder: int, mod
 def held_out(id_col: str, remainder: int, modulus: int):
     """True for ids kept from training; a null id is never held out (it has no label either)."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % modulus == remainder, F.lit(False))
+
+
+def pieces(batches: Iterator[pa.RecordBatch], column: str | int = "text", limit: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+    """Cut batches into runs of rows with about ``limit`` bytes of text each, so that work arrays stay small.
+
+    A single longer text makes a piece of its own.
+    """
+    for b in batches:
+        if not b.num_rows:
+            continue
+        size = np.cumsum(pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        cut = np.flatnonzero(np.diff(size // limit)) + 1
+        for a, e in zip([0, *cut.tolist()], [*cut.tolist(), b.num_rows], strict=True):
+            yield b.slice(a, e - a)

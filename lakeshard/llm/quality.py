@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeshard.llm.common import held_out, labelled, stored
+from lakeshard.llm.common import held_out, labelled, pieces, stored
 from lakeshard.llm.hashing import ngram_hashes, word_hashes
 
 #: most labelled rows that are used for training
@@ -107,7 +107,7 @@ class Ftrl:
 
 def _featurise(bits: int, scale: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in pieces(batches):
             ids, sizes = feature_ids(b.column("text").to_pylist(), bits)
             rows_at, rows_x = [], []
             for part in np.split(ids, np.cumsum(sizes)[:-1]):
@@ -165,7 +165,7 @@ def score(docs: DataFrame, weights: np.ndarray, bias: float, *, bits: int = BITS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = model.value
-        for b in batches:
+        for b in pieces(batches):
             m = margins(b.column("text").to_pylist(), w, bias, bits, scale)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(1 / (1 + np.exp(-np.clip(m, -40, 40))))],
                                              names=["doc_id", "score"])

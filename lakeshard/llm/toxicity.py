@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeshard.llm.common import held_out, labelled, stored
+from lakeshard.llm.common import held_out, labelled, pieces, stored
 
 #: most labelled rows that are used for training
 TRAIN_ROWS = 8192
@@ -324,7 +324,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", *, remainder
     draft = spark.sparkContext.broadcast(compile_lexicon(terms))
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in pieces(batches):
             doc, _, _, distance, term = find_hits(b.column("text").to_pylist(), draft.value)
             seen = sorted(set(zip(doc[distance > 0].tolist(), term[distance > 0].tolist(), strict=True)))
             yield pa.RecordBatch.from_arrays([pa.array([t for _, t in seen], pa.int32())], names=["term"])
@@ -337,7 +337,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", *, remainder
     model = spark.sparkContext.broadcast(auto)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in pieces(batches):
             f, _ = features(b.column("text").to_pylist(), model.value)
             yield pa.RecordBatch.from_arrays([b.column("id"), b.column("label"), pa.array(f.tolist(), pa.list_(pa.float64()))],
                                              names=["id", "label", "f"])
@@ -355,7 +355,7 @@ def score(docs: DataFrame, auto: Automaton, weights: np.ndarray, *, id_col: str
     model = docs.sparkSession.sparkContext.broadcast(auto)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in pieces(batches):
             f, hits = features(b.column("text").to_pylist(), model.value)
             m = np.clip(f @ weights[:-1] + weights[-1], -40, 40)
             n = hits.astype(np.int64)
@@ -384,7 +384,7 @@ def reject(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.3, id_col
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in pieces(batches, at):
             m = features(b.column(at).to_pylist(), model.value)[0] @ weights[:-1] + weights[-1]
             keep = 1 / (1 + np.exp(-np.clip(m, -40, 40))) < threshold
             yield b.filter(pa.array(keep))
