@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeshard.llm import bpe, exact_dedup, mixing, quality, toxicity
+from lakeshard.llm import bpe, exact_dedup, huffman, jaccard_join, mixing, quality, toxicity
 from lakeshard.llm.common import prepare
 from lakeshard.sources.tables import read_table
 
@@ -82,3 +82,13 @@ def op1(spark, sf_dir):
 @query("op9_bpe")
 def op9(spark, sf_dir):
     return bpe.digests(read_table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")
+
+
+@query("op3_jaccard_join")
+def op3(spark, sf_dir):
+    return jaccard_join.link_classes(read_table(spark, sf_dir, "documents"))
+
+
+@query("op7_huffman")
+def op7(spark, sf_dir):
+    return huffman.round_trip(read_table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json", size=50257)
