@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakeshard.llm import bpe, exact_dedup, huffman, jaccard_join, mixing, quality, toxicity
+from lakeshard.llm import bpe, cover_tree, exact_dedup, huffman, jaccard_join, lm_score, mixing, quality, token_scan, toxicity
 from lakeshard.llm.common import prepare
 from lakeshard.sources.tables import read_table
 
@@ -92,3 +93,38 @@ def op3(spark, sf_dir):
 @query("op7_huffman")
 def op7(spark, sf_dir):
     return huffman.round_trip(read_table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json", size=50257)
+
+
+@query("op4_cover_tree", """
+    WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+               WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(embedding) > 0
+                 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    p AS (SELECT vec_id, generate_subscripts(v, 1) AS i, unnest(v) AS x FROM v),
+    s AS (SELECT q.vec_id AS query_id, c.vec_id, sum(q.x * c.x)::BIGINT AS score
+          FROM p q JOIN p c ON q.i = c.i AND q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0 GROUP BY ALL)
+    SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+    FROM s QUALIFY rank <= 10""")
+def op4(spark, sf_dir):
+    return cover_tree.top_k(read_table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
+@query("op6_lm_score", r"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    p AS (SELECT r, generate_subscripts(w, 1) AS i, unnest(w) AS b FROM d),
+    e AS (SELECT r, i, b, lag(b) OVER (PARTITION BY r ORDER BY i) AS a FROM p),
+    one AS (SELECT b, count(*) AS c FROM e GROUP BY b),
+    two AS (SELECT a, b, count(*) AS c FROM e WHERE a IS NOT NULL GROUP BY a, b HAVING count(*) >= 2),
+    s AS (SELECT e.r, two.c IS NOT NULL AS seen,
+                 CASE WHEN two.c IS NOT NULL THEN ln(two.c) - ln(x.c)
+                      ELSE ln(y.c) - ln((SELECT count(*) FROM e)) + CASE WHEN e.a IS NULL THEN 0 ELSE ln(0.4) END END AS l
+          FROM e LEFT JOIN two ON e.a = two.a AND e.b = two.b LEFT JOIN one x ON e.a = x.b JOIN one y ON e.b = y.b),
+    t AS (SELECT r, count(*) AS n, sum(seen::INTEGER) AS k, sum(l) AS l FROM s GROUP BY r)
+    SELECT doc_id, coalesce(n, 0)::BIGINT AS n_words, coalesce(k, 0)::BIGINT AS n_seen, round(coalesce(l, 0), 3) AS log_score
+    FROM d LEFT JOIN t USING (r)""")
+def op6(spark, sf_dir):
+    return lm_score.score(read_table(spark, sf_dir, "documents")).withColumn("log_score", F.round("log_score", 3))
+
+
+@query("op8_token_counts")
+def op8(spark, sf_dir):
+    return token_scan.token_counts(read_table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")

@@ -22,11 +22,13 @@ _PLAIN = re.compile(f" ?[^{_W}]+")
 
 
 class LibraryEncoder:
-    def __init__(self, path: str):
+    def __init__(self, path: str, special_text: bool = True):
+        """``special_text``: special tokens written in a text become their ids; else they are ordinary text."""
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._tok = Tokenizer.from_file(path)
+        self._tok.encode_special_tokens = not special_text
         self._special = [t.content for t in self._tok.get_added_tokens_decoder().values()]
         line = self._tok.encode("\n", add_special_tokens=False).ids
         self._line = line[0] if len(line) == 1 else None
@@ -69,14 +71,14 @@ class LibraryEncoder:
         return np.frombuffer(b"".join(rows), np.int32), np.fromiter((len(r) >> 2 for r in rows), np.int64, len(rows))
 
 
-_loaded: dict[str, LibraryEncoder] = {}
+_loaded: dict[tuple[str, bool], LibraryEncoder] = {}
 
 
-def load(path: str) -> LibraryEncoder:
+def load(path: str, special_text: bool = True) -> LibraryEncoder:
     """The encoder of the vocabulary at ``path`` on this machine, once a worker."""
-    if path not in _loaded:
-        _loaded[path] = LibraryEncoder(path)
-    return _loaded[path]
+    if (path, special_text) not in _loaded:
+        _loaded[path, special_text] = LibraryEncoder(path, special_text)
+    return _loaded[path, special_text]
 
 
 def with_end(ids: np.ndarray, counts: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
