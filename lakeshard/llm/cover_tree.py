@@ -17,6 +17,7 @@ window with a limit, which Spark applies before the exchange.
 
 Defined cases: vectors that are null, empty or hold null or non-finite components,
 and rows with a null id, take no part.  Only vectors of equal length meet.
+Scores must fit 64 bits.
 Rows that repeat id and vector count once; rows that share the query's id
 are its own.  With fewer than k candidates all are returned.  An empty table
 gives an empty result; extra columns are ignored.
@@ -70,25 +71,21 @@ def cover_tree(x: np.ndarray, at: np.ndarray | None = None, leaf: int = LEAF) ->
     root = Node(center, float(near.max()), at)
     if len(at) <= leaf or root.radius == 0:
         return root
-    goal, owner, n = root.radius * SHRINK, np.zeros(len(at), np.int64), 1
+    goal, owner, picked = root.radius * SHRINK, np.zeros(len(at), np.int64), [0]
     while near.max() > goal:
         far = int(near.argmax())
         dist = np.sqrt(((pts - pts[far]) ** 2).sum(axis=1))
         closer = dist < near
-        owner[closer] = n
+        owner[closer] = len(picked)
         near[closer] = dist[closer]
         near[far] = 0.0
-        owner[far] = n
-        n += 1
+        owner[far] = len(picked)
+        picked.append(far)
     order = np.argsort(owner, kind="stable")
-    cuts = np.searchsorted(owner[order], np.arange(n + 1))
-    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-        if b > a:
-            part = order[a:b]
-            if len(part) == len(at):  # one centre covers all
-                return root
-            part = part[np.argsort(((pts[part] - pts[part[0]]) ** 2).sum(axis=1), kind="stable")]
-            root.children.append(cover_tree(x, at[part], leaf))
+    cuts = np.searchsorted(owner[order], np.arange(len(picked) + 1))
+    for own, a, b in zip(picked, cuts[:-1], cuts[1:], strict=True):
+        part = order[a:b]
+        root.children.append(cover_tree(x, at[np.concatenate(([own], part[part != own]))], leaf))
     root.points = None
     return root
 
@@ -106,7 +103,7 @@ def search(queries: np.ndarray, query_ids: np.ndarray, floor: np.ndarray, points
     exact = _exact(q, p)
     best = np.full((len(q), k), np.iinfo(np.int64).min, np.int64)
     who = np.full((len(q), k), np.iinfo(np.int64).max, np.int64)
-    kth = floor.astype(np.float64).copy()
+    kth = floor.astype(np.int64)
     qt, pt = cover_tree(q, leaf=leaf), cover_tree(p, leaf=leaf)
 
     def bound(a: Node, b: Node) -> float:
@@ -134,10 +131,9 @@ def search(queries: np.ndarray, query_ids: np.ndarray, floor: np.ndarray, points
             cols = use[r]
             all_s = np.concatenate((best[i], s[r, cols]))
             all_w = np.concatenate((who[i], ids[cols]))
-            top = np.lexsort((all_w, -all_s.astype(np.float64) if exact else -all_s))[:k]
+            top = np.lexsort((all_w, ~all_s))[:k]  # ~ turns the order round without overflow
             best[i], who[i] = all_s[top], all_w[top]
-            if who[i, -1] != np.iinfo(np.int64).max or best[i, -1] != np.iinfo(np.int64).min:
-                kth[i] = max(kth[i], float(best[i, -1]))
+            kth[i] = max(kth[i], best[i, -1])
         worst(a)
 
     def descend(a: Node, b: Node) -> None:
