@@ -63,7 +63,7 @@ FREQUENT = 16
 #: shingles that one hash partition holds, about
 PARTITION = 1_500_000
 #: bytes of text in a block
-BLOCK = 24 << 20
+BLOCK = 8 << 20
 
 
 def class_of(s: np.ndarray) -> tuple[int, int]:
@@ -153,8 +153,9 @@ def _send(k: int, parts: int, frequent: int):
             edge = np.array([(p << 64) // parts for p in range(1, parts)], np.uint64)
             a = np.concatenate(([0], np.searchsorted(ids[first], edge), [len(first)]))
             f = np.append(first, len(ids))
+            count = np.minimum(count, 0xFFFF).astype(np.uint16)
             rows = [(p, name, 1, ids[first[a[p]:a[p + 1]]], owner[f[a[p]]:f[a[p + 1]]][~loud[f[a[p]]:f[a[p + 1]]]],
-                     np.minimum(count[a[p]:a[p + 1]], 0xFFFF).astype(np.uint16)) for p in range(parts) if a[p + 1] > a[p]]
+                     count[a[p]:a[p + 1]]) for p in np.flatnonzero(np.diff(a)).tolist()]
             rows.append((int(mix(np.array([name], np.uint64))[0] % np.uint64(parts)), name, 0,
                          np.array(list(seen), np.int64), np.zeros(0, np.uint16), sizes))
             if loud.any():
