@@ -2,40 +2,44 @@
 
 Flow of ``compact_table``:
 
-1. per-file statistics from ``_metadata`` (a Spark aggregate; one row per
-   table partition comes back to the driver - catalog-sized, not data-sized);
+1. file counts and sizes per folder from a listing (files without rows count
+   too); one row per table partition comes back to the driver;
 2. file count ``n`` per partition: the requested count, or
    ``ceil(bytes / target_bytes)``;
-3. staged write of the selected rows into a new directory next to the old
-   data, partition ``p`` getting exactly ``n_p`` write tasks through
-   ``repartitionById(offset_p + salt(row, n_p))`` (one shuffle);
-4. verification: row count and an order-insensitive digest of the staged
-   data must equal the source selection;
-5. publish by moving the location pointer (``ALTER TABLE ... SET LOCATION``,
-   per partition for partitioned tables); on any error the old locations
-   are restored;
-6. old files are deleted only after the new locations are in place.
-
-The staged files are published as written; nothing is rewritten after
-staging, so the file count is the one asked for (fewer only if a partition
-has fewer rows than files).
+3. staged write of the selected rows into a hidden folder, partition ``p``
+   getting exactly ``n_p`` write tasks through
+   ``repartitionById(offset_p + salt(row, n_p))`` (one shuffle).  Row count and
+   an order-insensitive digest of the source are observed by this very write;
+4. verification: the staged files, read once, must give the same count and digest;
+5. the list of source files must still be the one recorded at the start,
+   else the work is given up and nothing changes;
+6. staged folders are renamed into the place of the live ones, so table and
+   path readers both see them where they always were.  Any error renames
+   everything back;
+7. only the files recorded at the start are deleted.  A file that came in
+   between the check and the rename is put back beside the new ones.
+
+With ``small_bytes`` only smaller files are merged (minor compaction); larger
+ones stay in place under their names.
+
+All storage work goes through Hadoop's file systems, so it works wherever
+Spark does.  Bucketed tables are refused: their file names carry meaning.
 """
 
 from __future__ import annotations
 
 import math
+import re
 import time
 from dataclasses import dataclass, field
-from urllib.parse import unquote
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from lakeshard.functions.hashing import fingerprint, salt
-from lakeshard.sources.files import local_path, qualify
+from lakeshard.functions.hashing import digest_columns, fingerprint, salt_hash
+from lakeshard.sources.files import list_files, qualify
+from lakeshard.sources.hadoop import Store, Swap
 
 DEFAULT_TARGET_BYTES = 128 * 1024 * 1024
-_BROADCAST_PARTITION_LIMIT = 20000
 
 REPORT_SCHEMA = ("table string, partition string, files_before bigint, files_after bigint, "
                  "bytes_before bigint, bytes_after bigint, rows bigint, COMPACT_TABLE string")
@@ -70,6 +74,8 @@ def _storage_props(text: str | None) -> dict:
 def table_info(spark: SparkSession, table: str) -> TableInfo:
     cols = spark.catalog.listColumns(table)
     desc = {r[0]: r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    if desc.get("Num Buckets", "").strip().isdigit() and int(desc["Num Buckets"]) > 0:
+        raise CompactionError(f"{table} is bucketed; its files can't be merged")
     provider = (desc.get("Provider") or "").lower()
     if provider in ("", "hive"):
         raise CompactionError(f"{table}: only data source tables are supported (provider {provider!r})")
@@ -145,22 +151,6 @@ def spread(num_files: int, weights: list[int]) -> list[int]:
     return base
 
 
-def _fs(uri: str):
-    from pyarrow import fs as pafs
-
-    if uri.startswith("file:") or "://" not in uri:
-        return pafs.LocalFileSystem(), local_path(uri)
-    return pafs.FileSystem.from_uri(uri)
-
-
-def delete_tree(uri: str) -> None:
-    fs, p = _fs(uri)
-    from pyarrow import fs as pafs
-
-    if fs.get_file_info(p).type != pafs.FileType.NotFound:
-        fs.delete_dir(p)
-
-
 def _writer(df: DataFrame, info_provider: str, options: dict):
     w = df.write.format(info_provider).option("maxRecordsPerFile", 0)
     for k, v in options.items():
@@ -168,46 +158,38 @@ def _writer(df: DataFrame, info_provider: str, options: dict):
     return w
 
 
-def _verify(source: DataFrame, staged: DataFrame, cols: list[str], mode: str = "digest") -> None:
-    """``digest``: row count and order-insensitive hash (reads every column of
-    both sides); ``count``: row counts only (Parquet answers from footers)."""
+def observed(df: DataFrame, cols: list[str]) -> tuple[DataFrame, Observation]:
+    """``df``, and an observation of its row count and digest that the next write fills."""
+    seen = Observation()
+    return df.observe(seen, *digest_columns(df, cols)), seen
+
+
+def _verify(seen: dict, staged: DataFrame, cols: list[str], mode: str = "digest") -> None:
+    """``digest``: row count and order-insensitive hash of the staged files;
+    ``count``: row counts only (Parquet answers from footers)."""
     if mode == "count":
-        a, b = source.count(), staged.count()
-        if a != b:
-            raise CompactionError(f"staged rows {b} != source rows {a}")
+        n = staged.count()
+        if n != seen["rows"]:
+            raise CompactionError(f"staged rows {n} != source rows {seen['rows']}")
         return
-    a = fingerprint(source.select(*cols)).first()
     b = fingerprint(staged.select(*cols)).first()
-    if a["rows"] != b["rows"] or a["digest"] != b["digest"]:
-        raise CompactionError(f"staged data differs: {a} vs {b}")
+    if seen["rows"] != b["rows"] or seen["digest"] != b["digest"]:
+        raise CompactionError(f"staged data differs: {seen} vs {b}")
 
 
 def _read_staged(spark: SparkSession, info: TableInfo, schema, path: str) -> DataFrame:
-    r = spark.read.format(info.provider).schema(schema)
-    for k, v in info.options.items():
-        r = r.option(k, v)
-    return r.load(path)
-
-
-def partition_location(spark: SparkSession, table: str, spec_sql: str) -> str:
-    """The partition's own ``Location`` (DESCRIBE also lists the table's, later)."""
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table} PARTITION ({spec_sql})").collect()
-    seen = False
-    for r in rows:
-        if r[0] == "# Detailed Partition Information":
-            seen = True
-        elif seen and r[0] == "Location":
-            return r[1]
-    raise CompactionError(f"no location for partition ({spec_sql}) of {table}")
+    return spark.read.format(info.provider).schema(schema).options(**info.options).option("basePath", path).load(path)
 
 
 def _staged_partitioned_write(spark: SparkSession, sel: DataFrame, pcols: list[str],
                               data_cols: list[str], stats: list, counts: list[int],
-                              fmt: str, options: dict, staged_root: str) -> None:
+                              fmt: str, options: dict, staged_root: str) -> dict:
     """Write ``sel`` partitioned by ``pcols`` with exactly ``counts[i]`` write
     tasks for the partition of ``stats[i]``: one shuffle through
-    ``repartitionById(offset_p + salt(row, n_p))``.  The (partition -> offset,
-    count) table has one row per partition and is broadcast below a limit."""
+    ``repartitionById(offset_p + salt(row, n_p))``.  The row's hash is taken on
+    the scan, before any join, so a retried task repeats it.  The (partition ->
+    offset, count) table has one row per partition; Spark broadcasts it if it is
+    small.  Returns the row count and digest of ``sel``."""
     offsets, acc = [], 0
     for c in counts:
         offsets.append(acc)
@@ -215,28 +197,141 @@ def _staged_partitioned_write(spark: SparkSession, sel: DataFrame, pcols: list[s
     plan_rows = [tuple(r[c] for c in pcols) + (o, c) for r, o, c in zip(stats, offsets, counts)]
     plan_df = spark.createDataFrame(
         plan_rows, sel.select(*pcols).schema.add("_off", "long").add("_n", "long"))
-    if len(plan_rows) <= _BROADCAST_PARTITION_LIMIT:
-        plan_df = F.broadcast(plan_df)
+    hashed, seen = observed(sel.withColumn("_h", salt_hash(data_cols)), sel.columns)
     # eqNullSafe keeps rows of the null partition.
-    cond = [sel[c].eqNullSafe(plan_df[c]) for c in pcols]
-    tagged = sel.join(plan_df, cond, "inner").select(
-        *[sel[c] for c in sel.columns],
-        (plan_df["_off"] + salt(sel, plan_df["_n"], data_cols)).cast("int").alias("_pid"))
+    cond = [hashed[c].eqNullSafe(plan_df[c]) for c in pcols]
+    tagged = hashed.join(plan_df, cond, "inner").select(
+        *[hashed[c] for c in sel.columns],
+        (plan_df["_off"] + F.pmod(hashed["_h"], plan_df["_n"])).cast("int").alias("_pid"))
     (_writer(tagged.repartitionById(acc, "_pid").drop("_pid"), fmt, options)
      .partitionBy(*pcols).save(staged_root))
+    return seen.get
+
+
+def _unescaped(value: Column) -> Column:
+    """A partition value from its folder name (``%XX`` stands for a byte)."""
+    text = F.url_decode(F.replace(value, F.lit("+"), F.lit("%2B")))
+    return F.when(value != "__HIVE_DEFAULT_PARTITION__", text)
+
+
+def listing(spark: SparkSession, root: str, pcols: list[str], types: dict[str, str]) -> DataFrame:
+    """Files below ``root`` with their partition values: ``pcols..., dir, path, length, modified``."""
+    files = list_files(spark, root)
+    folder = F.regexp_replace("path", "/[^/]*$", "")
+    values = [_unescaped(F.regexp_extract("rel", f"(?:^|/){re.escape(c)}=([^/]*)/", 1)).cast(types[c]).alias(c) for c in pcols]
+    if pcols:
+        files = files.where(F.col("rel").contains("="))
+    return files.select(*values, folder.alias("dir"), "path", "length", "modified")
+
+
+def _own(files: DataFrame, root: str, pcols: list[str]) -> DataFrame:
+    """Without partition columns, a table's files lie directly below its root."""
+    depth = _path_part(root).rstrip("/").count("/") + 1
+    return files if pcols else files.where(F.size(F.split(F.regexp_replace("path", r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?", ""), "/")) == depth + 1)
+
+
+def recorded(files: DataFrame) -> dict[str, tuple]:
+    """Path to size and time of files; as many rows as a scan of them plans with."""
+    return {r["path"]: (r["length"], r["modified"]) for r in files.select("path", "length", "modified").collect()}
+
+
+def _known_names(files: dict[str, tuple]) -> dict[str, set[str]]:
+    out: dict[str, set[str]] = {}
+    for p in files:
+        folder, name = p.rsplit("/", 1)
+        out.setdefault(folder, set()).add(name)
+    return out
+
+
+def _same_files(before: dict[str, tuple], files: DataFrame) -> None:
+    now = recorded(files)
+    if now != before:
+        moved = sorted(set(now.items()) ^ set(before.items()))[:3]
+        raise CompactionError(f"files changed while the work was under way: {moved}")
+
+
+def _rel(path: str, root: str) -> str:
+    """The part of ``path`` below ``root``, whatever the spelling of the scheme."""
+    return _path_part(path)[len(_path_part(root).rstrip("/")):]
+
+
+def _path_part(uri: str) -> str:
+    return re.sub(r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?", "", uri)
 
 
-def _leaf_dirs(df: DataFrame, pcols: list[str]) -> dict:
-    """Partition values -> directory holding that partition's files (one row
-    per partition comes back to the driver)."""
-    return {tuple(r[c] for c in pcols): unquote(r["_f"].rsplit("/", 1)[0])
-            for r in df.groupBy(*pcols).agg(F.min(F.col("_metadata.file_path")).alias("_f")).collect()}
+def _rewrite(spark: SparkSession, name: str, root: str, src: DataFrame, pcols: list[str], fmt: str, options: dict, *,
+             cond: Column | None, num_files: int | None, spread_total: bool, target_bytes: int, verify: str,
+             small_bytes: int | None, fail_before_publish: bool, spec_text: str | None, refresh) -> DataFrame:
+    """Compact the files of ``src`` below ``root``; returns a report row."""
+    root = root.rstrip("/")
+    types = dict(src.dtypes)
+    files = _own(listing(spark, root, pcols, types), root, pcols)
+    sel = src
+    if cond is not None:
+        files, sel = files.where(cond), sel.where(cond)
+    if small_bytes is not None:
+        files = files.where(F.col("length") < small_bytes)
+        sel = sel.where(F.col("_metadata.file_size") < small_bytes)
+    before = recorded(files)
+    stats = (files.groupBy(*pcols, "dir").agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
+             .orderBy(*pcols, "dir").collect())
+    if not stats:
+        return _report(spark, name, spec_text, 0, 0, 0, 0, 0, "nothing to compact")
+    if spread_total and num_files is not None and pcols:
+        counts = spread(int(num_files), [r["bytes"] for r in stats])
+    else:
+        counts = [files_for(r["bytes"], num_files, target_bytes) for r in stats]
+    store = Store(spark, root)
+    stamp = f"{int(time.time() * 1000)}"
+    # beside an unpartitioned table, hidden inside a partitioned one
+    staged, backup = (f"{root}/_compact-{stamp}", f"{root}/_old-{stamp}") if pcols else (f"{root}.compact-{stamp}", f"{root}.old-{stamp}")
+    swap = Swap(store, backup)
+    try:
+        if pcols:
+            data_cols = [c for c in src.columns if c not in pcols]
+            seen = _staged_partitioned_write(spark, sel, pcols, data_cols, stats, counts, fmt, options, staged)
+        else:
+            watched, seen = observed(sel, sel.columns)
+            _writer(watched.repartition(counts[0]), fmt, options).save(staged)
+            seen = seen.get
+        r = spark.read.format(fmt).schema(src.schema).options(**options)
+        _verify(seen, r.option("basePath", staged).load(staged), src.columns, verify)
+        if fail_before_publish:
+            raise CompactionError("injected failure before publish")
+        new = {_rel(r["dir"], staged): r["dir"] for r in listing(spark, staged, [], {}).select("dir").distinct().collect()}
+        now = _own(listing(spark, root, pcols, types), root, pcols)
+        now = now if cond is None else now.where(cond)
+        _same_files(before, now if small_bytes is None else now.where(F.col("length") < small_bytes))
+        known = _known_names(before)
+        pairs = [(r["dir"], new[_rel(r["dir"], root)]) for r in stats if _rel(r["dir"], root) in new]
+        if small_bytes is None:
+            for live, fresh in pairs:
+                swap.put(live, fresh)
+        else:  # the small files give way one by one; the folder and its other files stay
+            for live, fresh in pairs:
+                for n in sorted(known[live]):
+                    swap.put(f"{live}/{n}", None)
+                for n in store.names(fresh):
+                    if n[0] not in "._":
+                        swap.put(f"{live}/{n}", f"{fresh}/{n}")
+    except BaseException:
+        swap.undo()
+        store.delete(staged)
+        raise
+    refresh()
+    swap.finish(known if small_bytes is None else None)
+    store.delete(staged)
+    after_files = _own(listing(spark, root, pcols, types), root, pcols)
+    after = (after_files if cond is None else after_files.where(cond)).agg(F.count("*").alias("files"), F.sum("length").alias("bytes")).first()
+    fb, bb = sum(r["files"] for r in stats), sum(r["bytes"] for r in stats)
+    return _report(spark, name, spec_text, fb, after["files"], bb, after["bytes"], seen["rows"],
+                   f"{name}: {fb} files merged, {after['files']} files ({after['bytes']} bytes) now")
 
 
 def compact_table(spark: SparkSession, table: str, partition: dict | None = None,
                   num_files: int | None = None, target_bytes: int = DEFAULT_TARGET_BYTES,
                   fail_before_publish: bool = False, verify: str = "digest",
-                  where: Column | None = None) -> DataFrame:
+                  where: Column | None = None, small_bytes: int | None = None) -> DataFrame:
     """Rewrite ``table`` (or the partitions matching ``partition`` and
     ``where``) into fewer files.
 
@@ -250,6 +345,7 @@ def compact_table(spark: SparkSession, table: str, partition: dict | None = None
     Without it each partition gets ``ceil(bytes / target_bytes)`` files.
 
     ``verify`` is ``digest`` (default) or ``count``; see ``_verify``.
+    ``small_bytes`` merges only files smaller than that.
 
     Returns one report row (``REPORT_SCHEMA``).
     """
@@ -262,91 +358,14 @@ def compact_table(spark: SparkSession, table: str, partition: dict | None = None
         raise CompactionError(f"{table}: not partition columns: {sorted(unknown)}")
     if (partition or where is not None) and not info.partition_cols:
         raise CompactionError(f"{table} is not partitioned")
-    src = spark.table(table)
-    sel = src.where(partition_predicate(partition)) if partition else src
-    if where is not None:
-        sel = sel.where(where)
-    selected = bool(partition) or where is not None
-    stamp = str(int(time.time() * 1000))
-    spec_text = partition_spec_sql(partition) if partition else None
-
-    if not info.partition_cols:
-        st = file_stats(sel).first()
-        if not st or not st["files"]:
-            return _report(spark, table, spec_text, 0, 0, 0, 0, 0, "nothing to compact")
-        n = files_for(st["bytes"], num_files, target_bytes)
-        old = info.location
-        staged = f"{old.rstrip('/')}.compact-{stamp}"
-        _writer(sel.repartition(n), info.provider, info.options).save(staged)
-        _verify(sel, _read_staged(spark, info, src.schema, staged), src.columns, verify)
-        if fail_before_publish:
-            delete_tree(staged)
-            raise CompactionError("injected failure before publish")
-        try:
-            spark.sql(f"ALTER TABLE {table} SET LOCATION '{staged}'")
-            spark.catalog.refreshTable(table)
-        except Exception:
-            spark.sql(f"ALTER TABLE {table} SET LOCATION '{old}'")
-            spark.catalog.refreshTable(table)
-            raise
-        delete_tree(old)
-        after = file_stats(spark.table(table)).first()
-        return _report(spark, table, None, st["files"], after["files"], st["bytes"], after["bytes"],
-                       after["rows"], f"Compact table {table} of {after['bytes']} byte size "
-                       f"successfully with {after['files']} files")
-
-    pcols = info.partition_cols
-    stats = file_stats(sel, pcols).orderBy(*pcols).collect()
-    if not stats:
-        return _report(spark, table, spec_text, 0, 0, 0, 0, 0, "nothing to compact")
-    if num_files is not None and not selected:
-        counts = spread(int(num_files), [r["bytes"] for r in stats])
-    else:
-        counts = [files_for(r["bytes"], num_files, target_bytes) for r in stats]
-    staged_root = f"{info.location.rstrip('/')}/_compact-{stamp}"
-    _staged_partitioned_write(spark, sel, pcols, info.data_cols, stats, counts,
-                              info.provider, info.options, staged_root)
-    staged_df = _read_staged(spark, info, src.schema, staged_root)
-    _verify(sel, staged_df, src.columns, verify)
-    if fail_before_publish:
-        delete_tree(staged_root)
-        raise CompactionError("injected failure before publish")
-    # Directory of each staged partition, as Spark named it (one row per partition).
-    new_dirs = _leaf_dirs(staged_df, pcols)
-
-    moved: list[tuple[str, str]] = []
-    try:
-        for r in stats:
-            spec = {c: r[c] for c in pcols}
-            spec_sql = partition_spec_sql(spec)
-            old = partition_location(spark, table, spec_sql)
-            new = new_dirs[tuple(r[c] for c in pcols)]
-            spark.sql(f"ALTER TABLE {table} PARTITION ({spec_sql}) SET LOCATION '{new}'")
-            moved.append((spec_sql, old))
-    except Exception:
-        for spec_sql, old in moved:
-            spark.sql(f"ALTER TABLE {table} PARTITION ({spec_sql}) SET LOCATION '{old}'")
-        spark.catalog.refreshTable(table)
-        delete_tree(staged_root)
-        raise
-    spark.catalog.refreshTable(table)
-    root = info.location.rstrip("/")
-    for _, old in moved:
-        # Only a partition's own directory is removed, never the table root
-        # or anything holding the staged data.
-        o = old.rstrip("/")
-        if o != root and not staged_root.startswith(o + "/") and o.startswith(root + "/"):
-            delete_tree(o)
-    after_sel = spark.table(table)
-    if partition:
-        after_sel = after_sel.where(partition_predicate(partition))
+    cond = partition_predicate(partition) if partition else None
     if where is not None:
-        after_sel = after_sel.where(where)
-    after = file_stats(after_sel).first()
-    fb, bb = sum(r["files"] for r in stats), sum(r["bytes"] for r in stats)
-    return _report(spark, table, spec_text, fb, after["files"], bb, after["bytes"], after["rows"],
-                   f"Compact table {table} of {after['bytes']} byte size successfully "
-                   f"with {after['files']} files in {len(stats)} partitions")
+        cond = where if cond is None else cond & where
+    return _rewrite(spark, table, info.location, spark.table(table), info.partition_cols, info.provider, info.options,
+                    cond=cond, num_files=num_files, spread_total=cond is None, target_bytes=target_bytes, verify=verify,
+                    small_bytes=small_bytes, fail_before_publish=fail_before_publish,
+                    spec_text=partition_spec_sql(partition) if partition else None,
+                    refresh=lambda: spark.catalog.refreshTable(table))
 
 
 def _report(spark, table, part, fb, fa, bb, ba, rows, msg) -> DataFrame:
@@ -356,103 +375,21 @@ def _report(spark, table, part, fb, fa, bb, ba, rows, msg) -> DataFrame:
 def compact_path(spark: SparkSession, path: str, fmt: str = "parquet",
                  num_files: int | None = None, target_bytes: int = DEFAULT_TARGET_BYTES,
                  options: dict | None = None, fail_before_publish: bool = False,
-                 partition_by: list[str] | None = None, where: Column | None = None) -> DataFrame:
+                 partition_by: list[str] | None = None, where: Column | None = None,
+                 small_bytes: int | None = None) -> DataFrame:
     """Compact a path-only table by verified directory swaps.
 
-    Unpartitioned: staged -> verify -> rename ``path`` to ``path.old-<ts>`` ->
-    rename staged to ``path`` -> delete the old directory.  A failure before
-    the second rename moves the old directory back.
-
-    Partitioned (``partition_by`` names the ``k=v`` directory levels; ``where``
-    may select partitions): one staged write of all selected partitions under
-    ``path/_compact-<ts>``, verification, then per partition directory: move
-    it under ``path/_old-<ts>`` and move the staged one into its place.  Names
-    starting with ``_`` are hidden from partition discovery, so readers never
-    see the staged or old copies as partitions.  An error puts back every
-    directory already moved.
+    ``partition_by`` names the ``k=v`` directory levels; ``where`` may select
+    partitions; ``small_bytes`` merges only files smaller than that.  The work
+    is that of ``compact_table``; a failure leaves the path as it was.
     """
     options = options or {}
     path = qualify(path, spark)
-    if partition_by:
-        return _compact_path_partitioned(spark, path, fmt, num_files, target_bytes, options,
-                                         fail_before_publish, list(partition_by), where)
-    src = spark.read.format(fmt).options(**options).load(path)
-    st = file_stats(src).first()
-    if not st or not st["files"]:
-        return _report(spark, path, None, 0, 0, 0, 0, 0, "nothing to compact")
-    n = files_for(st["bytes"], num_files, target_bytes)
-    stamp = str(int(time.time() * 1000))
-    staged = f"{path.rstrip('/')}.compact-{stamp}"
-    _writer(src.repartition(n), fmt, options).save(staged)
-    _verify(src, spark.read.format(fmt).options(**options).schema(src.schema).load(staged), src.columns)
-    if fail_before_publish:
-        delete_tree(staged)
-        raise CompactionError("injected failure before publish")
-    fs, p = _fs(path)
-    _, sp = _fs(staged)
-    old = f"{p}.old-{stamp}"
-    fs.move(p, old)
-    try:
-        fs.move(sp, p)
-    except Exception:
-        fs.move(old, p)
-        raise
-    fs.delete_dir(old)
-    after = file_stats(spark.read.format(fmt).options(**options).load(path)).first()
-    return _report(spark, path, None, st["files"], after["files"], st["bytes"], after["bytes"],
-                   after["rows"], f"Compact path {path} of {after['bytes']} byte size "
-                   f"successfully with {after['files']} files")
-
-
-def _compact_path_partitioned(spark, path, fmt, num_files, target_bytes, options,
-                              fail_before_publish, pcols, where) -> DataFrame:
-    root = path.rstrip("/")
-    src = spark.read.format(fmt).options(**options).option("basePath", root).load(root)
+    pcols = list(partition_by or [])
+    src = spark.read.format(fmt).options(**options).option("basePath", path).load(path)
     missing = set(pcols) - set(src.columns)
     if missing:
         raise CompactionError(f"{path}: no partition columns {sorted(missing)}")
-    sel = src.where(where) if where is not None else src
-    stats = file_stats(sel, pcols).orderBy(*pcols).collect()
-    if not stats:
-        return _report(spark, path, None, 0, 0, 0, 0, 0, "nothing to compact")
-    counts = [files_for(r["bytes"], num_files, target_bytes) for r in stats]
-    old_dirs = _leaf_dirs(sel, pcols)
-    stamp = str(int(time.time() * 1000))
-    staged_root = f"{root}/_compact-{stamp}"
-    data_cols = [c for c in src.columns if c not in pcols]
-    _staged_partitioned_write(spark, sel, pcols, data_cols, stats, counts, fmt, options, staged_root)
-    staged_df = (spark.read.format(fmt).options(**options).schema(src.schema)
-                 .option("basePath", staged_root).load(staged_root))
-    _verify(sel, staged_df, src.columns)
-    if fail_before_publish:
-        delete_tree(staged_root)
-        raise CompactionError("injected failure before publish")
-    new_dirs = _leaf_dirs(staged_df, pcols)
-    fs, _ = _fs(root)
-    root_p = _fs(root)[1]
-    backup = f"{root_p}/_old-{stamp}"
-    done: list[tuple[str, str, str]] = []
-    try:
-        for key, old_uri in old_dirs.items():
-            old_p, new_p = _fs(old_uri)[1], _fs(new_dirs[key])[1]
-            bak = backup + old_p[len(root_p):]
-            fs.create_dir(bak.rsplit("/", 1)[0], recursive=True)
-            fs.move(old_p, bak)
-            fs.move(new_p, old_p)
-            done.append((old_p, new_p, bak))
-    except Exception:
-        for old_p, new_p, bak in reversed(done):
-            fs.move(old_p, new_p)
-            fs.move(bak, old_p)
-        raise
-    from pyarrow import fs as pafs
-
-    if fs.get_file_info(backup).type != pafs.FileType.NotFound:
-        fs.delete_dir(backup)
-    delete_tree(staged_root)
-    after = file_stats(spark.read.format(fmt).options(**options).option("basePath", root).load(root)
-                       .where(where if where is not None else F.lit(True))).first()
-    fb, bb = sum(r["files"] for r in stats), sum(r["bytes"] for r in stats)
-    return _report(spark, path, None, fb, after["files"], bb, after["bytes"], after["rows"],
-                   f"Compact path {path} of {after['bytes']} byte size successfully "
-                   f"with {after['files']} files in {len(stats)} partitions")
+    return _rewrite(spark, path, path, src, pcols, fmt, options, cond=where if pcols else None, num_files=num_files,
+                    spread_total=False, target_bytes=target_bytes, verify="digest", small_bytes=small_bytes,
+                    fail_before_publish=fail_before_publish, spec_text=None, refresh=lambda: None)

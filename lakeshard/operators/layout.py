@@ -29,8 +29,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeshard.functions.hashing import salt
-from lakeshard.operators.compact import (DEFAULT_TARGET_BYTES, compact_table, file_stats,
+from lakeshard.functions.hashing import salt, salt_hash
+from lakeshard.operators.compact import (DEFAULT_TARGET_BYTES, compact_table, file_stats, listing,
                                          table_info)
 
 
@@ -68,8 +68,9 @@ def write_ranged(df: DataFrame, path: str, n: int, keys: list[str], fmt: str = "
 
 def write_distributed(df: DataFrame, path: str, partition_by: list[str], fmt: str = "parquet",
                       mode: str = "errorifexists") -> str:
-    """``DISTRIBUTE BY`` the partition columns: one file per partition directory."""
-    return _save(df.repartition(*partition_by), path, fmt, mode, partition_by)
+    """``DISTRIBUTE BY`` the partition columns: one file per partition directory,
+    more where a directory's rows outgrow Spark's advisory partition size."""
+    return _save(df.hint("rebalance", *partition_by), path, fmt, mode, partition_by)
 
 
 def write_salted(df: DataFrame, path: str, partition_by: list[str], n: int,
@@ -109,23 +110,33 @@ def skew_split_key(df: DataFrame, key: str, hot, n: int = 8) -> Column:
 
 
 def write_skew_split(df: DataFrame, path: str, key: str, n: int | None = None, hot=None,
-                     share: float = 0.1, max_rows_per_task: int = 10_000_000,
+                     share: float | None = None, max_rows_per_task: int = 10_000_000,
                      partition_by=None, fmt: str = "parquet", mode: str = "errorifexists") -> str:
     """Hot keys spread over several tasks each, other keys one task per key.
 
-    ``hot`` defaults to ``hot_keys(df, key, share)`` - at most ``1/share``
-    values, so collecting them is bounded.  Each hot key gets ``n`` salts,
-    or, when ``n`` is None, ``ceil(rows / max_rows_per_task)`` salts from its
-    own row count, so its files stay the same size at any scale.
+    ``hot`` defaults to every key with more than ``max_rows_per_task`` rows,
+    whatever its share: there are at most ``rows / max_rows_per_task``.  With
+    ``share``, keys of at least that share of all rows are hot too.  Each
+    gets ``n`` salts, or, when ``n`` is None, ``ceil(rows /
+    max_rows_per_task)`` from its own row count, so its files stay the same
+    size at any scale.  The row's hash is taken before the join with them.
     """
-    if hot is None:
-        found = hot_keys(df, key, share).collect()
-        hot = ({r[key]: n for r in found} if n else
-               {r[key]: max(1, -(-r["rows"] // max_rows_per_task)) for r in found})
+    partitions = _num_partitions(df)
+    if hot is not None:
+        routed = df.repartition(partitions, F.col(key), skew_split_key(df, key, hot, n or 8))
+        return _save(routed, path, fmt, mode, partition_by)
+    salts = F.lit(n) if n else F.ceil(F.col("_rows") / F.lit(max_rows_per_task))
+    hot_rows = F.col("_rows") > max_rows_per_task
+    if share is not None:
+        hot_rows = hot_rows | (F.col("_rows") >= share * df.count())
+    big = (df.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_rows"))
+           .where(hot_rows).select("_key", salts.cast("int").alias("_salts")))
+    hashed = df.withColumn("_h", salt_hash(df.columns))
+    joined = hashed.join(big, F.col(key).eqNullSafe(F.col("_key")), "left")
     # An explicit partition count: AQE must not merge the salted hot-key
     # partitions back into one.
-    routed = df.repartition(_num_partitions(df), F.col(key), skew_split_key(df, key, hot, n or 8))
-    return _save(routed, path, fmt, mode, partition_by)
+    routed = joined.repartition(partitions, F.col(key), F.coalesce(F.pmod(F.col("_h"), F.col("_salts")), F.lit(0)))
+    return _save(routed.select(*df.columns), path, fmt, mode, partition_by)
 
 
 def write_rebalanced(df: DataFrame, path: str, partition_by: list[str] | None = None,
@@ -136,7 +147,10 @@ def write_rebalanced(df: DataFrame, path: str, partition_by: list[str] | None =
 
 
 def small_file_report(df: DataFrame, partition_by=(), small_bytes: int = 32 << 20) -> DataFrame:
-    """Per partition: ``files, bytes, rows, small_files, avg_file_bytes``."""
+    """Per partition of a scan: ``files, bytes, rows, small_files, avg_file_bytes``.
+
+    Counts what rows come from; ``table_file_report`` also sees files without rows.
+    """
     per_file = (df.select(*partition_by, F.col("_metadata.file_path").alias("_f"),
                           F.col("_metadata.file_size").alias("_s"))
                 .groupBy(*partition_by, "_f")
@@ -148,26 +162,42 @@ def small_file_report(df: DataFrame, partition_by=(), small_bytes: int = 32 << 2
             .withColumn("avg_file_bytes", (F.col("bytes") / F.col("files")).cast("long")))
 
 
+def table_file_report(spark: SparkSession, table: str, small_bytes: int = 32 << 20) -> DataFrame:
+    """Per partition of catalog ``table``: ``files, bytes, small_files, avg_file_bytes``.
+
+    Counted from a listing, so files without rows are there too and no data is read.
+    """
+    info = table_info(spark, table)
+    files = listing(spark, info.location, info.partition_cols, dict(spark.table(table).dtypes))
+    return (files.groupBy(*info.partition_cols)
+            .agg(F.count("*").alias("files"), F.sum("length").alias("bytes"),
+                 F.sum(F.when(F.col("length") < small_bytes, 1).otherwise(0)).alias("small_files"))
+            .where("files > 0")
+            .withColumn("avg_file_bytes", (F.col("bytes") / F.col("files")).cast("long")))
+
+
 def auto_compact(spark: SparkSession, table: str, min_small_files: int = 16,
                  small_bytes: int = 32 << 20, major: bool = False,
                  target_bytes: int = DEFAULT_TARGET_BYTES) -> list[DataFrame]:
     """Compact the partitions (or the table) that crossed the small-file trigger.
 
-    Minor (default): only partitions with more than ``min_small_files`` files
-    under ``small_bytes``.  Major: every partition with more than one file.
+    Minor (default): partitions with more than ``min_small_files`` files under
+    ``small_bytes``; only those files are merged, larger ones stay in place.
+    Major: every partition with more than one file, all of its files.
     Returns the compaction reports.
     """
     info = table_info(spark, table)
     pcols = info.partition_cols
-    rep = small_file_report(spark.table(table), pcols, small_bytes)
+    rep = table_file_report(spark, table, small_bytes)
     trig = F.col("files") > 1 if major else F.col("small_files") > min_small_files
     # One row per partition that crossed the trigger: catalog-sized.
     due = rep.where(trig).select(*pcols).collect() if pcols else rep.where(trig).collect()
     if not due:
         return []
+    small = None if major else small_bytes
     if not pcols:
-        return [compact_table(spark, table, target_bytes=target_bytes)]
-    return [compact_table(spark, table, target_bytes=target_bytes,
+        return [compact_table(spark, table, target_bytes=target_bytes, small_bytes=small)]
+    return [compact_table(spark, table, target_bytes=target_bytes, small_bytes=small,
                           where=partitions_in(spark.table(table), pcols, due))]
 
 

@@ -19,13 +19,13 @@ from __future__ import annotations
 
 import time
 from dataclasses import dataclass, field
-from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from lakeshard.operators.compact import (_read_staged, delete_tree, partition_location,
-                                         partition_spec_sql, table_info)
+from lakeshard.operators.compact import (_known_names, _read_staged, _rel, _same_files, listing,
+                                         partition_spec_sql, recorded, table_info)
+from lakeshard.sources.hadoop import Store, Swap
 
 
 class MergeError(RuntimeError):
@@ -101,16 +101,19 @@ def merge_rows(target: DataFrame, source: DataFrame, on: list[str], clauses: lis
     types = dict(target.dtypes)
     t = target.alias("t")
     s = source.alias("s")
-    if check_duplicates:
+    if check_duplicates and any(c.kind == "matched" for c in clauses):
         any_null = F.lit(False)
         for k in on:
             any_null = any_null | F.col(k).isNull()
         dup = (source.where(~any_null)
                .groupBy(*on).agg(F.count(F.lit(1)).alias("_c")).where("_c > 1")
-               .join(target.select(*on).distinct(), on, "left_semi"))
+               .join(target.select(*on), on, "left_semi"))
         if dup.limit(1).count():
             raise MergeError("a target row matches more than one source row")
 
+    if not any(c.kind != "not_matched" for c in clauses):  # no target row changes
+        return target.unionByName(_inserted(target, source, on, clauses))
+
     keys = F.lit(True)
     for k in on:
         keys = keys & (F.col(f"t.{k}") == F.col(f"s.{k}"))
@@ -118,18 +121,11 @@ def merge_rows(target: DataFrame, source: DataFrame, on: list[str], clauses: lis
     joined = t.join(s_flag, keys, "left")
     matched = F.col("s._s_present").isNotNull()
 
-    def apply(clauses_of_kind, base_ok: Column):
-        """Index of the first clause whose condition holds, else NULL."""
-        action = F.lit(None).cast("int")
-        for i, c in reversed(list(enumerate(clauses_of_kind))):
-            action = F.when(base_ok & _true(c.cond), F.lit(i)).otherwise(action)
-        return action
-
     m_cl = [c for c in clauses if c.kind == "matched"]
     b_cl = [c for c in clauses if c.kind == "not_matched_by_source"]
     i_cl = [c for c in clauses if c.kind == "not_matched"]
-    a_m = apply(m_cl, matched)
-    a_b = apply(b_cl, ~matched)
+    a_m = _first_clause(m_cl, matched)
+    a_b = _first_clause(b_cl, ~matched)
     joined = joined.withColumn("_am", a_m).withColumn("_ab", a_b)
 
     def value(c: str) -> Column:
@@ -153,11 +149,24 @@ def merge_rows(target: DataFrame, source: DataFrame, on: list[str], clauses: lis
             deleted = deleted | F.coalesce(F.col("_ab") == i, F.lit(False))
     kept = joined.where(~deleted).select(*[value(c) for c in cols])
 
-    if not i_cl:
-        return kept
+    return kept.unionByName(_inserted(target, source, on, clauses)) if i_cl else kept
+
+
+def _first_clause(clauses: list[When], base_ok: Column) -> Column:
+    """Index of the first clause whose condition holds, else NULL."""
+    action = F.lit(None).cast("int")
+    for i, c in reversed(list(enumerate(clauses))):
+        action = F.when(base_ok & _true(c.cond), F.lit(i)).otherwise(action)
+    return action
+
+
+def _inserted(target: DataFrame, source: DataFrame, on: list[str], clauses: list[When]) -> DataFrame:
+    """Source rows that match no target row, as the ``not_matched`` clauses insert them."""
+    cols, types, s = target.columns, dict(target.dtypes), source.alias("s")
+    i_cl = [c for c in clauses if c.kind == "not_matched"]
     tkeys = target.select(*on).distinct()
     unmatched = s.join(tkeys.alias("k"), [F.col(f"s.{k}") == F.col(f"k.{k}") for k in on], "left_anti")
-    a_i = apply(i_cl, F.lit(True))
+    a_i = _first_clause(i_cl, F.lit(True))
     unmatched = unmatched.withColumn("_ai", a_i).where(F.col("_ai").isNotNull())
     ins_val = {}
     for c in cols:
@@ -167,93 +176,74 @@ def merge_rows(target: DataFrame, source: DataFrame, on: list[str], clauses: lis
             if e is not None:
                 v = F.when(F.col("_ai") == i, e.cast(types[c])).otherwise(v)
         ins_val[c] = v.alias(c)
-    inserted = unmatched.select(*[ins_val[c] for c in cols])
-    return kept.unionByName(inserted)
+    return unmatched.select(*[ins_val[c] for c in cols])
 
 
 def publish(spark: SparkSession, table: str, new_rows: DataFrame,
             partitions: Column | None = None) -> DataFrame:
     """Replace rows of catalog ``table`` with ``new_rows``; returns ``(rows)``.
 
-    Unpartitioned: stage a full copy next to the table, check its row count,
-    swap the table location, delete the old files.
+    The new rows are staged once, counted by the write itself and checked
+    against the staged files; then staged folders are renamed into the place
+    of the live ones, so path readers see what table readers see.  It is given
+    up if the table's files changed meanwhile.
 
     Partitioned: ``partitions`` (a predicate on partition columns, default
     all) names the partitions being replaced, and ``new_rows`` must only hold
-    rows of those partitions.  The new rows are staged under the table root
-    with ``partitionBy``; then each staged partition is pointed to with
-    ``SET LOCATION`` (or ``ADD PARTITION`` if new) and replaced partitions
-    left without rows are dropped.  Any error restores the previous catalog
-    state; old directories are deleted only at the end.
+    rows of those partitions.  New partitions are added to the catalog,
+    replaced ones left without rows are dropped.  Any error restores folders
+    and catalog; old files are deleted only at the end.
     """
     info = table_info(spark, table)
     src_schema = spark.table(table).schema
+    pcols, root = info.partition_cols, info.location.rstrip("/")
+    types = dict(spark.table(table).dtypes)
     new_rows = new_rows.select(*[F.col(c).cast(f.dataType).alias(c) for c, f in
                                  zip(src_schema.names, src_schema.fields)])
-    stamp = int(time.time() * 1000)
-    if not info.partition_cols:
-        staged = f"{info.location.rstrip('/')}.rewrite-{stamp}"
-        new_rows.write.format(info.provider).options(**info.options).save(staged)
-        # Count once from the new rows' plan (still reading the old files) and
-        # once from the staged files: they must agree before the swap.
-        expect = new_rows.count()
-        got = _read_staged(spark, info, src_schema, staged).count()
-        if expect != got:
-            delete_tree(staged)
-            raise MergeError(f"staged rows {got} != expected {expect}")
-        old = info.location
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{staged}'")
-        spark.catalog.refreshTable(table)
-        delete_tree(old)
-        return spark.createDataFrame([(got,)], "rows bigint")
-
-    pcols = info.partition_cols
     scope = F.lit(True) if partitions is None else F.coalesce(partitions, F.lit(False))
-    if new_rows.where(~scope).limit(1).count():
-        raise MergeError("new_rows holds rows outside the partitions being replaced")
-    root = info.location.rstrip("/")
-    staged_root = f"{root}/_rewrite-{stamp}"
-    new_rows.write.format(info.provider).options(**info.options).partitionBy(*pcols).save(staged_root)
-    expect = new_rows.count()
-    staged_df = _read_staged(spark, info, src_schema, staged_root)
-    got = staged_df.count()
-    if expect != got:
-        delete_tree(staged_root)
-        raise MergeError(f"staged rows {got} != expected {expect}")
-    # One row per partition on both sides: catalog-sized, not data-sized.
-    new_dirs = {tuple(r[c] for c in pcols): unquote(r["_f"].rsplit("/", 1)[0])
-                for r in staged_df.groupBy(*pcols)
-                .agg(F.min(F.col("_metadata.file_path")).alias("_f")).collect()}
-    old_parts = {tuple(r[c] for c in pcols) for r in
-                 spark.table(table).where(scope).select(*pcols).distinct().collect()}
-    undo: list[str] = []
-    to_delete: list[str] = []
+    store, stamp = Store(spark, root), int(time.time() * 1000)
+    staged, backup = (f"{root}/_rewrite-{stamp}", f"{root}/_old-{stamp}") if pcols else (f"{root}.rewrite-{stamp}", f"{root}.old-{stamp}")
+    swap, undo = Swap(store, backup), []
+    # the rewrite is evaluated once: rows, and rows outside its partitions, are observed by the staged write
+    seen = Observation()
+    watched = new_rows.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(~scope).alias("outside"))
+    files = lambda: listing(spark, root, pcols, types).where(scope)
+    before = recorded(files())
     try:
-        for vals, new in new_dirs.items():
-            spec_sql = partition_spec_sql(dict(zip(pcols, vals)))
-            if vals in old_parts:
-                old = partition_location(spark, table, spec_sql)
-                spark.sql(f"ALTER TABLE {table} PARTITION ({spec_sql}) SET LOCATION '{new}'")
-                undo.append(f"ALTER TABLE {table} PARTITION ({spec_sql}) SET LOCATION '{old}'")
-                to_delete.append(old)
-            else:
-                spark.sql(f"ALTER TABLE {table} ADD PARTITION ({spec_sql}) LOCATION '{new}'")
-                undo.append(f"ALTER TABLE {table} DROP PARTITION ({spec_sql})")
-        for vals in old_parts - set(new_dirs):
-            spec_sql = partition_spec_sql(dict(zip(pcols, vals)))
-            old = partition_location(spark, table, spec_sql)
-            spark.sql(f"ALTER TABLE {table} DROP PARTITION ({spec_sql})")
-            undo.append(f"ALTER TABLE {table} ADD PARTITION ({spec_sql}) LOCATION '{old}'")
-            to_delete.append(old)
-    except Exception:
+        w = watched.write.format(info.provider).options(**info.options)
+        (w.partitionBy(*pcols) if pcols else w).save(staged)
+        if seen.get["outside"]:
+            raise MergeError("new_rows holds rows outside the partitions being replaced")
+        got = _read_staged(spark, info, src_schema, staged).count()
+        if seen.get["rows"] != got:
+            raise MergeError(f"staged rows {got} != expected {seen.get['rows']}")
+        _same_files(before, files())
+        if not pcols:
+            swap.put(root, staged)
+        else:
+            # one row per partition on both sides: catalog-sized, not data-sized
+            spec = lambda r: partition_spec_sql({c: r[c] for c in pcols})
+            fresh = {_rel(r["dir"], staged): r for r in listing(spark, staged, pcols, types).select(*pcols, "dir").distinct().collect()}
+            old = {_rel(r["dir"], root): r for r in files().select(*pcols, "dir").distinct().collect()}
+            listed = {r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+            for rel, r in sorted(fresh.items()):
+                swap.put(root + rel, r["dir"])
+                if rel.strip("/") not in listed:
+                    undo.append(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec(r)})")
+                    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({spec(r)})")
+            for rel, r in sorted(old.items()):
+                if rel not in fresh:
+                    swap.put(root + rel, None)
+                    undo.append(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({spec(r)})")
+                    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec(r)})")
+    except BaseException:
+        swap.undo()
         for stmt in reversed(undo):
             spark.sql(stmt)
+        store.delete(staged)
         spark.catalog.refreshTable(table)
-        delete_tree(staged_root)
         raise
     spark.catalog.refreshTable(table)
-    for old in to_delete:
-        o = old.rstrip("/")
-        if o != root and o.startswith(root + "/") and not staged_root.startswith(o + "/"):
-            delete_tree(o)
+    swap.finish(_known_names(before))
+    store.delete(staged)
     return spark.createDataFrame([(got,)], "rows bigint")

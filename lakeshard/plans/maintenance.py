@@ -88,7 +88,7 @@ def q_auto_compact(spark, sf_dir):
 @query("small_file_report")
 def q_small_file_report(spark, sf_dir):
     t = _catalog_copy(spark, read_table(spark, sf_dir, "orders"), "ls_rep", ["o_orderstatus"])
-    return lo.small_file_report(spark.table(t), ["o_orderstatus"], small_bytes=1 << 20)
+    return lo.table_file_report(spark, t, small_bytes=1 << 20)
 
 
 def _layout(spark, sf_dir, table, write, partitioned=False):
