@@ -1,6 +1,6 @@
 """Distributed directory copy with a manifest (survey A2).
 
-    listing (binaryFile: path, length; content never read)
+    walk (tasks list the tree level by level; hidden and empty files too)
       -> manifest (src, dst)           column expressions, no driver list
       -> repartition(max_concurrency)  at most that many copy tasks
       -> mapInPandas(copy)             streams each file, one row per file
@@ -27,9 +27,12 @@ MANIFEST_SCHEMA = "src string, dst string, length bigint, status string, error s
 _CHUNK = 8 << 20
 
 
-def _fs_and_path(uri: str):
-    from urllib.parse import unquote
+#: fixed values: other spellings of a scheme that pyarrow knows
+_SCHEMES = {"s3a": "s3", "s3n": "s3", "wasb": "abfs", "wasbs": "abfss"}
+
 
+def _fs_and_path(uri: str):
+    """File system and literal path of a URI; names are not decoded."""
     from pyarrow import fs as pafs
 
     if uri.startswith("file:") or "://" not in uri:
@@ -38,8 +41,11 @@ def _fs_and_path(uri: str):
             p = p[len("file://"):]
         elif p.startswith("file:"):
             p = p[len("file:"):]
-        return pafs.LocalFileSystem(), unquote(p) if "%" in p else p
-    return pafs.FileSystem.from_uri(uri)
+        return pafs.LocalFileSystem(), p
+    scheme, rest = uri.split("://", 1)
+    authority, _, path = rest.partition("/")
+    fs, base = pafs.FileSystem.from_uri(f"{_SCHEMES.get(scheme, scheme)}://{authority}/")
+    return fs, f"{base.rstrip('/')}/{path}"
 
 
 def _copy_partitions(ignore_failures: bool, overwrite: bool):
@@ -99,121 +105,101 @@ def copy_manifest(spark: SparkSession, source: str, target: str) -> DataFrame:
                         "length")
 
 
-def _hidden(rel: str) -> bool:
-    return any(part.startswith((".", "_")) for part in rel.split("/") if part)
-
-
-_HIDDEN_SCHEMA = "src string, dst string, length bigint"
+_FOUND = "rel string, is_dir boolean, length bigint"
 
 
-def _replicate_subtrees(source_root: str, target_root: str, include_hidden: bool):
-    """mapInPandas body: walk each listed subtree, create its directories and
-    zero-length files below the target, and return the hidden files (names
-    starting with ``.`` or ``_``, which Spark's listing skips) as manifest rows
-    when ``include_hidden``."""
+def _list_level(root: str, recursive: bool):
+    """mapInPandas body: entries of each listed folder (``rel``), or of its whole subtree."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs as pafs
 
-        sfs, sp = _fs_and_path(source_root)
-        dfs, dp = _fs_and_path(target_root)
+        fs, base = _fs_and_path(root)
         for pdf in batches:
-            hidden = {"src": [], "dst": [], "length": []}
             for rel in pdf["rel"]:
-                dfs.create_dir(dp + rel, recursive=True)
-                sel = pafs.FileSelector(sp + rel, recursive=True, allow_not_found=True)
-                for info in sfs.get_file_info(sel):
-                    sub = info.path[len(sp):]
-                    if info.type == pafs.FileType.Directory:
-                        dfs.create_dir(dp + sub, recursive=True)
-                    elif info.type != pafs.FileType.File:
-                        continue
-                    elif _hidden(sub):
-                        if include_hidden:
-                            hidden["src"].append(f"{source_root}{sub}")
-                            hidden["dst"].append(f"{target_root}{sub}")
-                            hidden["length"].append(info.size)
-                    elif info.size == 0:
-                        with dfs.open_output_stream(dp + sub):
-                            pass
-            if hidden["src"]:
-                yield pd.DataFrame({"src": hidden["src"], "dst": hidden["dst"],
-                                    "length": pd.Series(hidden["length"], dtype="int64")})
+                found = fs.get_file_info(pafs.FileSelector(base + rel, recursive=recursive, allow_not_found=True))
+                for at in range(0, len(found), 10_000):
+                    part = [i for i in found[at:at + 10_000] if i.type in (pafs.FileType.Directory, pafs.FileType.File)]
+                    yield pd.DataFrame({"rel": [i.path[len(base):] for i in part],
+                                        "is_dir": [i.type == pafs.FileType.Directory for i in part],
+                                        "length": pd.array([0 if i.type == pafs.FileType.Directory else i.size for i in part], "int64")})
 
     return run
 
 
-def _replicate_tree(spark: SparkSession, source: str, target: str,
-                    include_hidden: bool = False) -> DataFrame | None:
-    """Re-create the source's directories (empty ones too) and its zero-length
-    files, which Spark's file sources never return as rows.
+def walk_tree(spark: SparkSession, root: str, levels: int = 2) -> DataFrame:
+    """Every entry below ``root``, hidden and empty ones too: ``rel, is_dir, length``.
 
-    Only the root's own entries are listed on the driver; each top-level
-    subtree is walked by a Spark task.  Metadata only: no file body moves.
-    With ``include_hidden`` the hidden files found are returned as extra
-    manifest rows ``(src, dst, length)``, written once to the scratch folder.
+    Spark tasks list ``levels`` levels one by one, so wide trees are spread
+    over many tasks, and then the subtrees below.  The driver lists nothing.
     """
-    from pyarrow import fs as pafs
+    ship_package(spark)
+    root = qualify(root, spark)
+    n = spark.sparkContext.defaultParallelism
+    found, folders = [], spark.createDataFrame([("",)], "rel string")
+    for level in range(levels + 1):
+        last = level == levels
+        path = scratch_dir(spark, "copy-walk")
+        folders.repartition(n).mapInPandas(_list_level(root, last), _FOUND).write.mode("overwrite").parquet(path)
+        found.append(spark.read.schema(_FOUND).parquet(path))
+        folders = found[-1].where("is_dir").select("rel")
+    out = found[0]
+    for f in found[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def _make_dirs(target_root: str):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        fs, base = _fs_and_path(target_root)
+        for pdf in batches:
+            for rel in pdf["rel"]:
+                fs.create_dir(base + rel, recursive=True)
+            yield pdf
 
-    src, tgt = qualify(source, spark), qualify(target, spark)
-    sfs, sp = _fs_and_path(src)
-    dfs, dp = _fs_and_path(tgt)
-    dfs.create_dir(dp, recursive=True)
-    subdirs, root_hidden = [], []
-    for info in sfs.get_file_info(pafs.FileSelector(sp, recursive=False, allow_not_found=True)):
-        rel = info.path[len(sp):]
-        if info.type == pafs.FileType.Directory:
-            subdirs.append(rel)
-        elif info.type != pafs.FileType.File:
-            continue
-        elif _hidden(rel):
-            root_hidden.append((f"{src}{rel}", f"{tgt}{rel}", info.size))
-        elif info.size == 0:
-            with dfs.open_output_stream(dp + rel):
-                pass
-    found = None
-    if subdirs:
-        n = min(len(subdirs), spark.sparkContext.defaultParallelism)
-        found = (spark.createDataFrame([(r,) for r in subdirs], "rel string").repartition(n)
-                 .mapInPandas(_replicate_subtrees(src, tgt, include_hidden), _HIDDEN_SCHEMA))
+    return run
+
+
+def copy_manifest(spark: SparkSession, source: str, target: str, include_hidden: bool = True) -> DataFrame:
+    """``(src, dst, length)`` of every file below ``source``, empty ones too; relative paths kept."""
+    return _manifest(walk_tree(spark, source), qualify(source, spark), qualify(target, spark), include_hidden)
+
+
+def _manifest(tree: DataFrame, source: str, target: str, include_hidden: bool) -> DataFrame:
+    files = tree.where("NOT is_dir")
     if not include_hidden:
-        if found is not None:
-            found.write.format("noop").mode("overwrite").save()
-        return None
-    rows = spark.createDataFrame(root_hidden, _HIDDEN_SCHEMA)
-    if found is not None:
-        rows = rows.unionByName(found)
-    path = scratch_dir(spark, "copy-hidden")
-    rows.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+        files = files.where(~F.col("rel").rlike("/[._]"))
+    return files.select(F.concat(F.lit(source), "rel").alias("src"), F.concat(F.lit(target), "rel").alias("dst"), "length")
 
 
 def dist_copy(spark: SparkSession, source: str, target: str, ignore_failures: bool = False,
               max_concurrency: int = 1, overwrite: bool = True, copy_dirs: bool = True,
               manifest_path: str | None = None, extra_files: DataFrame | None = None,
-              include_hidden: bool = False) -> DataFrame:
+              include_hidden: bool = True) -> DataFrame:
     """Copy every file below ``source`` to the same relative path below ``target``.
 
     Returns the manifest ``(src, dst, length, status, error, run_user,
-    spark_version)`` read back from where it was written.  With
-    ``ignore_failures=False`` a failed file fails the job; otherwise it is a
-    ``failed`` row.  With ``overwrite=False`` existing targets are left alone
-    (status ``skipped``).  ``extra_files`` adds ``(src, dst, length)`` rows (for
-    files Spark's listing skips).  ``include_hidden`` also copies names
-    starting with ``.`` or ``_`` (found by the tree walk).
+    spark_version)`` read back from where it was written, a row for every
+    file.  Empty and hidden files are files like any other;
+    ``include_hidden=False`` leaves out names starting with ``.`` or ``_``.
+    With ``ignore_failures=False`` a failed file fails the job; otherwise it
+    is a ``failed`` row.  With ``overwrite=False`` existing targets are left
+    alone (status ``skipped``).  ``copy_dirs`` also re-creates empty
+    directories.  ``extra_files`` adds ``(src, dst, length)`` rows.
     """
     if max_concurrency < 1:
         raise ValueError("max_concurrency must be >= 1")
-    ship_package(spark)
-    hidden = None
-    if copy_dirs or include_hidden:
-        hidden = _replicate_tree(spark, source, target, include_hidden)
-    man = copy_manifest(spark, source, target)
-    if hidden is not None:
-        man = man.unionByName(hidden)
+    tree = walk_tree(spark, source)
+    src, tgt = qualify(source, spark), qualify(target, spark)
+    if copy_dirs:
+        dirs = tree.where("is_dir").select("rel").union(spark.createDataFrame([("",)], "rel string"))
+        (dirs.repartition(spark.sparkContext.defaultParallelism).mapInPandas(_make_dirs(tgt), "rel string")
+         .write.format("noop").mode("overwrite").save())
+    man = _manifest(tree, src, tgt, include_hidden)
     if extra_files is not None:
         man = man.unionByName(extra_files.select("src", "dst", "length"))
-    done = (man.repartition(max_concurrency)
+    # sorted by size first, round robin deals files of like size to all tasks
+    done = (man.sort(F.desc("length"), "src").repartition(max_concurrency)
             .mapInPandas(_copy_partitions(ignore_failures, overwrite), MANIFEST_SCHEMA))
     out = manifest_path or scratch_dir(spark, "copy-manifest")
     with_provenance(done).write.mode("overwrite").parquet(out)

@@ -23,7 +23,7 @@ from lakeshard.operators.profile import hash_sample, profile
 from lakeshard.operators.script import map_rows, reduce_groups
 from lakeshard.plans.registry import query
 from lakeshard.session import scratch_dir
-from lakeshard.sources.tables import read_table
+from lakeshard.sources.tables import TABLES, read_table
 
 _LINEITEM_ALL = "SELECT * FROM lineitem"
 _ORDERS_ALL = "SELECT * FROM orders"
@@ -85,10 +85,23 @@ def q_auto_compact(spark, sf_dir):
     return spark.table(t)
 
 
-@query("small_file_report")
+@query("auto_compact_minor", oracle=_ORDERS_ALL)
+def q_auto_compact_minor(spark, sf_dir):
+    """Many small files beside one large one: only the small ones are merged."""
+    o = read_table(spark, sf_dir, "orders")
+    t = _catalog_copy(spark, o.where("o_orderkey % 10 <> 0"), "ls_minor", pieces=1)
+    o.where("o_orderkey % 10 = 0").repartition(12).write.insertInto(t)
+    lo.auto_compact(spark, t, min_small_files=4, small_bytes=16 << 10)
+    return spark.table(t)
+
+
+@query("small_file_report", oracle="""
+SELECT o_orderstatus, 16 AS files, 16 AS small_files FROM orders GROUP BY o_orderstatus""")
 def q_small_file_report(spark, sf_dir):
     t = _catalog_copy(spark, read_table(spark, sf_dir, "orders"), "ls_rep", ["o_orderstatus"])
-    return lo.table_file_report(spark, t, small_bytes=1 << 20)
+    # sizes depend on the writer; the counts do not
+    return lo.table_file_report(spark, t, small_bytes=1 << 30).select(
+        "o_orderstatus", F.col("files").cast("int"), F.col("small_files").cast("int"))
 
 
 def _layout(spark, sf_dir, table, write, partitioned=False):
@@ -294,7 +307,7 @@ def q_transform_reduce(spark, sf_dir):
          .select("o_custkey", F.lit(1).cast("long").alias("n"), "o_totalprice"))
 
     def combine(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pdf.groupby("o_custkey", as_index=False).agg({"n": "sum", "o_totalprice": "sum"})
+        return pdf.groupby("o_custkey", as_index=False, dropna=False).agg({"n": "sum", "o_totalprice": "sum"})
 
     return reduce_groups(
         o, ["o_custkey"],
@@ -304,14 +317,34 @@ def q_transform_reduce(spark, sf_dir):
         schema="o_custkey long, n_orders long, total double", combine=combine)
 
 
+@query("transform_reduce_nulls", oracle="""
+SELECT o_orderpriority, count(*) AS n_rows, count(o_orderkey) AS n_orders
+FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY o_orderpriority""")
+def q_transform_reduce_nulls(spark, sf_dir):
+    """REDUCE over an outer join: the NULL key is one group like any other."""
+    c, o = read_table(spark, sf_dir, "customer"), read_table(spark, sf_dir, "orders")
+    rows = (c.join(o, c["c_custkey"] == o["o_custkey"], "left")
+            .select("o_orderpriority", F.lit(1).cast("long").alias("n"), F.when(F.col("o_orderkey").isNotNull(), 1).otherwise(0).cast("long").alias("k")))
+
+    def combine(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pdf.groupby("o_orderpriority", as_index=False, dropna=False).agg({"n": "sum", "k": "sum"})
+
+    return reduce_groups(
+        rows, ["o_orderpriority"], init=lambda: [0, 0],
+        step=lambda st, chunk: [st[0] + int(chunk["n"].sum()), st[1] + int(chunk["k"].sum())],
+        finish=lambda k, st: {"o_orderpriority": k[0], "n_rows": st[0], "n_orders": st[1]},
+        schema="o_orderpriority string, n_rows long, n_orders long", combine=combine)
+
+
 # -- copy, provenance ---------------------------------------------------------------
 
-@query("copy_manifest")
+@query("copy_manifest", oracle="SELECT * FROM (VALUES "
+       + ", ".join(f"('{t}.parquet', 'ok')" for t in TABLES) + ") AS t(name, status)")
 def q_copy_manifest(spark, sf_dir):
     """Copy the scale-factor folder (every table file) with 4 tasks."""
     target = scratch_dir(spark, "ls_copy")
     return dist_copy(spark, sf_dir, target, max_concurrency=4).select(
-        F.element_at(F.split("dst", "/"), -1).alias("name"), "length", "status")
+        F.element_at(F.split("dst", "/"), -1).alias("name"), "status")
 
 
 @query("provenance")
@@ -331,7 +364,7 @@ def q_streaming_compaction(spark, sf_dir):
     base = scratch_dir(spark, "ls_stream")
     ev.repartition(12).write.parquet(f"{base}/in")
     t = f"ls_stream_{uuid.uuid4().hex[:10]}"
-    ev.limit(0).write.format("parquet").option("path", f"{base}/table").saveAsTable(t)
+    spark.createDataFrame([], ev.schema).write.format("parquet").option("path", f"{base}/table").saveAsTable(t)
     stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 3).parquet(f"{base}/in")
     run_to_completion(stream, t, f"{base}/checkpoint", f"{base}/markers", every=2,
                       min_small_files=2, small_bytes=1 << 30)

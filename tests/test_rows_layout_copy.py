@@ -197,10 +197,10 @@ def test_copy_include_hidden(spark, tmpdir_path):
         with open(f"{src}/{rel}", "w") as f:
             f.write(body)
     plain = f"{tmpdir_path}/plain"
-    dist_copy(spark, src, plain)
+    dist_copy(spark, src, plain, include_hidden=False)
     assert os.path.exists(f"{plain}/d/x") and not os.path.exists(f"{plain}/.top")
     full = f"{tmpdir_path}/full"
-    man = dist_copy(spark, src, full, include_hidden=True, max_concurrency=2)
+    man = dist_copy(spark, src, full, max_concurrency=2)
     assert {r.status for r in man.collect()} == {"ok"}
     for rel in (".top", "d/x", "d/.git/HEAD", "d/_SUCCESS"):
         assert open(f"{full}/{rel}").read() == open(f"{src}/{rel}").read()
@@ -278,3 +278,47 @@ def test_rebalanced_and_partitioned_writes_keep_rows(spark, tmpdir_path):
     rep = {r.l_returnflag: r for r in lo.small_file_report(back, ["l_returnflag"], 1 << 30).collect()}
     assert all(r.small_files == r.files for r in rep.values())
     assert sum(r.rows for r in rep.values()) == li.count()
+
+
+def test_copy_is_whole(spark, tmpdir_path):
+    """Names with ``%``, empty and hidden files, and targets that must stay, one manifest row each."""
+    src, dst = f"{tmpdir_path}/whole", f"{tmpdir_path}/whole-to"
+    bodies = {"p%20q.txt": "1", "ts=10%3A00/x.txt": "2", "empty": "", "a/b/c/d/e": "3", "a/b/_SUCCESS": "", "a/.crc": "4", "kept": ""}
+    for rel, body in bodies.items():
+        os.makedirs(os.path.dirname(f"{src}/{rel}"), exist_ok=True)
+        with open(f"{src}/{rel}", "w") as f:
+            f.write(body)
+    os.makedirs(f"{src}/none/at/all/here")
+    os.makedirs(dst)
+    with open(f"{dst}/kept", "w") as f:
+        f.write("old")
+    man = dist_copy(spark, src, dst, overwrite=False, max_concurrency=3).collect()
+    assert {r.dst.split("whole-to/")[1]: (r.length, r.status) for r in man} == {
+        k: (len(v), "skipped" if k == "kept" else "ok") for k, v in bodies.items()}
+    for rel, body in bodies.items():
+        assert open(f"{dst}/{rel}").read() == ("old" if rel == "kept" else body)
+    assert os.path.isdir(f"{dst}/none/at/all/here")
+
+
+def test_reduce_groups_keeps_null_and_large_keys(spark):
+    from lakeshard.operators.script import reduce_groups
+
+    rows = [(None, 1), (9007199254740993, 1), (None, 2), (9007199254740992, 5), (None, 3), (9007199254740993, None)]
+    df = spark.createDataFrame(rows, "k long, v long")
+
+    def combine(pdf):
+        return pdf.groupby("k", as_index=False, dropna=False).agg({"v": "sum"})
+
+    for c in (None, combine):
+        got = reduce_groups(df.repartition(2), ["k"], init=lambda: 0, step=lambda s, x: s + int(x["v"].sum()),
+                            finish=lambda k, s: {"k": k[0], "s": s}, schema="k long, s long", combine=c).collect()
+        assert sorted(map(tuple, got), key=str) == sorted([(None, 6), (9007199254740993, 1), (9007199254740992, 5)], key=str)
+
+
+def test_two_level_agg_splits_the_null_key(spark):
+    from lakeshard.operators.script import two_level_agg
+
+    df = spark.createDataFrame([(None, float(i)) for i in range(900)] + [("a", 1.0)], "k string, v double")
+    got = {r.k: r for r in two_level_agg(df, ["k"], [F.count("*").alias("_n"), F.sum("v").alias("_s")],
+                                         [F.sum("_n").alias("n"), F.max("_n").alias("biggest"), F.sum("_s").alias("s")], 100).collect()}
+    assert got[None].n == 900 and got[None].biggest < 300 and got[None].s == sum(range(900)) and got["a"].n == 1
