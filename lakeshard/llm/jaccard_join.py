@@ -19,8 +19,9 @@ sets' lists of frequent shingles.  Pairs of neighbours in that extended prefix
 are the signatures, so there are no more of them than shingles.
 
 *Pruning.*  A set with more than its prefix of unshared shingles has no
-links at all.  A pair must have fitting sizes, and at most
-``(n1 + n2) / 9`` unshared shingles together.
+links at all.  A pair must have fitting sizes, and its symmetric difference
+is at most ``(n1 + n2) / 9``.  Unshared shingles count towards that, and so
+do the bits in which the parities of the sets' shared shingles differ.
 
 *Verification in two rounds.*  Each bucket compares all members with its
 member of the fewest unshared shingles.  The links found are contracted to
@@ -193,11 +194,13 @@ def _shared(frequent: int):
     return run
 
 
-_SIGNED = "sig long, class long, n long, unshared long"
+#: longs of parity bits of a set's shared shingles
+_BITS = 8
+_SIGNED = "sig long, class long, n long, unshared long, " + ", ".join(f"p{i} long" for i in range(_BITS))
 
 
 def _sign(threshold: int):
-    """A block's rows to ``sig, class, n, unshared``."""
+    """A block's rows to ``sig, class, n, unshared`` and, once a class, its parity bits."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         head = pdf[pdf["kind"] == 0].iloc[0]
@@ -210,7 +213,7 @@ def _sign(threshold: int):
                 owner.append(np.frombuffer(o, np.uint16 if len(o) == 2 * len(i) else np.uint32).astype(np.int64))
                 loud.append(np.frombuffer(c, bool) if kind == 1 else np.ones(len(i), bool))
         none = np.zeros(0, np.int64)
-        sig, who, un = none, none, none
+        sig, who, un, bits = none, none, none, np.zeros((0, _BITS), np.int64)
         if ids:
             ids, owner, loud = np.concatenate(ids), np.concatenate(owner), np.concatenate(loud)
             order = np.lexsort((ids, loud, owner))
@@ -231,7 +234,19 @@ def _sign(threshold: int):
             sig = np.concatenate((ids[single], joint)).view(np.int64)
             who = np.concatenate((owner[single], owner[both]))
             un = unshared[who]
-        return pd.DataFrame({"sig": sig, "class": name[who], "n": size[who], "unshared": un})
+            width = 64 * _BITS
+            odd = np.bincount(owner * width + (mix(ids) % np.uint64(width)).astype(np.int64), minlength=len(name) * width) & 1
+            parity = np.packbits(odd.astype(np.uint8).reshape(-1, width), axis=1).view(np.int64)
+            order = np.lexsort((sig, who))
+            sig, who, un = sig[order], who[order], un[order]
+            first = np.concatenate(([True], who[1:] != who[:-1]))[: len(who)]
+            bits = np.ma.MaskedArray(parity[who], np.repeat(~first[:, None], _BITS, axis=1))
+        out = pd.DataFrame({"sig": sig, "class": name[who], "n": size[who], "unshared": un})
+        for i in range(_BITS):
+            column = bits[:, i]
+            out[f"p{i}"] = pd.array(np.asarray(column), "Int64")
+            out.loc[np.ma.getmaskarray(column), f"p{i}"] = pd.NA
+        return out
 
     return run
 
@@ -254,6 +269,9 @@ def signatures(docs: DataFrame, known: DataFrame, *, k: int = SHINGLE, threshold
     return shared.groupBy("block").applyInPandas(_sign(threshold), _SIGNED).distinct()
 
 
+_PARITY = [f"p{i}" for i in range(_BITS)]
+
+
 # -- pairs -----------------------------------------------------------------
 
 def _fits(threshold: int):
@@ -330,13 +348,23 @@ def linked(docs: DataFrame, known: DataFrame, *, k: int = SHINGLE, threshold: in
 
     # members of a bucket outside its centre's component, against the bucket's members in other components
     name = root.select(F.col("node").alias("class"), "root")
-    member = (sigs.join(centre.select("sig", F.col("b").alias("centre")), "sig").join(name, "class", "left")
+    plain = sigs.drop(*_PARITY)
+    member = (plain.join(centre.select("sig", F.col("b").alias("centre")), "sig").join(name, "class", "left")
               .withColumn("root", F.coalesce("root", "class")))
     member = stored(member, "members")
     home = member.where(F.col("class") == F.col("centre")).select("sig", F.col("root").alias("home"))
-    out = member.join(home, "sig").where(F.col("root") != F.col("home"))
-    other = member.select("sig", F.col("class").alias("class2"), F.col("root").alias("root2"), F.col("n").alias("n2"), F.col("unshared").alias("unshared2"))
-    fits = (F.col("root") != F.col("root2")) & (F.col("class2") != F.col("centre")) & _fits(threshold)
+    placed = member.join(home, "sig")
+    out = placed.where(F.col("root") != F.col("home"))
+    # parity bits of the shared shingles bound the symmetric difference from below
+    bits = stored(sigs.where("p0 IS NOT NULL").select("class", *_PARITY).distinct(), "parity")
+    out = stored(out.join(bits, "class"), "open")
+    other = (placed.join(out.select("sig").distinct(), "sig", "left_semi").join(bits, "class")
+             .select("sig", F.col("class").alias("class2"), F.col("root").alias("root2"), F.col("home").alias("home2"), F.col("n").alias("n2"),
+                     F.col("unshared").alias("unshared2"), *[F.col(p).alias(f"{p}_2") for p in _PARITY]))
+    apart = sum((F.bit_count(F.col(p).bitwiseXOR(F.col(f"{p}_2"))) for p in _PARITY), F.col("unshared") + F.col("unshared2"))
+    once = (F.col("root2") == F.col("home2")) | (F.col("class") < F.col("class2"))
+    fits = ((F.col("root") != F.col("root2")) & (F.col("class2") != F.col("centre")) & once & _fits(threshold)
+            & (apart * (100 + threshold) <= (F.col("n") + F.col("n2")) * (100 - threshold)))
     late = (out.join(other, "sig").where(fits)
             .select(F.least("class", "class2").alias("a"), F.greatest("class", "class2").alias("b")).distinct())
     late = stored(late.join(star.select("a", "b").union(star.select("b", "a")), ["a", "b"], "left_anti"), "late")
