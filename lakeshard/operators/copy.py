@@ -149,6 +149,17 @@ def walk_tree(spark: SparkSession, root: str, levels: int = 2) -> DataFrame:
     return out
 
 
+def read_bytes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """mapInPandas body: add the ``content`` of each file ``path``."""
+    for pdf in batches:
+        content = []
+        for path in pdf["path"]:
+            fs, p = _fs_and_path(path)
+            with fs.open_input_stream(p) as f:
+                content.append(f.read())
+        yield pdf.assign(content=content)
+
+
 def _make_dirs(target_root: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fs, base = _fs_and_path(target_root)

@@ -39,3 +39,19 @@ def band_join(left: DataFrame, right: DataFrame, left_col: str, right_col: str,
         cond = cond & (lb[a] == rb[b])
     cond = cond & lb[left_col].between(rb[right_col] + low, rb[right_col] + high)
     return lb.join(rb, cond, how).drop(lb["_band_bin"]).drop(rb["_band_bin"])
+
+
+def not_in(df: DataFrame, key: str, sub: DataFrame, sub_key: str) -> DataFrame:
+    """Rows of ``df`` with ``key NOT IN (SELECT sub_key FROM sub)``, NULLs as in SQL.
+
+    Spark's own null-aware anti join broadcasts the whole subquery, however
+    large.  Here matching rows go by an ordinary anti join, and the two facts
+    that NULLs depend on, whether the subquery has rows and whether one of
+    them is NULL, come from a one-row aggregate.
+    """
+    keys = sub.select(F.col(sub_key).alias("_sub"))
+    facts = keys.agg(F.count("*").alias("_rows"), F.count_if(F.col("_sub").isNull()).alias("_nulls"))
+    rest = df.join(keys, F.col(key) == F.col("_sub"), "left_anti")
+    flagged = rest.join(F.broadcast(facts), F.lit(True))  # one row
+    keep = (F.col("_rows") == 0) | ((F.col("_nulls") == 0) & F.col(key).isNotNull())
+    return flagged.where(keep).select(*df.columns)

@@ -38,11 +38,13 @@ def hash_sample(df: DataFrame, key: str, num: int, den: int) -> DataFrame:
 
     Integral keys use ``pmod(key, den)``; other keys are hashed first.  The
     same key always lands in the same bucket, so samples of two tables on a
-    shared key join consistently.
+    shared key join consistently.  Rows without a key are a bucket like any
+    other, by the hash of NULL.
     """
     if not 0 <= num <= den or den < 1:
         raise ValueError("need 0 <= num <= den, den >= 1")
     dtype = dict(df.dtypes)[key]
     k: Column = F.col(key) if dtype in ("tinyint", "smallint", "int", "bigint") \
         else row_hash(df, [key])
+    k = F.coalesce(k, F.xxhash64(F.lit(None).cast(dtype)))
     return df.where(F.pmod(k, F.lit(den)) < F.lit(num))

@@ -64,6 +64,12 @@ def q_grouping_sets(spark, sf_dir):
                           "c_mktsegment", "c_nationkey").agg(F.count(F.lit(1)).alias("n"))
 
 
+sql_query("grouping_sets_nested", """
+SELECT c_mktsegment, c_nationkey, count(*) AS n FROM customer
+GROUP BY GROUPING SETS (ROLLUP (c_mktsegment, c_nationkey), (c_nationkey))""", oracle="""
+SELECT c_mktsegment, c_nationkey, count(*) AS n FROM customer
+GROUP BY GROUPING SETS ((c_mktsegment, c_nationkey), (c_mktsegment), (), (c_nationkey))""", group="aggregates")
+
 sql_query("grouping_concat", """
 SELECT o_orderstatus, o_orderpriority, year(o_orderdate) AS yr, count(*) AS n
 FROM orders GROUP BY o_orderstatus, CUBE (o_orderpriority), ROLLUP (year(o_orderdate))""", oracle="""

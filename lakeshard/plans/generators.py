@@ -54,9 +54,7 @@ SELECT c_custkey, CAST(length(c_name) AS INTEGER) AS n_len,
 def q_udf_scalar(spark, sf_dir):
     register_views(spark, sf_dir, ["customer"])
     spark.udf.register("name_len", name_len)
-    return spark.sql("SELECT c_custkey, name_len(c_name) AS n_len FROM customer").join(
-        Tables(spark, sf_dir).customer.select("c_custkey", name_len("c_mktsegment").alias("seg_len")),
-        "c_custkey")
+    return spark.sql("SELECT c_custkey, name_len(c_name) AS n_len, name_len(c_mktsegment) AS seg_len FROM customer")
 
 
 @pandas_udf(T.DoubleType())
@@ -82,7 +80,7 @@ def q_udaf_pandas(spark, sf_dir):
 
 
 @udtf(returnType=T.StructType([T.StructField("pos", T.IntegerType()),
-                                  T.StructField("part", T.StringType())]))
+                                  T.StructField("part", T.StringType())]), useArrow=True)
 class NameParts:
     def eval(self, name: str):
         for i, p in enumerate((name or "").split("#")):

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakeshard.operators.joins import band_join
+from lakeshard.operators.joins import band_join, not_in
 from lakeshard.plans.registry import query, sql_query
 from lakeshard.sources.tables import Tables
 
@@ -95,17 +95,17 @@ SELECT n_nationkey, n_name, s_suppkey FROM nation NATURAL JOIN
 
 
 @query("join_range", oracle="""
-SELECT c.c_custkey, s.s_suppkey FROM customer c JOIN supplier s
-  ON c.c_nationkey = s.s_nationkey AND c.c_acctbal BETWEEN s.s_acctbal - 100 AND s.s_acctbal + 100""")
+SELECT a.o_orderkey AS first_key, b.o_orderkey AS later_key FROM orders a JOIN orders b
+  ON a.o_custkey = b.o_custkey AND b.o_orderdate BETWEEN a.o_orderdate AND a.o_orderdate + INTERVAL 30 DAYS
+     AND a.o_orderkey <> b.o_orderkey""")
 def q_join_range(spark, sf_dir):
-    """Band join on balance inside a nation.  Equality on the nation alone
-    would pair every customer of a nation with every supplier of it; the bin
-    key on the balance keeps candidates to neighbouring 200-wide bins."""
-    t = Tables(spark, sf_dir)
-    c = t.customer.select("c_custkey", "c_nationkey", "c_acctbal")
-    s = t.supplier.select("s_suppkey", "s_nationkey", "s_acctbal")
-    return band_join(c, s, "c_acctbal", "s_acctbal", -100, 100,
-                     on=[("c_nationkey", "s_nationkey")]).select("c_custkey", "s_suppkey")
+    """Orders of one customer within 30 days of each other: the customer and
+    a 30-day bin are the join key, so candidates, and the answer, grow with the table."""
+    o = Tables(spark, sf_dir).orders.withColumn("day", F.datediff("o_orderdate", F.lit("1970-01-01").cast("date")))
+    a = o.select(F.col("o_orderkey").alias("first_key"), F.col("o_custkey").alias("c1"), F.col("day").alias("d1"))
+    b = o.select(F.col("o_orderkey").alias("later_key"), F.col("o_custkey").alias("c2"), F.col("day").alias("d2"))
+    return (band_join(b, a, "d2", "d1", 0, 30, on=[("c2", "c1")]).where("first_key <> later_key")
+            .select("first_key", "later_key"))
 
 
 sql_query("join_lateral", """
@@ -113,9 +113,11 @@ SELECT c.c_custkey, x.n, x.total FROM customer c,
   LATERAL (SELECT count(*) AS n, round(coalesce(sum(o.o_totalprice), 0), 2) AS total
            FROM orders o WHERE o.o_custkey = c.c_custkey) x""", oracle="same", group="joins")
 
-sql_query("not_in", """
-SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')""",
-          oracle="same", group="joins")
+@query("not_in", oracle="""
+SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')""")
+def q_not_in(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return not_in(t.customer, "c_custkey", t.orders.where("o_orderstatus = 'F'"), "o_custkey").select("c_custkey")
 
 
 @query("join_hint_broadcast", oracle="""

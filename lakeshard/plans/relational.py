@@ -193,3 +193,8 @@ SELECT ALL c_mktsegment, count(DISTINCT c_nationkey) AS nations, count(ALL c_cus
 FROM customer GROUP BY c_mktsegment""", oracle="""
 SELECT c_mktsegment, count(DISTINCT c_nationkey) AS nations, count(c_custkey) AS customers
 FROM customer GROUP BY c_mktsegment""", group="relational")
+
+
+sql_query("compare_not_greater", """
+SELECT o_orderkey FROM orders WHERE o_totalprice !> 50000 OR o_orderkey !< 59000""", oracle="""
+SELECT o_orderkey FROM orders WHERE o_totalprice <= 50000 OR o_orderkey >= 59000""", group="relational")

@@ -125,3 +125,10 @@ SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
 sql_query("current_context", """
 SELECT r_regionkey, current_date() AS today, current_timestamp() AS now, current_user() AS who
 FROM region""", oracle=None, group="scalars")
+
+
+sql_query("literal_suffixes", """
+SELECT n_nationkey, CAST(1.5F AS DOUBLE) AS f, 2.25D AS d, 7L AS l, CAST(3S AS INT) AS s, CAST(4Y AS INT) AS y,
+       CAST(DATE '2024-01-31' + INTERVAL '1' MONTH AS DATE) AS next_month FROM nation""", oracle="""
+SELECT n_nationkey, 1.5::DOUBLE AS f, 2.25::DOUBLE AS d, 7::BIGINT AS l, 3::INTEGER AS s, 4::INTEGER AS y,
+       DATE '2024-02-29' AS next_month FROM nation""", group="scalars")

@@ -85,7 +85,7 @@ def q_partition_by_year(spark, sf_dir):
     o = Tables(spark, sf_dir).orders.select("o_orderkey", "o_orderdate",
                                             F.year("o_orderdate").alias("o_year"))
     path = scratch_dir(spark, "by_year") + "/t"
-    o.repartition("o_year").write.partitionBy("o_year").parquet(path)
+    o.hint("rebalance", "o_year").write.partitionBy("o_year").parquet(path)
     return spark.read.parquet(path)
 
 
@@ -149,7 +149,7 @@ def q_write_directory(spark, sf_dir):
 SELECT 'small' AS bucket, o_orderkey FROM orders WHERE o_totalprice < 50000
 UNION ALL SELECT 'large' AS bucket, o_orderkey FROM orders WHERE o_totalprice >= 300000""")
 def q_multi_insert(spark, sf_dir):
-    """One scan of ``orders`` feeds two INSERTs."""
+    """One statement feeds two INSERTs; each reads its own columns with its own pushed filter."""
     register_views(spark, sf_dir, ["orders"])
     a, b = _name("mi_small"), _name("mi_large")
     for t in (a, b):
@@ -194,10 +194,12 @@ def q_repair_partitions(spark, sf_dir):
 WITH agg AS (SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey)
 SELECT a.o_custkey, a.n, a.n * 1.0 / (SELECT max(n) FROM agg) AS rel FROM agg a""")
 def q_cached_reuse(spark, sf_dir):
-    """The per-customer aggregate is cached and read twice (value and max)."""
-    agg = Tables(spark, sf_dir).orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n")).cache()
-    mx = agg.agg(F.max("n")).first()[0]  # one scalar
-    return agg.select("o_custkey", "n", (F.col("n") / F.lit(mx)).alias("rel"))
+    """The per-customer aggregate is cached and read twice (value and max, a
+    scalar subquery: nothing passes through the driver)."""
+    v = _name("per_customer")
+    (Tables(spark, sf_dir).orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
+     .cache().createOrReplaceTempView(v))
+    return spark.sql(f"SELECT o_custkey, n, n / (SELECT max(n) FROM {v}) AS rel FROM {v}")
 
 
 @query("view_query", oracle="""
@@ -304,3 +306,80 @@ def q_insert_with_hint(spark, sf_dir):
     spark.sql(f"INSERT INTO {t} SELECT /*+ REPARTITION(3) */ l_orderkey, l_linenumber, l_returnflag "
               f"FROM lineitem")
     return spark.table(t)
+
+
+@query("insert_static_partition", oracle="""
+SELECT o_orderkey, o_totalprice, 'F' AS status FROM orders WHERE o_orderstatus = 'F'
+UNION ALL SELECT o_orderkey, o_totalprice, 'F' AS status FROM orders WHERE o_orderstatus = 'O' AND o_totalprice > 200000""")
+def q_insert_static_partition(spark, sf_dir):
+    """``INSERT INTO t PARTITION (k = v)`` appends to a partition that already has rows."""
+    register_views(spark, sf_dir, ["orders"])
+    t = _name("ins_static")
+    spark.sql(f"CREATE TABLE {t} (o_orderkey BIGINT, o_totalprice DOUBLE, status STRING) USING parquet "
+              f"PARTITIONED BY (status) LOCATION '{scratch_dir(spark, t)}'")
+    for cond in ("o_orderstatus = 'F'", "o_orderstatus = 'O' AND o_totalprice > 200000"):
+        spark.sql(f"INSERT INTO {t} PARTITION (status = 'F') SELECT o_orderkey, o_totalprice FROM orders WHERE {cond}")
+    return spark.table(t)
+
+
+@query("view_persistent", oracle="""
+SELECT c_custkey, c_name FROM customer WHERE c_acctbal > 5000""")
+def q_view_persistent(spark, sf_dir):
+    """Persistent ``CREATE VIEW`` on a table, then ``ALTER VIEW ... AS``."""
+    t, v = _name("vp"), _name("v_persistent")
+    (Tables(spark, sf_dir).customer.select("c_custkey", "c_name", "c_acctbal").write.format("parquet")
+     .option("path", scratch_dir(spark, t)).saveAsTable(t))
+    spark.sql(f"CREATE VIEW {v} AS SELECT c_custkey FROM {t}")
+    spark.sql(f"ALTER VIEW {v} AS SELECT c_custkey, c_name FROM {t} WHERE c_acctbal > 5000")
+    return spark.table(v)
+
+
+@query("truncate_table", oracle="SELECT n_nationkey, n_name FROM nation WHERE n_regionkey = 1")
+def q_truncate_table(spark, sf_dir):
+    """``TRUNCATE TABLE`` empties a table; what is inserted later is all it holds."""
+    register_views(spark, sf_dir, ["nation"])
+    t = _name("trunc")
+    spark.sql(f"CREATE TABLE {t} USING parquet AS SELECT n_nationkey, n_name FROM nation")
+    spark.sql(f"TRUNCATE TABLE {t}")
+    spark.sql(f"INSERT INTO {t} SELECT n_nationkey, n_name FROM nation WHERE n_regionkey = 1")
+    return spark.table(t)
+
+
+@query("create_table_like", oracle="SELECT * FROM supplier")
+def q_create_table_like(spark, sf_dir):
+    """``CREATE TABLE ... LIKE`` takes schema and format, no rows."""
+    t, like = _name("like_src"), _name("like_dst")
+    s = Tables(spark, sf_dir).supplier
+    s.write.format("parquet").option("path", scratch_dir(spark, t)).saveAsTable(t)
+    spark.sql(f"CREATE TABLE {like} LIKE {t} USING parquet")
+    spark.table(t).write.insertInto(like)
+    return spark.table(like)
+
+
+@query("whole_text_files", oracle="""
+SELECT n_name AS doc, n_name || ' is in region ' || n_regionkey AS text FROM nation""")
+def q_whole_text_files(spark, sf_dir):
+    """Whole-file source: a folder of text files, one row a file, named by its stem."""
+    from lakeshard.sources.files import read_text_files
+
+    path = scratch_dir(spark, "texts") + "/t"
+    n = Tables(spark, sf_dir).nation
+    (n.select("n_name", F.concat("n_name", F.lit(" is in region "), "n_regionkey").alias("value"))
+     .repartition("n_name").write.partitionBy("n_name").text(path, lineSep=";"))
+    return read_text_files(spark, path, recursive=True).select(
+        F.replace(F.regexp_extract("path", "n_name=([^/]*)/", 1), F.lit("%20"), F.lit(" ")).alias("doc"),
+        F.regexp_replace("text", ";$", "").alias("text"))
+
+
+@query("pack_files", oracle="SELECT n_name AS name, length(n_name) AS length FROM nation")
+def q_pack_files(spark, sf_dir):
+    """Many small files packed into two Parquet containers, whole and with their names."""
+    from lakeshard.sources.files import pack_files
+
+    base = scratch_dir(spark, "pack")
+    n = Tables(spark, sf_dir).nation
+    n.select(F.col("n_name").alias("name"), F.col("n_name").alias("value")).repartition("name") \
+        .write.partitionBy("name").text(f"{base}/in", lineSep="\u0000")
+    packed = pack_files(spark, f"{base}/in", f"{base}/out", num_files=2).where("rel LIKE '%part-%' AND rel NOT LIKE '%.crc'")
+    return packed.select(F.replace(F.regexp_extract("rel", "name=([^/]*)/", 1), F.lit("%20"), F.lit(" ")).alias("name"),
+                         (F.length("content") - 1).cast("long").alias("length"))

@@ -68,26 +68,20 @@ SELECT o_orderkey, o_custkey,
                       RANGE BETWEEN INTERVAL 365 DAYS PRECEDING AND CURRENT ROW) AS n_last_year
 FROM orders""", oracle="same", group="windows")
 
-# Customers without 'P' orders give NULLs to skip.
+# Orders up to 300,000 give NULLs to skip; a customer's orders make a small window.
 sql_query("window_ignore_nulls", """
-SELECT c_custkey, c_nationkey,
-       last_value(p_orderkey) IGNORE NULLS OVER (PARTITION BY c_nationkey ORDER BY c_custkey
-                                                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS last_seen,
-       first_value(p_orderkey) IGNORE NULLS OVER (PARTITION BY c_nationkey ORDER BY c_custkey
-                                                 ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS first_seen
-FROM (SELECT c.c_custkey, c.c_nationkey, max(o.o_orderkey) AS p_orderkey
-      FROM customer c LEFT JOIN orders o ON c.c_custkey = o.o_custkey AND o.o_orderstatus = 'P'
-                                          AND o.o_totalprice > 300000
-      GROUP BY c.c_custkey, c.c_nationkey)""", oracle="""
-SELECT c_custkey, c_nationkey,
-       last_value(p_orderkey IGNORE NULLS) OVER (PARTITION BY c_nationkey ORDER BY c_custkey
-                                                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS last_seen,
-       first_value(p_orderkey IGNORE NULLS) OVER (PARTITION BY c_nationkey ORDER BY c_custkey
-                                                 ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS first_seen
-FROM (SELECT c.c_custkey, c.c_nationkey, max(o.o_orderkey) AS p_orderkey
-      FROM customer c LEFT JOIN orders o ON c.c_custkey = o.o_custkey AND o.o_orderstatus = 'P'
-                                          AND o.o_totalprice > 300000
-      GROUP BY c.c_custkey, c.c_nationkey)""", group="windows")
+SELECT o_orderkey, o_custkey,
+       last_value(big) IGNORE NULLS OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey
+                                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS last_big,
+       first_value(big) IGNORE NULLS OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey
+                                 ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS first_big
+FROM (SELECT *, CASE WHEN o_totalprice > 300000 THEN o_orderkey END AS big FROM orders)""", oracle="""
+SELECT o_orderkey, o_custkey,
+       last_value(big IGNORE NULLS) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey
+                                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS last_big,
+       first_value(big IGNORE NULLS) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey
+                                 ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS first_big
+FROM (SELECT *, CASE WHEN o_totalprice > 300000 THEN o_orderkey END AS big FROM orders)""", group="windows")
 
 
 @query("window_analytic", oracle="""
@@ -116,9 +110,9 @@ def q_window_analytic(spark, sf_dir):
 sql_query("window_distribute_sort", """
 SELECT o_orderkey, o_custkey,
        row_number() OVER (DISTRIBUTE BY o_custkey SORT BY o_orderdate, o_orderkey) AS rn,
-       count(*) OVER (CLUSTER BY o_orderpriority) AS per_priority
+       count(*) OVER (CLUSTER BY o_custkey) AS per_customer
 FROM orders""", oracle="""
 SELECT o_orderkey, o_custkey,
        CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS INTEGER) AS rn,
-       count(*) OVER (PARTITION BY o_orderpriority) AS per_priority
+       count(*) OVER (PARTITION BY o_custkey) AS per_customer
 FROM orders""", group="windows")

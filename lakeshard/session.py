@@ -79,6 +79,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return cur
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the whole cluster shares")
         conf_dir = tempfile.mkdtemp(prefix="lakeshard-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     sc.setCheckpointDir(conf_dir)

@@ -100,13 +100,22 @@ def pack_files(spark: SparkSession, root: str, out: str, num_files: int = 1,
     """Pack many small files into ``num_files`` Parquet container files.
 
     Rows are ``(path, rel, length, modified, content)``; returns the packed
-    table read back.
+    table read back.  Every file is packed: empty ones, and hidden ones (names
+    starting with ``_`` or ``.``), which Spark's file sources skip, are read by
+    a tree walk in tasks (``modified`` is null for them).
     """
+    from lakeshard.operators.copy import read_bytes, walk_tree
+
     base = _root_path_len(spark, root)
     df = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
           .load(escape_glob(root))
           .select("path",
                   F.substring(_path_part(F.col("path")), base + 2, 1 << 30).alias("rel"),
                   "length", F.col("modificationTime").alias("modified"), "content"))
-    df.repartition(num_files).write.mode(mode).parquet(out)
+    top = qualify(root, spark)
+    odd = (walk_tree(spark, root).where(~F.col("is_dir") & (F.col("rel").rlike("/[._]") | (F.col("length") == 0)))
+           .select(F.concat(F.lit(top), "rel").alias("path"), F.substring("rel", 2, 1 << 30).alias("rel"), "length"))
+    odd = odd.mapInPandas(read_bytes, "path string, rel string, length long, content binary")
+    both = df.unionByName(odd.withColumn("modified", F.lit(None).cast("timestamp")))
+    both.repartition(num_files).write.mode(mode).parquet(out)
     return spark.read.parquet(out)
