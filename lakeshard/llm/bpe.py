@@ -29,6 +29,7 @@ import hashlib
 import json
 import re
 import unicodedata
+from array import array
 from collections.abc import Iterator
 
 import ahocorasick
@@ -38,10 +39,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeshard.llm.chunks import LIMIT, TEXT_BYTES, ChunkCache
 from lakeshard.llm.common import pieces
 
-#: pieces in each of the two generations of a worker's cache, and pairs in its table, which starts anew when full
-CACHE = 300_000
+#: words in each of the two generations of a worker's cache; pairs in its table, which starts anew when full
+WORDS = 300_000
 PAIRS = 1_000_000
 _END = "</w>"
 _SHIFT = 0x10000
@@ -56,10 +58,14 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in own else chr(next(spare)) for b in range(256)]
 
 
+def _packed(ids: list[int]) -> bytes:
+    return array("i", ids).tobytes()
+
+
 class WordBpe:
     """Encoder and decoder of one vocabulary file."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, limit: int = LIMIT):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
@@ -91,8 +97,9 @@ class WordBpe:
         self._left: dict[int, list] = {}
         self._shorter: dict[int, int] = {}
         self._pairs: dict[int, bool] = {}
-        self._cache: dict[str, bytes] = {}
-        self._old: dict[str, bytes] = {}
+        self._chunks = ChunkCache(self._learn, limit)
+        self._known: dict[str, bytes] = {}
+        self._known_old: dict[str, bytes] = {}
         self._trie: dict = {}
         self._auto = ahocorasick.Automaton()
         for s, i in self._id.items():
@@ -199,8 +206,8 @@ class WordBpe:
                 token = self._prefix(token)
         return out
 
-    def encode_words(self, words: list[str]) -> list[list[int]]:
-        """Ids of many words of symbols: longest matches, put right where a pair is not compatible."""
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids (int32) of many words of symbols: longest matches, put right where a pair is not compatible."""
         if not words:
             return []
         matches = list(self._auto.iter_long("\n".join(words)))
@@ -221,12 +228,14 @@ class WordBpe:
         covered = np.bincount(owner, weights=self._lengths[ids], minlength=len(words))
         gaps = np.flatnonzero(covered != sizes)
         cut = np.searchsorted(owner, np.arange(len(words) + 1))
+        raw = ids.astype("<i4").tobytes()
+        cut = (cut * 4).tolist()
+        out = [raw[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
         flat = ids.tolist()
-        out = [flat[a:b] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
         for w, first in wrong.items():
-            out[w] = self.backtrack(words[w], flat[cut[w]:first])
+            out[w] = _packed(self.backtrack(words[w], flat[cut[w] // 4:first]))
         for w in gaps.tolist():
-            out[w] = self.backtrack("".join(c for c in words[w] if c in self._id))
+            out[w] = _packed(self.backtrack("".join(c for c in words[w] if c in self._id)))
         return out
 
     # -- texts -------------------------------------------------------------
@@ -248,29 +257,22 @@ class WordBpe:
             out.append(s[:-1] + chr(ord(s[-1]) + _SHIFT))
         return out
 
-    def _learn(self, chunks: list[str]) -> None:
-        """Put the ids of new pieces into the cache."""
-        parts = [self._words(c) for c in chunks]
-        words = list({w for p in parts for w in p if isinstance(w, str)})
-        ids = dict(zip(words, self.encode_words(words), strict=True))
-        for c, p in zip(chunks, parts, strict=True):
-            flat = [i for w in p for i in (ids[w] if isinstance(w, str) else (w,))]
-            self._cache[c] = np.array(flat, np.int32).tobytes()
+    def _learn(self, new: list[str]) -> list[bytes]:
+        """Ids of new pieces."""
+        parts = [[w for c in _CHUNK.findall(piece) for w in self._words(c)] for piece in new]
+        if len(self._known) > WORDS:
+            self._known_old, self._known = self._known, {}
+        known, old = self._known, self._known_old
+        words = {w for p in parts for w in p if isinstance(w, str)} - known.keys()
+        for w in words & old.keys():
+            known[w] = old[w]
+        words = list(words - known.keys())
+        known.update(zip(words, self.encode_words(words), strict=True))
+        return [b"".join([known[w] if isinstance(w, str) else w.to_bytes(4, "little") for w in p]) for p in parts]
 
     def encode(self, texts) -> tuple[np.ndarray, np.ndarray]:
         """All ids of ``texts`` in order (int32), and how many each text has."""
-        cut = [_CHUNK.findall(t) if t else [] for t in texts]
-        if len(self._cache) > CACHE:  # what is used again comes back from the generation before
-            self._old, self._cache = self._cache, {}
-        new = set().union(*cut) - self._cache.keys() if cut else set()
-        for c in new & self._old.keys():
-            self._cache[c] = self._old[c]
-        new -= self._cache.keys()
-        if new:
-            self._learn(list(new))
-        get = self._cache.__getitem__
-        rows = [b"".join(map(get, c)) for c in cut]
-        return np.frombuffer(b"".join(rows), np.int32), np.fromiter((len(r) >> 2 for r in rows), np.int64, len(rows))
+        return self._chunks.encode(texts)
 
     def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
         """Texts (UTF-8) of runs of ids: the tokens' names, joined by spaces."""
@@ -318,7 +320,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
-        for b in pieces(batches):
+        for b in pieces(batches, limit=TEXT_BYTES):
             ids, counts = bpe.encode(b.column("text").to_pylist())
             offsets = pa.array(np.concatenate(([0], np.cumsum(counts))).astype(np.int32))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.ListArray.from_arrays(offsets, pa.array(ids))],
@@ -348,7 +350,7 @@ def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
-        for b in pieces(batches, limit=1 << 20):
+        for b in pieces(batches, limit=TEXT_BYTES):
             ids, counts = bpe.encode(b.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(counts),

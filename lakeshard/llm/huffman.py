@@ -33,12 +33,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeshard.llm import tokens
+from lakeshard.llm.chunks import TEXT_BYTES
 from lakeshard.llm.common import pieces, stored
 from lakeshard.session import scratch_dir
 
 MAX_BITS = 16
 CHECK = 512
 BLOCK_TOKENS = 1 << 16
+#: coded bytes that are decoded side by side, about
+DECODE_BYTES = 1 << 21
 END_ID = 2
 #: coded bytes that one range holds, about
 RANGE_BYTES = 16 << 20
@@ -156,7 +159,7 @@ def encoded(docs: DataFrame, vocabulary: str, end_id: int = END_ID, id_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = tokens.load(vocabulary)
         kind = _kind(max(enc.size, end_id + 1))
-        for b in pieces(batches):
+        for b in pieces(batches, limit=TEXT_BYTES):
             ids, counts = tokens.with_end(*enc.encode(b.column("text").to_pylist()), end_id)
             stop = np.concatenate(([0], np.cumsum(counts))).astype(np.int32) * np.dtype(kind).itemsize
             payload = pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(stop.tobytes()), pa.py_buffer(ids.astype(kind).tobytes())])
@@ -275,20 +278,26 @@ def _read(spark: SparkSession, path: str, digest: bool) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = Coder(code.value)
-        for b in batches:
-            for part, block, docs, ns, checks, payload in zip(*(b.column(i).to_pylist() for i in range(6)), strict=True):
-                counts = np.array(ns, np.int64)
-                ids = c.decode(payload, np.frombuffer(checks, "<i8"), counts)
-                stop = np.concatenate(([0], np.cumsum(counts)))
-                if digest:
-                    raw = ids.astype("<u4").tobytes()
-                    last = pa.array([zlib.crc32(raw[4 * a:4 * e]) for a, e in zip(stop[:-1].tolist(), stop[1:].tolist(), strict=True)], pa.int64())
-                else:
-                    last = pa.ListArray.from_arrays(pa.array(stop.astype(np.int32)), pa.array(ids))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([part] * len(docs), pa.int32()), pa.array([block] * len(docs), pa.int32()),
-                     pa.array(docs, pa.int64()), pa.array(stop[:-1]), pa.array(counts), last],
-                    names=["part", "block", "doc_id", "in_block", "n_tokens", "ids_crc32" if digest else "ids"])
+        for b in pieces(batches, "payload", DECODE_BYTES):
+            part, block, docs, ns, checks, payload = (b.column(i).to_pylist() for i in range(6))
+            # blocks are decoded side by side
+            place = np.cumsum([0, *map(len, payload)])[:-1] * 8
+            checks = np.concatenate([np.frombuffer(x, "<i8") + o for x, o in zip(checks, place, strict=True)])
+            counts = np.array([n for own in ns for n in own], np.int64)
+            ids = c.decode(b"".join(payload), checks, counts)
+            stop = np.concatenate(([0], np.cumsum(counts)))
+            size = np.array([len(own) for own in ns])
+            first = np.concatenate(([0], np.cumsum(size)))[:-1]
+            if digest:
+                raw = memoryview(ids.astype("<u4").tobytes())
+                last = pa.array([zlib.crc32(raw[4 * a:4 * e]) for a, e in zip(stop[:-1].tolist(), stop[1:].tolist(), strict=True)], pa.int64())
+            else:
+                last = pa.ListArray.from_arrays(pa.array(stop.astype(np.int32)), pa.array(ids))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(np.array(part, np.int32), size)), pa.array(np.repeat(np.array(block, np.int32), size)),
+                 pa.array([d for own in docs for d in own], pa.int64()), pa.array(stop[:-1] - np.repeat(stop[first], size)),
+                 pa.array(counts), last],
+                names=["part", "block", "doc_id", "in_block", "n_tokens", "ids_crc32" if digest else "ids"])
 
     kind = "ids_crc32 long" if digest else "ids array<int>"
     return spark.read.schema(_BLOCKS).parquet(f"{path}/blocks").mapInArrow(

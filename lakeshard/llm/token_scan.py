@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeshard.llm import tokens
+from lakeshard.llm.chunks import TEXT_BYTES
 from lakeshard.llm.common import pieces
 from lakeshard.session import scratch_dir
 
@@ -58,7 +59,7 @@ def write_flat(docs: DataFrame, vocabulary: str, path: str, *, end_id: int = END
         enc = tokens.load(vocabulary, False)
         file = TaskContext.get().partitionId()
         rest, n_blocks, n_docs, n_lists = np.zeros(0, dtype), 0, 0, 0
-        for b in pieces(batches):
+        for b in pieces(batches, limit=TEXT_BYTES):
             ids, _ = tokens.with_end(*enc.encode(b.column("text").to_pylist()), end_id)
             rest = np.concatenate((rest, ids.astype(dtype)))
             while len(rest) >= block_ids:

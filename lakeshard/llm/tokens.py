@@ -1,8 +1,8 @@
 """Token ids of whole texts by the ``tokenizers`` library, for byte-level vocabularies.
 
-No token crosses the border between a non-space and white space, so texts
-are cut there and each piece is encoded once while it stays in a worker's
-bounded cache; the ids are those of the whole text.
+Texts are cut into pieces at white space, and the library encodes each piece
+once while it stays in a worker's cache (``chunks``); the ids are those of
+the whole text.
 """
 
 from __future__ import annotations
@@ -12,17 +12,16 @@ import re
 
 import numpy as np
 
-#: pieces in each of the two generations of a worker's cache
-CACHE = 300_000
-#: pieces that are encoded in one call
-RUN = 8192
-_W = "\t-\r \x85\xa0  -     　"
-_CHUNK = re.compile(f"[{_W}]*[^{_W}]+|[{_W}]+")
+from lakeshard.llm.chunks import LIMIT, ChunkCache
+
+#: pieces that are encoded as one text
+RUN = 256
+_W = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _PLAIN = re.compile(f" ?[^{_W}]+")
 
 
 class LibraryEncoder:
-    def __init__(self, path: str, special_text: bool = True):
+    def __init__(self, path: str, special_text: bool = True, limit: int = LIMIT):
         """``special_text``: special tokens written in a text become their ids; else they are ordinary text."""
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -33,42 +32,30 @@ class LibraryEncoder:
         line = self._tok.encode("\n", add_special_tokens=False).ids
         self._line = line[0] if len(line) == 1 else None
         self.size = self._tok.get_vocab_size(with_added_tokens=True)
-        self._cache: dict[str, bytes] = {}
-        self._old: dict[str, bytes] = {}
+        self._chunks = ChunkCache(self._learn, limit)
+        self.encode = self._chunks.encode
 
-    def _learn(self, new: list[str]) -> None:
+    def _learn(self, new: list[str]) -> list[bytes]:
+        out: list[bytes] = [b""] * len(new)
         plain, odd = [], []
-        for c in new:
-            simple = self._line is not None and _PLAIN.fullmatch(c) and not any(s in c for s in self._special)
-            (plain if simple else odd).append(c)
-        for at in range(0, len(plain), RUN):
-            run = plain[at:at + RUN]
-            # a line break between pieces is a token of its own
-            ids = np.array(self._tok.encode("\n".join(run), add_special_tokens=False).ids, dtype=np.int32)
+        for i, c in enumerate(new):
+            simple = self._line is not None and _PLAIN.fullmatch(c) and not ("<" in c and any(s in c for s in self._special))
+            (plain if simple else odd).append(i)
+        runs = [plain[at:at + RUN] for at in range(0, len(plain), RUN)]
+        # a line break between pieces is a token of its own
+        texts = ["\n".join([new[i] for i in r]) for r in runs]
+        for run, e in zip(runs, self._tok.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, dtype=np.int32)
             cut = np.flatnonzero(ids == self._line)
             if len(cut) != len(run) - 1:
                 odd += run
                 continue
-            raw = ids.tobytes()
-            for c, a, b in zip(run, [0, *((cut + 1) * 4).tolist()], [*(cut * 4).tolist(), len(raw)], strict=True):
-                self._cache[c] = raw[a:b]
-        for c, e in zip(odd, self._tok.encode_batch(odd, add_special_tokens=False), strict=True):
-            self._cache[c] = np.array(e.ids, dtype=np.int32).tobytes()
-
-    def encode(self, texts) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of ``texts`` in order (int32), and how many each text has; null has none."""
-        cut = [_CHUNK.findall(t) if t else [] for t in texts]
-        if len(self._cache) > CACHE:
-            self._old, self._cache = self._cache, {}
-        new = set().union(*cut) - self._cache.keys() if cut else set()
-        for c in new & self._old.keys():
-            self._cache[c] = self._old[c]
-        new -= self._cache.keys()
-        if new:
-            self._learn(list(new))
-        get = self._cache.__getitem__
-        rows = [b"".join(map(get, c)) for c in cut]
-        return np.frombuffer(b"".join(rows), np.int32), np.fromiter((len(r) >> 2 for r in rows), np.int64, len(rows))
+            raw, cut = ids.tobytes(), (cut * 4).tolist()
+            for i, a, b in zip(run, [0, *(x + 4 for x in cut)], [*cut, len(raw)], strict=True):
+                out[i] = raw[a:b]
+        for i, e in zip(odd, self._tok.encode_batch_fast([new[i] for i in odd], add_special_tokens=False), strict=True):
+            out[i] = np.array(e.ids, dtype=np.int32).tobytes()
+        return out
 
 
 _loaded: dict[tuple[str, bool], LibraryEncoder] = {}

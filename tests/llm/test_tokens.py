@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from lakeshard.llm import bpe, huffman, token_scan, tokens
+from lakeshard.llm import bpe, chunks, huffman, token_scan, tokens
 
 WORDS = "/opt/tokenizers/word_bpe_49k.json"
 BYTES = "/opt/tokenizers/byte_bpe_50k.json"
@@ -47,11 +47,11 @@ def test_bpe_backtracking_alone_equals_the_library(library, words):
         assert model.backtrack(symbols) == library[WORDS].encode(w, add_special_tokens=False).ids
 
 
-def test_bpe_cache_generations(library, odd_rows, monkeypatch):
-    monkeypatch.setattr(bpe, "CACHE", 20)
+def test_bpe_caches_that_overflow(library, odd_rows, monkeypatch):
+    monkeypatch.setattr(bpe, "WORDS", 20)
     monkeypatch.setattr(bpe, "PAIRS", 10)
-    model = bpe.WordBpe(WORDS)
-    for r in odd_rows[:40]:
+    model = bpe.WordBpe(WORDS, limit=30)
+    for r in odd_rows[:60]:
         assert model.encode([r[1]])[0].tolist() == library[WORDS].encode(r[1] or "", add_special_tokens=False).ids
 
 
@@ -69,11 +69,10 @@ def test_bpe_digests_and_round_trip(odd, odd_rows, none, library):
     assert bpe.digests(none, WORDS).count() == 0
 
 
-def test_library_pieces_equal_whole_texts(library, odd_rows, monkeypatch):
-    monkeypatch.setattr(tokens, "CACHE", 50)
+def test_library_pieces_equal_whole_texts(library, odd_rows):
     texts = _texts(odd_rows)
     for special in (True, False):
-        enc = tokens.LibraryEncoder(BYTES, special)
+        enc = tokens.LibraryEncoder(BYTES, special, limit=50)
         tok = library[BYTES]
         tok.encode_special_tokens = not special
         for at in range(0, len(texts), 7):
@@ -83,6 +82,15 @@ def test_library_pieces_equal_whole_texts(library, odd_rows, monkeypatch):
         tok.encode_special_tokens = False
 
 
+def test_pieces_that_share_a_hash_are_told_apart(monkeypatch):
+    monkeypatch.setattr(chunks, "_ONE", chunks._ONE * 0)
+    cache = chunks.ChunkCache(lambda new: [np.array([len(c), ord(c[-1])], np.int32).tobytes() for c in new])
+    for texts in (["aa bb", "cc"], ["dd", None, "", "aa"]):
+        ids, counts = cache.encode(texts)
+        want = [[2, ord(t[1])] if len(t) == 2 else [2, ord("a"), 3, ord("b")] if t else [] for t in (t or "" for t in texts)]
+        assert ids.tolist() == sum(want, []) and counts.tolist() == list(map(len, want))
+
+
 @pytest.mark.parametrize("limit", [8, 12, 16])
 def test_code_lengths_are_prefix_codes_and_optimal(limit):
     rng = np.random.default_rng(limit)
