@@ -118,4 +118,5 @@ def shingles(words: np.ndarray, k: int) -> np.ndarray:
     """The sorted set of ``k``-word shingles; a shorter text counts as one, a text without words has none."""
     if not len(words):
         return np.zeros(0, np.uint64)
-    return np.unique(ngram_hashes(words, min(k, len(words))))
+    s = np.sort(ngram_hashes(words, min(k, len(words))))
+    return s[np.concatenate(([True], s[1:] != s[:-1]))]
