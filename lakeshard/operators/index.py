@@ -23,7 +23,7 @@ most ``block_size`` postings are block 0 and need no rank at all.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeshard.functions.text import DEFAULT_SPLIT, posting_key
@@ -135,13 +135,36 @@ def inverted_index(docs: DataFrame, doc: str = "doc", text: str = "text",
     Blocks of one word, read in ``block`` order, give the word's full posting
     list in the reference's order; a word in fewer than ``block_size``
     documents has the single block 0.
+
+    Rows are in the order of ``(word, block)``: the exchange that brings a
+    block together is one by ranges, so the order costs no further shuffle.
     """
     if block_size < 1:
         raise ValueError("block_size must be >= 1")
     blocks = posting_blocks(term_frequency(docs, doc, text, split_on), block_size, num_ranges)
-    return (blocks.groupBy("word", "block")
+    return (blocks.repartitionByRange("word", "block").groupBy("word", "block")
             .agg(F.count(F.lit(1)).alias("n"),
-                 F.array_sort(F.collect_list(F.struct("posting", "doc", "tf"))).alias("postings")))
+                 F.array_sort(F.collect_list(F.struct("posting", "doc", "tf"))).alias("postings"))
+            .sortWithinPartitions("word", "block"))
+
+
+def write_index(index: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Store an index as Parquet; its files hold disjoint, sorted ranges of words."""
+    index.write.mode(mode).parquet(path)
+
+
+def lookup_stored(spark: SparkSession, path: str, terms: list[str]) -> DataFrame:
+    """``index_lookup`` on a stored index: ``(doc, matched, score)``.
+
+    The word filter reaches the scan, where the statistics of the sorted
+    files and row groups leave only those that hold a term; no document is read.
+    """
+    wanted = sorted(set(terms))
+    if not wanted:
+        raise ValueError("terms must not be empty")
+    tf = (spark.read.parquet(path).where(F.col("word").isin(wanted))
+          .select("word", F.explode("postings").alias("p")).select("word", "p.doc", "p.tf"))
+    return index_lookup(tf, wanted)
 
 
 def render_postings(index: DataFrame) -> DataFrame:

@@ -47,11 +47,10 @@ def not_in(df: DataFrame, key: str, sub: DataFrame, sub_key: str) -> DataFrame:
     Spark's own null-aware anti join broadcasts the whole subquery, however
     large.  Here matching rows go by an ordinary anti join, and the two facts
     that NULLs depend on, whether the subquery has rows and whether one of
-    them is NULL, come from a one-row aggregate.
+    them is NULL, come from scalar subqueries.
     """
     keys = sub.select(F.col(sub_key).alias("_sub"))
-    facts = keys.agg(F.count("*").alias("_rows"), F.count_if(F.col("_sub").isNull()).alias("_nulls"))
+    rows = keys.agg(F.count("*")).scalar()
+    nulls = keys.agg(F.count_if(F.col("_sub").isNull())).scalar()
     rest = df.join(keys, F.col(key) == F.col("_sub"), "left_anti")
-    flagged = rest.join(F.broadcast(facts), F.lit(True))  # one row
-    keep = (F.col("_rows") == 0) | ((F.col("_nulls") == 0) & F.col(key).isNotNull())
-    return flagged.where(keep).select(*df.columns)
+    return rest.where((rows == 0) | ((nulls == 0) & F.col(key).isNotNull()))

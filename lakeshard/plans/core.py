@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lakeshard.functions.text import doc_stem
 from lakeshard.operators import index as ix
 from lakeshard.plans.registry import query
+from lakeshard.session import scratch_dir
 from lakeshard.sources.tables import read_table
 
 BLOCK = ix.DEFAULT_BLOCK
@@ -80,6 +81,16 @@ def q_index_lookup(spark, sf_dir):
     return ix.index_lookup(ix.term_frequency(_docs(spark, sf_dir)), LOOKUP_TERMS)
 
 
+@query("index_lookup_stored", oracle=f"""WITH {_TOK}
+SELECT doc, count(*) AS matched, CAST(sum(tf) AS BIGINT) AS score FROM tf
+WHERE word IN ('of', 'the') GROUP BY doc HAVING count(*) = 2""")
+def q_index_lookup_stored(spark, sf_dir):
+    """The index is written once, then looked up; only the terms' row groups are read."""
+    path = scratch_dir(spark, "index") + "/words"
+    ix.write_index(ix.inverted_index(_docs(spark, sf_dir)), path)
+    return ix.lookup_stored(spark, path, LOOKUP_TERMS)
+
+
 @query("search_documents", oracle=f"""WITH {_TOK}
 SELECT doc, count(*) AS matched, CAST(sum(tf) AS BIGINT) AS score FROM tf
 WHERE word IN ('of', 'the') GROUP BY doc HAVING count(*) = 2""")

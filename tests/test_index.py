@@ -166,3 +166,15 @@ def test_tokens_and_stem_expressions(spark):
     got = df.select(tokens("text").alias("t"), doc_stem("path").alias("s")).collect()
     assert got[0].t == ["it", "is", "what"] and got[0].s == "a b"
     assert got[1].t == [] and got[1].s == "k+1"
+
+
+def test_index_is_ordered_and_looked_up_where_it_is_stored(spark, tmpdir_path):
+    docs = spark.createDataFrame([(str(i), f"the word{i % 17} of w{i}") for i in range(300)], "doc string, text string").repartition(5)
+    idx = ix.inverted_index(docs, block_size=16, num_ranges=4)
+    rows = [(r.word, r.block) for r in idx.collect()]
+    assert rows == sorted(rows) and len(rows) > 300
+    ix.write_index(idx, f"{tmpdir_path}/index")
+    found = ix.lookup_stored(spark, f"{tmpdir_path}/index", ["the", "word3"])
+    assert sorted(r.doc for r in found.collect()) == sorted(str(i) for i in range(300) if i % 17 == 3)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [In(word" in plan
