@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,10 +15,17 @@ from pyspark.sql import functions as F
 from lakeshard.session import ensure_checkpoint_dir, scratch_dir, ship_package
 
 
+#: rows of a batch that Spark hands to Python; whole texts make the default of 10,000 too large
+BATCH_ROWS = 2000
+
+
 def prepare(spark: SparkSession) -> None:
-    """Checkpoint folder and Python package for the executors (both once per application)."""
+    """Checkpoint folder and Python package for the executors (both once per application), and smaller batches."""
     ensure_checkpoint_dir(spark)
     ship_package(spark)
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(rows)) > BATCH_ROWS:
+        spark.conf.set(rows, str(BATCH_ROWS))
 
 
 def stored(df: DataFrame, name: str, **options) -> DataFrame:
@@ -63,3 +72,11 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str | int = "text", limit:
         cut = np.flatnonzero(np.diff(size // limit)) + 1
         for a, e in zip([0, *cut.tolist()], [*cut.tolist(), b.num_rows], strict=True):
             yield b.slice(a, e - a)
+    release()
+
+
+def release() -> None:
+    """Give freed memory back to the machine; Python workers live on after their task."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries than glibc
+        ctypes.CDLL("libc.so.6").malloc_trim(0)

@@ -53,7 +53,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeshard.llm.common import pieces, stored
+from lakeshard.llm.common import pieces, release, stored
 from lakeshard.llm.hashing import mix, shingles, word_hashes
 
 SHINGLE = 5
@@ -189,6 +189,8 @@ def _shared(frequent: int):
                     rows.append((0, block, 1, np.repeat(i[quiet], c[quiet])[keep].tobytes(), owner.astype(np.uint32).tobytes(),
                                  np.repeat((n > frequent)[quiet], c[quiet])[keep].tobytes()))
             out.append(pd.DataFrame(rows, columns=list(pdf.columns)))
+            del ids, count, uniq, where, total, rows
+            release()
         return pd.concat(out, ignore_index=True)
 
     return run

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeshard.llm.common import pieces
+from lakeshard.llm.common import pieces, release
 from lakeshard.llm.hashing import mix, ngram_hashes, word_hashes
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -117,6 +117,7 @@ def _score(total: int, cutoff: int, backoff: float):
         some = np.flatnonzero(counts)
         if len(some):
             sums[some] = np.add.reduceat(log, (end - counts)[some])
+        release()
         return pa.table({"doc_id": docs.column("doc_id"), "n_words": pa.array(counts),
                          "n_seen": pa.array((run_seen[end] - run_seen[end - counts]).astype(np.int64)), "log_score": pa.array(sums)})
 
