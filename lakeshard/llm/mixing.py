@@ -111,12 +111,13 @@ def offsets(docs: DataFrame, schedules: list[Schedule], budget_share: float, max
         F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
         F.col(id_col).alias("id"), F.md5(F.coalesce(F.col(id_col).cast("string"), F.col(text_col), F.lit("")).cast("binary")).alias("key"),
     ).withColumn("bucket", F.conv(F.substring("key", 1, 3), 16, 10).cast("int") % BUCKETS)
-    keyed = stored(keyed, "mix")
-    sums = keyed.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
+    if text_col not in payload:  # narrow: count the words once
+        keyed = stored(keyed, "mix")
+    sums = stored(keyed.groupBy("source", "bucket").agg(F.sum("size").alias("words")), "mix-sums")
     before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.select(F.col("source").alias("s"), F.col("bucket").alias("b"),
                          F.coalesce(F.sum("words").over(before), F.lit(0)).alias("start"))
-    goals = targets(keyed.groupBy("source").agg(F.sum("size").alias("source_size")), schedules, budget_share,
+    goals = targets(sums.groupBy("source").agg(F.sum("words").alias("source_size")), schedules, budget_share,
                     max_epochs).withColumnRenamed("source", "g")
     plan = stored(starts.join(goals, F.col("s").eqNullSafe(F.col("g"))).drop("g"), "mix-plan")
     inside = Window.partitionBy("source", "bucket").orderBy("key", "size", "id").rowsBetween(Window.unboundedPreceding, -1)
