@@ -39,12 +39,17 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeshard.llm.chunks import LIMIT, TEXT_BYTES, ChunkCache
+from lakeshard.llm.chunks import ChunkCache
 from lakeshard.llm.common import pieces
 
+#: bytes of text that are encoded at once, about, and pieces of text whose ids a worker keeps
+TEXT_BYTES = 2 << 20
+PIECES = 500_000
 #: words in each of the two generations of a worker's cache; pairs in its table, which starts anew when full
-WORDS = 300_000
-PAIRS = 1_000_000
+WORDS = 80_000
+PAIRS = 300_000
+#: ids that the decoder gathers at once, about
+RUN = 1 << 17
 _END = "</w>"
 _SHIFT = 0x10000
 #: Unicode white space
@@ -65,7 +70,7 @@ def _packed(ids: list[int]) -> bytes:
 class WordBpe:
     """Encoder and decoder of one vocabulary file."""
 
-    def __init__(self, path: str, limit: int = LIMIT):
+    def __init__(self, path: str, limit: int = PIECES):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
@@ -292,6 +297,15 @@ class OffsetTable:
         self.offset = np.concatenate(([0], np.cumsum(self.length[:-1]))).astype(np.int32)
 
     def join(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
+        out: list[bytes] = []
+        ends = np.cumsum(counts)
+        cut = np.flatnonzero(np.diff(ends // RUN)) + 1  # a run of texts at a time bounds the index arrays
+        for a, e in zip([0, *cut.tolist()], [*cut.tolist(), len(counts)], strict=True):
+            if e > a:
+                out += self._join(ids[ends[a] - counts[a]:ends[e - 1]], counts[a:e])
+        return out
+
+    def _join(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
         size = self.length[ids]
         end = np.cumsum(size, dtype=np.int64)
         at = np.repeat(self.offset[ids] - (end - size), size)
