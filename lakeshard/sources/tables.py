@@ -46,12 +46,20 @@ class Tables:
 
 
 def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over at least ``min_partitions`` tasks if its scan has fewer.
+    """Round-robin ``df`` over ``min_partitions`` tasks if its scan is far too narrow for them.
 
     A file with one row group is read by one task; CPU-heavy per-row work
-    (tokenising) after it would then run on one core.  Large inputs already
-    have many splits and pass through unchanged (no shuffle).  Planning the
-    scan lists files but runs no job.
+    (tokenising) after it would then run on one core.  The scan's splits are
+    estimated from its files and size, without running or planning a job;
+    only a scan with at most half the splits asked for is dealt anew, so a
+    large input never is.  What does not come straight from files keeps its
+    partitions.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    spark = df.sparkSession
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    files = df.inputFiles()
+    if not files:
+        return df
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    return df.repartition(target) if 2 * max(len(files), size // split) <= target else df
