@@ -62,9 +62,9 @@ THRESHOLD = 80
 #: a shingle of more classes is frequent
 FREQUENT = 16
 #: shingles that one hash partition holds, about
-PARTITION = 1_500_000
+PARTITION = 800_000
 #: bytes of text in a block
-BLOCK = 8 << 20
+BLOCK = 4 << 20
 
 
 def class_of(s: np.ndarray) -> tuple[int, int]:
