@@ -8,7 +8,8 @@
 2. ``compile_lexicon`` builds the trie of the terms, walks it together with
    each term's Levenshtein automaton (distance 1, or 2 for long terms; 0 for
    stems and for terms that common words resemble) and makes the product
-   deterministic: one table of states by character class.
+   deterministic: one table of states by character class.  The full words of
+   a stem are terms beside it, so their misspellings are found as well.
 3. ``find_hits`` runs that table over all words of a batch at once (numpy).
    Each hit is told apart by distance and by its context window: inside
    quotation marks or after a word of reporting it counts as quoted.
@@ -92,9 +93,9 @@ def learn_lexicon(rows: DataFrame, max_terms: int = MAX_TERMS) -> list[str]:
                   & (F.col("pos") >= MIN_SHARE * n[1]))
            .orderBy(F.desc("z"), "word").limit(max_terms))
     found = [r["word"] for r in top.collect()]  # at most max_terms rows
-    # a stem stands for all words that it begins
+    # a stem stands for all longer stems; the words that it begins stay, as only they are matched with edits
     stems = {w[:-1] for w in found if w.endswith("*")}
-    return [w for w in found if not any(w.startswith(s) and w != s + "*" for s in stems)]
+    return [w for w in found if not w.endswith("*") or not any(w.startswith(s) and w != s + "*" for s in stems)]
 
 
 # -- automaton -------------------------------------------------------------
@@ -163,7 +164,9 @@ def compile_lexicon(terms: list[str], exact: frozenset = frozenset()) -> Automat
                 out[node] = cost
 
         for node, cost in state:
-            put(node, cost + (node not in open_ended))  # a character that the term lacks
+            put(node, cost + 1)  # a character that the term lacks
+            if cost == 0 and node in open_ended:  # a stem takes any rest, but only if it was met without an edit
+                put(node, 0)
             for c, nxt in child[node].items():
                 put(nxt, cost + (c != ch))
         for node in sorted(out):

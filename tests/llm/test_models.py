@@ -40,6 +40,45 @@ def test_automaton_equals_edit_distance():
         assert (got[0] if got else None) == want, w
 
 
+def test_words_of_a_stem_keep_their_edits():
+    terms = ["vequ*", "vequling", "vequxment", "vequ", "veq"]
+    auto = toxicity.compile_lexicon(terms)
+    rng = random.Random(2)
+    for _ in range(3000):
+        w = list(rng.choice(terms).rstrip("*") + rng.choice(["", "", "ling", "xment", "zz"]))
+        for _ in range(rng.randint(0, 3)):
+            at = rng.randrange(len(w) + 1)
+            w[at:at + rng.randint(0, 1)] = rng.choice(["", "x", "v", "u", "ng"])
+        w = "".join(w)
+        if not w:
+            continue
+        far = [0 if t.endswith("*") and w.startswith(t[:-1]) else 99 if t.endswith("*") else _distance(w, t) for t in terms]
+        want = min((d for d, t in zip(far, terms, strict=True) if d <= toxicity.allowed_edits(t)), default=None)
+        got = toxicity.find_hits([w], auto)[3].tolist()
+        assert (got[0] if got else None) == want, w
+
+
+def test_misspelled_members_of_a_stem_family(spark, words):
+    rng = random.Random(13)
+    family = ["grobling", "grobxment", "grobnitz", "grobulent"]
+    rows, labels = [], []
+    for i in range(400):
+        w = [rng.choice(words) for _ in range(rng.randint(20, 60))]
+        for _ in range(2 if i % 5 == 0 else 0):
+            w[rng.randrange(len(w))] = rng.choice(family)
+        rows.append((i, " ".join(w)))
+        labels.append((i, int(i % 5 == 0)))
+    wrong = ["gxobling", "gobling", "grxobxment", "qrobnitz", "gruobulent"]  # the edit lies in the stem
+    rows += [(1000 + i, f"{rows[1][1]} {w}") for i, w in enumerate(wrong)]
+    docs, marks = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    lexicon = toxicity.learn_lexicon(docs.join(marks, "doc_id").selectExpr("doc_id AS id", "text", "toxic AS label"))
+    assert "grob*" in lexicon and set(family) <= set(lexicon)
+    got = {r["doc_id"]: r for r in toxicity.classify(docs, marks).collect()}
+    for i in range(len(wrong)):
+        assert (got[1000 + i]["n_exact"], got[1000 + i]["n_near"], got[1000 + i]["predicted"]) == (0, 1, 1), wrong[i]
+    assert all(got[i]["predicted"] == int(i % 5 == 0) for i in range(400))
+
+
 def test_quotation_is_told_from_abuse():
     auto = toxicity.compile_lexicon(["idiot"])
     for text, quoted in (('he used the word "idiot" there', True), ("you idiot", False), ("the word idiot is old", True),
