@@ -220,6 +220,33 @@ def test_lm_scores_equal_brute_force(odd, odd_rows, none):
     assert lm_score.score(none).count() == 0
 
 
+def _plain_lm(texts, order, cutoff, backoff=0.4):
+    """``n_words, n_seen, log_score`` of each text, by the recursive definition."""
+    c = Counter(tuple(t[i:i + n]) for t in texts for n in range(1, order + 1) for i in range(len(t) - n + 1))
+    total = sum(map(len, texts))
+
+    def word(history, b):
+        if not history:
+            return math.log(c[b,] / total), True
+        if c[*history, b] >= cutoff:
+            return math.log(c[*history, b] / c[history]), True
+        return math.log(backoff) + word(history[1:], b)[0], False
+
+    for t in texts:
+        got = [word(tuple(t[max(0, i - order + 1):i]), b) for i, b in enumerate(t)]
+        yield len(t), sum(seen for _, seen in got[1:]) if order > 1 else 0, sum(x for x, _ in got)
+
+
+@pytest.mark.parametrize("order,cutoff", [(1, 2), (2, 2), (3, 2), (4, 3)])
+def test_lm_scores_of_any_order(odd, odd_rows, order, cutoff):
+    texts = [WORD.findall(r[1] or "") for r in odd_rows]
+    want = sorted((-1 if r[0] is None else r[0], *x) for r, x in zip(odd_rows, _plain_lm(texts, order, cutoff), strict=True))
+    got = lm_score.score(odd, order=order, cutoff=cutoff, block_words=6000, partition_words=5000).collect()
+    got = sorted((-1 if r["doc_id"] is None else r["doc_id"], r["n_words"], r["n_seen"], r["log_score"]) for r in got)
+    assert [g[:3] for g in got] == [w[:3] for w in want]
+    assert np.allclose([g[3] for g in got], [w[3] for w in want])
+
+
 def _vectors(spark):
     rng = np.random.default_rng(3)
     rows = [(i, [float(x) for x in rng.normal(size=6).round(1)]) for i in range(260)]
