@@ -247,6 +247,24 @@ def test_lm_scores_of_any_order(odd, odd_rows, order, cutoff):
     assert np.allclose([g[3] for g in got], [w[3] for w in want])
 
 
+@pytest.mark.parametrize("order", [2, 3])
+def test_lm_scores_without_a_cutoff(odd, odd_rows, order):
+    """The plain definition, any count above 0: in the corpus itself no word backs off; the cutoff of the query does."""
+    texts = [WORD.findall(r[1] or "") for r in odd_rows]
+    c = Counter(tuple(t[i:i + n]) for t in texts for n in range(1, order + 1) for i in range(len(t) - n + 1))
+    total, want = sum(map(len, texts)), []
+    for r, t in zip(odd_rows, texts, strict=True):
+        grams = [tuple(t[max(0, i - order + 1):i + 1]) for i in range(len(t))]
+        want.append((-1 if r[0] is None else r[0], len(t), max(len(t) - 1, 0),
+                     sum(math.log(c[g] / (c[g[:-1]] if len(g) > 1 else total)) for g in grams)))
+    got = lm_score.score(odd, order=order, cutoff=1, block_words=6000, partition_words=5000).collect()
+    got = sorted((-1 if r["doc_id"] is None else r["doc_id"], r["n_words"], r["n_seen"], r["log_score"]) for r in got)
+    assert [g[:3] for g in got] == [w[:3] for w in sorted(want)]
+    assert np.allclose([g[3] for g in got], [w[3] for w in sorted(want)])
+    cut = lm_score.score(odd, order=order, block_words=6000, partition_words=5000).agg(F.sum("n_seen")).first()[0]
+    assert cut < sum(w[2] for w in want)
+
+
 def _vectors(spark):
     rng = np.random.default_rng(3)
     rows = [(i, [float(x) for x in rng.normal(size=6).round(1)]) for i in range(260)]
