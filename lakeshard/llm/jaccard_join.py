@@ -85,17 +85,20 @@ def _sets(texts, k: int):
         at += n
 
 
-def classes(docs: DataFrame, k: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, class`` of every row."""
+def classes(docs: DataFrame, k: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text", hashed: bool = False) -> DataFrame:
+    """``doc_id, n_shingles, class`` of every row; ``hashed`` adds ``text_hash``, which tells rows of one id apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches):
             got = [class_of(s) for s in _sets(b.column("text").to_pylist(), k)]
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array([n for n, _ in got], pa.int64()), pa.array([c for _, c in got], pa.int64())],
-                names=["doc_id", "n_shingles", "class"])
+                [b.column("doc_id"), pa.array([n for n, _ in got], pa.int64()), pa.array([c for _, c in got], pa.int64()), *b.columns[2:]],
+                names=["doc_id", "n_shingles", "class", *b.schema.names[2:]])
 
-    return _narrow(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_shingles long, class long")
+    narrow, schema = _narrow(docs, id_col, text_col), "doc_id long, n_shingles long, class long"
+    if hashed:
+        narrow, schema = narrow.withColumn("text_hash", F.xxhash64("text")), schema + ", text_hash long"
+    return narrow.mapInArrow(run, schema)
 
 
 def _narrow(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -376,22 +379,40 @@ def linked(docs: DataFrame, known: DataFrame, *, k: int = SHINGLE, threshold: in
     return components(edges.union(more)) if not more.isEmpty() else root
 
 
+def _lowest(known: DataFrame, root: DataFrame, key) -> DataFrame:
+    """``c, low``: of every class with shingles, the smallest ``key`` of its component's rows; stored."""
+    smallest = known.where("n_shingles > 0").groupBy("class").agg(F.min(key).alias("low"))
+    named = smallest.join(root, F.col("class") == F.col("node"), "left").select("class", F.coalesce("root", "class").alias("root"), "low")
+    # a component may hold many classes; its minimum is pre-aggregated
+    low = named.groupBy("root").agg(F.min("low").alias("component_low"))
+    return stored(named.join(low, "root").select(F.col("class").alias("c"), F.col("component_low").alias("low")), "components")
+
+
 def link_classes(docs: DataFrame, *, k: int = SHINGLE, threshold: int = THRESHOLD, frequent: int = FREQUENT,
                  partition: int = PARTITION, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row."""
     known = stored(classes(docs, k, id_col, text_col), "classes")
     root = linked(docs, known, k=k, threshold=threshold, frequent=frequent, partition=partition, id_col=id_col, text_col=text_col)
-    smallest = known.where("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("low"))
-    named = smallest.join(root, F.col("class") == F.col("node"), "left").select("class", F.coalesce("root", "class").alias("root"), "low")
-    # a component may hold many classes; its minimum is pre-aggregated
-    low = named.groupBy("root").agg(F.min("low").alias("component_id"))
-    names = stored(named.join(low, "root").select(F.col("class").alias("c"), "component_id"), "components")
+    names = _lowest(known, root, F.col("doc_id"))
     return (known.join(names, (F.col("class") == F.col("c")) & (F.col("n_shingles") > 0), "left")
-            .select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
+            .select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("low")).otherwise(F.col("doc_id")).alias("component_id")))
 
 
-def keep_first(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
-    """The rows of ``docs`` whose id is their component's smallest; rows without words or ids stay."""
-    linked_rows = stored(link_classes(docs, id_col=id_col, text_col=text_col, **params), "linked")
-    gone = linked_rows.where("component_id IS NOT NULL AND doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col] == F.col("_gone"), "left_anti")
+def keep_first(docs: DataFrame, *, k: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
+    """One text of each component; rows without words stay.
+
+    It is the one with the smallest id (null comes last), of several texts
+    under that id the one with the smallest hash.  Rows go by id and text, so
+    another text under a removed row's id stays; so do repeats of a kept row.
+    """
+    known = stored(classes(docs, k, id_col, text_col, hashed=True), "classes")
+    root = linked(docs, known, k=k, id_col=id_col, text_col=text_col, **params)
+    key = F.struct(F.col("doc_id").isNull().alias("lacks"), F.col("doc_id").alias("doc"), F.col("text_hash").alias("hash"))
+    names = _lowest(known, root, key)
+    gone = (known.where("n_shingles > 0").join(names, F.col("class") == F.col("c"))
+            .where(~(F.col("doc_id").eqNullSafe(F.col("low.doc")) & (F.col("text_hash") == F.col("low.hash"))))
+            .select(F.col("doc_id").alias("_gone"), F.col("text_hash").alias("_gone_hash")).distinct())
+    gone = stored(gone, "gone")
+    rows = docs.withColumn("_text_hash", F.xxhash64(F.col(text_col)))
+    same = rows[id_col].cast("long").eqNullSafe(gone["_gone"]) & (rows["_text_hash"] == gone["_gone_hash"])
+    return rows.join(gone, same, "left_anti").drop("_text_hash")

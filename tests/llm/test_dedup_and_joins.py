@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -91,6 +92,28 @@ def test_jaccard_join_keeps_one_of_a_group(odd, odd_rows):
     assert ids[1] == ids[2] == ids[3] == 1
 
 
+def test_near_dedup_removes_texts_not_ids(spark, words):
+    rng = random.Random(3)
+    base = {c: [rng.choice(words) for _ in range(80)] for c in "abcde"}
+
+    def near(c, i):  # one more word at the end of the same text
+        return " ".join([*base[c], f"end{i}"])
+
+    rows = [(3, near("a", 0)), (7, near("a", 1)), (7, " ".join(base["e"])),  # a clean text under a near copy's id
+            (20, near("b", 0)), (20, near("b", 1)), (21, near("b", 2)),  # two near copies under the smallest id
+            (None, near("c", 0)), (None, near("c", 1)), (None, near("c", 1).upper()),  # no id at all
+            (None, near("d", 0)), (30, near("d", 1)),  # the one with an id stays
+            (None, ""), (None, None), (40, " ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = [(r["doc_id"], r["text"]) for r in jaccard_join.keep_first(docs).collect()]
+    assert set(kept) <= set(rows)
+    of = {c: [i for i, t in kept if t and t.lower().startswith(" ".join(base[c]))] for c in base}
+    assert of == {"a": [3], "b": [20], "c": [None], "d": [30], "e": [7]}
+    assert Counter(x for x in kept if not (x[1] or "").strip()) == Counter([(None, ""), (None, None), (40, " ")])
+    again = [(r["doc_id"], r["text"]) for r in jaccard_join.keep_first(docs.repartition(5)).collect()]
+    assert Counter(again) == Counter(kept)
+
+
 def test_components_follow_long_chains(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 101), (101, 102), (7, 300)]
     got = {r["node"]: r["root"] for r in jaccard_join.components(spark.createDataFrame(edges, "a long, b long")).collect()}
