@@ -13,8 +13,10 @@
 5. Reading decodes all segments between checkpoints of a batch in step, one
    table look-up an id; blocks are read alone, in any order.
 
-Ranges come from quantiles of the ids, with a hash of the coded text where
-ids repeat or are null, so no range outgrows the others.
+Ranges come from quantiles of the ids; rows with null ids are dealt to ranges
+by a hash of the coded text.  Rows of one id share a range whatever their
+number, so that they stay in order; a range with a much repeated id outgrows
+the others, and its task sorts with spill.
 
 Defined cases: null and empty texts hold the end id alone.  Null ids come
 first in order.  Rows with equal ids stand next to each other in the order
