@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeshard.llm import bpe, cover_tree, exact_dedup, huffman, jaccard_join, lm_score, mixing, quality, token_scan, toxicity
+from lakeshard.llm import (bpe, centroids, cover_tree, exact_dedup, huffman, jaccard_join, lm_score, merkle, mixing, quality,
+                           token_scan, toxicity, url_filter)
 from lakeshard.llm.common import prepare
 from lakeshard.sources.tables import read_table
 
-#: folder of the public vocabulary files, the same on every machine
-TOKENIZERS = "/opt/tokenizers"
+#: the public vocabulary files, at the same place on every machine
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -82,7 +85,7 @@ def op1(spark, sf_dir):
 
 @query("op9_bpe")
 def op9(spark, sf_dir):
-    return bpe.digests(read_table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")
+    return bpe.digests(read_table(spark, sf_dir, "documents"), WORD_BPE)
 
 
 @query("op3_jaccard_join")
@@ -92,7 +95,7 @@ def op3(spark, sf_dir):
 
 @query("op7_huffman")
 def op7(spark, sf_dir):
-    return huffman.round_trip(read_table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json", size=50257)
+    return huffman.round_trip(read_table(spark, sf_dir, "documents"), BYTE_BPE, size=50257)
 
 
 @query("op4_cover_tree", """
@@ -127,4 +130,77 @@ def op6(spark, sf_dir):
 
 @query("op8_token_counts")
 def op8(spark, sf_dir):
-    return token_scan.token_counts(read_table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
+    return token_scan.token_counts(read_table(spark, sf_dir, "documents"), BYTE_BPE)
+
+
+RULES = url_filter.rules("allow org/, block example.org/es/, block example.org/en/1, allow com/fr/, block com/de/")
+
+
+@query("op11_url_filter")
+def op11(spark, sf_dir):
+    return url_filter.judge(read_table(spark, sf_dir, "pages"), RULES)
+
+
+@query("op12_merkle", """
+    WITH RECURSIVE f AS (
+        SELECT row_number() OVER () AS r, doc_id, coalesce('s' || source, '') AS g,
+               concat(coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id::VARCHAR, '-'), coalesce(strlen(source) || ':' || source, '-'),
+                      coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars::VARCHAR, '-')) AS head,
+               text, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low,
+               list_reduce([4294967295]::BIGINT[] || flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: [ascii(c), -1, -1, -1, -1, -1, -1, -1, -1]::BIGINT[])),
+                           lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS crc
+        FROM documents),
+    l AS (SELECT r, doc_id, g, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+                 CASE WHEN xor(crc, 4294967295) % 5 = 0 THEN sha256(head || coalesce(strlen(low) || ':' || low, '-')) END AS changed FROM f),
+    p AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY g) AS n FROM l),
+    inner_tree AS (
+        SELECT g, 0 AS lvl, pos, n, leaf AS digest FROM p
+        UNION ALL
+        SELECT g, lvl + 1, pos // 16, max((n + 15) // 16), sha256(string_agg(digest, '' ORDER BY pos)) FROM inner_tree WHERE n > 1 GROUP BY g, lvl, pos // 16),
+    tops AS (SELECT g, digest AS subroot, row_number() OVER (ORDER BY encode(g)) - 1 AS pos, count(*) OVER () AS n FROM inner_tree WHERE n = 1),
+    outer_tree AS (
+        SELECT 0 AS lvl, pos, n, subroot AS digest FROM tops
+        UNION ALL
+        SELECT lvl + 1, pos // 16, max((n + 15) // 16), sha256(string_agg(digest, '' ORDER BY pos)) FROM outer_tree WHERE n > 1 GROUP BY lvl, pos // 16),
+    nodes AS (SELECT g, lvl, pos, n, digest FROM inner_tree UNION ALL SELECT NULL, lvl, pos, n, digest FROM outer_tree),
+    beside AS (
+        SELECT a.g, a.lvl, a.pos, coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS before,
+               coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS after
+        FROM nodes a JOIN nodes b ON a.g IS NOT DISTINCT FROM b.g AND a.lvl = b.lvl AND a.pos // 16 = b.pos // 16 WHERE a.n > 1 GROUP BY a.g, a.lvl, a.pos),
+    up AS (
+        SELECT r, g, 0 AS lvl, pos, n, coalesce(changed, leaf) AS folded, '' AS proof FROM p
+        UNION ALL
+        SELECT u.r, u.g, u.lvl + 1, u.pos // 16, (u.n + 15) // 16, sha256(before || u.folded || after), u.proof || before || after
+        FROM up u JOIN beside s ON s.g = u.g AND s.lvl = u.lvl AND s.pos = u.pos WHERE u.n > 1),
+    up2 AS (
+        SELECT u.r, 0 AS lvl, t.pos, t.n, u.folded, u.proof FROM up u JOIN tops t ON u.g = t.g WHERE u.n = 1
+        UNION ALL
+        SELECT u.r, u.lvl + 1, u.pos // 16, (u.n + 15) // 16, sha256(before || u.folded || after), u.proof || before || after
+        FROM up2 u JOIN beside s ON s.g IS NULL AND s.lvl = u.lvl AND s.pos = u.pos WHERE u.n > 1),
+    top AS (SELECT digest AS root FROM outer_tree WHERE n = 1)
+    SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = root AS verified
+    FROM p JOIN tops USING (g) JOIN (SELECT r, folded, proof FROM up2 WHERE n = 1) USING (r), top""")
+def op12(spark, sf_dir):
+    return merkle.manifest(read_table(spark, sf_dir, "documents"))
+
+
+def _round(before: str, after: str) -> str:
+    """DuckDB steps of one round: the nearest centroid of each vector, and the floor of the mean of each centroid's vectors."""
+    return f"""
+    near{after} AS (SELECT r, arg_min(c, (d, c)) AS c, min(d) AS d FROM (
+        SELECT r, c, sum((p.x - m.x) * (p.x - m.x))::BIGINT AS d FROM p JOIN c{before} m USING (i) GROUP BY r, c) GROUP BY r),
+    mean{after} AS (SELECT c, i, sum(x)::BIGINT AS s, count(*) AS n FROM p JOIN near{after} USING (r) GROUP BY c, i),
+    c{after} AS (SELECT m.c, m.i, coalesce((s - ((s % n) + n) % n) // n, m.x) AS x FROM c{before} m LEFT JOIN mean{after} USING (c, i)),"""
+
+
+@query("op13_centroids", """
+    WITH v AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+               WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    p AS (SELECT r, unnest(range(1, 65)) AS i, unnest(v) AS x FROM v),
+    s AS (SELECT r, row_number() OVER (ORDER BY sha256('1:' || vec_id) NULLS LAST, v) - 1 AS c FROM v QUALIFY c < 16),
+    c0 AS (SELECT c, i, x FROM s JOIN p USING (r)),""" + _round("0", "1") + _round("1", "2") + _round("2", "3") + _round("3", "4") + """
+    h AS (SELECT c, sha256(string_agg(x::VARCHAR, ',' ORDER BY i)) AS centroid_sha256 FROM c3 GROUP BY c)
+    SELECT vec_id, c::INTEGER AS cluster, d AS distance, sum(d) OVER (PARTITION BY c)::BIGINT AS cluster_inertia, sum(d) OVER ()::BIGINT AS inertia, centroid_sha256
+    FROM near4 JOIN v USING (r) JOIN h USING (c)""")
+def op13(spark, sf_dir):
+    return centroids.with_inertia(*centroids.cluster(read_table(spark, sf_dir, "embeddings")))
