@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lakeshard.llm import bpe, exact_dedup, jaccard_join, mixing, toxicity
 from lakeshard.llm.common import prepare, stored
-from lakeshard.llm.queries import TOKENIZERS
+from lakeshard.llm.queries import WORD_BPE
 from lakeshard.sources.tables import read_table
 
 
@@ -51,7 +51,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return bpe.digests(docs, f"{TOKENIZERS}/word_bpe_49k.json")
+    return bpe.digests(docs, WORD_BPE)
 
 
 STAGES = [("toxicity", toxicity_stage), ("exact_dedup", exact_dedup_stage), ("near_dedup", near_dedup_stage),

@@ -48,8 +48,7 @@ LARGEST = 1 << 28
 def integers(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", dim: int = DIM, scale: int = SCALE) -> DataFrame:
     """``vec_id, v``: the vectors that take part, as integers."""
     v = F.col(vector_col)
-    # an infinity minus itself is no number, and neither is a comparison with null true
-    whole = F.forall(v, lambda x: F.coalesce(~F.isnan(x.cast("double") - x.cast("double")), F.lit(False)))
+    whole = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x - x))  # an infinity minus itself is no number
     kept = vectors.where(v.isNotNull() & (F.size(v) == dim) & whole)
     return kept.select(F.col(id_col).alias("vec_id"), F.transform(v, lambda x: F.floor(F.lit(float(scale)) * x.cast("double")).cast("long")).alias("v"))
 

@@ -44,7 +44,7 @@ BLOCK = FAN**LEVELS
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _NODES = "g string, pos long, n long, digest string"
 _PATHS = "g string, pos long, name string, digest string, path array<string>, root string, subroot string"
-_PROOFS = "doc_id long, leaf string, subroot string, root string, proof_sha256 string, folded_root string"
+_PROOFS = "doc_id string, leaf string, subroot string, root string, proof_sha256 string, folded_root string"
 
 
 def field(c: Column) -> Column:
@@ -185,7 +185,7 @@ def manifest(docs: DataFrame, tamper: int = 5) -> DataFrame:
     crc32 of its id) with them: ``folded_root``, ``verified``.
     """
     rows, widest = placed(stored(leaves(docs, tamper), "merkle-leaves"), ["doc_id", "digest"], "merkle-placed")
-    rows = stored(rows, "merkle-rows")
+    rows = stored(rows.withColumn("doc_id", F.col("doc_id").cast("string")), "merkle-rows")  # pandas has no null among integers
     tower = _tower(rows, widest)
     subroots = tower[-1].select(F.lit("").alias("g"), F.col("g").alias("name"), "digest")
     sources, many = placed(subroots, ["name"], "merkle-sources")
@@ -198,4 +198,4 @@ def manifest(docs: DataFrame, tamper: int = 5) -> DataFrame:
     paths = _down(tower[1:-1], paths)
     above = paths.select("g", F.col("pos").alias("block"), "path", "root", "subroot").groupBy("g", "block")
     proofs = _blocks(rows).cogroup(above).applyInPandas(_folded, _PROOFS)
-    return proofs.withColumn("verified", F.col("folded_root") == F.col("root"))
+    return proofs.withColumns({"doc_id": F.col("doc_id").cast("long"), "verified": F.col("folded_root") == F.col("root")})

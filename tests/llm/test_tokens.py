@@ -4,12 +4,13 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import public_tokenizers
 import pytest
 
 from lakeshard.llm import bpe, chunks, huffman, token_scan, tokens
 
-WORDS = "/opt/tokenizers/word_bpe_49k.json"
-BYTES = "/opt/tokenizers/byte_bpe_50k.json"
+WORDS = public_tokenizers.path("word_bpe_49k.json")
+BYTES = public_tokenizers.path("byte_bpe_50k.json")
 HARD = ["", "   ", "a\x1cb c\x1d d", "Σίσυφος ΟΔΥΣΣΕΥΣ", "İstanbul é ́x", "it's don't WE'LL 'S 'TIS",
         "<|startoftext|>hi<|endoftext|> x <|endoftext|>", "日本語 テスト 123 ४५", "😀😀 a😀b", " x y　z", "ﬁ ǅ ß ẞ",
         "a" * 900, "\x00\x01 \x7f", "a\n\n b  c\t\td ", " \x85x\xa0y z  \n", "\x1c \x1c", "abab" * 200, "thethethe ofofof"]
