@@ -1,7 +1,7 @@
 """BPE encoding and decoding of word-end vocabularies by backtracking over longest matches.
 
 A vocabulary file (``tokenizers`` JSON: NFC, white space, lower case, a split
-pattern, byte-level letters, ``</w>`` word ends) is loaded once a worker.
+pattern, byte-level letters, ``</w>`` word ends) is loaded in each task.
 
 Encoding: an Aho-Corasick automaton over all tokens gives the longest token
 at each step of a word.  A pair of neighbouring tokens is compatible if no
@@ -15,7 +15,9 @@ position fails once at most, so the work is linear in the word's length.
 Decoding gathers token texts from one byte table by an offset table.
 
 Texts are cut at white space, which no token crosses; a bounded cache keeps
-the ids of pieces seen before.  One pass over whole texts, no shuffle.
+the ids of pieces seen before.  One pass over whole texts, no shuffle.  The
+vocabulary is loaded once a task and goes with its caches when the task ends,
+as Python workers live on.
 
 Defined cases: null and empty texts have no tokens and decode to ``""``.
 Special tokens written in a text become their ids, as in the library.  A
@@ -25,6 +27,7 @@ table gives an empty result; repeated rows and extra columns do not matter.
 
 from __future__ import annotations
 
+import contextlib
 import hashlib
 import json
 import re
@@ -40,14 +43,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeshard.llm.chunks import ChunkCache
-from lakeshard.llm.common import pieces
+from lakeshard.llm.common import pieces, release
 
 #: bytes of text that are encoded at once, about, and pieces of text whose ids a worker keeps
 TEXT_BYTES = 2 << 20
-PIECES = 500_000
-#: words in each of the two generations of a worker's cache; pairs in its table, which starts anew when full
-WORDS = 80_000
-PAIRS = 300_000
+PIECES = 200_000
+#: bytes of the ids of these pieces, and of the texts and ids in each generation of known words
+PIECES_BYTES = 16 << 20
+WORDS_BYTES = 8 << 20
+#: words in each of the two generations of a cache; pairs in the table, which starts anew when full
+WORDS = 40_000
+PAIRS = 150_000
 #: ids that the decoder gathers at once, about
 RUN = 1 << 17
 _END = "</w>"
@@ -105,14 +111,10 @@ class WordBpe:
         self._chunks = ChunkCache(self._learn, limit)
         self._known: dict[str, bytes] = {}
         self._known_old: dict[str, bytes] = {}
-        self._trie: dict = {}
+        self._known_bytes = 0
         self._auto = ahocorasick.Automaton()
         for s, i in self._id.items():
             self._auto.add_word(s, i)
-            node = self._trie
-            for c in s:
-                node = node.setdefault(c, {})
-            node[""] = i
         self._auto.make_automaton()
         self._decoded = OffsetTable([names.get(i, "").encode() + b" " for i in range(self.size)])
         self._decimal = OffsetTable([b"%d " % i for i in range(self.size)])
@@ -174,13 +176,12 @@ class WordBpe:
 
     def _match(self, word: str, at: int) -> int:
         """The longest token that begins at ``at``, or -1."""
-        node, found = self._trie, -1
-        for c in word[at:at + self._longest]:
-            node = node.get(c)
-            if node is None:
-                break
-            found = node.get("", found)
-        return found
+        ids = self._id
+        for end in range(min(len(word), at + self._longest), at, -1):
+            found = ids.get(word[at:end])
+            if found is not None:
+                return found
+        return -1
 
     def backtrack(self, word: str, out: list[int] | None = None) -> list[int]:
         """Ids of one word of symbols; ``out`` are compatible longest matches that begin it."""
@@ -265,18 +266,22 @@ class WordBpe:
     def _learn(self, new: list[str]) -> list[bytes]:
         """Ids of new pieces."""
         parts = [[w for c in _CHUNK.findall(piece) for w in self._words(c)] for piece in new]
-        if len(self._known) > WORDS:
-            self._known_old, self._known = self._known, {}
+        if len(self._known) > WORDS or self._known_bytes > WORDS_BYTES:
+            self._known_old, self._known, self._known_bytes = self._known, {}, 0
         known, old = self._known, self._known_old
         words = {w for p in parts for w in p if isinstance(w, str)} - known.keys()
         for w in words & old.keys():
             known[w] = old[w]
         words = list(words - known.keys())
-        known.update(zip(words, self.encode_words(words), strict=True))
+        ids = self.encode_words(words)
+        known.update(zip(words, ids, strict=True))
+        self._known_bytes += sum(map(len, words)) + sum(map(len, ids))
         return [b"".join([known[w] if isinstance(w, str) else w.to_bytes(4, "little") for w in p]) for p in parts]
 
     def encode(self, texts) -> tuple[np.ndarray, np.ndarray]:
         """All ids of ``texts`` in order (int32), and how many each text has."""
+        if self._chunks._ids.nbytes > PIECES_BYTES:
+            self._chunks._clear()
         return self._chunks.encode(texts)
 
     def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
@@ -315,14 +320,15 @@ class OffsetTable:
         return [flat[a:max(a, b - 1)] for a, b in zip(stop[:-1], stop[1:], strict=True)]
 
 
-_loaded: dict[str, WordBpe] = {}
-
-
-def load(path: str) -> WordBpe:
-    """The vocabulary at ``path`` on this machine, once a worker."""
-    if path not in _loaded:
-        _loaded[path] = WordBpe(path)
-    return _loaded[path]
+@contextlib.contextmanager
+def loaded(path: str) -> Iterator[WordBpe]:
+    """The vocabulary at ``path`` on this machine, for one task."""
+    bpe = WordBpe(path)
+    try:
+        yield bpe
+    finally:
+        bpe.__dict__.clear()  # its parts refer to each other
+        release()
 
 
 def _narrow(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -333,12 +339,12 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     """``doc_id`` and ``ids`` of every row; the vocabulary file lies at ``path`` on every machine."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = load(path)
-        for b in pieces(batches, limit=TEXT_BYTES):
-            ids, counts = bpe.encode(b.column("text").to_pylist())
-            offsets = pa.array(np.concatenate(([0], np.cumsum(counts))).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.ListArray.from_arrays(offsets, pa.array(ids))],
-                                             names=["doc_id", "ids"])
+        with loaded(path) as bpe:
+            for b in pieces(batches, limit=TEXT_BYTES):
+                ids, counts = bpe.encode(b.column("text").to_pylist())
+                offsets = pa.array(np.concatenate(([0], np.cumsum(counts))).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.ListArray.from_arrays(offsets, pa.array(ids))],
+                                                 names=["doc_id", "ids"])
 
     return _narrow(docs, id_col, text_col).mapInArrow(run, "doc_id long, ids array<int>")
 
@@ -347,13 +353,13 @@ def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
     """``doc_id`` and ``text`` of rows of ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = load(path)
-        for b in batches:
-            lists = b.column("ids")
-            counts = np.asarray(lists.value_lengths().fill_null(0)).astype(np.int64)
-            text = bpe.decode(np.asarray(lists.flatten()).astype(np.int64), counts)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([t.decode("utf-8", "replace") for t in text], pa.string())],
-                                             names=["doc_id", "text"])
+        with loaded(path) as bpe:
+            for b in batches:
+                lists = b.column("ids")
+                counts = np.asarray(lists.value_lengths().fill_null(0)).astype(np.int64)
+                text = bpe.decode(np.asarray(lists.flatten()).astype(np.int64), counts)
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([t.decode("utf-8", "replace") for t in text], pa.string())],
+                                                 names=["doc_id", "text"])
 
     narrow = encoded.select(F.col(id_col).cast("long").alias("doc_id"), F.col(ids_col).alias("ids"))
     return narrow.mapInArrow(run, "doc_id long, text string")
@@ -363,14 +369,14 @@ def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     """Encode and decode every text in one pass: ``doc_id, n_tokens, ids_sha256, decoded_sha256``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = load(path)
-        for b in pieces(batches, limit=TEXT_BYTES):
-            ids, counts = bpe.encode(b.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(counts),
-                 pa.array([hashlib.sha256(x).hexdigest() for x in bpe.decimals(ids, counts)], pa.string()),
-                 pa.array([hashlib.sha256(x).hexdigest() for x in bpe.decode(ids, counts)], pa.string())],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        with loaded(path) as bpe:
+            for b in pieces(batches, limit=TEXT_BYTES):
+                ids, counts = bpe.encode(b.column("text").to_pylist())
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("doc_id"), pa.array(counts),
+                     pa.array([hashlib.sha256(x).hexdigest() for x in bpe.decimals(ids, counts)], pa.string()),
+                     pa.array([hashlib.sha256(x).hexdigest() for x in bpe.decode(ids, counts)], pa.string())],
+                    names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return _narrow(docs, id_col, text_col).mapInArrow(
         run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

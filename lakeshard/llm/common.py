@@ -41,9 +41,10 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, remainder: int, mod
     """A bounded, repeatable sample of labelled rows, none of them held out.
 
     Held out are ids with ``crc32(id as text) mod modulus == remainder``.
-    Rows are taken in the order of a hash of the id, ``limit`` at most, so
-    the sample is the same on every run.  Columns: ``id, text, label``.
-    Null ids, null labels and null texts are left out of the sample.
+    Ids are taken in the order of their hash, ``limit`` at most, and of the
+    rows of an id the text with the smallest hash, so there are at most
+    ``limit`` rows and the sample is the same on every run.  Columns: ``id,
+    text, label``.  Null ids, null labels and null texts are left out.
     """
     lab = (labels.select(F.col(id_col).alias("_id"), F.col(label).cast("int").alias("label"))
            .where(F.col("_id").isNotNull() & F.col("label").isin(0, 1)
@@ -52,7 +53,8 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, remainder: int, mod
            .orderBy(F.xxhash64("_id"), "_id").limit(limit))
     d = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
          .where(F.col("text").isNotNull()))
-    return d.join(lab, d["id"] == lab["_id"]).select("id", "text", "label")
+    return (d.join(lab, d["id"] == lab["_id"]).groupBy("id", "label")
+            .agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("id", "text", "label"))
 
 
 def held_out(id_col: str, remainder: int, modulus: int):

@@ -178,18 +178,22 @@ def compile_lexicon(terms: list[str], exact: frozenset = frozenset()) -> Automat
     states = {frozenset(): 0}
     start = close({0: 0}) if terms else frozenset()
     states.setdefault(start, len(states))
-    rows, queue = [[0] * (len(letters) + 1)], [start] if terms else []
+    rows, queue = [np.zeros(len(letters) + 1, np.int32)], [start] if terms else []
+    column = {c: j + 1 for j, c in enumerate(letters)}
     order = [frozenset(), start]
     while queue:
         s = queue.pop(0)
-        row = []
-        for ch in [None, *letters]:
+        row = None
+        for ch in [None, *sorted({c for node, _ in s for c in child[node]})]:  # all other letters act like one in no term
             t = step(s, ch)
             if t not in states:
                 states[t] = len(states)
                 order.append(t)
                 queue.append(t)
-            row.append(states[t])
+            if row is None:
+                row = np.full(len(letters) + 1, states[t], np.int32)
+            else:
+                row[column[ch]] = states[t]
         rows.append(row)
     distance, term = np.full(len(order), 9, np.int8), np.full(len(order), -1, np.int32)
     for i, s in enumerate(order[: len(rows)]):
@@ -197,7 +201,7 @@ def compile_lexicon(terms: list[str], exact: frozenset = frozenset()) -> Automat
             if ends[node] >= 0 and cost <= edits[terms[ends[node]]]:
                 distance[i], term[i] = cost, ends[node]
                 break
-    classes = np.zeros(0x110000, dtype=np.uint8)
+    classes = np.zeros(0x110000, dtype=np.uint16)
     for j, c in enumerate(letters):
         classes[ord(c)] = j + 1
         if len(c.upper()) == 1:
