@@ -7,9 +7,11 @@
    so a word of a copied document is no term.
 2. ``compile_lexicon`` builds the trie of the terms, walks it together with
    each term's Levenshtein automaton (distance 1, or 2 for long terms; 0 for
-   stems and for terms that common words resemble) and makes the product
+   stems, and for terms that many other rare words resemble) and makes the product
    deterministic: one table of states by character class.  The full words of
-   a stem are terms beside it, so their misspellings are found as well.
+   a stem are terms beside it, so their misspellings are found as well.  Near
+   matches that are ordinary words of label 0 texts are paths of the trie that
+   accept nothing.
 3. ``find_hits`` runs that table over all words of a batch at once (numpy).
    Each hit is told apart by distance and by its context window: inside
    quotation marks or after a word of reporting it counts as quoted.
@@ -47,8 +49,10 @@ MIN_LENGTH, MAX_LENGTH = 3, 32
 STEMS = (4, 5, 6)
 #: a stem stands for at least this many words of label 1 texts; with fewer, the words themselves are the terms
 STEM_FORMS = 3
-#: a term whose near matches lie in more than this share of label 0 texts is matched exactly only
+#: a near match in more than this share of label 0 texts is an ordinary word, no misspelling
 NEAR_NOISE = 0.001
+#: share of label 0 texts in which all other near matches together may lie; terms beyond it are matched exactly only
+NEAR_BUDGET = 0.005
 #: characters on either side of a hit that are searched for marks of quotation
 WINDOW = 60
 
@@ -118,30 +122,38 @@ def allowed_edits(term: str) -> int:
     return 0 if len(term) < 4 or term.endswith("*") else 1 if len(term) < 9 else 2
 
 
-def compile_lexicon(terms: list[str], exact: frozenset = frozenset()) -> Automaton:
+def compile_lexicon(terms: list[str], exact: frozenset = frozenset(), ordinary: frozenset = frozenset()) -> Automaton:
     """The automaton of ``terms``; a word is accepted within ``allowed_edits`` of a term.
 
     Terms in ``exact`` are matched without edits; a term that ends in ``*``
-    accepts any word that begins with it.
+    accepts any word that begins with it.  Words in ``ordinary`` are not
+    accepted for being near a term.
     """
     edits = {t: 0 if t in exact else allowed_edits(t) for t in terms}
     # trie: children by character, the deepest edit budget below a node, and the term that ends there
     child: list[dict[str, int]] = [{}]
-    budget, ends, open_ended = [0], [-1], set()
-    for k, t in enumerate(terms):
+    budget, ends, open_ended, no_hit = [0], [-1], set(), set()
+
+    def insert(word: str, most: int) -> int:
         at = 0
-        budget[0] = max(budget[0], edits[t])
-        for ch in t.rstrip("*"):
+        budget[0] = max(budget[0], most)
+        for ch in word:
             if ch not in child[at]:
                 child[at][ch] = len(child)
                 child.append({})
                 budget.append(0)
                 ends.append(-1)
             at = child[at][ch]
-            budget[at] = max(budget[at], edits[t])
+            budget[at] = max(budget[at], most)
+        return at
+
+    for k, t in enumerate(terms):
+        at = insert(t.rstrip("*"), edits[t])
         ends[at] = k
         if t.endswith("*"):
             open_ended.add(at)
+    for word in sorted(ordinary - set(terms)):
+        no_hit.add(insert(word, 0))
 
     def close(items: dict[int, int]) -> frozenset:
         """Add what deletions from the word reach: a trie edge at the cost of one edit."""
@@ -174,7 +186,7 @@ def compile_lexicon(terms: list[str], exact: frozenset = frozenset()) -> Automat
                 return frozenset({(node, 0)})
         return close(out)
 
-    letters = sorted({c for t in terms for c in t.rstrip("*")})
+    letters = sorted({c for edges in child for c in edges})
     states = {frozenset(): 0}
     start = close({0: 0}) if terms else frozenset()
     states.setdefault(start, len(states))
@@ -198,6 +210,8 @@ def compile_lexicon(terms: list[str], exact: frozenset = frozenset()) -> Automat
     distance, term = np.full(len(order), 9, np.int8), np.full(len(order), -1, np.int32)
     for i, s in enumerate(order[: len(rows)]):
         for node, cost in sorted(s, key=lambda x: (x[1], x[0])):
+            if cost == 0 and node in no_hit:
+                break
             if ends[node] >= 0 and cost <= edits[terms[ends[node]]]:
                 distance[i], term[i] = cost, ends[node]
                 break
@@ -321,6 +335,27 @@ def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 50) -> np
     return w
 
 
+def near_rules(terms: list[str], noise: list[tuple[int, str, int]], clean: int) -> tuple[frozenset, frozenset]:
+    """Terms matched exactly only, and ordinary words, from ``(term, near word, label 0 texts with it)``.
+
+    What is near a term in many label 0 texts is a word of its own.  The rest
+    is noise; the terms with the least of it keep their edits, as far as the
+    budget goes.
+    """
+    ordinary = frozenset(w for _, w, n in noise if n > NEAR_NOISE * clean)
+    rest: dict[int, int] = {}
+    for t, w, n in noise:
+        if w not in ordinary:
+            rest[t] = rest.get(t, 0) + n
+    left, exact = NEAR_BUDGET * clean, set()
+    for t in sorted(rest, key=lambda t: (rest[t], terms[t])):
+        if rest[t] > left:
+            exact.add(terms[t])
+        else:
+            left -= rest[t]
+    return frozenset(exact), ordinary
+
+
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", *, remainder: int = 2, modulus: int = 4,
           limit: int = TRAIN_ROWS, max_terms: int = MAX_TERMS, id_col: str = "doc_id",
           text_col: str = "text") -> tuple[Automaton, np.ndarray]:
@@ -332,14 +367,16 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", *, remainder
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches):
-            doc, _, _, distance, term = find_hits(b.column("text").to_pylist(), draft.value)
-            seen = sorted(set(zip(doc[distance > 0].tolist(), term[distance > 0].tolist(), strict=True)))
-            yield pa.RecordBatch.from_arrays([pa.array([t for _, t in seen], pa.int32())], names=["term"])
-
-    noise = (rows.where("label = 0").mapInArrow(near, "term int").groupBy("term").count().collect()
-             if terms else [])  # one row a term
+            texts = b.column("text").to_pylist()
+            doc, start, end, distance, term = (x.tolist() for x in find_hits(texts, draft.value))
+            seen = sorted({(d, t, texts[d][a:e].lower()) for d, a, e, far, t in zip(doc, start, end, distance, term, strict=True) if far})
+            yield pa.RecordBatch.from_arrays([pa.array([t for _, t, _ in seen], pa.int32()), pa.array([w for _, _, w in seen], pa.string())],
+                                             names=["term", "word"])
+
+    # a row for each near match in the sample
+    noise = rows.where("label = 0").mapInArrow(near, "term int, word string").groupBy("term", "word").count().collect() if terms else []
     clean = max(rows.where("label = 0").count(), 1)
-    auto = compile_lexicon(terms, frozenset(terms[r["term"]] for r in noise if r["count"] > NEAR_NOISE * clean))
+    auto = compile_lexicon(terms, *near_rules(terms, [(r["term"], r["word"], r["count"]) for r in noise], clean))
     draft.unpersist()
     model = spark.sparkContext.broadcast(auto)
 

@@ -1,6 +1,7 @@
 import math
 import random
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -8,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakeshard.llm import cover_tree, lm_score, mixing, quality, toxicity
+from lakeshard.llm.common import labelled
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -316,3 +318,58 @@ def test_cover_tree_covers_and_separates():
     root = cover_tree.cover_tree(x, leaf=10)
     assert sorted(below(root)) == list(range(500))
     walk(root, below(root))
+
+
+def test_lexicon_of_many_letters():
+    rng = random.Random(8)
+    terms = ["".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(k)) for k in (3, 4, 5) for _ in range(80)]
+    auto = toxicity.compile_lexicon(terms)
+    assert len({c for t in terms for c in t}) > 255
+    near = [t[:1] + "x" + t[2:] for t in terms]
+    doc, _, _, distance, term = toxicity.find_hits([*terms, *near], auto)
+    want = [(i, 0, t) for i, t in enumerate(terms)] + [(len(terms) + i, 1, t) for i, t in enumerate(terms) if len(t) > 3]
+    assert [(d, k, terms[t]) for d, k, t in zip(doc.tolist(), distance.tolist(), term.tolist(), strict=True)] == want
+
+
+def test_ordinary_words_near_a_term_are_no_hits():
+    auto = toxicity.compile_lexicon(["idiot", "stupid"], ordinary=frozenset(["idiom", "stupor", "stupid"]))
+    texts = ["idiom", "idiot", "idiots", "Idiom", "stupid", "stupod", "idio", "idioms"]
+    doc, _, _, distance, _ = toxicity.find_hits(texts, auto)
+    assert dict(zip(doc.tolist(), distance.tolist(), strict=True)) == {1: 0, 2: 1, 4: 0, 5: 1, 6: 1}
+
+
+def test_near_rules_judge_words_then_terms():
+    noise = [(0, "idiom", 40), (0, "idiots", 1), (1, "stupod", 1), (2, "a", 1), (2, "b", 1), (2, "c", 1), (2, "d", 1)]
+    exact, ordinary = toxicity.near_rules(["idiot", "stupid", "trash"], noise, 1000)
+    assert ordinary == {"idiom"} and exact == {"trash"}  # five texts in a thousand may hold near matches
+
+
+def test_sample_is_bounded_when_one_id_holds_many_rows(spark):
+    rows = [(1, f"text {i}") for i in range(500)] + [(1, "same")] * 500 + [(i, f"row {i}") for i in range(2, 1500)] + [(None, "x"), (3, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1500)] + [(1, None), (None, 1), (2, 7)], "doc_id long, toxic int")
+    got = labelled(docs, labels, "toxic", 2, 4, 300)
+    rows = sorted(map(tuple, got.collect()))
+    assert len(rows) == len({r[0] for r in rows}) <= 300
+    assert rows == sorted(map(tuple, labelled(docs.repartition(7), labels, "toxic", 2, 4, 300).collect()))
+    assert all(zlib.crc32(str(i).encode()) % 4 != 2 and label == i % 2 for i, _, label in rows)
+
+
+def test_training_with_a_hot_id(spark):
+    """A third of the rows under one id: it counts once, and the others decide."""
+    rng = random.Random(4)
+    plain = lambda: [rng.choice(["river", "mill", "stone", "green", "paper", "north", "candle", "bridge"]) for _ in range(12)]
+    text = lambda i: " ".join(plain() + ["zorgle"] + plain() if i % 3 == 0 else plain() + plain())
+    rows = [(1, text(1)) for _ in range(200)] + [(i, text(i)) for i in range(2, 400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, int(i % 3 == 0 and i > 1)) for i in range(400)], "doc_id long, toxic int")
+    got = toxicity.classify(docs, labels).where("doc_id > 1").collect()
+    assert all(r["predicted"] == (r["doc_id"] % 3 == 0) for r in got)
+
+
+def test_edits_matter_on_the_given_tables(spark):
+    """Most terms are looked for with edits or lose them to measured noise only; near and quoted hits occur."""
+    sf = "/root/testdata/sf0.01"
+    got = toxicity.classify(spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet"))
+    n = got.agg({"n_exact": "sum", "n_near": "sum", "n_quoted": "sum"}).first()
+    assert n["sum(n_near)"] > 0 and n["sum(n_exact)"] > n["sum(n_near)"]
