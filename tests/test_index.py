@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from lakeshard.operators import index as ix
 from lakeshard.sources.files import read_text_files
 
-from conftest import SF
+from sf_dir import SF
 
 # The reference's three input files and the index they give.
 FIXTURE = {"0": "it is what it is", "1": "what is it", "2": "it is a banana"}

@@ -6,7 +6,7 @@ import pytest
 
 from lakeshard.plans.registry import entries
 
-from conftest import SF
+from sf_dir import SF
 
 PURE = {"relational", "joins", "aggregates", "windows", "ordering", "setops", "scalars", "core"}
 PY_NODES = re.compile(r"ArrowEvalPython|BatchEvalPython|MapInPandas|FlatMapGroupsInPandas|AggregateInPandas|"

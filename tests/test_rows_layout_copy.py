@@ -11,7 +11,7 @@ from lakeshard.operators.copy import dist_copy, tree_equal
 from lakeshard.operators.profile import hash_sample, profile
 from lakeshard.operators.script import reduce_groups
 
-from conftest import SF
+from sf_dir import SF
 
 
 def _t(spark, rows):
