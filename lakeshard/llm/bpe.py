@@ -47,13 +47,13 @@ from lakeshard.llm.common import pieces, release
 
 #: bytes of text that are encoded at once, about, and pieces of text whose ids a worker keeps
 TEXT_BYTES = 2 << 20
-PIECES = 200_000
+PIECES = 500_000
 #: bytes of the ids of these pieces, and of the texts and ids in each generation of known words
 PIECES_BYTES = 16 << 20
 WORDS_BYTES = 8 << 20
 #: words in each of the two generations of a cache; pairs in the table, which starts anew when full
-WORDS = 40_000
-PAIRS = 150_000
+WORDS = 80_000
+PAIRS = 300_000
 #: ids that the decoder gathers at once, about
 RUN = 1 << 17
 _END = "</w>"
@@ -176,9 +176,9 @@ class WordBpe:
 
     def _match(self, word: str, at: int) -> int:
         """The longest token that begins at ``at``, or -1."""
-        ids = self._id
-        for end in range(min(len(word), at + self._longest), at, -1):
-            found = ids.get(word[at:end])
+        rest, ids = word[at:at + self._longest], self._id
+        for end in range(self._auto.longest_prefix(rest), 0, -1):  # no longer token begins like this
+            found = ids.get(rest[:end])
             if found is not None:
                 return found
         return -1
