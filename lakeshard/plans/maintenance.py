@@ -15,9 +15,11 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from lakeshard.functions.provenance import with_provenance
+from lakeshard.operators import binpack as bp
 from lakeshard.operators import compact as cp
 from lakeshard.operators import layout as lo
 from lakeshard.operators import rows as rw
+from lakeshard.operators import touched as tf
 from lakeshard.operators.copy import dist_copy
 from lakeshard.operators.profile import hash_sample, profile
 from lakeshard.operators.script import map_rows, reduce_groups
@@ -40,17 +42,39 @@ def _catalog_copy(spark, df, name, partition_by=None, pieces=16):
     return tname
 
 
+def _file_count(df, file_bytes=16 << 20):
+    """An explicit file count that follows the size of ``df``, two at least."""
+    return max(2, -(-int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) // file_bytes))
+
+
 @query("compact_table", oracle=_LINEITEM_ALL)
 def q_compact_table(spark, sf_dir):
     t = _catalog_copy(spark, read_table(spark, sf_dir, "lineitem"), "ls_lineitem", pieces=32)
-    cp.compact_table(spark, t, num_files=2).collect()
+    cp.compact_table(spark, t, num_files=_file_count(spark.table(t))).collect()
+    return spark.table(t)
+
+
+@query("compact_bins", oracle=_LINEITEM_ALL)
+def q_compact_bins(spark, sf_dir):
+    """Small files merged by bin packing, without a shuffle; each bin is one task."""
+    li = read_table(spark, sf_dir, "lineitem")
+    t = _catalog_copy(spark, li, "ls_bins", pieces=48)
+    bp.compact_bins(spark, t, target_bytes=16 << 20).collect()
+    return spark.table(t)
+
+
+@query("compact_bins_partitioned", oracle=_ORDERS_ALL)
+def q_compact_bins_partitioned(spark, sf_dir):
+    """Bin packing inside each partition, for the partitions that a predicate selects."""
+    t = _catalog_copy(spark, read_table(spark, sf_dir, "orders"), "ls_pbins", ["o_orderpriority"])
+    bp.compact_bins(spark, t, target_bytes=16 << 20, where=F.col("o_orderpriority") != "5-LOW").collect()
     return spark.table(t)
 
 
 @query("compact_partition", oracle=_ORDERS_ALL)
 def q_compact_partition(spark, sf_dir):
     t = _catalog_copy(spark, read_table(spark, sf_dir, "orders"), "ls_orders", ["o_orderstatus"])
-    cp.compact_table(spark, t, {"o_orderstatus": "F"}, num_files=1).collect()
+    cp.compact_table(spark, t, {"o_orderstatus": "F"}, num_files=_file_count(spark.table(t))).collect()
     return spark.table(t)
 
 
@@ -66,7 +90,7 @@ def q_compact_auto_size(spark, sf_dir):
 def q_compact_path(spark, sf_dir):
     path = scratch_dir(spark, "ls_path") + "/lineitem"
     read_table(spark, sf_dir, "lineitem").repartition(24).write.parquet(path)
-    cp.compact_path(spark, path, num_files=3).collect()
+    cp.compact_path(spark, path, num_files=_file_count(spark.read.parquet(path))).collect()
     return spark.read.parquet(path)
 
 
@@ -74,7 +98,7 @@ def q_compact_path(spark, sf_dir):
 def q_compact_history(spark, sf_dir):
     o = read_table(spark, sf_dir, "orders").withColumn("o_year", F.year("o_orderdate"))
     t = _catalog_copy(spark, o, "ls_hist", ["o_year"])
-    lo.compact_history(spark, t, {"o_year": 1999}, num_files=1)
+    lo.compact_history(spark, t, {"o_year": 1999}, target_bytes=16 << 20)
     return spark.table(t).drop("o_year")
 
 
@@ -89,19 +113,30 @@ def q_auto_compact(spark, sf_dir):
 def q_auto_compact_minor(spark, sf_dir):
     """Many small files beside one large one: only the small ones are merged."""
     o = read_table(spark, sf_dir, "orders")
-    t = _catalog_copy(spark, o.where("o_orderkey % 10 <> 0"), "ls_minor", pieces=1)
+    t = _catalog_copy(spark, o.where("o_orderkey % 10 <> 0"), "ls_minor", pieces=_file_count(o) - 1)
     o.where("o_orderkey % 10 = 0").repartition(12).write.insertInto(t)
     lo.auto_compact(spark, t, min_small_files=4, small_bytes=16 << 10)
     return spark.table(t)
 
 
 @query("small_file_report", oracle="""
-SELECT o_orderstatus, 16 AS files, 16 AS small_files FROM orders GROUP BY o_orderstatus""")
+SELECT o_orderstatus, count(*) AS rows, 4::BIGINT AS small_files, 2::BIGINT AS large_files FROM orders GROUP BY o_orderstatus""")
 def q_small_file_report(spark, sf_dir):
-    t = _catalog_copy(spark, read_table(spark, sf_dir, "orders"), "ls_rep", ["o_orderstatus"])
-    # sizes depend on the writer; the counts do not
-    return lo.table_file_report(spark, t, small_bytes=1 << 30).select(
-        "o_orderstatus", F.col("files").cast("int"), F.col("small_files").cast("int"))
+    """Each partition holds nine tenths of its rows in two files and the rest in four; a threshold tells them apart."""
+    o = read_table(spark, sf_dir, "orders")
+    few = F.col("o_orderkey") % 10 == 0
+    turn = F.floor(F.col("o_orderkey") / 10)  # files are dealt by key, so their number does not depend on the scan
+    t = f"ls_rep_{uuid.uuid4().hex[:10]}"
+    piece = F.when(few, F.lit(2) + turn % 4).otherwise(turn % 2).cast("int")
+    (o.repartitionById(6, piece).write.format("parquet").option("path", scratch_dir(spark, "ls_rep") + "/data")
+     .partitionBy("o_orderstatus").saveAsTable(t))
+    size = lo.table_file_report(spark, t).select("o_orderstatus", "avg_file_bytes")
+    rep = [lo.small_file_report(spark.table(t).where(F.col("o_orderstatus") == r["o_orderstatus"]), ["o_orderstatus"], r["avg_file_bytes"])
+           for r in size.collect()]  # three partitions
+    out = rep[0]
+    for r in rep[1:]:
+        out = out.unionAll(r)
+    return out.select("o_orderstatus", "rows", "small_files", (F.col("files") - F.col("small_files")).alias("large_files"))
 
 
 def _layout(spark, sf_dir, table, write, partitioned=False):
@@ -256,6 +291,49 @@ def q_publish_rewrite(spark, sf_dir):
     return spark.table(t)
 
 
+def _ranged_orders(spark, sf_dir, name, partition_by=None):
+    """``orders`` as a catalog table of files with disjoint key ranges."""
+    t = f"{name}_{uuid.uuid4().hex[:10]}"
+    w = (read_table(spark, sf_dir, "orders").repartitionByRange(16, "o_orderkey").write.format("parquet")
+         .option("path", scratch_dir(spark, name) + "/data"))
+    (w.partitionBy(*partition_by) if partition_by else w).saveAsTable(t)
+    return t
+
+
+@query("delete_touched", oracle="""
+SELECT * FROM orders WHERE NOT coalesce(o_orderkey < 400 AND o_orderstatus <> 'P', false)""")
+def q_delete_touched(spark, sf_dir):
+    """DELETE published: only the files with a hit are rewritten."""
+    t = _ranged_orders(spark, sf_dir, "ls_tdel", ["o_orderstatus"])
+    tf.delete_from(spark, t, (F.col("o_orderkey") < 400) & (F.col("o_orderstatus") != "P"))
+    return spark.table(t)
+
+
+@query("update_touched", oracle="""
+SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_orderkey < 400 THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice,
+       o_orderdate, CASE WHEN o_orderkey < 400 THEN '1-URGENT' ELSE o_orderpriority END AS o_orderpriority FROM orders""")
+def q_update_touched(spark, sf_dir):
+    """UPDATE published: only the files with a hit are rewritten."""
+    t = _ranged_orders(spark, sf_dir, "ls_tupd")
+    tf.update_table(spark, t, {"o_totalprice": F.col("o_totalprice") * 2, "o_orderpriority": F.lit("1-URGENT")}, F.col("o_orderkey") < 400)
+    return spark.table(t)
+
+
+@query("merge_touched", oracle="""
+WITH s AS (SELECT * FROM orders WHERE o_orderkey < 400)
+SELECT o_orderkey, o_custkey, 'P' AS o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM s WHERE o_orderstatus <> 'F'
+UNION ALL SELECT * FROM orders WHERE o_orderkey >= 400
+UNION ALL SELECT -o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM s WHERE o_orderkey > 0""")
+def q_merge_touched(spark, sf_dir):
+    """MERGE published: files with a matched key are rewritten, rows without a match come as new files."""
+    t = _ranged_orders(spark, sf_dir, "ls_tmrg")
+    some = read_table(spark, sf_dir, "orders").where("o_orderkey < 400")
+    source = some.unionAll(some.where("o_orderkey > 0").withColumn("o_orderkey", -F.col("o_orderkey")))
+    tf.merge_into(spark, t, source, ["o_orderkey"], [
+        rw.matched_delete(F.col("s.o_orderstatus") == "F"), rw.matched_update({"o_orderstatus": F.lit("P")}), rw.not_matched_insert()])
+    return spark.table(t)
+
+
 # -- profiling, sampling, scripts ----------------------------------------------------------
 
 @query("profile_columns", oracle="""
@@ -390,5 +468,5 @@ def q_compact_path_partitioned(spark, sf_dir):
     path = scratch_dir(spark, "ls_ppath") + "/orders"
     (read_table(spark, sf_dir, "orders").repartition(16)
      .write.partitionBy("o_orderstatus", "o_orderpriority").parquet(path))
-    cp.compact_path(spark, path, num_files=1, partition_by=["o_orderstatus", "o_orderpriority"])
+    cp.compact_path(spark, path, target_bytes=16 << 20, partition_by=["o_orderstatus", "o_orderpriority"])
     return spark.read.option("basePath", path).parquet(path)
