@@ -96,15 +96,6 @@ def _copy_partitions(ignore_failures: bool, overwrite: bool):
     return run
 
 
-def copy_manifest(spark: SparkSession, source: str, target: str) -> DataFrame:
-    """``(src, dst, length)`` for every file below ``source``; relative paths kept."""
-    tgt = qualify(target, spark)
-    files = list_files(spark, source)
-    return files.select(F.col("path").alias("src"),
-                        F.concat(F.lit(tgt + "/"), F.col("rel")).alias("dst"),
-                        "length")
-
-
 _FOUND = "rel string, is_dir boolean, length bigint"
 
 

@@ -7,7 +7,7 @@ rows), then unpivots the single result row with ``stack``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeshard.functions.hashing import row_hash
@@ -48,3 +48,24 @@ def hash_sample(df: DataFrame, key: str, num: int, den: int) -> DataFrame:
         else row_hash(df, [key])
     k = F.coalesce(k, F.xxhash64(F.lit(None).cast(dtype)))
     return df.where(F.pmod(k, F.lit(den)) < F.lit(num))
+
+
+def sample_key(key: list[str], seed: int = 0) -> Column:
+    """The hash that orders a sample: MD5 of seed and key columns as text (NULL as ``-``), the same in any engine."""
+    parts = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-")) for c in key]
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *parts).cast("binary"))
+
+
+def bottom_k(df: DataFrame, k: int, key: list[str], strata: list[str] | None = None, seed: int = 0) -> DataFrame:
+    """Exactly ``k`` rows (all, if fewer) of the table or of each stratum: those with the smallest ``sample_key``.
+
+    Repeatable whatever the partitioning as long as the keys are unique, and
+    samples of two tables on one key agree.  Each task keeps its own ``k``
+    smallest (of each stratum) before the shuffle, so a hot stratum costs
+    ``k`` rows a task.
+    """
+    hashed = df.withColumn("_hash", sample_key(key, seed))
+    if not strata:
+        return hashed.orderBy("_hash", *key).limit(k).drop("_hash")
+    w = Window.partitionBy(*strata).orderBy("_hash", *key)
+    return hashed.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= k).drop("_rank", "_hash")

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lakeshard.operators.intervals import overlap_join
 from lakeshard.operators.joins import band_join, not_in
 from lakeshard.plans.registry import query, sql_query
 from lakeshard.sources.tables import Tables
@@ -108,6 +109,18 @@ def q_join_range(spark, sf_dir):
             .select("first_key", "later_key"))
 
 
+@query("join_overlap", oracle="""
+SELECT o_orderkey, l_orderkey, l_linenumber FROM orders JOIN lineitem
+  ON o_orderkey <= l_orderkey + 1 AND l_orderkey - 2 <= o_orderkey + 3 WHERE l_quantity >= 49""")
+def q_join_overlap(spark, sf_dir):
+    """Overlap of two intervals without any equality: bins cut from the data make it an equi-join."""
+    t = Tables(spark, sf_dir)
+    o = t.orders.select("o_orderkey", F.col("o_orderkey").alias("a"), (F.col("o_orderkey") + 3).alias("b"))
+    li = (t.lineitem.where("l_quantity >= 49")
+          .select("l_orderkey", "l_linenumber", (F.col("l_orderkey") - 2).alias("c"), (F.col("l_orderkey") + 1).alias("d")))
+    return overlap_join(o, li, ("a", "b"), ("c", "d")).select("o_orderkey", "l_orderkey", "l_linenumber")
+
+
 sql_query("join_lateral", """
 SELECT c.c_custkey, x.n, x.total FROM customer c,
   LATERAL (SELECT count(*) AS n, round(coalesce(sum(o.o_totalprice), 0), 2) AS total

@@ -20,11 +20,13 @@ from lakeshard.operators import compact as cp
 from lakeshard.operators import layout as lo
 from lakeshard.operators import rows as rw
 from lakeshard.operators import touched as tf
-from lakeshard.operators.copy import dist_copy
-from lakeshard.operators.profile import hash_sample, profile
+from lakeshard.operators.copy import dist_copy, walk_tree
+from lakeshard.operators.profile import bottom_k, hash_sample, profile
+from lakeshard.operators.ranges_copy import split_copy
 from lakeshard.operators.script import map_rows, reduce_groups
 from lakeshard.plans.registry import query
 from lakeshard.session import scratch_dir
+from lakeshard.sources.files import list_directory
 from lakeshard.sources.tables import TABLES, read_table
 
 _LINEITEM_ALL = "SELECT * FROM lineitem"
@@ -49,8 +51,9 @@ def _file_count(df, file_bytes=16 << 20):
 
 @query("compact_table", oracle=_LINEITEM_ALL)
 def q_compact_table(spark, sf_dir):
-    t = _catalog_copy(spark, read_table(spark, sf_dir, "lineitem"), "ls_lineitem", pieces=32)
-    cp.compact_table(spark, t, num_files=_file_count(spark.table(t))).collect()
+    li = read_table(spark, sf_dir, "lineitem")
+    t = _catalog_copy(spark, li, "ls_lineitem", pieces=32)
+    cp.compact_table(spark, t, num_files=_file_count(li)).collect()
     return spark.table(t)
 
 
@@ -73,8 +76,9 @@ def q_compact_bins_partitioned(spark, sf_dir):
 
 @query("compact_partition", oracle=_ORDERS_ALL)
 def q_compact_partition(spark, sf_dir):
-    t = _catalog_copy(spark, read_table(spark, sf_dir, "orders"), "ls_orders", ["o_orderstatus"])
-    cp.compact_table(spark, t, {"o_orderstatus": "F"}, num_files=_file_count(spark.table(t))).collect()
+    o = read_table(spark, sf_dir, "orders")
+    t = _catalog_copy(spark, o, "ls_orders", ["o_orderstatus"])
+    cp.compact_table(spark, t, {"o_orderstatus": "F"}, num_files=_file_count(o)).collect()
     return spark.table(t)
 
 
@@ -416,15 +420,89 @@ def q_transform_reduce_nulls(spark, sf_dir):
 
 # -- copy, provenance ---------------------------------------------------------------
 
-@query("copy_manifest", oracle="SELECT * FROM (VALUES "
-       + ", ".join(f"('{t}.parquet', 'ok')" for t in TABLES) + ") AS t(name, status)")
+def _names(extra):
+    return "SELECT * FROM (VALUES " + ", ".join(f"('{t}.parquet', {extra})" for t in TABLES) + ")"
+
+
+def _whole(spark, copied, target):
+    """Name of each copied file, and whether the target's listing has its length."""
+    there = walk_tree(spark, target).where("NOT is_dir").select(F.element_at(F.split("rel", "/"), -1).alias("name"), F.col("length").alias("there"))
+    return copied.withColumn("name", F.element_at(F.split("dst", "/"), -1)).join(there, "name").withColumn(
+        "whole", (F.col("length") == F.col("there")) & (F.col("length") > 0))
+
+
+@query("copy_manifest", oracle=_names("'ok', true") + " AS t(name, status, whole)")
 def q_copy_manifest(spark, sf_dir):
-    """Copy the scale-factor folder (every table file) with 4 tasks."""
+    """Copy the scale-factor folder (every table file) with 4 tasks; the target has the source's lengths."""
     target = scratch_dir(spark, "ls_copy")
-    return dist_copy(spark, sf_dir, target, max_concurrency=4).select(
+    return _whole(spark, dist_copy(spark, sf_dir, target, max_concurrency=4), target).select("name", "status", "whole")
+
+
+@query("copy_split", oracle=_names("'ok', true") + " AS t(name, status, whole)")
+def q_copy_split(spark, sf_dir):
+    """The same folder by byte ranges: large files are copied by several tasks, joined and checked by digest."""
+    target = scratch_dir(spark, "ls_split")
+    return _whole(spark, split_copy(spark, sf_dir, target, range_bytes=256 << 10, max_concurrency=8), target).select("name", "status", "whole")
+
+
+@query("copy_failures", oracle=_names("'ok'") + " AS t(name, status) UNION ALL SELECT 'missing', 'failed'")
+def q_copy_failures(spark, sf_dir):
+    """With failures ignored, a source that is not there is a row and the rest is copied."""
+    target = scratch_dir(spark, "ls_fail")
+    extra = spark.createDataFrame([(f"{target}/nowhere", f"{target}/missing", 0)], "src string, dst string, length long")
+    return dist_copy(spark, sf_dir, target, ignore_failures=True, max_concurrency=4, extra_files=extra).select(
         F.element_at(F.split("dst", "/"), -1).alias("name"), "status")
 
 
+@query("copy_directories", oracle="SELECT * FROM (VALUES ('F'), ('O'), ('P')) AS t(status)")
+def q_copy_directories(spark, sf_dir):
+    """The folders of a tree are created below the target, one for each partition of the copied table."""
+    base = scratch_dir(spark, "ls_dirs")
+    read_table(spark, sf_dir, "orders").write.partitionBy("o_orderstatus").parquet(f"{base}/in")
+    dist_copy(spark, f"{base}/in", f"{base}/out", max_concurrency=4)
+    return walk_tree(spark, f"{base}/out").where("is_dir").select(F.regexp_extract("rel", "o_orderstatus=(.)", 1).alias("status"))
+
+
+@query("sorted_listing", oracle="SELECT * FROM (VALUES "
+       + ", ".join(f"({i}::BIGINT, '{t}.parquet')" for i, t in enumerate(sorted(TABLES))) + ") AS t(place, name)")
+def q_sorted_listing(spark, sf_dir):
+    """Flat listing of a folder's files in path order."""
+    at = F.monotonically_increasing_id()  # a sorted listing of one folder; places are counted per range
+    rows = list_directory(spark, sf_dir).select(F.regexp_extract("rel", "[^/]*$", 0).alias("name")).coalesce(1)
+    return rows.select(at.alias("place"), "name")
+
+
+@query("compact_report", oracle="SELECT 32::BIGINT AS files_before, true AS fewer, count(*) AS rows FROM lineitem")
+def q_compact_report(spark, sf_dir):
+    """The report of a compaction: file counts before and after, and the rows moved."""
+    t = _catalog_copy(spark, read_table(spark, sf_dir, "lineitem"), "ls_creport", pieces=32)
+    r = cp.compact_table(spark, t, target_bytes=16 << 20)
+    return r.select("files_before", (F.col("files_after") < F.col("files_before")).alias("fewer"), "rows")
+
+
+@query("sample_bottom_k", oracle="SELECT * FROM orders ORDER BY md5('0|=' || o_orderkey), o_orderkey LIMIT 100")
+def q_sample_bottom_k(spark, sf_dir):
+    """Exactly 100 rows, the same in any engine: those with the smallest hashes."""
+    return bottom_k(read_table(spark, sf_dir, "orders"), 100, ["o_orderkey"])
+
+
+@query("sample_strata", oracle="""
+SELECT * FROM orders QUALIFY row_number() OVER (PARTITION BY o_orderpriority ORDER BY md5('7|=' || o_orderkey), o_orderkey) <= 20""")
+def q_sample_strata(spark, sf_dir):
+    """Exactly 20 rows of each priority, limited in each task before the shuffle."""
+    return bottom_k(read_table(spark, sf_dir, "orders"), 20, ["o_orderkey"], ["o_orderpriority"], seed=7)
+
+
+@query("provenance_columns", oracle="""
+SELECT l_returnflag, count(*) AS rows, 1::BIGINT AS users, 1::BIGINT AS versions, true AS known FROM lineitem GROUP BY l_returnflag""")
+def q_provenance_columns(spark, sf_dir):
+    """User and version are the same, and known, in all rows that they are added to."""
+    rows = with_provenance(read_table(spark, sf_dir, "lineitem"))
+    return rows.groupBy("l_returnflag").agg(
+        F.count("*").alias("rows"), F.count_distinct("run_user").alias("users"), F.count_distinct("spark_version").alias("versions"),
+        F.bool_and((F.length("run_user") > 0) & F.col("spark_version").rlike("^[0-9]+[.][0-9]+")).alias("known"))
+
+
 @query("provenance")
 def q_provenance(spark, sf_dir):
     return with_provenance(read_table(spark, sf_dir, "region"))

@@ -127,8 +127,15 @@ SELECT r_regionkey, current_date() AS today, current_timestamp() AS now, current
 FROM region""", oracle=None, group="scalars")
 
 
+sql_query("current_is_constant", """
+SELECT o_orderstatus, count(*) AS n, count(DISTINCT current_date()) AS days, count(DISTINCT current_timestamp()) AS moments,
+       count(DISTINCT current_user()) AS users, bool_and(CAST(current_timestamp() AS DATE) = current_date()) AS agree
+FROM orders GROUP BY o_orderstatus""", oracle="""
+SELECT o_orderstatus, count(*) AS n, 1::BIGINT AS days, 1::BIGINT AS moments, 1::BIGINT AS users, true AS agree
+FROM orders GROUP BY o_orderstatus""", group="scalars")
+
 sql_query("literal_suffixes", """
-SELECT n_nationkey, CAST(1.5F AS DOUBLE) AS f, 2.25D AS d, 7L AS l, CAST(3S AS INT) AS s, CAST(4Y AS INT) AS y,
-       CAST(DATE '2024-01-31' + INTERVAL '1' MONTH AS DATE) AS next_month FROM nation""", oracle="""
-SELECT n_nationkey, 1.5::DOUBLE AS f, 2.25::DOUBLE AS d, 7::BIGINT AS l, 3::INTEGER AS s, 4::INTEGER AS y,
-       DATE '2024-02-29' AS next_month FROM nation""", group="scalars")
+SELECT o_orderkey, CAST(1.5F AS DOUBLE) AS f, 2.25D AS d, 7L AS l, CAST(3S AS INT) AS s, CAST(4Y AS INT) AS y,
+       CAST(DATE '2024-01-31' + INTERVAL '1' MONTH AS DATE) AS next_month FROM orders""", oracle="""
+SELECT o_orderkey, 1.5::DOUBLE AS f, 2.25::DOUBLE AS d, 7::BIGINT AS l, 3::INTEGER AS s, 4::INTEGER AS y,
+       DATE '2024-02-29' AS next_month FROM orders""", group="scalars")

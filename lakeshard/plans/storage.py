@@ -334,14 +334,14 @@ def q_view_persistent(spark, sf_dir):
     return spark.table(v)
 
 
-@query("truncate_table", oracle="SELECT n_nationkey, n_name FROM nation WHERE n_regionkey = 1")
+@query("truncate_table", oracle="SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'P'")
 def q_truncate_table(spark, sf_dir):
     """``TRUNCATE TABLE`` empties a table; what is inserted later is all it holds."""
-    register_views(spark, sf_dir, ["nation"])
+    register_views(spark, sf_dir, ["orders"])
     t = _name("trunc")
-    spark.sql(f"CREATE TABLE {t} USING parquet AS SELECT n_nationkey, n_name FROM nation")
+    spark.sql(f"CREATE TABLE {t} USING parquet AS SELECT o_orderkey, o_totalprice FROM orders")
     spark.sql(f"TRUNCATE TABLE {t}")
-    spark.sql(f"INSERT INTO {t} SELECT n_nationkey, n_name FROM nation WHERE n_regionkey = 1")
+    spark.sql(f"INSERT INTO {t} SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'P'")
     return spark.table(t)
 
 
@@ -356,30 +356,38 @@ def q_create_table_like(spark, sf_dir):
     return spark.table(like)
 
 
-@query("whole_text_files", oracle="""
-SELECT n_name AS doc, n_name || ' is in region ' || n_regionkey AS text FROM nation""")
+def _text_files(spark, sf_dir, path, docs_a_file=20):
+    """Text files, one for each run of documents: a line of id and text length for each document."""
+    d = Tables(spark, sf_dir).documents
+    lines = d.select(F.floor(F.col("doc_id") / docs_a_file).alias("file"), "doc_id",
+                     F.concat_ws(":", "doc_id", F.length("text")).alias("value"))
+    n = max(1, int(d.count() // (50 * docs_a_file)))
+    (lines.repartition(n, "file").sortWithinPartitions("file", "doc_id").select("file", "value")
+     .write.partitionBy("file").text(path))
+
+
+_TEXT_FILES = """
+SELECT CAST(floor(doc_id / 20) AS BIGINT) AS file, string_agg(doc_id || ':' || length(text) || chr(10), '' ORDER BY doc_id) AS text
+FROM documents GROUP BY file"""
+
+
+@query("whole_text_files", oracle=_TEXT_FILES)
 def q_whole_text_files(spark, sf_dir):
-    """Whole-file source: a folder of text files, one row a file, named by its stem."""
+    """Whole-file source: a tree of text files, one row a file; their number grows with ``documents``."""
     from lakeshard.sources.files import read_text_files
 
     path = scratch_dir(spark, "texts") + "/t"
-    n = Tables(spark, sf_dir).nation
-    (n.select("n_name", F.concat("n_name", F.lit(" is in region "), "n_regionkey").alias("value"))
-     .repartition("n_name").write.partitionBy("n_name").text(path, lineSep=";"))
-    return read_text_files(spark, path, recursive=True).select(
-        F.replace(F.regexp_extract("path", "n_name=([^/]*)/", 1), F.lit("%20"), F.lit(" ")).alias("doc"),
-        F.regexp_replace("text", ";$", "").alias("text"))
+    _text_files(spark, sf_dir, path)
+    return read_text_files(spark, path, recursive=True).select(F.regexp_extract("path", "file=([0-9]+)/", 1).cast("long").alias("file"), "text")
 
 
-@query("pack_files", oracle="SELECT n_name AS name, length(n_name) AS length FROM nation")
+@query("pack_files", oracle=f"SELECT file, text AS content, length(text)::BIGINT AS length FROM ({_TEXT_FILES})")
 def q_pack_files(spark, sf_dir):
-    """Many small files packed into two Parquet containers, whole and with their names."""
+    """Many small files packed into Parquet containers, whole and with their names."""
     from lakeshard.sources.files import pack_files
 
     base = scratch_dir(spark, "pack")
-    n = Tables(spark, sf_dir).nation
-    n.select(F.col("n_name").alias("name"), F.col("n_name").alias("value")).repartition("name") \
-        .write.partitionBy("name").text(f"{base}/in", lineSep="\u0000")
-    packed = pack_files(spark, f"{base}/in", f"{base}/out", num_files=2).where("rel LIKE '%part-%' AND rel NOT LIKE '%.crc'")
-    return packed.select(F.replace(F.regexp_extract("rel", "name=([^/]*)/", 1), F.lit("%20"), F.lit(" ")).alias("name"),
-                         (F.length("content") - 1).cast("long").alias("length"))
+    _text_files(spark, sf_dir, f"{base}/in")
+    packed = pack_files(spark, f"{base}/in", f"{base}/out").where("rel LIKE '%part-%' AND rel NOT LIKE '%.crc'")
+    return packed.select(F.regexp_extract("rel", "file=([0-9]+)/", 1).cast("long").alias("file"),
+                         F.col("content").cast("string").alias("content"), "length")

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from lakeshard.operators.prefix import running
 from lakeshard.plans.registry import query, sql_query
 from lakeshard.sources.tables import Tables
 
@@ -116,3 +117,16 @@ SELECT o_orderkey, o_custkey,
        CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS INTEGER) AS rn,
        count(*) OVER (PARTITION BY o_custkey) AS per_customer
 FROM orders""", group="windows")
+
+
+@query("window_running_hot", oracle="""
+SELECT l_orderkey, l_linenumber, l_returnflag,
+       row_number() OVER w AS rn, sum(l_quantity) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS total,
+       lag(l_partkey) OVER w AS before
+FROM lineitem WINDOW w AS (PARTITION BY l_returnflag ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey)""")
+def q_window_running_hot(spark, sf_dir):
+    """Running window over three keys, each a large part of the table: no task holds a key (two-level prefix scan)."""
+    li = Tables(spark, sf_dir).lineitem.select("l_orderkey", "l_linenumber", "l_returnflag", "l_quantity", "l_partkey", "l_shipdate")
+    out = running(li, ["l_returnflag"], ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey"],
+                  row_number="rn", sums={"total": "l_quantity"}, lags={"before": "l_partkey"})
+    return out.select("l_orderkey", "l_linenumber", "l_returnflag", "rn", "total", "before")

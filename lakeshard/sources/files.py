@@ -56,10 +56,8 @@ def escape_glob(path: str) -> str:
 
 def read_text_files(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
     """One row per file: ``(doc, path, text)``; ``doc`` is the name up to the first ``.``."""
-    r = spark.read.option("wholetext", True)
-    if recursive:
-        r = r.option("recursiveFileLookup", True)
-    df = r.text(escape_glob(path))
+    # as an argument: text() sets this option itself
+    df = spark.read.text(escape_glob(path), wholetext=True, recursiveFileLookup=recursive or None)
     return df.select(doc_stem(F.col("_metadata.file_path")).alias("doc"),
                      F.col("_metadata.file_path").alias("path"),
                      F.col("value").alias("text"))
@@ -95,9 +93,9 @@ def list_directory(spark: SparkSession, root: str) -> DataFrame:
     return list_files(spark, root).orderBy("path")
 
 
-def pack_files(spark: SparkSession, root: str, out: str, num_files: int = 1,
-               mode: str = "errorifexists") -> DataFrame:
-    """Pack many small files into ``num_files`` Parquet container files.
+def pack_files(spark: SparkSession, root: str, out: str, num_files: int | None = None,
+               mode: str = "errorifexists", target_bytes: int = 128 << 20) -> DataFrame:
+    """Pack many small files into ``num_files`` Parquet container files (default: one for each ``target_bytes``).
 
     Rows are ``(path, rel, length, modified, content)``; returns the packed
     table read back.  Every file is packed: empty ones, and hidden ones (names
@@ -117,5 +115,8 @@ def pack_files(spark: SparkSession, root: str, out: str, num_files: int = 1,
            .select(F.concat(F.lit(top), "rel").alias("path"), F.substring("rel", 2, 1 << 30).alias("rel"), "length"))
     odd = odd.mapInPandas(read_bytes, "path string, rel string, length long, content binary")
     both = df.unionByName(odd.withColumn("modified", F.lit(None).cast("timestamp")))
+    if num_files is None:
+        size = list_files(spark, root).agg(F.sum("length")).first()[0] or 0
+        num_files = max(1, -(-size // target_bytes))
     both.repartition(num_files).write.mode(mode).parquet(out)
     return spark.read.parquet(out)
