@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lakeshard.functions.text import doc_stem
 from lakeshard.operators import index as ix
+from lakeshard.operators import segments as sg
 from lakeshard.plans.registry import query
 from lakeshard.session import scratch_dir
 from lakeshard.sources.tables import read_table
@@ -91,6 +92,31 @@ def q_index_lookup_stored(spark, sf_dir):
     return ix.lookup_stored(spark, path, LOOKUP_TERMS)
 
 
+def _segmented(spark, sf_dir):
+    """The documents indexed as three segments, by thirds of their ids."""
+    path, docs = scratch_dir(spark, "segments") + "/idx", _docs(spark, sf_dir)
+    lo, hi = docs.agg(F.percentile_approx("doc", [0.33, 0.66], 100)).first()[0]
+    for part in (F.col("doc") <= lo, (F.col("doc") > lo) & (F.col("doc") <= hi), F.col("doc") > hi):
+        sg.append_segment(docs.where(part), path, block_size=64)
+    return path
+
+
+@query("index_segments_lookup", oracle=f"""WITH {_TOK}
+SELECT doc, count(*) AS matched, CAST(sum(tf) AS BIGINT) AS score FROM tf
+WHERE word IN ('of', 'the') GROUP BY doc HAVING count(*) = 2""")
+def q_index_segments_lookup(spark, sf_dir):
+    """A lookup over three appended segments opens only blocks whose document ranges meet."""
+    return sg.lookup_segments(spark, _segmented(spark, sf_dir), LOOKUP_TERMS)
+
+
+@query("index_segments_merged", oracle=f"WITH {_TOK} SELECT word, doc, tf FROM tf")
+def q_index_segments_merged(spark, sf_dir):
+    """Three segments merged into one from their postings: every posting of every document."""
+    path = _segmented(spark, sf_dir)
+    sg.merge_segments(spark, path)
+    return sg.postings(sg.read_segments(spark, path))
+
+
 @query("search_documents", oracle=f"""WITH {_TOK}
 SELECT doc, count(*) AS matched, CAST(sum(tf) AS BIGINT) AS score FROM tf
 WHERE word IN ('of', 'the') GROUP BY doc HAVING count(*) = 2""")

@@ -19,6 +19,7 @@ from lakeshard.operators import binpack as bp
 from lakeshard.operators import compact as cp
 from lakeshard.operators import layout as lo
 from lakeshard.operators import rows as rw
+from lakeshard.operators import sketches as sk
 from lakeshard.operators import touched as tf
 from lakeshard.operators.copy import dist_copy, walk_tree
 from lakeshard.operators.profile import bottom_k, hash_sample, profile
@@ -358,6 +359,20 @@ def q_profile_columns(spark, sf_dir):
     return profile(c, ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"], exact=True)
 
 
+@query("stats_merged", oracle=" UNION ALL ".join(f"""
+SELECT '{c}' AS "column", count(*) AS rows, count(*) FILTER (WHERE {c} IS NULL) AS nulls, CAST(min({c}) AS VARCHAR) AS min,
+       CAST(max({c}) AS VARCHAR) AS max, true AS near FROM lineitem""" for c in ("l_orderkey", "l_partkey", "l_returnflag")))
+def q_stats_merged(spark, sf_dir):
+    """Statistics stored for each month, then merged without the data; ``near``: the distinct estimate is within 8 %."""
+    li, cols = read_table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_partkey", "l_returnflag"]
+    path = scratch_dir(spark, "stats")
+    sk.column_stats(li.withColumn("month", F.date_trunc("month", "l_shipdate")), cols, ["month"]).write.mode("overwrite").parquet(path)
+    got = sk.report(sk.merged(spark.read.parquet(path)))
+    exact = li.agg(*[F.count_distinct(c).alias(c) for c in cols]).unpivot([], cols, "column", "exact")
+    near = F.abs(F.col("distinct_estimate") - F.col("exact")) <= F.greatest(F.lit(2), F.col("exact") * 0.08)
+    return got.join(exact, "column").select("column", "rows", "nulls", "min", "max", near.alias("near"))
+
+
 @query("profile_approx")
 def q_profile_approx(spark, sf_dir):
     return profile(read_table(spark, sf_dir, "lineitem"))
