@@ -7,8 +7,10 @@ names, candidates all rows but the query's own.
 Candidates lie in cells around pivots (a bounded sample of rows), and a cell
 in blocks of at most ``BLOCK`` rows; queries are ordered by cell and cut into
 groups of at most ``GROUP``.  A bounded sample of candidates first gives each
-query a lower bound for its k-th score.  A pair of a block and a group is a
-task of fixed size: it builds a cover tree of each side and descends both.
+query a lower bound for its k-th score.  Each block and each group is covered
+by a ball; a join of these balls drops the pairs that cannot hold a score above
+the group's least bound, so their vectors are never shuffled.  A pair that is
+left is a task of fixed size: it builds a cover tree of each side and descends both.
 With centres q and c and covering radii r and s, no inner product below the
 pair of nodes exceeds ``q.c + |q| s + |c| r + r s``; the pair is dropped when
 that lies below the worst k-th score of the query node.  Pairs of leaves are
@@ -36,6 +38,8 @@ from pyspark.sql import functions as F
 from lakeshard.llm.common import stored
 
 SCALE = 1024
+#: vector lengths with pivots and samples of their own
+LENGTHS = 32
 PIVOTS = 64
 SAMPLE = 1024
 BLOCK = 8192
@@ -171,15 +175,42 @@ def _matrix(column) -> np.ndarray:
     return np.array(column.to_pylist() if isinstance(column, pa.Array) else list(column), dtype=np.int64)
 
 
+def balls(rows: DataFrame, name: str) -> DataFrame:
+    """``dim, <name>, centre, radius, low`` of each block or group: a ball around its vectors, and the least ``low``."""
+
+    def ball(pdf: pd.DataFrame) -> pd.DataFrame:
+        x = _matrix(pdf["v"]).astype(np.float64)
+        c = x.mean(axis=0)
+        r = float(np.sqrt(((x - c) ** 2).sum(axis=1).max()))
+        low = int(pdf["low"].min()) if "low" in pdf else 0
+        return pd.DataFrame({"dim": [pdf["dim"].iloc[0]], name: [pdf[name].iloc[0]], "centre": [c.tolist()], "radius": [r], "low": [low]})
+
+    return rows.groupBy("dim", name).applyInPandas(ball, f"dim int, `{name}` string, centre array<double>, radius double, low long")
+
+
+def pairs(blocks: DataFrame, groups: DataFrame) -> DataFrame:
+    """``dim, block, group`` of the balls whose largest possible inner product reaches the group's least k-th score.
+
+    Only balls meet here, one row a block and a group; vectors follow the pairs that are left.
+    """
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    b = blocks.select("dim", "block", F.col("centre").alias("c"), F.col("radius").alias("s"), F.sqrt(dot(F.col("centre"), F.col("centre"))).alias("nc"))
+    g = groups.select("dim", "group", F.col("centre").alias("q"), F.col("radius").alias("r"), F.sqrt(dot(F.col("centre"), F.col("centre"))).alias("nq"), "low")
+    reach = F.col("nq") * F.col("s") + F.col("nc") * F.col("r") + F.col("r") * F.col("s")
+    margin = 1 + 1e-9 * (F.col("nq") + F.col("r")) * (F.col("nc") + F.col("s"))
+    return b.join(g, "dim").where(dot(F.col("c"), F.col("q")) + reach + margin >= F.col("low")).select("dim", "block", "group")
+
+
 def top_k(table: DataFrame, is_query: Column, k: int = 10, *, id_col: str = "vec_id", vector_col: str = "embedding",
           scale: int = SCALE, pivots: int = PIVOTS, sample: int = SAMPLE, block: int = BLOCK, group: int = GROUP,
           leaf: int = LEAF) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` best candidates of every query; ``is_query``: a condition on ``id``."""
     spark = table.sparkSession
     rows = stored(vectors(table, id_col, vector_col, scale), "vectors")
-    # bounded: `sample` rows of each vector length; the first of them are the pivots
+    # bounded: `sample` rows of each of the LENGTHS commonest vector lengths; the first of them are the pivots
     order = Window.partitionBy("dim").orderBy(F.xxhash64("id"), "id", F.xxhash64("v"))
-    few = rows.select("dim", "id", "v", F.row_number().over(order).alias("n")).where(F.col("n") <= sample).collect()
+    common = rows.groupBy("dim").count().orderBy(F.desc("count"), "dim").limit(LENGTHS).select("dim")
+    few = rows.join(F.broadcast(common), "dim", "left_semi").select("dim", "id", "v", F.row_number().over(order).alias("n")).where(F.col("n") <= sample).collect()
     known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     for r in sorted(few, key=lambda r: (r["dim"], r["n"])):
         known.setdefault(r["dim"], ([], []))
@@ -194,6 +225,8 @@ def top_k(table: DataFrame, is_query: Column, k: int = 10, *, id_col: str = "vec
             cell = np.zeros(len(dims), np.int32)
             for d in np.unique(dims):
                 at = np.flatnonzero(dims == d)
+                if int(d) not in shared.value:
+                    continue  # a rare length has one cell
                 x = _matrix(b.column("v").take(pa.array(at))).astype(np.float64)
                 c = shared.value[int(d)][1][:pivots].astype(np.float64)
                 cell[at] = ((c ** 2).sum(axis=1)[None, :] - 2 * x @ c.T).argmin(axis=1)
@@ -210,6 +243,8 @@ def top_k(table: DataFrame, is_query: Column, k: int = 10, *, id_col: str = "vec
             ids, dims = b.column("id").to_numpy(), b.column("dim").to_numpy()
             low = np.full(len(ids), np.iinfo(np.int64).min, np.int64)
             for i, (d, v) in enumerate(zip(dims.tolist(), b.column("v").to_pylist(), strict=True)):
+                if d not in shared.value:
+                    continue
                 names, x = shared.value[d]
                 s = (x[names != ids[i]] @ np.array(v, np.int64))
                 if len(s) >= k:
@@ -227,11 +262,11 @@ def top_k(table: DataFrame, is_query: Column, k: int = 10, *, id_col: str = "vec
               .withColumn("group", F.concat_ws("-", "g", F.when(F.col("parts") > 1, F.concat_ws("/", "c", F.pmod(F.xxhash64("id", "v"), F.col("parts"))))))
               .select("id", "dim", "v", "low", "group"))
     groups = stored(groups, "groups")
-    # every block meets every group of its vector length: tasks of bounded size
-    names = groups.select(F.col("dim").alias("qd"), F.col("group").alias("qg")).distinct()
-    left = blocks.join(names, F.col("dim") == F.col("qd")).select("id", "v", "block", F.col("qg").alias("group"))
-    homes = blocks.select(F.col("dim").alias("bd"), F.col("block").alias("home")).distinct()
-    right = groups.join(homes, F.col("dim") == F.col("bd")).select("id", "v", "low", F.col("home").alias("block"), "group")
+    # a block and a group of one vector length meet unless their balls tell that no score can count
+    blocks = stored(blocks.select("id", "dim", "v", "block"), "blocks")
+    meeting = stored(pairs(balls(blocks, "block"), balls(groups, "group")), "pairs")
+    left = blocks.join(meeting, ["dim", "block"]).select("id", "v", "block", "group")
+    right = groups.join(meeting, ["dim", "group"]).select("id", "v", "low", "block", "group")
 
     def meet(points: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         if not len(points) or not len(queries):

@@ -373,3 +373,46 @@ def test_edits_matter_on_the_given_tables(spark):
     got = toxicity.classify(spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet"))
     n = got.agg({"n_exact": "sum", "n_near": "sum", "n_quoted": "sum"}).first()
     assert n["sum(n_near)"] > 0 and n["sum(n_exact)"] > n["sum(n_near)"]
+
+
+def _vectors(spark, clusters=12, each=60, dim=16):
+    rng = np.random.default_rng(9)
+    centres = 4 * rng.normal(size=(clusters, dim))
+    return [(c * each + i, (centres[c] + 0.05 * rng.normal(size=dim)).tolist()) for c in range(clusters) for i in range(each)]
+
+
+def test_pairs_of_far_balls_are_never_shipped(spark):
+    rows = _vectors(spark)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    seen = []
+    real = cover_tree.pairs
+
+    def watched(blocks, groups):
+        out = real(blocks, groups)
+        seen.append((out.count(), blocks.count() * groups.count()))
+        return out
+
+    cover_tree.pairs = watched
+    try:
+        got = cover_tree.top_k(df, F.col("id") % 10 == 0, 10, pivots=12, sample=400, block=40, group=8, leaf=8).collect()
+    finally:
+        cover_tree.pairs = real
+    kept, possible = seen[0]
+    assert kept < 0.6 * possible
+    x = np.floor(1024 * np.array([v for _, v in rows])).astype(np.int64)
+    score = x[::10] @ x.T
+    for q in range(len(score)):
+        mine = sorted((-int(s), i) for i, s in enumerate(score[q]) if i != q * 10)[:10]
+        assert sorted((r["rank"], -r["score"], r["vec_id"]) for r in got if r["query_id"] == q * 10) == [(n + 1, s, i) for n, (s, i) in enumerate(mine)]
+
+
+def test_vectors_of_many_lengths(spark):
+    """More lengths than have pivots: the rare ones have one cell, results are whole."""
+    rng = np.random.default_rng(10)
+    rows = [(d * 100 + i, rng.normal(size=d).tolist()) for d in range(1, 40) for i in range(12 if d % 2 else 3)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = cover_tree.top_k(df, F.col("id") % 100 == 0, 4, pivots=2, sample=5).collect()
+    for d in range(1, 40):
+        x = np.floor(1024 * np.array([v for i, v in rows if i // 100 == d])).astype(np.int64)
+        want = sorted((-int(x[0] @ x[i]), d * 100 + i) for i in range(1, len(x)))[:4]
+        assert sorted((-r["score"], r["vec_id"]) for r in got if r["query_id"] == d * 100) == want
