@@ -122,7 +122,8 @@ def walk_tree(spark: SparkSession, root: str, levels: int = 2) -> DataFrame:
     """Every entry below ``root``, hidden and empty ones too: ``rel, is_dir, length``.
 
     Spark tasks list ``levels`` levels one by one, so wide trees are spread
-    over many tasks, and then the subtrees below.  The driver lists nothing.
+    over many tasks, and then the subtrees below; a level without folders is
+    the last.  The driver lists nothing.
     """
     ship_package(spark)
     root = qualify(root, spark)
@@ -134,6 +135,8 @@ def walk_tree(spark: SparkSession, root: str, levels: int = 2) -> DataFrame:
         folders.repartition(n).mapInPandas(_list_level(root, last), _FOUND).write.mode("overwrite").parquet(path)
         found.append(spark.read.schema(_FOUND).parquet(path))
         folders = found[-1].where("is_dir").select("rel")
+        if not last and folders.isEmpty():
+            break
     out = found[0]
     for f in found[1:]:
         out = out.unionByName(f)

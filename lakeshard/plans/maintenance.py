@@ -27,7 +27,7 @@ from lakeshard.operators.ranges_copy import split_copy
 from lakeshard.operators.script import map_rows, reduce_groups
 from lakeshard.plans.registry import query
 from lakeshard.session import scratch_dir
-from lakeshard.sources.files import list_directory
+from lakeshard.sources.files import list_directory, list_files
 from lakeshard.sources.tables import TABLES, read_table
 
 _LINEITEM_ALL = "SELECT * FROM lineitem"
@@ -441,7 +441,7 @@ def _names(extra):
 
 def _whole(spark, copied, target):
     """Name of each copied file, and whether the target's listing has its length."""
-    there = walk_tree(spark, target).where("NOT is_dir").select(F.element_at(F.split("rel", "/"), -1).alias("name"), F.col("length").alias("there"))
+    there = list_files(spark, target).select(F.element_at(F.split("rel", "/"), -1).alias("name"), F.col("length").alias("there"))
     return copied.withColumn("name", F.element_at(F.split("dst", "/"), -1)).join(there, "name").withColumn(
         "whole", (F.col("length") == F.col("there")) & (F.col("length") > 0))
 
