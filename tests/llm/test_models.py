@@ -375,14 +375,14 @@ def test_edits_matter_on_the_given_tables(spark):
     assert n["sum(n_near)"] > 0 and n["sum(n_exact)"] > n["sum(n_near)"]
 
 
-def _vectors(spark, clusters=12, each=60, dim=16):
+def _clustered(clusters=12, each=60, dim=16):
     rng = np.random.default_rng(9)
     centres = 4 * rng.normal(size=(clusters, dim))
     return [(c * each + i, (centres[c] + 0.05 * rng.normal(size=dim)).tolist()) for c in range(clusters) for i in range(each)]
 
 
 def test_pairs_of_far_balls_are_never_shipped(spark):
-    rows = _vectors(spark)
+    rows = _clustered()
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
     seen = []
     real = cover_tree.pairs
