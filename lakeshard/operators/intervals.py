@@ -37,8 +37,8 @@ def bin_of(value: Column, edges: list[float]) -> Column:
     """How many of the ascending ``edges`` are at most ``value``: a binary search that stays in the JVM."""
     if not edges:
         return F.lit(0)
-    # one folded constant, not an expression for each edge
-    table = F.transform(F.split(F.lit(",".join(map(repr, edges))), ","), lambda x: x.cast("double"))
+    # the optimizer folds this to one constant
+    table = F.split(F.lit(",".join(map(repr, edges))), ",").cast("array<double>")
     steps = F.array(*[F.lit(1 << i) for i in reversed(range(len(edges).bit_length()))])
     return F.aggregate(steps, F.lit(0), lambda at, s: F.when(
         (at + s <= len(edges)) & (F.get(table, at + s - 1) <= value), at + s).otherwise(at))

@@ -21,6 +21,7 @@ from lakeshard.operators import layout as lo
 from lakeshard.operators import rows as rw
 from lakeshard.operators import sketches as sk
 from lakeshard.operators import touched as tf
+from lakeshard.operators import zorder as zo
 from lakeshard.operators.copy import dist_copy, walk_tree
 from lakeshard.operators.profile import bottom_k, hash_sample, profile
 from lakeshard.operators.ranges_copy import split_copy
@@ -167,6 +168,13 @@ def q_layout_range(spark, sf_dir):
                    lambda d, p: lo.write_ranged(d, p, 4, ["l_shipdate", "l_orderkey"]))
 
 
+@query("layout_zorder", oracle=_LINEITEM_ALL)
+def q_layout_zorder(spark, sf_dir):
+    """Files along a Z-order curve of part and ship date: either key prunes them."""
+    li = read_table(spark, sf_dir, "lineitem")
+    return _layout(spark, sf_dir, "lineitem", lambda d, p: zo.write_clustered(d, p, 4 * _file_count(li), ["l_partkey", "l_shipdate"]))
+
+
 @query("layout_distribute", oracle=_LINEITEM_ALL)
 def q_layout_distribute(spark, sf_dir):
     return _layout(spark, sf_dir, "lineitem",
