@@ -8,9 +8,8 @@
 A range that is there with its length and digest is not copied again, so a
 task that is repeated after a lost executor copies the one range that it was
 working on, and a run that broke off goes on where it was (``run`` names it).
-Stores that can join files without copying (``concat`` of Hadoop) do so; local
-stores take each range at its place in one file; others are joined by a task
-a file that streams the parts.
+Local and mounted stores take each range at its place in one file; on others a
+task a file joins the parts in order, which reads and writes them once more.
 """
 
 from __future__ import annotations
