@@ -143,9 +143,9 @@ def score(docs: DataFrame, *, order: int = ORDER, cutoff: int = CUTOFF, backoff:
     grams = total * max(order, 2) / 2  # the sizes are meant for order two
     blocks, parts = max(4, math.ceil(grams / block_words)), max(4, math.ceil(grams / partition_words))
     deal = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("doc_id"))
-    dealt = narrow.withColumn("block", F.pmod(deal, F.lit(blocks)).cast("int")).repartition(blocks, "block")
+    dealt = narrow.withColumn("block", F.pmod(deal, F.lit(blocks)).cast("int")).repartitionById(blocks, "block")
     asked = dealt.groupBy("block").applyInArrow(_ask(parts, order), _SENT)
-    answers = asked.repartition(parts, "part").groupBy("part").applyInArrow(_answer, _SENT)
-    back = answers.select("part", F.col("block").alias("to"), "counts")
+    answers = asked.repartitionById(parts, "part").groupBy("part").applyInArrow(_answer, _SENT)
+    back = answers.select("part", F.col("block").alias("to"), "counts").repartitionById(blocks, "to")
     return dealt.groupBy("block").cogroup(back.groupBy("to")).applyInArrow(
         _score(total, order, cutoff, backoff), "doc_id long, n_words long, n_seen long, log_score double")
