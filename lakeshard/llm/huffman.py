@@ -2,26 +2,28 @@
 
 1. Texts are encoded once (``tokens``) into a scratch table.
 2. Global counts of the ids (one row an id) give code lengths of at most
-   ``MAX_BITS`` by package-merge; the canonical code follows from the lengths.
-3. Each document's ids are coded to a bit string of its own, with the bit
-   offset of every ``CHECK``-th id; the coded documents go to their place in
-   ascending ``doc_id`` order by ranges, and runs of them form independent
-   blocks.
+   ``MAX_BITS`` by package-merge (more where over 2^16 ids are used, see
+   ``bit_limit``); the canonical code follows from the lengths.
+3. A range exchange brings the documents into ascending ``doc_id`` order.  In
+   each range, every document's ids are coded to a bit string of its own, with
+   the bit offset of every ``CHECK``-th id, and runs of documents form
+   independent blocks.
 4. The file format is Parquet: ``codes`` (id, length) and ``blocks`` (part,
    block, doc_ids, n_tokens, checkpoints, payload), so any store that Spark
    writes will do.
 5. Reading decodes all segments between checkpoints of a batch in step, one
    table look-up an id; blocks are read alone, in any order.
 
-Ranges come from quantiles of the ids; rows with null ids are dealt to ranges
-by a hash of the coded text.  Rows of one id share a range whatever their
-number, so that they stay in order; a range with a much repeated id outgrows
-the others, and its task sorts with spill.
+The number of ranges follows the coded size (``RANGE_BYTES``), and Spark cuts
+them from its own sample, so that nothing of them stands in the plan.  They are
+cut by id, then a hash of the ids, then the row's place in the scratch table:
+null ids, a much repeated id and many equal rows spread over ranges like all
+others and still stand in order.
 
 Defined cases: null and empty texts hold the end id alone.  Null ids come
 first in order.  Rows with equal ids stand next to each other in the order
-of their coded bytes.  An empty table gives empty files and an empty result.
-Extra columns are ignored.
+of a hash of their coded ids.  An empty table gives empty files and an empty
+result.  Extra columns are ignored.  More than 2^22 used ids raise an error.
 """
 
 from __future__ import annotations
@@ -51,9 +53,19 @@ RANGE_BYTES = 16 << 20
 
 # -- code ------------------------------------------------------------------
 
-def code_lengths(counts: np.ndarray, max_bits: int = MAX_BITS) -> np.ndarray:
-    """Optimal code lengths of at most ``max_bits`` for ``counts`` (0: no code), by package-merge."""
+def bit_limit(n_used: int) -> int:
+    """Longest code for ``n_used`` ids: ``MAX_BITS``, or two bits more than the ids need where these don't suffice."""
+    if n_used <= 1 << MAX_BITS:
+        return MAX_BITS
+    if n_used > 1 << 22:
+        raise ValueError(f"{n_used} ids; the decoder reads codes of at most 24 bits")
+    return (n_used - 1).bit_length() + 2
+
+
+def code_lengths(counts: np.ndarray, max_bits: int | None = None) -> np.ndarray:
+    """Optimal code lengths of at most ``max_bits`` (default: ``bit_limit``) for ``counts`` (0: no code), by package-merge."""
     used = np.flatnonzero(counts)
+    max_bits = max_bits or bit_limit(len(used))
     lengths = np.zeros(len(counts), np.int64)
     if len(used) <= 1:
         lengths[used] = 1
@@ -99,11 +111,12 @@ class Coder:
     def __init__(self, lengths: np.ndarray):
         self.lengths = np.asarray(lengths, np.int64)
         self.codes = canonical(self.lengths)
-        self._id = np.zeros(1 << MAX_BITS, np.int32)
-        self._size = np.ones(1 << MAX_BITS, np.int64)
+        self.bits = max(MAX_BITS, int(self.lengths.max(initial=0)))
+        self._id = np.zeros(1 << self.bits, np.int32)
+        self._size = np.ones(1 << self.bits, np.int64)
         used = np.flatnonzero(self.lengths)
         order = used[np.lexsort((used, self.lengths[used]))]
-        spans = 1 << (MAX_BITS - self.lengths[order])
+        spans = 1 << (self.bits - self.lengths[order])
         self._id[: spans.sum()] = np.repeat(order, spans)
         self._size[: spans.sum()] = np.repeat(self.lengths[order], spans)
 
@@ -147,7 +160,7 @@ class Coder:
             while live and left[live - 1] <= step:
                 live -= 1
             a = at[:live]
-            key = (window[a >> 3] << (a & 7).astype(np.uint32)) >> np.uint32(32 - MAX_BITS)
+            key = (window[a >> 3] << (a & 7).astype(np.uint32)) >> np.uint32(32 - self.bits)
             out[to[:live] + step] = self._id[key]
             a += self._size[key]
         return out
@@ -210,37 +223,24 @@ def write(docs: DataFrame, vocabulary: str, path: str, *, size: int, end_id: int
         .write.mode("overwrite").parquet(f"{path}/codes")
     coder = spark.sparkContext.broadcast(lengths.astype(np.int8))
 
-    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = Coder(coder.value)
-        for b in pieces(batches, "ids"):
-            payload, checks = c.encode(_flat(b.column("ids"), kind), np.asarray(b.column("n_tokens")))
-            yield pa.RecordBatch.from_arrays(
-                [b.column("part"), b.column("doc_id"), b.column("n_tokens"),
-                 pa.array([x.astype("<i4").tobytes() for x in checks], pa.binary()), pa.array(payload, pa.binary())],
-                names=["part", "doc_id", "n_tokens", "checks", "payload"])
-
-    # ranges of about RANGE_BYTES, from quantiles; a hash deals out what the ids alone can't
     n_bytes = int((counts * lengths).sum()) // 8
     parts = max(1, -(-n_bytes // RANGE_BYTES))
-    spread = F.pmod(F.xxhash64("ids"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    n_null, n_rows = rows.agg(F.sum(F.col("doc_id").isNull().cast("long")), F.count("*")).first()
-    null_parts = max(1, round(parts * (n_null or 0) / max(n_rows, 1)))
-    marks = rows.agg(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)], 10000)).first()[0] if parts > 1 else []
-    marks = sorted({m for m in marks or [] if m is not None})
-    above = F.size(F.filter(F.array(*[F.lit(m).cast("long") for m in marks]), lambda m: F.col("doc_id") > m)) if marks else F.lit(0)
-    part = F.when(F.col("doc_id").isNull(), F.floor(spread * null_parts)).otherwise(F.lit(null_parts) + above).cast("int")
-    coded = (rows.withColumn("part", part).select("part", "doc_id", "n_tokens", "ids")
-             .mapInArrow(code, "part int, doc_id long, n_tokens long, checks binary, payload binary"))
-    placed = coded.repartition(null_parts + len(marks) + 1, "part").sortWithinPartitions("part", F.col("doc_id").asc_nulls_first(), "payload")
-    placed.mapInArrow(_blocks, _BLOCKS).write.mode("overwrite").parquet(f"{path}/blocks")
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("ids").asc(), F.col("place").asc()]
+    ranged = (rows.withColumn("place", F.monotonically_increasing_id()).repartitionByRange(parts, *order)
+              .sortWithinPartitions(*order).select(F.spark_partition_id().alias("part"), "doc_id", "n_tokens", "ids"))
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _blocks(batches, Coder(coder.value), kind)
+
+    ranged.mapInArrow(code, _BLOCKS).write.mode("overwrite").parquet(f"{path}/blocks")
 
 
 _BLOCKS = "part int, block int, doc_ids array<long>, n_tokens array<long>, checkpoints binary, payload binary"
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Join sorted coded documents into blocks of about ``BLOCK_TOKENS`` ids; a block never crosses a range."""
-    part, block, docs, checks, payload, size, n_tokens = None, 0, [], [], [], 0, 0
+def _blocks(batches: Iterator[pa.RecordBatch], coder: Coder, kind: str) -> Iterator[pa.RecordBatch]:
+    """Code the sorted documents of a range and join them into blocks of about ``BLOCK_TOKENS`` ids."""
+    part, block, docs, checks, payload, size, n_tokens = 0, 0, [], [], [], 0, 0
 
     def flush():
         row = [[part], [block], [[d for d, _ in docs]], [[n for _, n in docs]], [np.concatenate(checks).astype("<i8").tobytes()], [b"".join(payload)]]
@@ -248,17 +248,16 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, kinds, strict=True)],
                                           names=["part", "block", "doc_ids", "n_tokens", "checkpoints", "payload"])
 
-    for b in batches:
-        for p, d, n, c, x in zip(*(b.column(k).to_pylist() for k in ("part", "doc_id", "n_tokens", "checks", "payload")), strict=True):
-            if docs and (p != part or n_tokens >= BLOCK_TOKENS):
+    for b in pieces(batches, "ids"):
+        part = b.column("part")[0].as_py()  # the same in the whole task
+        coded = coder.encode(_flat(b.column("ids"), kind), np.asarray(b.column("n_tokens")))
+        for d, n, x, c in zip(b.column("doc_id").to_pylist(), b.column("n_tokens").to_pylist(), *coded, strict=True):
+            if docs and n_tokens >= BLOCK_TOKENS:
                 yield flush()
-                block = block + 1 if p == part else 0
+                block += 1
                 docs, checks, payload, size, n_tokens = [], [], [], 0, 0
-            elif p != part:
-                block = 0
-            part = p
             docs.append((d, n))
-            checks.append(np.frombuffer(c, "<i4").astype(np.int64) + 8 * size)
+            checks.append(c.astype(np.int64) + 8 * size)
             payload.append(x)
             size += len(x)
             n_tokens += n

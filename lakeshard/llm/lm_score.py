@@ -15,6 +15,8 @@ are summed (the count tables) and joined back to each block's list.  The
 counts return to the blocks, meet the exploded n-grams again, and are
 summed per document.  An n-gram, however common, reaches its partition once
 a block, so no partition is hot; blocks are dealt by a hash of the document.
+Blocks and hash partitions are numbered, and each goes to the task of its
+number, so that no task gets several of them while others get none.
 
 Defined cases: null, empty and blank texts have no words and score 0.  Null
 ids are dealt by a hash of their text.  Repeated rows count as often as they

@@ -108,7 +108,7 @@ def test_code_lengths_are_prefix_codes_and_optimal(limit):
 
 
 def test_coder_round_trip_with_checkpoints():
-    for alphabet in (1, 2, 700):
+    for alphabet in (1, 2, 700, 200_000):
         rng = np.random.default_rng(alphabet)
         counts = rng.integers(1, 1000, alphabet)
         coder = huffman.Coder(huffman.code_lengths(counts))
@@ -137,6 +137,18 @@ def test_huffman_files(spark, odd, odd_rows, library, tmpdir_path, monkeypatch,
     assert read == Counter((i, tuple(x)) for i, x in rows)
 
 
+def test_huffman_ranges_split_null_ids_and_equal_rows(spark, tmpdir_path, monkeypatch):
+    monkeypatch.setattr(huffman, "RANGE_BYTES", 500)
+    rows = [(7, "one row many times")] * 1000 + [(None, f"null {i % 300}") for i in range(1000)] + [(i, f"text {i}") for i in range(8, 1008)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    path = f"{tmpdir_path}/hot"
+    got = sorted(huffman.round_trip(docs, BYTES, size=50257, path=path).collect(), key=lambda r: r["start"])
+    assert [r["doc_id"] for r in got] == [None] * 1000 + [7] * 1000 + list(range(8, 1008))
+    assert all(a["start"] + a["n_tokens"] == b["start"] for a, b in zip(got, got[1:]))
+    parts = [r["count"] for r in huffman.read(spark, path).groupBy("part").count().collect()]
+    assert len(parts) >= 10 and max(parts) < 600
+
+
 def test_huffman_of_nothing(none):
     assert huffman.round_trip(none, BYTES, size=50257).count() == 0
 
