@@ -13,9 +13,11 @@ time ``t`` is its target times the share of the schedule's integral up to
 copy's training position, found by inverting the integral in closed form.
 The result is sorted by ranges of that position.
 
-Offsets in a source are prefix sums in two levels: sums of ``BUCKETS`` hash
-buckets of each source, then a window inside each bucket.  No task holds a
-source, however hot.
+Offsets in a source are prefix sums in two levels: sums of the hash buckets of
+each source, then a window inside each bucket.  There is a bucket for every
+``BUCKET_ROWS`` rows of the table, so no task holds a source, however hot.
+Sources are numbered and filled by running sums over ranges (``running``), so
+there may be as many of them as the table has hosts.
 
 Sizes count words ``[^\\x20\\x09-\\x0D]+``.  The last copy that a source gives
 is cut at the target: ``taken`` words of it belong to the mix.
@@ -33,9 +35,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeshard.llm.common import stored
+from lakeshard.operators.prefix import running
 
 BUDGET_SHARE = 1.5
 MAX_EPOCHS = 2
+#: hash buckets of a source: one for so many rows of the table, ``BUCKETS`` at least
+BUCKET_ROWS = 100_000
 BUCKETS = 4096
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -85,32 +90,31 @@ def targets(sizes: DataFrame, schedules: list[Schedule], budget_share: float = B
     weights = [float(integral(s)) for s in schedules]
     if min(weights) <= 0:
         raise ValueError("every schedule needs a positive integral")
-    everything = Window.partitionBy()
-    ranked = sizes.withColumn("turn", (F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1) % len(schedules))
-    ranked = ranked.withColumn("weight", _by_turn(F.col("turn"), weights))
-    cap = F.col("source_size") * F.lit(max_epochs)
-    order = Window.orderBy(cap / F.col("weight"), F.col("source").asc_nulls_last())
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    filled = (ranked.withColumn("cap", cap)
-              .withColumn("budget", F.sum("source_size").over(everything) * F.lit(budget_share))
-              .withColumn("cap_before", F.coalesce(F.sum("cap").over(before), F.lit(0)))
-              .withColumn("weight_after", F.sum("weight").over(order.rowsBetween(0, Window.unboundedFollowing)))
-              .withColumn("level", (F.col("budget") - F.col("cap_before")) / F.col("weight_after"))
-              .withColumn("free", F.col("cap") / F.col("weight") > F.col("level")))
-    first = filled.withColumn("fill", F.min(F.when(F.col("free"), F.struct("cap_before", "level"))).over(everything)["level"])
-    return first.select("source", "source_size", "turn", F.when(
-        F.col("fill").isNull(), F.col("cap").cast("double")).otherwise(
-        F.least(F.col("cap").cast("double"), F.col("fill") * F.col("weight"))).alias("target"))
+    source = F.col("source").asc_nulls_last()
+    ranked = running(sizes, [], [source], row_number="number").withColumn("turn", (F.col("number") - 1) % len(schedules))
+    ranked = (ranked.withColumn("weight", _by_turn(F.col("turn"), weights))
+              .withColumn("cap", F.col("source_size") * F.lit(max_epochs)).withColumn("rate", F.col("cap") / F.col("weight")))
+    filled = stored(running(ranked, [], ["rate", source], sums={"cap_so_far": "cap", "weight_so_far": "weight"}), "mix-fill")
+    words, weight = filled.agg(F.sum("source_size"), F.sum("weight")).first()
+    before = F.col("cap_so_far") - F.col("cap")
+    level = (F.lit(float(words or 0) * budget_share) - before) / (F.lit(weight or 0.0) - (F.col("weight_so_far") - F.col("weight")))
+    # the first source whose cap lies above its share sets the level of all that follow
+    free = filled.select(before.alias("before"), level.alias("level"), "rate").where("rate > level")
+    fill = free.agg(F.min(F.struct("before", "level"))["level"]).first()[0]
+    cap = F.col("cap").cast("double")
+    return filled.select("source", "source_size", "turn", (
+        cap if fill is None else F.least(cap, F.lit(fill) * F.col("weight"))).alias("target"))
 
 
 def offsets(docs: DataFrame, schedules: list[Schedule], budget_share: float, max_epochs: int, id_col: str,
             text_col: str, source_col: str, payload: list[str]) -> DataFrame:
     """``row`` (the payload), ``size``, its offset in its source, and the source's size, turn and target."""
+    buckets = max(BUCKETS, -(-docs.count() // BUCKET_ROWS))
     keyed = docs.select(
         F.struct(*payload).alias("row"), F.col(source_col).alias("source"),
         F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
         F.col(id_col).alias("id"), F.md5(F.coalesce(F.col(id_col).cast("string"), F.col(text_col), F.lit("")).cast("binary")).alias("key"),
-    ).withColumn("bucket", F.conv(F.substring("key", 1, 3), 16, 10).cast("int") % BUCKETS)
+    ).withColumn("bucket", F.floor(F.conv(F.substring("key", 1, 8), 16, 10).cast("long") * buckets / F.lit(float(1 << 32))))
     if text_col not in payload:  # narrow: count the words once
         keyed = stored(keyed, "mix")
     sums = stored(keyed.groupBy("source", "bucket").agg(F.sum("size").alias("words")), "mix-sums")

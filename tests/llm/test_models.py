@@ -153,6 +153,29 @@ def test_feature_scores_are_dot_products():
     assert np.allclose(quality.margins(texts, w, 0.5), want)
 
 
+def test_mixing_of_many_sources(spark, monkeypatch):
+    sizes = [(f"host{i:04d}" if i else None, (i * 7919) % 1000) for i in range(3000)]
+    got = mixing.targets(spark.createDataFrame(sizes, "source string, source_size long").repartition(7), mixing.CURRICULUM).collect()
+    names = sorted(n for n, _ in sizes if n) + [None]
+    weight, size = {n: (5, 2, 1)[i % 3] for i, n in enumerate(names)}, dict(sizes)
+    budget = 1.5 * sum(size.values())
+    low, high = 0.0, 2000.0
+    for _ in range(100):  # the level at which the sources together give the budget
+        level = (low + high) / 2
+        low, high = (level, high) if sum(min(2 * size[n], level * weight[n]) for n in names) < budget else (low, level)
+    assert len(got) == len(names)
+    for r in got:
+        assert r["source_size"] == size[r["source"]]
+        assert r["target"] == pytest.approx(min(2.0 * size[r["source"]], low * weight[r["source"]]))
+
+
+def test_mixing_is_the_same_with_any_number_of_buckets(odd, monkeypatch):
+    want = mixing.plan_mix(odd).collect()
+    monkeypatch.setattr(mixing, "BUCKETS", 3)
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 10)
+    assert mixing.plan_mix(odd).collect() == want
+
+
 def test_mixing_meets_its_targets(odd, odd_rows, none):
     got = mixing.plan_mix(odd).collect()
     size = Counter()
