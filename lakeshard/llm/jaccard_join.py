@@ -12,11 +12,14 @@ within the first ``n - ceil(0.8 n) + 1`` shingles of both.
 
 *Signatures.*  If that shingle is rare, it alone is the signature.  If it is
 frequent, so are all common shingles, and single ones would gather huge
-buckets.  Then the prefix is extended: at most ``n / 4`` shingles of both
+buckets.  Then the prefix is extended: at most ``d = n / 4`` shingles of both
 sets together are not common, each of which parts two common neighbours, so
-among the first ``n / 4 + 2`` common shingles two are neighbours in both
-sets' lists of frequent shingles.  Pairs of neighbours in that extended prefix
-are the signatures, so there are no more of them than shingles.
+among the first ``(k - 1) (d + 1) + 1`` common shingles, if there are as many,
+``k`` follow each other in both sets' lists of frequent shingles.  Runs of
+``k`` in that extended prefix are the signatures, so there are no more of them
+than shingles.  At 80 % sets of 18 shingles or more have common shingles
+enough for ``k = 4``, smaller ones for 3, 2 or 1 (``levels``); sets near the
+border of two levels have the signatures of both.
 
 *Pruning.*  A set with more than its prefix of unshared shingles has no
 links at all.  A pair must have fitting sizes, and its symmetric difference
@@ -28,7 +31,12 @@ member of the fewest unshared shingles.  The links found are contracted to
 components; what is left are pairs of a bucket in different components, and
 those are compared one by one.  Pairs within a component need no comparison,
 so a group of near copies costs its size, not its square.  Verification
-counts the intersection of the whole sets.
+counts the intersection of the whole sets; a set travels once to each
+``MEMBERS`` sets that it is compared with.
+
+*Copies.*  Classes are told apart by 128 bits.  Rows of classes with more than
+a thousandth of all rows (fewer than 1000 of them) get their component by a
+broadcast join, so no task gathers a large group of copies.
 
 *Counting without hot tasks.*  Blocks of texts send the distinct shingles of
 each hash partition with the texts that hold them in packed arrays; a
@@ -65,16 +73,40 @@ FREQUENT = 16
 PARTITION = 800_000
 #: bytes of text in a block
 BLOCK = 4 << 20
-
-
-def class_of(s: np.ndarray) -> tuple[int, int]:
-    """Size and 64-bit fingerprint of a set; the empty set has fingerprint 0."""
+#: most frequent shingles in one signature
+COMBINE = 4
+#: sets that are compared with one copy of another, about
+MEMBERS = 64
+#: a class with more than this share of all rows is joined by broadcast
+HOT_SHARE = 1 / 1000
+#: bytes of a class
+_WIDE = 16
+
+
+def class_of(s: np.ndarray) -> tuple[int, bytes]:
+    """Size and 128-bit fingerprint of a set; the empty set has zero bytes."""
     if not len(s):
-        return 0, 0
+        return 0, bytes(_WIDE)
     with np.errstate(over="ignore"):
-        key = np.array([s.sum(dtype=np.uint64), mix(s).sum(dtype=np.uint64), len(s)], np.uint64)
-        key = mix(key * np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64))
-        return len(s), int(mix(np.bitwise_xor.reduce(key, keepdims=True)).view(np.int64)[0])
+        key = np.array([s.sum(dtype=np.uint64), mix(s).sum(dtype=np.uint64), mix(s + np.uint64(len(s))).sum(dtype=np.uint64)], np.uint64)
+        return len(s), np.array([mix(key[:1] + mix(key[2:]))[0], mix(key[1:2] + mix(key[2:] + np.uint64(1)))[0]], np.uint64).tobytes()
+
+
+def levels(threshold: int, combine: int = COMBINE) -> list[tuple[int, int, float]]:
+    """``k, least, below``: sets of ``least <= n < below`` shingles have runs of ``k`` frequent shingles as signatures.
+
+    Linked sets of ``s`` shingles together hold at most ``d = r s`` that are
+    not common, ``r = (100 - t) / (100 + t)``, hence ``(s - d) / 2`` common
+    ones.  A common run of ``k`` needs ``(k - 1) (d + 1) + 1`` of them, which
+    ``s (1 - (2k - 1) r) >= 2k`` grants; ``least`` is half of that ``s``.  Two
+    linked sets share the largest ``k`` whose ``least`` neither is below, as
+    one of them is below the next ``least`` and the other no more than
+    ``100 / t`` times as large.
+    """
+    rest, whole = 100 - threshold, 100 + threshold
+    most = max(k for k in range(1, combine + 1) if k == 1 or (2 * k - 1) * rest < whole)
+    least = {k: -(-k * whole // (whole - (2 * k - 1) * rest)) if k > 1 else 1 for k in range(1, most + 1)}
+    return [(k, least[k], 100 * least[k + 1] / threshold if k < most else float("inf")) for k in least]
 
 
 def _sets(texts, k: int):
@@ -92,10 +124,10 @@ def classes(docs: DataFrame, k: int = SHINGLE, id_col: str = "doc_id", text_col:
         for b in pieces(batches):
             got = [class_of(s) for s in _sets(b.column("text").to_pylist(), k)]
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array([n for n, _ in got], pa.int64()), pa.array([c for _, c in got], pa.int64()), *b.columns[2:]],
+                [b.column("doc_id"), pa.array([n for n, _ in got], pa.int64()), pa.array([c for _, c in got], pa.binary()), *b.columns[2:]],
                 names=["doc_id", "n_shingles", "class", *b.schema.names[2:]])
 
-    narrow, schema = _narrow(docs, id_col, text_col), "doc_id long, n_shingles long, class long"
+    narrow, schema = _narrow(docs, id_col, text_col), "doc_id long, n_shingles long, class binary"
     if hashed:
         narrow, schema = narrow.withColumn("text_hash", F.xxhash64("text")), schema + ", text_hash long"
     return narrow.mapInArrow(run, schema)
@@ -130,7 +162,7 @@ def _send(k: int, parts: int, frequent: int):
         task = TaskContext.get().partitionId()
         block = 0
         for b in pieces(batches, limit=BLOCK):
-            seen: dict[int, int] = {}
+            seen: dict[bytes, int] = {}
             sets, sizes = [], []
             for small in pieces(iter([b])):
                 for s in _sets(small.column("text").to_pylist(), k):
@@ -161,7 +193,7 @@ def _send(k: int, parts: int, frequent: int):
             rows = [(p, name, 1, ids[first[a[p]:a[p + 1]]], owner[f[a[p]]:f[a[p + 1]]][~loud[f[a[p]]:f[a[p + 1]]]],
                      count[a[p]:a[p + 1]]) for p in np.flatnonzero(np.diff(a)).tolist()]
             rows.append((int(mix(np.array([name], np.uint64))[0] % np.uint64(parts)), name, 0,
-                         np.array(list(seen), np.int64), np.zeros(0, np.uint16), sizes))
+                         np.frombuffer(b"".join(seen), np.uint8), np.zeros(0, np.uint16), sizes))
             if loud.any():
                 rows.append((rows[-1][0], name, 2, ids[loud], owner[loud], np.zeros(0, np.uint16)))
             for at in range(0, len(rows), 64):
@@ -201,15 +233,16 @@ def _shared(frequent: int):
 
 #: longs of parity bits of a set's shared shingles
 _BITS = 8
-_SIGNED = "sig long, class long, n long, unshared long, " + ", ".join(f"p{i} long" for i in range(_BITS))
+_SIGNED = "sig long, class binary, n long, unshared long, " + ", ".join(f"p{i} long" for i in range(_BITS))
 
 
-def _sign(threshold: int):
+def _sign(threshold: int, combine: int):
     """A block's rows to ``sig, class, n, unshared`` and, once a class, its parity bits."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         head = pdf[pdf["kind"] == 0].iloc[0]
-        name, size = np.frombuffer(head["ids"], np.int64), np.frombuffer(head["count"], np.int64)
+        size = np.frombuffer(head["count"], np.int64)
+        name = np.array([head["ids"][at:at + _WIDE] for at in range(0, _WIDE * len(size), _WIDE)], object)
         ids, owner, loud = [], [], []
         for kind, i, o, c in zip(pdf["kind"], pdf["ids"], pdf["owner"], pdf["count"], strict=True):
             if kind:
@@ -230,14 +263,23 @@ def _sign(threshold: int):
             prefix = size - -(-threshold * size // 100) + 1 - unshared  # what of the prefix is left for shared shingles
             rare = np.bincount(owner[~loud], minlength=len(name))
             single = ~loud & (rank < prefix[owner])
-            # the extended prefix, in frequent shingles
-            room = prefix - 1 + size * (100 - threshold) // threshold + 2 - rare
-            pair = loud & (prefix[owner] > rare[owner]) & (rank - rare[owner] < room[owner])
-            both = np.flatnonzero(pair[1:] & pair[:-1] & (owner[1:] == owner[:-1]))
-            with np.errstate(over="ignore"):
-                joint = mix(ids[both] * np.uint64(0x9E3779B97F4A7C15) + mix(ids[both + 1]))
-            sig = np.concatenate((ids[single], joint)).view(np.int64)
-            who = np.concatenate((owner[single], owner[both]))
+            sig, who = [ids[single]], [owner[single]]
+            # the extended prefix, in frequent shingles; the rare and the unshared are no common ones then
+            other = np.maximum(size * (100 - threshold) // threshold - unshared - rare, 0)
+            place = rank - rare[owner]
+            for k, least, below in levels(threshold, combine):
+                room = prefix - 1 - rare + (k - 1) * (other + 1) + 1
+                here = (prefix > rare) & (size >= least) & (size < below)
+                run = np.flatnonzero(loud & here[owner] & (place + k <= room[owner]))
+                run = run[run + k <= len(ids)]
+                run = run[owner[run + k - 1] == owner[run]]
+                joint = ids[run]
+                with np.errstate(over="ignore"):
+                    for step in range(1, k):
+                        joint = mix(joint * np.uint64(0x9E3779B97F4A7C15) + mix(ids[run + step]))
+                sig.append(joint)
+                who.append(owner[run])
+            sig, who = np.concatenate(sig).view(np.int64), np.concatenate(who)
             un = unshared[who]
             width = 64 * _BITS
             odd = np.bincount(owner * width + (mix(ids) % np.uint64(width)).astype(np.int64), minlength=len(name) * width) & 1
@@ -257,21 +299,20 @@ def _sign(threshold: int):
 
 
 def signatures(docs: DataFrame, known: DataFrame, *, k: int = SHINGLE, threshold: int = THRESHOLD, frequent: int = FREQUENT,
-               partition: int = PARTITION, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+               partition: int = PARTITION, combine: int = COMBINE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``sig, class, n, unshared`` of all classes that may have links.  ``known``: the stored result of ``classes``."""
     total = known.agg(F.sum("n_shingles")).first()[0] or 0
     parts = max(4, -(-total // partition))
     # one row of each class is enough; classes without ids keep all their rows, which does no harm
     first = known.where("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("first"))
-    other = (known.join(first.withColumnRenamed("class", "c"), F.col("class") == F.col("c"))
-             .where("doc_id > first").select(F.col("doc_id").alias("again"))
-             .join(first.select(F.col("first").alias("again")), "again", "left_anti").distinct())
+    other = (known.where("n_shingles > 0 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("again")).distinct()
+             .join(first.select(F.col("first").alias("again")), "again", "left_anti"))
     spare = stored(other, "again")
     texts = _narrow(docs, id_col, text_col)
     texts = texts.join(spare, texts["doc_id"] == spare["again"], "left_anti")
     packed = texts.mapInArrow(_send(k, parts, frequent), _PACKED)
     shared = packed.groupBy("key").applyInPandas(_shared(frequent), _PACKED)
-    return shared.groupBy("block").applyInPandas(_sign(threshold), _SIGNED).distinct()
+    return shared.groupBy("block").applyInPandas(_sign(threshold, combine), _SIGNED).distinct()
 
 
 _PARITY = [f"p{i}" for i in range(_BITS)]
@@ -300,22 +341,37 @@ def verified(pairs: DataFrame, docs: DataFrame, known: DataFrame, *, k: int, thr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches):
             got = list(_sets(b.column("text").to_pylist(), k))
-            yield pa.RecordBatch.from_arrays([pa.array([class_of(s)[1] for s in got], pa.int64()),
+            yield pa.RecordBatch.from_arrays([pa.array([class_of(s)[1] for s in got], pa.binary()),
                                               pa.array([s.tobytes() for s in got], pa.binary())], names=["class", "set"])
 
-    sets = stored(found.mapInArrow(run, "class long, set binary").groupBy("class").agg(F.any_value("set").alias("set")), "sets")
+    sets = stored(found.mapInArrow(run, "class binary, set binary").groupBy("class").agg(F.any_value("set").alias("set")), "sets")
+
+    # each set b goes once to every part of its partners, ahead of them
+    many = pairs.groupBy("b").agg(F.ceil(F.count("*") / MEMBERS).alias("parts"))
+    dealt = stored(pairs.join(many, "b").select("a", "b", F.pmod(F.xxhash64("a"), "parts").alias("part")), "dealt")
+    ahead = dealt.select(F.lit(None).cast("binary").alias("a"), "b", "part").distinct().join(sets.withColumnRenamed("class", "b"), "b")
+    after = dealt.join(sets.withColumnRenamed("class", "a"), "a")
 
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        at, x = None, None
+        for batch in batches:
             good = []
-            for x, y in zip(b.column("x"), b.column("y"), strict=True):
-                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                same = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(100 * same >= threshold * (len(x) + len(y) - same))
-            yield b.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
-
-    left, right = sets.select(F.col("class").alias("a"), F.col("set").alias("x")), sets.select(F.col("class").alias("b"), F.col("set").alias("y"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(links, "a long, b long")
+            for a, b, part, y in zip(*(batch.column(c) for c in ("a", "b", "part", "set")), strict=True):
+                y, key = np.frombuffer(y.as_buffer(), np.uint64), (b.as_py(), part.as_py())
+                if not a.is_valid:
+                    at, x = key, y.copy()
+                elif at != key:
+                    raise RuntimeError("a pair lacks a set")
+                else:
+                    same = len(np.intersect1d(x, y, assume_unique=True))
+                    good.append(100 * same >= threshold * (len(x) + len(y) - same))
+                    continue
+                good.append(False)
+            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    rows = ahead.unionByName(after).select("a", "b", "part", "set")
+    return (rows.repartition("b", "part").sortWithinPartitions("b", "part", F.col("a").asc_nulls_first())
+            .mapInArrow(links, "a binary, b binary"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -339,10 +395,10 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def linked(docs: DataFrame, known: DataFrame, *, k: int = SHINGLE, threshold: int = THRESHOLD, frequent: int = FREQUENT,
-           partition: int = PARTITION, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+           partition: int = PARTITION, combine: int = COMBINE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``node, root`` of every class that links to another."""
     how = {"k": k, "threshold": threshold, "id_col": id_col, "text_col": text_col}
-    sigs = stored(signatures(docs, known, frequent=frequent, partition=partition, **how), "signatures")
+    sigs = stored(signatures(docs, known, frequent=frequent, partition=partition, combine=combine, **how), "signatures")
     centre = (sigs.groupBy("sig").agg(F.count("*").alias("size"), F.min(F.struct("unshared", "n", "class")).alias("c"))
               .where("size > 1").select("sig", F.col("c.class").alias("b"), F.col("c.n").alias("n2"), F.col("c.unshared").alias("unshared2")))
     centre = stored(centre, "centres")
@@ -380,22 +436,27 @@ def linked(docs: DataFrame, known: DataFrame, *, k: int = SHINGLE, threshold: in
 
 
 def _lowest(known: DataFrame, root: DataFrame, key) -> DataFrame:
-    """``c, low``: of every class with shingles, the smallest ``key`` of its component's rows; stored."""
-    smallest = known.where("n_shingles > 0").groupBy("class").agg(F.min(key).alias("low"))
-    named = smallest.join(root, F.col("class") == F.col("node"), "left").select("class", F.coalesce("root", "class").alias("root"), "low")
+    """``known`` with ``low``: of classes with shingles, the smallest ``key`` of their component's rows; else null."""
+    smallest = known.where("n_shingles > 0").groupBy("class").agg(F.min(key).alias("low"), F.count("*").alias("copies"))
+    named = smallest.join(root, F.col("class") == F.col("node"), "left").select("class", F.coalesce("root", "class").alias("root"), "low", "copies")
     # a component may hold many classes; its minimum is pre-aggregated
     low = named.groupBy("root").agg(F.min("low").alias("component_low"))
-    return stored(named.join(low, "root").select(F.col("class").alias("c"), F.col("component_low").alias("low")), "components")
+    names = stored(named.join(low, "root").select(F.col("class").alias("c"), F.col("component_low").alias("low"), "copies"), "components")
+    # fewer than 1 / HOT_SHARE classes can be hot
+    hot = names.where(F.col("copies") > HOT_SHARE * known.count()).select("c", F.struct("low").alias("hot"))
+    marked = known.join(F.broadcast(hot), (F.col("class") == F.col("c")) & (F.col("n_shingles") > 0), "left").drop("c")
+    cold = marked.where("hot IS NULL").drop("hot").join(
+        names.select("c", "low"), (F.col("class") == F.col("c")) & (F.col("n_shingles") > 0), "left").drop("c")
+    return marked.where("hot IS NOT NULL").withColumn("low", F.col("hot.low")).drop("hot").unionByName(cold)
 
 
-def link_classes(docs: DataFrame, *, k: int = SHINGLE, threshold: int = THRESHOLD, frequent: int = FREQUENT,
-                 partition: int = PARTITION, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def link_classes(docs: DataFrame, *, k: int = SHINGLE, threshold: int = THRESHOLD, frequent: int = FREQUENT, partition: int = PARTITION,
+                 combine: int = COMBINE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row."""
     known = stored(classes(docs, k, id_col, text_col), "classes")
-    root = linked(docs, known, k=k, threshold=threshold, frequent=frequent, partition=partition, id_col=id_col, text_col=text_col)
-    names = _lowest(known, root, F.col("doc_id"))
-    return (known.join(names, (F.col("class") == F.col("c")) & (F.col("n_shingles") > 0), "left")
-            .select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("low")).otherwise(F.col("doc_id")).alias("component_id")))
+    root = linked(docs, known, k=k, threshold=threshold, frequent=frequent, partition=partition, combine=combine, id_col=id_col, text_col=text_col)
+    return _lowest(known, root, F.col("doc_id")).select(
+        "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("low")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
 def keep_first(docs: DataFrame, *, k: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
@@ -408,8 +469,7 @@ def keep_first(docs: DataFrame, *, k: int = SHINGLE, id_col: str = "doc_id", tex
     known = stored(classes(docs, k, id_col, text_col, hashed=True), "classes")
     root = linked(docs, known, k=k, id_col=id_col, text_col=text_col, **params)
     key = F.struct(F.col("doc_id").isNull().alias("lacks"), F.col("doc_id").alias("doc"), F.col("text_hash").alias("hash"))
-    names = _lowest(known, root, key)
-    gone = (known.where("n_shingles > 0").join(names, F.col("class") == F.col("c"))
+    gone = (_lowest(known.where("n_shingles > 0"), root, key)
             .where(~(F.col("doc_id").eqNullSafe(F.col("low.doc")) & (F.col("text_hash") == F.col("low.hash"))))
             .select(F.col("doc_id").alias("_gone"), F.col("text_hash").alias("_gone_hash")).distinct())
     gone = stored(gone, "gone")
