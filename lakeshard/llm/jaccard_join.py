@@ -330,8 +330,7 @@ def _fits(threshold: int):
 def verified(pairs: DataFrame, docs: DataFrame, known: DataFrame, *, k: int, threshold: int, id_col: str, text_col: str) -> DataFrame:
     """The rows of ``pairs`` (``a, b``: classes) whose whole sets link."""
     need = pairs.select(F.col("a").alias("class")).union(pairs.select(F.col("b").alias("class"))).distinct()
-    rows = stored(known.join(need, "class", "left_semi").groupBy("class").agg(
-        F.min("doc_id").alias("doc"), F.max(F.col("doc_id").isNull()).alias("lacks")), "need")
+    rows = stored(known.groupBy("class").agg(F.min("doc_id").alias("doc")).join(need, "class", "left_semi"), "need")
     wanted = rows.where("doc IS NOT NULL").select(F.col("doc").alias("want")).distinct()
     texts = _narrow(docs, id_col, text_col)
     found = texts.join(wanted, texts["doc_id"] == wanted["want"], "left_semi")

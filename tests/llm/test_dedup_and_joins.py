@@ -129,3 +129,61 @@ def test_word_hashes_do_not_depend_on_their_place():
     assert folded[0] == folded[4]
     again, _ = word_hashes(texts[4:] + texts[:1])
     assert np.array_equal(again, np.concatenate((words[4:], words[:2])))
+
+
+def _sections(n, seed=11, size=16):
+    """Texts of 12 sections with four shared variants each; every fifth text repeats an earlier one with one word changed."""
+    rng = random.Random(seed)
+    parts = [[" ".join(f"w{rng.randrange(5000)}" for _ in range(size)) for _ in range(4)] for _ in range(12)]
+    texts = []
+    for i in range(n):
+        if i % 5 == 4:
+            words = rng.choice(texts).split()
+            words[rng.randrange(len(words))] = f"new{i % 50}"
+            texts.append(" ".join(words))
+        else:
+            texts.append(" ".join(rng.choice(p) for p in parts))
+    return [(i, t) for i, t in enumerate(texts)]
+
+
+@pytest.mark.parametrize("threshold", [60, 80, 95])
+def test_levels_grant_a_run_in_all_linked_sets(threshold):
+    got = jaccard_join.levels(threshold)
+    for n1 in range(1, 120):
+        for n2 in range(n1, 120):
+            d = (n1 + n2) * (100 - threshold) // (100 + threshold)
+            d -= (n1 + n2 - d) % 2  # sizes and difference have one parity
+            common = (n1 + n2 - d) // 2
+            if d < 1 or common > n1:
+                continue  # equal sets, or sizes too far apart
+            assert any(a <= n1 < e and a <= n2 < e and common >= (k - 1) * (d + 1) + 1 for k, a, e in got), (n1, n2, d)
+
+
+def test_levels_at_the_default_threshold():
+    assert [(k, least) for k, least, _ in jaccard_join.levels(80)] == [(1, 1), (2, 3), (3, 7), (4, 18)]
+
+
+@pytest.mark.parametrize("combine", [1, 4])
+def test_shared_sections_equal_brute_force(spark, combine):
+    rows = _sections(150)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = _components(rows)
+    assert len({c for _, _, c in want}) < len(rows)
+    got = jaccard_join.link_classes(docs, frequent=4, combine=combine)
+    assert Counter(map(tuple, got.collect())) == want
+
+
+def test_longer_runs_make_smaller_buckets(spark):
+    docs = spark.createDataFrame(_sections(600), "doc_id long, text string").repartition(3)
+    known = jaccard_join.classes(docs)
+    pairs = {}
+    for combine in (2, 4):
+        size = jaccard_join.signatures(docs, known, combine=combine).groupBy("sig").count()
+        pairs[combine] = size.selectExpr("sum(count * (count - 1))").first()[0]
+    assert pairs[4] * 4 < pairs[2], pairs
+
+
+def test_classes_have_128_bits():
+    a, b = np.array([1, 2, 3], np.uint64), np.array([1, 2, 4], np.uint64)
+    assert jaccard_join.class_of(a) == jaccard_join.class_of(a.copy()) != jaccard_join.class_of(b)
+    assert len(jaccard_join.class_of(a)[1]) == 16 and jaccard_join.class_of(a[:0]) == (0, bytes(16))
