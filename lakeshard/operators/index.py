@@ -3,22 +3,22 @@
 Plan shape (all JVM-side):
 
     scan(doc, text) -> [round robin if the scan has fewer splits than cores]
-      -> Generate(explode tokens) -> Filter(word <> '') -> HashAggregate(partial)
-      -> Exchange hash(word, doc) -> HashAggregate(final)          = term_frequency
-      -> Exchange rangepartitioning(word, posting) -> Sort
-      -> checkpoint (partition id and position pinned)              = tagged postings
-      -> segments of words longer than one block (small, broadcast by AQE)
-      -> block = rank // block_size -> HashAggregate by (word, block) = posting blocks
+      -> words of a row sorted and counted in the row -> Generate   = term_frequency
+      -> stored once, so no text is split again
+      -> words of more postings than a chunk (few, broadcast by AQE)
+      -> Exchange rangepartitioning(word, chunk) -> one array per chunk
+      -> sorted and cut into blocks in the row                      = posting blocks
 
 A posting list is never collected whole.  Postings are cut into blocks of at
 most ``block_size`` entries by their rank inside the word, so a stop word
 present in every document turns into many bounded rows instead of one
-unbounded row.  The rank is computed without putting a word into one task:
+unbounded row.  A word of at most one chunk (a whole number of blocks, about
+``CHUNK_ROWS`` postings) is gathered, sorted and cut in one row.  Only words
+beyond that need ranks, which come without putting a word into one task:
 the range exchange on ``(word, posting)`` splits a hot word over several
 partitions, the row position inside each sorted partition is read off
 ``monotonically_increasing_id``, and the count of the same word in earlier
-partitions comes from a per-(partition, word) segment table.  Words with at
-most ``block_size`` postings are block 0 and need no rank at all.
+partitions comes from a per-(partition, word) segment table.
 """
 
 from __future__ import annotations
@@ -26,10 +26,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakeshard.functions.text import DEFAULT_SPLIT, posting_key
+from lakeshard.functions.text import DEFAULT_SPLIT, posting_key, tokens
+from lakeshard.operators.prefix import stored
 from lakeshard.sources.tables import ensure_parallelism
 
 DEFAULT_BLOCK = 4096
+#: postings that one row may gather before it is cut into blocks
+CHUNK_ROWS = 1 << 16
+#: repeated document ids that are broadcast; more of them join by a shuffle
+_FEW_IDS = 100_000
 
 
 def token_stream(docs: DataFrame, doc: str = "doc", text: str = "text",
@@ -45,15 +50,47 @@ def token_stream(docs: DataFrame, doc: str = "doc", text: str = "text",
             .where(F.col("word") != ""))
 
 
+def _counted_by_shuffle(docs: DataFrame, doc: str = "doc", text: str = "text",
+                        split_on: str = DEFAULT_SPLIT) -> DataFrame:
+    """``term_frequency`` of documents that may lie in several rows."""
+    return (token_stream(docs, doc, text, split_on)
+            .groupBy("word", "doc").agg(F.count(F.lit(1)).alias("tf")))
+
+
+def _counted_in_row(docs: DataFrame, split_on: str) -> DataFrame:
+    """``term_frequency`` of documents (``doc, text``) of one row each: no shuffle, no hash table.
+
+    The words of a row are sorted; a word's count is the distance between
+    its first place and that of the next word.  ``explode_outer``: for the
+    plain form Catalyst would repeat the whole expression as a filter below.
+    """
+    words = docs.select("doc", F.sort_array(tokens("text", split_on)).alias("_w"))
+    firsts = words.select("doc", "_w", F.expr(
+        "filter(transform(_w, (w, i) -> if(i > 0 AND w = _w[i - 1], -1, i)), i -> i >= 0)").alias("_s"))
+    pairs = firsts.select("doc", F.expr(
+        "transform(_s, (i, k) -> struct(_w[i] AS word,"
+        " CAST(if(k + 1 < size(_s), _s[k + 1], size(_w)) - i AS BIGINT) AS tf))").alias("_p"))
+    return (pairs.select("doc", F.explode_outer("_p").alias("_p")).where("_p IS NOT NULL")
+            .select("_p.word", "doc", "_p.tf"))
+
+
 def term_frequency(docs: DataFrame, doc: str = "doc", text: str = "text",
                    split_on: str = DEFAULT_SPLIT) -> DataFrame:
     """``(word, doc, tf)``: occurrences of each word per document.
 
-    Partial aggregation collapses a document's repeated words before the
-    shuffle, so the shuffled volume is the number of distinct (word, doc).
+    A document of one row is counted within the row.  Ids that several rows
+    share (found by a job over the ids alone) are counted by a shuffle of
+    their ``(word, doc)`` pairs.
     """
-    return (token_stream(docs, doc, text, split_on)
-            .groupBy("word", "doc").agg(F.count(F.lit(1)).alias("tf")))
+    docs = docs.select(F.col(doc).alias("doc"), F.col(text).alias("text"))
+    repeated = (docs.groupBy("doc").agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1")
+                .select(F.col("doc").alias("_doc")))
+    if repeated.limit(_FEW_IDS + 1).count() <= _FEW_IDS:
+        repeated = F.broadcast(repeated)
+    same = F.col("doc").eqNullSafe(F.col("_doc"))
+    dealt = ensure_parallelism(docs)
+    return (_counted_in_row(dealt.join(repeated, same, "left_anti"), split_on)
+            .unionAll(_counted_by_shuffle(docs.join(repeated, same, "left_semi"), split_on=split_on)))
 
 
 def document_frequency(tf: DataFrame) -> DataFrame:
@@ -77,9 +114,9 @@ def _tagged_postings(tf: DataFrame, num_ranges: int | None) -> DataFrame:
          .withColumn("_pos", F.monotonically_increasing_id()))
     # The range split comes from a sampling job, and the row positions from
     # the order inside each partition: pin both by writing the tagged rows
-    # once to the checkpoint folder, so every use below sees the same rows
+    # once to the shared folder, so every use below sees the same rows
     # (two separately planned exchanges could sample different bounds).
-    return s.checkpoint(eager=True)
+    return stored(s.drop("posting"), "postings").withColumn("posting", posting_key("doc", "tf"))
 
 
 def _segments(s: DataFrame) -> DataFrame:
@@ -126,6 +163,31 @@ def posting_blocks(tf: DataFrame, block_size: int = DEFAULT_BLOCK,
     return j.select("word", "doc", "tf", "posting", block.cast("long").alias("block"))
 
 
+def chunked(tf: DataFrame, block_size: int, place) -> tuple[DataFrame, int]:
+    """``tf`` with the number ``_chunk`` of its chunk within the word, and the blocks of a chunk.
+
+    A word of at most one chunk is chunk 0.  ``place(rows, size)`` numbers the
+    chunks of ``size`` postings of the other words, as column ``block``; there
+    are at most ``postings / size`` of these words.
+    """
+    per_chunk = max(1, CHUNK_ROWS // block_size)
+    size = block_size * per_chunk
+    hot = stored(tf.groupBy("word").agg(F.count(F.lit(1)).alias("_df")).where(F.col("_df") > size).select("word"), "hot-words")
+    cold = tf.join(hot, "word", "left_anti").withColumn("_chunk", F.lit(0).cast("long"))
+    if hot.isEmpty():
+        return cold, per_chunk
+    placed = place(tf.join(hot, "word", "left_semi"), size)
+    return cold.unionAll(placed.select(*tf.columns, F.col("block").alias("_chunk"))), per_chunk
+
+
+def cut(chunks: DataFrame, block_size: int, per_chunk: int) -> DataFrame:
+    """Chunks ``word, _chunk, _p`` (sorted arrays) as blocks ``word, block, p``, in order."""
+    pieces = F.expr(f"transform(sequence(0, (size(_p) - 1) div {int(block_size)}),"
+                    f" i -> slice(_p, CAST(i * {int(block_size)} + 1 AS INT), {int(block_size)}))")
+    return (chunks.select("word", "_chunk", F.posexplode_outer(pieces).alias("_i", "p"))
+            .select("word", (F.col("_chunk") * per_chunk + F.col("_i")).alias("block"), "p"))
+
+
 def inverted_index(docs: DataFrame, doc: str = "doc", text: str = "text",
                    block_size: int = DEFAULT_BLOCK, split_on: str = DEFAULT_SPLIT,
                    num_ranges: int | None = None) -> DataFrame:
@@ -137,15 +199,17 @@ def inverted_index(docs: DataFrame, doc: str = "doc", text: str = "text",
     documents has the single block 0.
 
     Rows are in the order of ``(word, block)``: the exchange that brings a
-    block together is one by ranges, so the order costs no further shuffle.
+    chunk together is one by ranges, so the order costs no further shuffle.
     """
     if block_size < 1:
         raise ValueError("block_size must be >= 1")
-    blocks = posting_blocks(term_frequency(docs, doc, text, split_on), block_size, num_ranges)
-    return (blocks.repartitionByRange("word", "block").groupBy("word", "block")
-            .agg(F.count(F.lit(1)).alias("n"),
-                 F.array_sort(F.collect_list(F.struct("posting", "doc", "tf"))).alias("postings"))
-            .sortWithinPartitions("word", "block"))
+    tf = stored(term_frequency(docs, doc, text, split_on), "tf")
+    rows, per_chunk = chunked(tf, block_size, lambda hot, size: posting_blocks(hot, size, num_ranges))
+    chunks = (rows.repartitionByRange("word", "_chunk").groupBy("word", "_chunk")
+              .agg(F.array_sort(F.collect_list(F.struct(posting_key("doc", "tf").alias("posting"), "doc", "tf"))).alias("_p"))
+              .sortWithinPartitions("word", "_chunk"))
+    return cut(chunks, block_size, per_chunk).select("word", "block", F.size("p").cast("long").alias("n"),
+                                                     F.col("p").alias("postings"))
 
 
 def write_index(index: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -213,5 +277,5 @@ def search_documents(docs: DataFrame, terms: list[str], doc: str = "doc", text:
     for t in wanted:
         cond = cond & F.col(text).contains(t)
     cand = docs.where(cond)
-    tf = term_frequency(cand, doc, text, split_on).where(F.col("word").isin(wanted))
+    tf = _counted_by_shuffle(cand, doc, text, split_on).where(F.col("word").isin(wanted))
     return index_lookup(tf, wanted)

@@ -21,7 +21,8 @@ from lakeshard.session import scratch_dir
 _LOW = (1 << 33) - 1
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read from there."""
     path = scratch_dir(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -47,7 +48,7 @@ def running(df: DataFrame, key: list[str], order: list[str | Column], *, row_num
     dealt = df.withColumn("_tie", F.monotonically_increasing_id())
     ranged = (dealt.repartitionByRange(*by, "_tie").sortWithinPartitions(*by, "_tie").drop("_tie")
               .withColumn("_at", F.monotonically_increasing_id()).withColumn("_part", F.shiftright("_at", 33)))
-    ranged = _stored(ranged, "running")
+    ranged = stored(ranged, "running")
 
     # level one: a row for each key and range
     last = {n: F.max_by(F.struct(F.col(c).alias("v")), "_at").alias(f"_last_{n}") for n, c in lags.items()}
@@ -61,7 +62,7 @@ def running(df: DataFrame, key: list[str], order: list[str | Column], *, row_num
                          *[F.sum(f"_sum_{n}").over(before).alias(f"_before_{n}") for n in sums],
                          *[F.lag(f"_last_{n}").over(w).alias(f"_prev_{n}") for n in lags])
     same = [F.col("_part") == F.col("_p"), *[F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(key)]]
-    rows = ranged.join(_stored(parts, "running-parts"), same)
+    rows = ranged.join(stored(parts, "running-parts"), same)
 
     # within the range
     here = Window.partitionBy("_part", *key).orderBy("_at")

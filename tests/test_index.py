@@ -178,3 +178,31 @@ def test_index_is_ordered_and_looked_up_where_it_is_stored(spark, tmpdir_path):
     assert sorted(r.doc for r in found.collect()) == sorted(str(i) for i in range(300) if i % 17 == 3)
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [In(word" in plan
+
+
+def test_words_are_counted_without_a_shuffle_of_pairs(spark):
+    """Texts of one row each are counted in the row; ids of several rows, NULL among them, are still one document."""
+    rows = [(i, f"b a  a w{i % 5}\r\nb") for i in range(50)] + [(51, ""), (52, None)]
+    plain = ix.term_frequency(spark.createDataFrame(rows, "doc long, text string"))
+    got = plain.collect()
+    assert len(got) == 150 and {(r.word, r.tf) for r in got if r.doc == 7} == {("a", 2), ("b", 2), ("w2", 1)}
+    df = plain.coalesce(1)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(word" not in final.split("Initial Plan")[0]
+    more = rows + [(7, "a c"), (None, "a a"), (None, "a")]
+    tf = {(r.word, r.doc): r.tf for r in ix.term_frequency(spark.createDataFrame(more, "doc long, text string")).collect()}
+    assert tf[("a", 7)] == 3 and tf[("c", 7)] == 1 and tf[("a", None)] == 3 and len(tf) == 152
+
+
+def test_words_beyond_a_chunk(spark, monkeypatch):
+    """Only words of more postings than a chunk are ranked; either way gives the same blocks."""
+    df = spark.createDataFrame([(i, f"hot w{i % 9} {'x ' * (i % 3)}") for i in range(120)], "doc long, text string")
+    whole = _index(df, block_size=5)
+    ranked = []
+    real = ix.posting_blocks
+    monkeypatch.setattr(ix, "posting_blocks", lambda tf, *a: ranked.append({r.word for r in tf.select("word").distinct().collect()}) or real(tf, *a))
+    assert _index(df, block_size=5) == whole and not ranked
+    monkeypatch.setattr(ix, "CHUNK_ROWS", 30)
+    assert _index(df, block_size=5, num_ranges=4) == whole and len(whole) == 67
+    assert ranked == [{"hot", "x"}]
