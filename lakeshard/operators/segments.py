@@ -18,23 +18,29 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeshard.operators.index import DEFAULT_BLOCK, index_lookup, term_frequency
+from lakeshard.operators.index import DEFAULT_BLOCK, chunked, cut, index_lookup, term_frequency
 from lakeshard.operators.intervals import overlap_join
-from lakeshard.operators.prefix import running
+from lakeshard.operators.prefix import running, stored
 from lakeshard.sources.hadoop import Store
 
 _HEAD = ["segment", "word", "block", "n", "first_doc", "last_doc"]
 
 
+def _placed(tf: DataFrame, size: int) -> DataFrame:
+    """``tf`` with its block of ``size`` postings; places within a word come from a two-level scan."""
+    return running(tf, ["word"], ["doc"], row_number="_rn").withColumn("block", F.expr(f"(_rn - 1) div {int(size)}"))
+
+
 def posting_blocks(tf: DataFrame, block_size: int = DEFAULT_BLOCK) -> DataFrame:
-    """Blocks of ``tf`` (``word, doc, tf``), in word order; places within a word come from a two-level scan."""
-    placed = running(tf.select("word", "doc", "tf"), ["word"], ["doc"], row_number="_rn")
-    blocks = (placed.withColumn("block", F.expr(f"(_rn - 1) div {int(block_size)}")).repartitionByRange("word", "block")
-              .groupBy("word", "block").agg(F.array_sort(F.collect_list(F.struct("doc", "tf"))).alias("p")))
+    """Blocks of ``tf`` (``word, doc, tf``), in word order; only words beyond a chunk are placed by a scan."""
+    rows, per_chunk = chunked(tf.select("word", "doc", "tf"), block_size, _placed)
+    chunks = (rows.repartitionByRange("word", "_chunk").groupBy("word", "_chunk")
+              .agg(F.array_sort(F.collect_list(F.struct("doc", "tf"))).alias("_p")).sortWithinPartitions("word", "_chunk"))
     first = F.col("p")[0]["doc"]
-    return blocks.select("word", "block", F.size("p").cast("long").alias("n"), first.alias("first_doc"),
-                         F.element_at("p", -1)["doc"].alias("last_doc"), F.transform("p", lambda x: x["doc"] - first).alias("gaps"),
-                         F.transform("p", lambda x: x["tf"]).alias("tfs")).sortWithinPartitions("word", "block")
+    return cut(chunks, block_size, per_chunk).select(
+        "word", "block", F.size("p").cast("long").alias("n"), first.alias("first_doc"),
+        F.element_at("p", -1)["doc"].alias("last_doc"), F.transform("p", lambda x: x["doc"] - first).alias("gaps"),
+        F.transform("p", lambda x: x["tf"]).alias("tfs"))
 
 
 def _write(blocks: DataFrame, path: str) -> str:
@@ -49,7 +55,7 @@ def _write(blocks: DataFrame, path: str) -> str:
 
 def append_segment(docs: DataFrame, path: str, doc: str = "doc", text: str = "text", block_size: int = DEFAULT_BLOCK) -> str:
     """Index ``docs`` (whole-number ids) as a new segment below ``path``; its name."""
-    return _write(posting_blocks(term_frequency(docs, doc, text), block_size), path)
+    return _write(posting_blocks(stored(term_frequency(docs, doc, text), "tf"), block_size), path)
 
 
 def read_segments(spark: SparkSession, path: str, names: list[str] | None = None) -> DataFrame:

@@ -79,3 +79,14 @@ def test_merging_is_the_same_in_any_grouping(spark):
     once = sketches.report(sketches.merged(fine)).select(keep)
     twice = sketches.report(sketches.merged(sketches.merged(fine, ["a"]))).select(keep)
     assert sorted(once.collect()) == sorted(twice.collect())
+
+
+def test_only_words_beyond_a_chunk_are_placed_by_a_scan(spark, monkeypatch):
+    tf = term_frequency(_docs(spark, range(300))).cache()
+    whole = Counter(map(str, segments.posting_blocks(tf, 10).collect()))
+    seen, real = [], segments.running
+    monkeypatch.setattr(segments, "running", lambda df, *a, **k: seen.append({r.word for r in df.select("word").distinct().collect()}) or real(df, *a, **k))
+    assert Counter(map(str, segments.posting_blocks(tf, 10).collect())) == whole and not seen
+    monkeypatch.setattr("lakeshard.operators.index.CHUNK_ROWS", 200)
+    assert Counter(map(str, segments.posting_blocks(tf, 10).collect())) == whole
+    assert len(seen) == 1 and "the" in seen[0] and len(seen[0]) < tf.select("word").distinct().count()
