@@ -75,9 +75,9 @@ def write_distributed(df: DataFrame, path: str, partition_by: list[str], fmt: st
 
 def write_salted(df: DataFrame, path: str, partition_by: list[str], n: int,
                  fmt: str = "parquet", mode: str = "errorifexists") -> str:
-    """``DISTRIBUTE BY cols, salt``: up to ``n`` files per partition directory."""
+    """``DISTRIBUTE BY cols, salt``: up to ``n`` files per partition directory, over ``n`` tasks at least."""
     s = salt(df, n)
-    return _save(df.repartition(_num_partitions(df), *partition_by, s), path, fmt, mode, partition_by)
+    return _save(df.repartition(max(_num_partitions(df), n), *partition_by, s), path, fmt, mode, partition_by)
 
 
 def hot_keys(df: DataFrame, key: str, share: float = 0.1) -> DataFrame:

@@ -322,3 +322,24 @@ def test_two_level_agg_splits_the_null_key(spark):
     got = {r.k: r for r in two_level_agg(df, ["k"], [F.count("*").alias("_n"), F.sum("v").alias("_s")],
                                          [F.sum("_n").alias("n"), F.max("_n").alias("biggest"), F.sum("_s").alias("s")], 100).collect()}
     assert got[None].n == 900 and got[None].biggest < 300 and got[None].s == sum(range(900)) and got["a"].n == 1
+
+
+def test_layout_files_follow_the_size(spark, monkeypatch):
+    """The file counts of the layout queries are a floor: a larger table gets more files and tasks."""
+    from lakeshard.plans import maintenance as mt
+
+    asked = {}
+    for name in ("write_coalesced", "write_repartitioned", "write_ranged", "write_salted"):
+        real = getattr(lo, name)
+        pos = 3 if name == "write_salted" else 2
+        monkeypatch.setattr(lo, name, lambda *a, real=real, name=name, pos=pos: asked.setdefault(name, a[pos]) and real(*a))
+    for q in (mt.q_layout_coalesce, mt.q_layout_repartition, mt.q_layout_range, mt.q_layout_salted):
+        q(spark, SF)
+    assert asked == {"write_coalesced": 2, "write_repartitioned": 5, "write_ranged": 4, "write_salted": 3}
+    asked.clear()
+    real_count = mt._file_count
+    monkeypatch.setattr(mt, "_file_count", lambda df, **k: real_count(df, file_bytes=4096, **k))
+    n = spark.read.parquet(f"{SF}/lineitem.parquet").count()
+    for q in (mt.q_layout_coalesce, mt.q_layout_repartition, mt.q_layout_range, mt.q_layout_salted):
+        assert q(spark, SF).count() == n
+    assert min(asked.values()) > 5 and len(set(asked.values())) == 1
