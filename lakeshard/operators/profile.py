@@ -2,11 +2,15 @@
 
 ``profile`` computes every column's statistics in ONE aggregate over the
 scan (partial aggregation on every partition, one shuffle of tiny partial
-rows), then unpivots the single result row with ``stack``.
+rows), then unpivots the single result row with ``stack``.  Exact distinct
+counts are an aggregate of their own for each column: together they would
+expand every row once a column and hold all of that in one hash table.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,14 +27,20 @@ def profile(df: DataFrame, cols: list[str] | None = None, exact: bool = False) -
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for i, c in enumerate(cols):
         aggs += [F.count_if(F.col(c).isNull()).alias(f"_n{i}"),
-                 (F.count_distinct(F.col(c)) if exact else F.approx_count_distinct(F.col(c)))
-                 .alias(f"_d{i}"),
+                 (F.lit(None).cast("long") if exact else F.approx_count_distinct(F.col(c))).alias(f"_d{i}"),
                  F.min(F.col(c)).cast("string").alias(f"_lo{i}"),
                  F.max(F.col(c)).cast("string").alias(f"_hi{i}")]
     one = df.agg(*aggs)
-    parts = ", ".join(f"'{c}', _rows, _n{i}, _d{i}, _lo{i}, _hi{i}" for i, c in enumerate(cols))
-    return one.selectExpr(
-        f"stack({len(cols)}, {parts}) AS (column, rows, nulls, distinct_count, min, max)")
+    parts = ", ".join(f"{i}, '{c}', _rows, _n{i}, _d{i}, _lo{i}, _hi{i}" for i, c in enumerate(cols))
+    out = one.selectExpr(
+        f"stack({len(cols)}, {parts}) AS (_i, column, rows, nulls, distinct_count, min, max)")
+    if not exact:
+        return out.drop("_i")
+    counts = [df.select(F.col(c).alias("_v")).distinct().agg(F.lit(i).alias("_j"), F.count("_v").alias("_distinct"))
+              for i, c in enumerate(cols)]
+    distinct = F.broadcast(reduce(DataFrame.unionAll, counts))  # a row a column
+    return (out.join(distinct, F.col("_i") == F.col("_j"))
+            .select("column", "rows", "nulls", F.col("_distinct").alias("distinct_count"), "min", "max"))
 
 
 def hash_sample(df: DataFrame, key: str, num: int, den: int) -> DataFrame:

@@ -343,3 +343,10 @@ def test_layout_files_follow_the_size(spark, monkeypatch):
     for q in (mt.q_layout_coalesce, mt.q_layout_repartition, mt.q_layout_range, mt.q_layout_salted):
         assert q(spark, SF).count() == n
     assert min(asked.values()) > 5 and len(set(asked.values())) == 1
+
+
+def test_exact_profile_does_not_expand_rows(spark):
+    df = spark.createDataFrame([(1, "a", None), (2, "a", None), (None, "b", None)], "k int, s string, z double")
+    got = profile(df, exact=True)
+    assert "Expand" not in got._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, got.collect())) == [("k", 3, 1, 2, "1", "2"), ("s", 3, 0, 2, "a", "b"), ("z", 3, 3, 0, None, None)]
