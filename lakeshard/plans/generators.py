@@ -16,7 +16,7 @@ from pyspark.sql.functions import pandas_udf, udtf
 
 from lakeshard.operators.script import two_level_agg
 from lakeshard.plans.registry import query, sql_query
-from lakeshard.sources.tables import Tables, register_views
+from lakeshard.sources.tables import Tables, ensure_parallelism, register_views
 
 sql_query("lateral_view", """
 SELECT c_custkey, pos, part FROM customer LATERAL VIEW posexplode(split(c_name, '#')) t AS pos, part""",
@@ -80,8 +80,10 @@ def q_udaf_pandas(spark, sf_dir):
 
 
 @udtf(returnType=T.StructType([T.StructField("pos", T.IntegerType()),
-                                  T.StructField("part", T.StringType())]), useArrow=True)
+                                  T.StructField("part", T.StringType())]), useArrow=False)
 class NameParts:
+    """Few short rows a call: pickled batches; the Arrow form builds a record batch for every input row."""
+
     def eval(self, name: str):
         for i, p in enumerate((name or "").split("#")):
             yield i, p
@@ -91,6 +93,6 @@ class NameParts:
 SELECT c_custkey, CAST(i - 1 AS INTEGER) AS pos, string_split(c_name, '#')[i] AS part
 FROM (SELECT c_custkey, c_name, generate_subscripts(string_split(c_name, '#'), 1) AS i FROM customer)""")
 def q_udtf(spark, sf_dir):
-    register_views(spark, sf_dir, ["customer"])
+    ensure_parallelism(Tables(spark, sf_dir).customer).createOrReplaceTempView("customer")
     spark.udtf.register("name_parts", NameParts)
     return spark.sql("SELECT c.c_custkey, t.pos, t.part FROM customer c, LATERAL name_parts(c.c_name) t")

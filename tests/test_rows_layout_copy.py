@@ -350,3 +350,13 @@ def test_exact_profile_does_not_expand_rows(spark):
     got = profile(df, exact=True)
     assert "Expand" not in got._jdf.queryExecution().executedPlan().toString()
     assert sorted(map(tuple, got.collect())) == [("k", 3, 1, 2, "1", "2"), ("s", 3, 0, 2, "a", "b"), ("z", 3, 3, 0, None, None)]
+
+
+def test_udtf_runs_in_many_tasks(spark):
+    from lakeshard.plans.generators import q_udtf
+
+    got = q_udtf(spark, SF)
+    assert got.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert "ArrowEvalPythonUDTF" not in got._jdf.queryExecution().executedPlan().toString()
+    first = {(r.pos, r.part.strip("0")) for r in got.where("c_custkey = 5").collect()}
+    assert {p for p, _ in first} == {0, 1} and (0, "Customer") in first
