@@ -116,7 +116,7 @@ def pack_files(spark: SparkSession, root: str, out: str, num_files: int | None =
     odd = odd.mapInPandas(read_bytes, "path string, rel string, length long, content binary")
     both = df.unionByName(odd.withColumn("modified", F.lit(None).cast("timestamp")))
     if num_files is None:
-        size = list_files(spark, root).agg(F.sum("length")).first()[0] or 0
+        size = df.agg(F.sum("length")).first()[0] or 0  # of the listing that ``df`` holds; no content is read
         num_files = max(1, -(-size // target_bytes))
     both.repartition(num_files).write.mode(mode).parquet(out)
     return spark.read.parquet(out)

@@ -2,6 +2,8 @@
 
 import os
 
+import pytest
+
 from lakeshard.sources.files import list_directory, pack_files
 
 
@@ -71,3 +73,17 @@ def test_listing_rel_for_root_spellings(spark, tmpdir_path):
         f.write("x")
     for root in (f"{tmpdir_path}/r", f"file:{tmpdir_path}/r", f"file://{tmpdir_path}/r", f"{tmpdir_path}/r/"):
         assert [r.rel for r in list_directory(spark, root).collect()] == ["s/f.txt"], root
+
+
+def test_pack_files_lists_once(spark, tmpdir_path, monkeypatch):
+    """The number of containers comes from the listing that the rows are read from."""
+    from lakeshard.sources import files
+
+    src = f"{tmpdir_path}/many"
+    os.makedirs(src)
+    for i in range(6):
+        with open(f"{src}/f{i}", "w") as f:
+            f.write("x" * 100)
+    monkeypatch.setattr(files, "list_files", lambda *a: pytest.fail("listed again"))
+    packed = pack_files(spark, src, f"{tmpdir_path}/packed-many", target_bytes=200)
+    assert packed.count() == 6 and len([f for f in os.listdir(f"{tmpdir_path}/packed-many") if f.endswith(".parquet")]) == 3
